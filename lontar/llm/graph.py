@@ -1,0 +1,54 @@
+"""Connected components and SimHash tables, shared by operators of near-duplicates."""
+
+from __future__ import annotations
+
+from itertools import combinations
+
+import numpy as np
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from lontar.llm.common import cut
+
+
+def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+    """``node, component`` (the smallest node) for the undirected ``edges`` ``a, b``, by repeated hooking and jumping.
+
+    Nodes without an edge have no row. Labels only ever fall, and each round
+    halves the distance to the root, so long chains need few rounds.
+    """
+    both = cut(edges.where("a <> b").select("a", "b").union(edges.where("a <> b").select(F.col("b"), F.col("a"))).distinct())
+    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component")))
+    for _ in range(rounds):
+        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
+        hooked = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("component"))
+        root = hooked.select(F.col("node").alias("component"), F.col("component").alias("above"))
+        jumped = cut(hooked.join(root, "component", "left").select("node", "old", F.least("component", F.coalesce("above", "component")).alias("component")))
+        labels = jumped.select("node", "component")
+        if jumped.where("component <> old").isEmpty():
+            return labels
+    raise RuntimeError(f"components haven't settled in {rounds} rounds")
+
+
+def simhash(features: np.ndarray) -> int:
+    """64-bit SimHash (signed) of feature hashes; each feature counts once."""
+    bits = (features[:, None] >> np.arange(64, dtype=np.uint64)) & np.uint64(1)
+    ones = bits.sum(0, dtype=np.int64) * 2 > len(features)
+    return int(np.packbits(ones, bitorder="little").view(np.int64)[0])
+
+
+def hamming_keys(signature: Column, distance: int = 3, blocks: int = 5) -> Column:
+    """Table keys of a signature: two signatures within ``distance`` bits share at least one.
+
+    The bits are cut into ``blocks`` blocks, of which at most ``distance`` can
+    differ, so some ``blocks - distance`` blocks are equal; there is a table for
+    each choice of those.
+    """
+    width = [64 // blocks + (k < 64 % blocks) for k in range(blocks)]
+    start = np.concatenate(([0], np.cumsum(width)))
+    keys = []
+    for table, chosen in enumerate(combinations(range(blocks), blocks - distance)):
+        mask = sum(((1 << width[k]) - 1) << int(start[k]) for k in chosen)
+        mask -= (mask >> 63) << 64
+        keys.append(F.struct(F.lit(table).alias("table"), signature.bitwiseAND(F.lit(mask).cast("long")).alias("bits")))
+    return F.explode(F.array(*keys))

@@ -7,8 +7,48 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lontar.llm import contamination, history, mixing, spans
-from lontar.llm.common import cut, table
+from lontar.llm import contamination, history, lines, mixing, quality, residue, spans
+from lontar.llm.common import cut, site_of, table
+
+
+def _texts(spark: SparkSession, sf_dir: str, *tables: str) -> DataFrame:
+    """``table_name, record_id, text`` of tables of texts."""
+    key, text = {"extracted_content": "page_id"}, {"extracted_content": "content"}
+    out = None
+    for n in tables:
+        one = table(spark, sf_dir, n).select(F.lit(n).alias("table_name"), F.col(key.get(n, "id")).cast("string").alias("record_id"), F.col(text.get(n, "text")).alias("text"))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.no_prose(_texts(spark, sf_dir, "export_entries", "news_articles"))
+    cases = residue.residue(_texts(spark, sf_dir, "news_articles"))
+    return found.join(cases, ["table_name", "record_id"], "left_anti")
+
+
+def p2_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.typed(cut(quality.statistics(_texts(spark, sf_dir, "export_entries", "news_articles"))))
+
+
+def _prose_news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``site, id, text`` of articles that have an address and are no case of p2 or p5."""
+    texts = _texts(spark, sf_dir, "news_articles")
+    cases = residue.residue(texts).union(quality.no_prose(texts))
+    news = table(spark, sf_dir, "news_articles").select(site_of(F.col("source_url")).alias("site"), "id", "text").where("site IS NOT NULL")
+    return residue.without(news, cut(cases), "id", "news_articles")
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.repeated_lines(_prose_news(spark, sf_dir)).select("site", "line")
+
+
+def p3_without_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.without_repeated(_prose_news(spark, sf_dir))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.residue(_texts(spark, sf_dir, "news_articles", "extracted_content"))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,14 +64,14 @@ def p8_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.leaked_spans(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-def p9_mix_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+def p9_mix_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = cut(mixing.count_tokens(table(spark, sf_dir, "documents")))
-    return mixing.report(mixing.budgets(counts, table(spark, sf_dir, "source_targets")))
+    return mixing.select(counts, mixing.budgets(counts, table(spark, sf_dir, "source_targets")))
 
 
-def p9_mix_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def p9_mix_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = cut(mixing.count_tokens(table(spark, sf_dir, "documents")))
-    return mixing.select(counts, mixing.budgets(counts, table(spark, sf_dir, "source_targets")))
+    return mixing.report(mixing.budgets(counts, table(spark, sf_dir, "source_targets")))
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
