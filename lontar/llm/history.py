@@ -11,13 +11,18 @@ distance of two sets from below. The table keeps these distances, written once
 per text; a batch is joined with it, pruned by them, and what remains is
 verified by the true similarity. Accepted batches are appended as rows.
 
-Distances to pivots alone prune too little here, whatever the pivots: nearly
-all texts are at nearly the same distance from any fixed set (see README). The
-join is therefore ranged by the rarest triples as well: two sets of similarity
-s share one of the ``n - ceil(s * n) + 1`` triples that come first in any fixed
-order, so only rows with a common one of those are met, and the order (rare
-ones first) is fitted on at most ``FIT_ROWS`` texts. The order changes the
-speed and never the result.
+Distances to single pivots prune too little here, whatever the pivots: nearly
+all texts are at nearly the same distance from any fixed set (see README). Many
+pivots together do prune; and so as not to look at every pair for that, rows
+meet on their rarest triples: two sets of similarity s share one of the
+``n - ceil(s * n) + 1`` triples that come first in any fixed order. The order
+(rare ones first) is fitted on at most ``FIT_ROWS`` texts; it changes the speed
+and never the result.
+
+A batch of bounded size goes to the history: in blocks of at most
+``BLOCK_TRIPLES`` triples it is sent to every executor, and the table is matched
+where it lies, without a shuffle. A batch of more than ``MAX_BLOCKS`` blocks is
+joined with the table by a shuffle instead; both ways give the same rows.
 
 Defined results: null texts and texts under three words have no triples and are
 never near-duplicates; null or empty addresses match none; texts without any
@@ -36,9 +41,15 @@ from pyspark.sql import functions as F
 from lontar.llm.common import WORD, cut
 
 SIMILARITY = 0.6
-PIVOTS = 16
+PIVOTS = 64
 #: Texts on which the order of triples is fitted.
 FIT_ROWS = 5_000
+#: Triples of a block of new texts that every executor holds (8 bytes each, and as much again for their index).
+BLOCK_TRIPLES = 4_000_000
+#: More blocks than this are joined by a shuffle.
+MAX_BLOCKS = 16
+#: Pairs of a block's and the history's texts looked at at once.
+PAIRS = 4_000_000
 #: Words whose hashes a worker remembers.
 REMEMBERED = 500_000
 
@@ -115,6 +126,94 @@ def fit_order(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return t[order], n[order]
 
 
+def pivot_distances(text: np.ndarray, triples: np.ndarray, size: int) -> np.ndarray:
+    """``[size, PIVOTS]``: triples of each text in each part of all triples, the distances to the parts' empty sets."""
+    return np.bincount(text * PIVOTS + (triples >> np.uint64(40)).astype(np.int64) % PIVOTS, minlength=size * PIVOTS).reshape(size, PIVOTS)
+
+
+def first_triples(text: np.ndarray, triples: np.ndarray, n: np.ndarray, order: tuple[np.ndarray, np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the text and triple, of the triples one of which any similar text shares."""
+    known, often = order
+    at = np.minimum(np.searchsorted(known, triples), max(0, len(known) - 1))
+    rank = np.where(known[at] == triples, often[at], 0) if len(known) else np.zeros(len(triples), np.int64)
+    o = np.lexsort((triples, rank, text))
+    place = np.arange(len(triples)) - np.repeat(np.cumsum(n) - n, n)
+    first = place < np.repeat(n - np.ceil(similarity * n - 1e-9).astype(np.int64) + 1, n)
+    return text[first], triples[o][first]
+
+
+class Block:
+    """New texts as the history's rows are matched with them: their triples, pivot distances and an index of their first triples."""
+
+    def __init__(self, batch: np.ndarray, text: np.ndarray, triples: np.ndarray, order: tuple[np.ndarray, np.ndarray], similarity: float):
+        size = len(batch)
+        self.batch, self.similarity, self.order = batch, similarity, order
+        self.n = np.bincount(text, minlength=size)
+        self.start = np.concatenate(([0], np.cumsum(self.n)))
+        self.triples, self.pivots = triples, pivot_distances(text, triples, size).astype(np.int16)
+        owner, firsts = first_triples(text, triples, self.n, order, similarity)
+        o = np.argsort(firsts, kind="stable")
+        self.firsts, self.owner = firsts[o], owner[o]
+
+    def match(self, batches: np.ndarray, text: np.ndarray, triples: np.ndarray) -> list[tuple[int, int]]:
+        """``(own text, batch)`` of own texts that are similar to one of the given texts of a smaller batch."""
+        s, size = self.similarity, len(batches)
+        n = np.bincount(text, minlength=size)
+        start = np.concatenate(([0], np.cumsum(n)))
+        pivots = pivot_distances(text, triples, size).astype(np.int16)
+        owner, firsts = first_triples(text, triples, n, self.order, s)
+        lo, hi = np.searchsorted(self.firsts, firsts, "left"), np.searchsorted(self.firsts, firsts, "right")
+        total = np.concatenate(([0], np.cumsum(hi - lo)))
+        found, at = [], 0
+        while at < len(firsts):
+            end = max(at + 1, int(np.searchsorted(total, total[at] + PAIRS, "right")) - 1)
+            k = hi[at:end] - lo[at:end]
+            theirs = np.repeat(owner[at:end], k)
+            own = self.owner[np.repeat(lo[at:end] - np.concatenate(([0], np.cumsum(k)[:-1])), k) + np.arange(k.sum())]
+            at = end
+            a, b = self.n[own], n[theirs]
+            near = (batches[theirs] < self.batch[own]) & (np.minimum(a, b) >= s * np.maximum(a, b) - 1e-9)
+            pair = np.unique(theirs[near] * len(self.batch) + own[near])
+            theirs, own = pair // len(self.batch), pair % len(self.batch)
+            apart = np.concatenate([np.abs(self.pivots[own[i : i + 100_000]] - pivots[theirs[i : i + 100_000]]).sum(1) for i in range(0, len(pair), 100_000)] or [np.zeros(0)])
+            near = apart <= (1 - s) / (1 + s) * (self.n[own] + n[theirs]) + 1e-9
+            for x, y in zip(own[near], theirs[near]):
+                one, two = self.triples[self.start[x] : self.start[x + 1]], triples[start[y] : start[y + 1]]
+                common = len(np.intersect1d(one, two, assume_unique=True))
+                if common >= s * (len(one) + len(two) - common) - 1e-9:
+                    found.append((int(x), int(batches[y])))
+        return found
+
+
+def _matched(new: DataFrame, rows: DataFrame, order: tuple[np.ndarray, np.ndarray], similarity: float, blocks: int) -> DataFrame:
+    """``key, first_batch``: texts of ``new`` (``key, batch, text``) with the smallest batch of a similar text in ``rows`` (``batch, text``)."""
+    import pyarrow as pa
+
+    spark, out = new.sparkSession, None
+    if blocks > 1:
+        new = cut(new)
+    for k in range(blocks):
+        part = new.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == k).select("key", "batch", "text").toArrow()
+        text, triples = triple_sets(part.column("text").to_pylist())
+        block = Block(part.column("batch").to_numpy().astype(np.int64), text, triples, order, similarity)
+        keys = part.column("key").to_pylist()
+        shared = spark.sparkContext.broadcast((block, keys))
+
+        def run(batches: Iterator, shared=shared) -> Iterator:
+            block, keys = shared.value
+            for b in batches:
+                texts, found = b.column(1).to_pylist(), {}
+                number = b.column(0).to_numpy()
+                for i in range(0, len(texts), 2_000):
+                    for x, y in block.match(number[i : i + 2_000], *triple_sets(texts[i : i + 2_000])):
+                        found[x] = min(y, found.get(x, y))
+                yield pa.RecordBatch.from_arrays([pa.array([keys[x] for x in found], pa.binary()), pa.array(list(found.values()), pa.int32())], ["key", "first_batch"])
+
+        one = rows.select("batch", "text").mapInArrow(run, "key binary, first_batch int")
+        out = one if out is None else out.unionByName(one)
+    return out.groupBy("key").agg(F.min("first_batch").alias("first_batch"))
+
+
 def signatures(df: DataFrame, order: tuple[np.ndarray, np.ndarray], similarity: float = SIMILARITY) -> DataFrame:
     """The pivot-distance table: the columns of ``df`` besides ``text``, and ``n`` (triples), ``pivots`` (distances), ``firsts`` (rarest triples).
 
@@ -131,13 +230,9 @@ def signatures(df: DataFrame, order: tuple[np.ndarray, np.ndarray], similarity:
             text, t = triple_sets(b.column(len(keep)).to_pylist())
             size = b.num_rows
             n = np.bincount(text, minlength=size)
-            pivots = np.bincount(text * PIVOTS + (t >> np.uint64(60)).astype(np.int64) % PIVOTS, minlength=size * PIVOTS).reshape(size, PIVOTS)
-            at = np.minimum(np.searchsorted(known, t), max(0, len(known) - 1))
-            rank = np.where(known[at] == t, often[at], 0) if len(known) else np.zeros(len(t), np.int64)
-            o = np.lexsort((t, rank, text))
-            place = np.arange(len(t)) - np.repeat(np.cumsum(n) - n, n)
-            first = place < np.repeat(n - np.ceil(similarity * n - 1e-9).astype(np.int64) + 1, n)
-            firsts, many = t[o][first].view(np.int64), np.bincount(text[first], minlength=size)
+            pivots = pivot_distances(text, t, size)
+            owner, firsts = first_triples(text, t, n, (known, often), similarity)
+            firsts, many = firsts.view(np.int64), np.bincount(owner, minlength=size)
             rows = pa.array(np.flatnonzero(n))
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(many))), pa.int32()), pa.array(firsts))
             flat = pa.ListArray.from_arrays(pa.array(np.arange(size + 1) * PIVOTS, pa.int32()), pa.array(pivots.ravel(), pa.int32()))
@@ -203,23 +298,33 @@ def known_articles(incoming: DataFrame, history: DataFrame, index: DataFrame, si
     hashes = rows.select(exact_hash(F.col("text")).alias("v"), "batch").unionByName(index.select(F.col("exact_hash").alias("v"), F.lit(0).alias("batch")))
     by_hash = earlier(exact_hash(F.col("text")), hashes, "exact")
 
-    key = F.unhex(F.substring(F.sha2("text", 256), 1, 32))
+    key = F.unhex(F.substring(F.sha2("text", 256), 1, 32)).alias("key")
     order = fit_order(history)
-    keyed = rows.where("text IS NOT NULL").select(key.alias("key"), "batch", "text")
-    # One row per text, with its first batch: copies are never compared with each other's partners again.
-    texts = keyed.groupBy("key").agg(F.min("batch").alias("batch"), F.first("text").alias("text"))
+    mine = new.where("text IS NOT NULL").select("id", "batch", key, "text")
+    probes = mine.groupBy("key").agg(F.max("batch").alias("batch"), F.first("text").alias("text"))
+    words = probes.agg(F.coalesce(F.sum(F.length("text") / 4), F.lit(0)).alias("w")).first()["w"]  # no more triples than that, but for very short words
+    blocks = int(words // BLOCK_TRIPLES) + 1
+    if blocks <= MAX_BLOCKS:
+        near = _matched(probes, rows.where("text IS NOT NULL"), order, similarity, blocks)
+    else:
+        near = _joined(mine, rows.where("text IS NOT NULL").select(key, "batch", "text"), order, similarity)
+    by_text = mine.select("id", "batch", "key").join(near, "key").where("first_batch < batch").select("id", F.lit("near").alias("reason"))
+    return by_url.unionByName(by_hash).unionByName(by_text).distinct()
+
+
+def _joined(mine: DataFrame, rows: DataFrame, order: tuple[np.ndarray, np.ndarray], similarity: float) -> DataFrame:
+    """As ``_matched``, by a shuffle on the first triples; for new texts of any number."""
+    # One row per text, with its first batch: copies are not compared with each other's partners again.
+    texts = rows.groupBy("key").agg(F.min("batch").alias("batch"), F.first("text").alias("text"))
     signed = cut(signatures(texts, order, similarity))
-    mine = new.where("text IS NOT NULL").select("id", "batch", key.alias("key"), "text")
-    probes = cut(signatures(mine.select("key", "batch", "text").dropDuplicates(["key", "batch"]), order, similarity))
+    probes = cut(signatures(mine.groupBy("key").agg(F.max("batch").alias("batch"), F.first("text").alias("text")), order, similarity))
     found = cut(candidates(probes, signed, similarity))
-    wanted = found.select(F.col("other").alias("key")).distinct()
-    other = keyed.join(wanted, "key", "left_semi").dropDuplicates(["key"])
-    pairs = found.join(mine.select("key", F.col("text").alias("text_a")).dropDuplicates(["key"]), "key").join(other.select(F.col("key").alias("other"), F.col("text").alias("text_b")), "other").select("key", "other", "text_a", "text_b")
+    other = rows.select("key", "text").join(found.select(F.col("other").alias("key")).distinct().hint("merge"), "key", "left_semi").dropDuplicates(["key"])
+    one = mine.select("key", F.col("text").alias("text_a")).dropDuplicates(["key"])
+    pairs = found.join(one.hint("merge"), "key").join(other.select(F.col("key").alias("other"), F.col("text").alias("text_b")).hint("merge"), "other").select("key", "other", "text_a", "text_b")
     near = jaccard(pairs).where(F.col("similarity") >= similarity - 1e-12)
     first = signed.select(F.col("key").alias("other"), F.col("batch").alias("first_batch"))
-    near = near.join(first, "other").groupBy("key").agg(F.min("first_batch").alias("first_batch"))
-    by_text = mine.select("id", "batch", "key").join(near, "key").where("first_batch < batch").select("id", F.lit("near").alias("reason"))
-    return by_url.unionByName(by_hash).unionByName(by_text).distinct()
+    return near.join(first.hint("merge"), "other").groupBy("key").agg(F.min("first_batch").alias("first_batch"))
 
 
 class HistoryTable:

@@ -148,17 +148,16 @@ def factors(text: str, reference: str, min_chars: int) -> list[tuple[int, int, i
 
 def _candidates(index: DataFrame) -> DataFrame:
     """``cls_a < cls_b`` that keep a common window."""
-    members = index.distinct()
+    members = cut(index.distinct())
     keys = (
         members.groupBy("block").agg(F.count("*").alias("n"), F.sum(F.xxhash64("cls").cast("decimal(20,0)")).alias("s1"), F.bit_xor(F.xxhash64(F.lit(7), "cls")).alias("s2"))
         .where("n > 1").groupBy("n", "s1", "s2").agg(F.min("block").alias("block"))
     )
     salts = F.ceil(F.col("n") / HOT).cast("int")
-    left = members.join(keys.select("block", salts.alias("salts")), "block")
-    left = cut(left)
+    left = cut(members.join(keys.select("block", salts.alias("salts")).hint("merge"), "block"))
     one = left.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).select("block", "salt", F.col("cls").alias("cls_a"))
     two = left.select("block", F.pmod(F.hash("cls"), F.col("salts")).alias("salt"), F.col("cls").alias("cls_b"))
-    return one.join(two, ["block", "salt"]).where("cls_a < cls_b").select("cls_a", "cls_b").distinct()
+    return one.join(two.hint("merge"), ["block", "salt"]).where("cls_a < cls_b").select("cls_a", "cls_b").distinct()
 
 
 def shared_factors(docs: DataFrame, min_chars: int = MIN_CHARS) -> tuple[DataFrame, DataFrame]:
@@ -173,13 +172,13 @@ def shared_factors(docs: DataFrame, min_chars: int = MIN_CHARS) -> tuple[DataFra
     members = cut(long.select("doc_id", "cls").distinct())
     pairs = cut(_candidates(_block_index(long, min_chars)))
     wanted = pairs.select(F.col("cls_a").alias("cls")).union(pairs.select(F.col("cls_b").alias("cls"))).distinct()
-    first = members.join(wanted, "cls").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-    texts = long.select("doc_id", "cls", "text").join(first, ["doc_id", "cls"], "left_semi").dropDuplicates(["cls"]).select("cls", "text")
+    first = members.join(wanted.hint("merge"), "cls").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
+    texts = long.select("doc_id", "cls", "text").join(first.hint("merge"), ["doc_id", "cls"], "left_semi").dropDuplicates(["cls"]).select("cls", "text")
     texts = cut(texts)
     # The text of b travels once for each pair; the text of a is met where the pairs of a lie.
     both = (
-        pairs.join(texts.select(F.col("cls").alias("cls_b"), F.col("text").alias("text_b")), "cls_b")
-        .join(texts.select(F.col("cls").alias("cls_a"), F.col("text").alias("text_a")), "cls_a")
+        pairs.join(texts.select(F.col("cls").alias("cls_b"), F.col("text").alias("text_b")).hint("merge"), "cls_b")
+        .join(texts.select(F.col("cls").alias("cls_a"), F.col("text").alias("text_a")).hint("merge"), "cls_a")
         .select("cls_a", "cls_b", "text_a", "text_b")
     )
 
