@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lontar.llm import contamination, history, lines, mixing, quality, residue, spans
+from lontar.llm import blocks, contamination, history, lines, mixing, quality, residue, spans
 from lontar.llm.common import cut, site_of, table
 
 
@@ -47,6 +47,21 @@ def p3_without_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.without_repeated(_prose_news(spark, sf_dir))
 
 
+def _pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Fetches, and extracted contents that are no case of p5."""
+    extracted = table(spark, sf_dir, "extracted_content")
+    cases = cut(residue.residue(_texts(spark, sf_dir, "extracted_content")))
+    return table(spark, sf_dir, "fetch_results"), residue.without(extracted, cases, "page_id", "extracted_content")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocks.labelled_lines(*_pages(spark, sf_dir)).where("NOT main").select("page_id", "line_no")
+
+
+def p4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blocks.main_text(*_pages(spark, sf_dir))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.residue(_texts(spark, sf_dir, "news_articles", "extracted_content"))
 
