@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lontar.llm import blocks, contamination, history, lines, mixing, quality, residue, spans
+from lontar.llm import blocks, contamination, history, lines, mixing, pii, quality, residue, spans
 from lontar.llm.common import cut, site_of, table
 
 
@@ -66,6 +66,20 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return residue.residue(_texts(spark, sf_dir, "news_articles", "extracted_content"))
 
 
+def _personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaning = table(spark, sf_dir, "cleaning_results").select(F.lit("cleaning_results").alias("table_name"), F.col("doc_id").alias("record_id"), F.col("original_text").alias("text"))
+    comments = table(spark, sf_dir, "reddit_comments").select(F.lit("reddit_comments").alias("table_name"), F.col("comment_id").alias("record_id"), F.col("body").alias("text"))
+    return cleaning.unionByName(comments)
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.spans(_personal(spark, sf_dir)).select("table_name", "record_id", "pii_type", "start_pos").distinct()
+
+
+def p6_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.masked(_personal(spark, sf_dir)).select("table_name", "record_id", "masked_text")
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = lambda n: table(spark, sf_dir, n)
     return history.known_articles(t("incoming_articles"), t("news_articles"), t("deduplication_index")).select("id").distinct()
