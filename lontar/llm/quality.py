@@ -35,7 +35,7 @@ COMMON = frozenset(
     seperti hingga sampai tetapi atau hanya harus dapat bahwa sangat semua setiap banyak paling cukup makin ikut lewat selama menurut akibat sejak serta pun saja
     lagi belum pernah terakhir sebanyak padahal tampak disimpan dinilai cara pihak""".split()
 )
-_LETTERS = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
+_LETTERS = re.compile(r"[^\W\d_]+")
 _SYMBOL = re.compile(r"[^\w\s]")
 _DIGIT = re.compile(r"\d")
 _MARK = re.compile(r"^(?:[-*•·–—+>#]|\(?\d{1,3}[.):]|\(?[a-z][.)])\s+")
@@ -50,16 +50,23 @@ def _running(piece: str) -> bool:
     """Whether a piece of text is a running sentence: it ends as one, is made of letters and has the small words of a language."""
     if not _END.search(piece):
         return False
-    words = _LETTERS.findall(piece)
+    words = _LETTERS.findall(piece.lower())
     if len(words) < 4:
         return len(_CJK.findall(piece)) >= 6
     letters = sum(map(len, words))
     if letters < 0.66 * (len(piece) - piece.count(" ")) or _CODE.search(piece):
         return False
-    if len(_CJK.findall(piece)) >= 6:
+    if sum(map(COMMON.__contains__, words)) >= max(1, 0.12 * len(words)):
         return True
-    common = sum(w in COMMON for w in map(str.lower, words))
-    return common >= max(1, 0.12 * len(words))
+    return not piece.isascii() and len(_CJK.findall(piece)) >= 6
+
+
+def _all_running(line: str) -> bool:
+    """Whether a line is running sentences throughout, beyond doubt: it has far more small words than a sentence needs."""
+    if line[-1] not in ".!?":
+        return False
+    words = _LETTERS.findall(line.lower())
+    return sum(map(len, words)) > 0.75 * (len(line) - line.count(" ")) and sum(map(COMMON.__contains__, words)) >= 0.24 * len(words) > 2
 
 
 def statistics_of(text: str | None) -> tuple | None:
@@ -67,7 +74,7 @@ def statistics_of(text: str | None) -> tuple | None:
     if not text or not text.strip():
         return None
     lines = [s for s in map(str.strip, text.splitlines()) if s]
-    words = _LETTERS.findall(text)
+    words = _LETTERS.findall(text.lower())
     n, solid = len(words), max(1, len(text) - sum(map(text.count, " \n\t\r")))
     ended = short = run = run_words = total = 0
     for line in lines:
@@ -79,16 +86,19 @@ def statistics_of(text: str | None) -> tuple | None:
             ended += 1
         elif len(line) < 60:
             continue
+        if len(bare) > 100 and _all_running(bare):
+            run += len(bare)
+            run_words += bare.count(" ") + 1
+            continue
         pieces = _SENTENCE.split(bare) if len(bare) > 60 else (bare,)
         for p in pieces:
             if p and _running(p):
                 run += len(p) + 1
                 run_words += p.count(" ") + 1
     spread = sum(line.count(" ") + 1 for line in lines)
-    lower = [w.lower() for w in words]
     return (
         len(text), n, len(lines), sum(map(len, words)) / n if n else 0.0, len(_SYMBOL.findall(text)) / solid, len(_DIGIT.findall(text)) / solid, ended / len(lines),
-        sum(w in COMMON for w in lower) / n if n else 0.0, short / len(lines), min(1.0, run / total), min(1.0, run_words / spread),
+        sum(map(COMMON.__contains__, words)) / n if n else 0.0, short / len(lines), min(1.0, run / total), min(1.0, run_words / spread),
     )
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lontar.llm import blocks, contamination, history, lines, mixing, pii, quality, residue, spans
+from lontar.llm import blocks, contamination, history, lines, mixing, pii, quality, residue, spans, topics
 from lontar.llm.common import cut, site_of, table
 
 
@@ -21,6 +21,18 @@ def _texts(spark: SparkSession, sf_dir: str, *tables: str) -> DataFrame:
     return out
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _subjects(spark, sf_dir).select("id", "subject").distinct()
+
+
+def p1_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _subjects(spark, sf_dir).groupBy("subject").agg(F.countDistinct("id").alias("entries"), F.sum("share").alias("share_sum"))
+
+
+def _subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topics.subjects_of(table(spark, sf_dir, "export_entries").select("id", "text"), table(spark, sf_dir, "topic_labels"), table(spark, sf_dir, "subject_areas"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.no_prose(_texts(spark, sf_dir, "export_entries", "news_articles"))
     cases = residue.residue(_texts(spark, sf_dir, "news_articles"))

@@ -11,7 +11,9 @@ is taken, factors are grown over the boundary to the left of the place where
 the parse met them, and a factor of ``min_chars`` or more characters is a
 duplicate span. Every factor is compared character by character.
 
-Texts that are equal as a whole are one class, parsed once. Blocks that occur
+Texts that are equal as a whole are one class (told by half of their SHA-256),
+parsed once; the index knows a text by a 64-bit hash, and whatever two texts
+might share one is told apart when factors are compared. Blocks that occur
 in exactly the same classes are one key, so a passage of many blocks gives each
 pair once, and hot keys are spread by salts.
 
@@ -28,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lontar.llm.common import cut
+from lontar.llm.common import cut, sized
 
 #: Default length of a shared stretch.
 MIN_CHARS = 240
@@ -84,7 +86,7 @@ def _anchors(texts: list[str], block: int, run: int) -> tuple[np.ndarray, np.nda
 
 
 def _block_index(docs: DataFrame, min_chars: int) -> DataFrame:
-    """``cls, block``: class key of the text (half of its SHA-256) and hashes of its kept windows."""
+    """``cls, block``: 64-bit hash of the text and hashes of its kept windows."""
     import pyarrow as pa
 
     block = max(1, min_chars // 2)
@@ -93,7 +95,7 @@ def _block_index(docs: DataFrame, min_chars: int) -> DataFrame:
     def run_batches(batches: Iterator) -> Iterator:
         def emit(keys: list, texts: list[str]):
             t, v = _anchors(texts, block, run)
-            return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()).take(pa.array(t)), pa.array(v.view(np.int64))], ["cls", "block"])
+            return pa.RecordBatch.from_arrays([pa.array(np.array(keys, np.int64)[t]), pa.array(v.view(np.int64))], ["cls", "block"])
 
         for b in batches:
             keys, texts, size = [], [], 0
@@ -109,7 +111,7 @@ def _block_index(docs: DataFrame, min_chars: int) -> DataFrame:
             if keys:
                 yield emit(keys, texts)
 
-    return docs.select("cls", "text").mapInArrow(run_batches, "cls binary, block bigint")
+    return docs.select(F.xxhash64("text").alias("cls"), "text").mapInArrow(run_batches, "cls bigint, block bigint")
 
 
 def factors(text: str, reference: str, min_chars: int) -> list[tuple[int, int, int]]:
@@ -147,14 +149,14 @@ def factors(text: str, reference: str, min_chars: int) -> list[tuple[int, int, i
 
 
 def _candidates(index: DataFrame) -> DataFrame:
-    """``cls_a < cls_b`` that keep a common window."""
+    """``cls_a < cls_b`` (64-bit hashes) that keep a common window."""
     members = cut(index.distinct())
     keys = (
         members.groupBy("block").agg(F.count("*").alias("n"), F.sum(F.xxhash64("cls").cast("decimal(20,0)")).alias("s1"), F.bit_xor(F.xxhash64(F.lit(7), "cls")).alias("s2"))
         .where("n > 1").groupBy("n", "s1", "s2").agg(F.min("block").alias("block"))
     )
     salts = F.ceil(F.col("n") / HOT).cast("int")
-    left = cut(members.join(keys.select("block", salts.alias("salts")).hint("merge"), "block"))
+    left = cut(members.join(sized(cut(keys.select("block", salts.alias("salts")))), "block"))
     one = left.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).select("block", "salt", F.col("cls").alias("cls_a"))
     two = left.select("block", F.pmod(F.hash("cls"), F.col("salts")).alias("salt"), F.col("cls").alias("cls_b"))
     return one.join(two.hint("merge"), ["block", "salt"]).where("cls_a < cls_b").select("cls_a", "cls_b").distinct()
@@ -171,16 +173,13 @@ def shared_factors(docs: DataFrame, min_chars: int = MIN_CHARS) -> tuple[DataFra
     long = docs.select("doc_id", "text").where(F.length("text") >= min_chars).withColumn("cls", F.unhex(F.substring(F.sha2("text", 256), 1, 32)))
     members = cut(long.select("doc_id", "cls").distinct())
     pairs = cut(_candidates(_block_index(long, min_chars)))
-    wanted = pairs.select(F.col("cls_a").alias("cls")).union(pairs.select(F.col("cls_b").alias("cls"))).distinct()
-    first = members.join(wanted.hint("merge"), "cls").groupBy("cls").agg(F.min("doc_id").alias("doc_id"))
-    texts = long.select("doc_id", "cls", "text").join(first.hint("merge"), ["doc_id", "cls"], "left_semi").dropDuplicates(["cls"]).select("cls", "text")
-    texts = cut(texts)
+    wanted = cut(pairs.select(F.col("cls_a").alias("h")).union(pairs.select(F.col("cls_b").alias("h"))).distinct())
+    # One text per class; all others stay where they are if the wanted ones are few enough to be told to every executor.
+    texts = cut(long.select(F.xxhash64("text").alias("h"), "cls", "text").join(sized(wanted), "h", "left_semi").dropDuplicates(["cls"]))
+    one = lambda x: texts.select(F.col("h").alias(f"h_{x}"), F.col("cls").alias(f"cls_{x}"), F.col("text").alias(f"text_{x}"))
     # The text of b travels once for each pair; the text of a is met where the pairs of a lie.
-    both = (
-        pairs.join(texts.select(F.col("cls").alias("cls_b"), F.col("text").alias("text_b")).hint("merge"), "cls_b")
-        .join(texts.select(F.col("cls").alias("cls_a"), F.col("text").alias("text_a")).hint("merge"), "cls_a")
-        .select("cls_a", "cls_b", "text_a", "text_b")
-    )
+    found = pairs.toDF("h_a", "h_b").join(one("b").hint("merge"), "h_b").join(one("a").hint("merge"), "h_a")
+    both = found.select("cls_a", "cls_b", "text_a", "text_b")
 
     def run(batches: Iterator) -> Iterator:
         for batch in batches:
