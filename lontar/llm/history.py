@@ -54,11 +54,6 @@ PAIRS = 4_000_000
 REMEMBERED = 500_000
 
 
-#: White space runs, Unicode's included, but for single plain spaces: much faster than the Unicode class of the regex engine.
-_SPACES = r"\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-WHITE = f"[ {_SPACES}]{{2,}}|[{_SPACES}]"
-
-
 def normal_url(url: Column) -> Column:
     """Address apart from scheme, ``www.``, case of the host, trailing slash, fragment and tracking parameters; null if empty."""
     u = F.regexp_replace(F.regexp_replace(F.trim(url), r"#.*$", ""), r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
@@ -71,7 +66,7 @@ def normal_url(url: Column) -> Column:
 
 def exact_hash(text: Column) -> Column:
     """SHA-256 of the text in lower case, white space runs made one space, all but word characters and spaces dropped, stripped; null if nothing is left."""
-    t = F.trim(F.regexp_replace(F.regexp_replace(F.lower(text), WHITE, " "), r"[^\p{L}\p{N}_ ]+", ""))
+    t = F.trim(F.regexp_replace(F.regexp_replace(F.lower(text), r"(?U)\s+", " "), r"[^\p{L}\p{N}_ ]", ""))
     return F.when(t != "", F.sha2(t, 256))
 
 
