@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
+def _micros(column: str) -> Column:
+    """Microseconds of a timestamp with or without a zone."""
+    return F.unix_micros(F.col(column).cast("timestamp"))
+
+
 def eligible(status: Column, next_attempt: Column, now: Column) -> Column:
     return (status == "pending") & (next_attempt.isNull() | (next_attempt <= now))
 
@@ -19,7 +24,7 @@ def next_per_domain(df: DataFrame, domain: str, order: list[Column], n: int) ->
 
 def within_window(df: DataFrame, key: str, at: str, seconds: int = 60) -> DataFrame:
     """``df`` with ``in_window``: rows of the key in the last ``seconds``, both ends and itself included."""
-    t = F.unix_micros(at)
+    t = _micros(at)
     w = Window.partitionBy(key).orderBy("_t").rangeBetween(-seconds * 1_000_000, 0)
     return df.withColumn("_t", t).withColumn("in_window", F.count(F.lit(1)).over(w)).drop("_t")
 
@@ -27,13 +32,13 @@ def within_window(df: DataFrame, key: str, at: str, seconds: int = 60) -> DataFr
 def since_previous(df: DataFrame, key: str, at: str, tie: str) -> DataFrame:
     """``df`` with ``gap_seconds`` since the key's row before."""
     w = Window.partitionBy(key).orderBy(at, tie)
-    return df.withColumn("gap_seconds", (F.unix_micros(at) - F.lag(F.unix_micros(at)).over(w)) / 1e6)
+    return df.withColumn("gap_seconds", (_micros(at) - F.lag(_micros(at)).over(w)) / 1e6)
 
 
 def after_failure(df: DataFrame, attempts: str, at: str, most: int = 3, wait: int = 3600) -> DataFrame:
     """State after a failed attempt: tried again after ``wait`` seconds, or ``failed`` after ``most`` attempts."""
     tried = F.col(attempts) + 1
-    return df.withColumns({attempts: tried, "status": F.when(tried >= most, "failed").otherwise("pending"), "next_attempt": F.when(tried < most, F.timestamp_micros(F.unix_micros(at) + wait * 1_000_000))})
+    return df.withColumns({attempts: tried, "status": F.when(tried >= most, "failed").otherwise("pending"), "next_attempt": F.when(tried < most, F.timestamp_micros(_micros(at) + wait * 1_000_000))})
 
 
 def expired(created: Column, now: Column, days: int = 30) -> Column:

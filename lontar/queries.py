@@ -1,19 +1,605 @@
-"""Queries of the engine's own operators."""
+"""Queries of the engine's own operators over whole tables, each with its DuckDB counterpart where SQL can say it."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
+from lontar.functions import ids, pii, text, urls
+from lontar.functions.text import NO_LETTER_NO_SPACE, SPACE
+from lontar.functions.unicode import nfkc
+from lontar.operators import classify, dedup, frontier, html, quality, stats, threads
+from lontar.plans import corpus
+from lontar.sources import jsonl
 
-def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/news_articles.parquet").select("id", "text")
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+NOW = "2024-12-01 00:00:00"
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def _q(pattern: str) -> str:
+    """A pattern as an SQL literal."""
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _rep(expr: str, *steps: tuple[str, str]) -> str:
+    for pattern, by in steps:
+        expr = f"regexp_replace({expr}, {_q(pattern)}, {_q(by)}, 'g')"
+    return expr
+
+
+def _strip(expr: str) -> str:
+    return _rep(expr, (rf"^{SPACE}+|{SPACE}+$", ""))
+
+
+def _squeeze(expr: str) -> str:
+    return f"trim({_rep(expr, (SPACE + '+', ' '))}, ' ')"
+
+
+def _count(expr: str, pattern: str) -> str:
+    return f"len(regexp_extract_all({expr}, {_q(pattern)}))"
+
+
+# --- sources and projections ---------------------------------------------------------------------------------------
+
+_ARTICLE = StructType([StructField(c, StringType()) for c in ("id", "language", "source_url", "title", "text", "clean_status", "category")])
+
+
+@query("SELECT id, language, source_url, title, text, clean_status, category FROM news_articles WHERE id NOT LIKE '0%'")
+def scan_json_lines(spark, d):
+    """Lines of JSON, those of ids with a leading 0 cut off in the middle: the broken ones are left out."""
+    news = _t(spark, d, "news_articles").select(*(f.name for f in _ARTICLE.fields))
+    lines = news.select("id", F.to_json(F.struct(*news.columns)).alias("line"))
+    cut = F.when(F.col("id").startswith("0"), F.substring("line", F.lit(1), F.length("line") - 20)).otherwise(F.col("line"))
+    return jsonl.parse_lines(lines.select(cut.alias("line")), "line", _ARTICLE)
+
+
+@query("SELECT page_id, unnest(regexp_extract_all(content, '<a\\s[^>]*href=\"([^\"]*)\"', 1)) AS link FROM fetch_results WHERE success")
+def scan_links(spark, d):
+    return _t(spark, d, "fetch_results").where("success").select("page_id", F.explode(urls.links(F.col("content"))).alias("link"))
+
+
+@query("SELECT page_id, unnest(regexp_extract_all(url, '-(\\d+)$', 1)) AS number FROM fetch_results")
+def scan_page_numbers(spark, d):
+    return _t(spark, d, "fetch_results").select("page_id", F.explode(F.regexp_extract_all("url", F.lit(r"-(\d+)$"), 1)).alias("number"))
+
+
+@query("SELECT page_id, CASE WHEN link LIKE '/%' THEN regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || link ELSE link END AS link FROM (SELECT page_id, url, unnest(regexp_extract_all(content, '<a\\s[^>]*href=\"(/[^\"/][^\"]*|https?://[^\"]*)\"', 1)) AS link FROM fetch_results WHERE success)")
+def scan_resolved_links(spark, d):
+    pages = _t(spark, d, "fetch_results").where("success").select("page_id", "url", F.explode(urls.links(F.col("content"))).alias("link"))
+    return pages.select("page_id", urls.resolved(F.col("url"), F.col("link")).alias("link")).where(urls.valid(F.col("link")))
+
+
+@query("SELECT comment_id, author, body, score FROM reddit_comments")
+def scan_listing(spark, d):
+    """Comments wrapped as listing JSON, a listing per row, and read again."""
+    c = _t(spark, d, "reddit_comments")
+    wrapped = c.select("comment_id", F.to_json(F.struct(F.struct(F.array(F.struct(F.lit("t1").alias("kind"), F.struct("comment_id", "author", "body", "score").alias("data"))).alias("children")).alias("data"))).alias("j"))
+    parsed = wrapped.select(F.explode(F.from_json("j", "data struct<children:array<struct<kind:string,data:struct<comment_id:string,author:string,body:string,score:int>>>>")["data"]["children"]).alias("x"))
+    return parsed.where("x.kind = 't1'").select("x.data.*")
+
+
+@query("SELECT id, language, source_url, title, text, category FROM news_articles")
+def proj_drop_fields(spark, d):
+    return _t(spark, d, "news_articles").drop("clean_status", "site", "scraped_at")
+
+
+@query("SELECT * FROM (SELECT id, coalesce(language, 'id') AS language, source_url, title, text, coalesce(clean_status, 'clean') AS clean_status, coalesce(category, 'news') AS category FROM news_articles) WHERE id <> '' AND language <> '' AND source_url <> '' AND title <> '' AND text <> '' AND clean_status <> '' AND category <> ''")
+def proj_seven_fields(spark, d):
+    n = _t(spark, d, "news_articles").select("id", F.coalesce("language", F.lit("id")).alias("language"), "source_url", "title", "text", F.coalesce("clean_status", F.lit("clean")).alias("clean_status"), F.coalesce("category", F.lit("news")).alias("category"))
+    return n.where(quality.filled(*(F.col(c) for c in n.columns)))
+
+
+@query("SELECT id, title, text, 'clean' AS clean_status FROM news_articles")
+def proj_constant(spark, d):
+    return _t(spark, d, "news_articles").select("id", "title", "text", F.lit("clean").alias("clean_status"))
+
+
+@query("SELECT page_id, CASE WHEN title IS NOT NULL AND title <> '' AND length(title || chr(10) || content) >= 200 THEN title || chr(10) || content ELSE content END AS text FROM extracted_content WHERE content IS NOT NULL")
+def proj_export_text(spark, d):
+    e = _t(spark, d, "extracted_content").where("content IS NOT NULL")
+    return e.select("page_id", corpus.export_text(F.col("title"), F.col("content")).alias("text"))
+
+
+@query("SELECT doc_id, length(original_text)::BIGINT AS original_length, coalesce(length(cleaned_text), 0)::BIGINT AS cleaned_length, (length(original_text) - coalesce(length(cleaned_text), 0))::BIGINT AS removed, coalesce(len(pii_found), 0)::BIGINT AS pii_kinds, coalesce(emojis_removed, 0)::BIGINT AS emojis_removed, coalesce(list_sum(map_values(formatting_changes)), 0)::BIGINT AS changes FROM cleaning_results")
+def proj_clean_stats(spark, d):
+    c = _t(spark, d, "cleaning_results")
+    size = F.when(F.col("pii_found").isNotNull(), F.size("pii_found"))
+    return c.select(
+        "doc_id", F.length("original_text").cast("long").alias("original_length"), F.coalesce(F.length("cleaned_text"), F.lit(0)).cast("long").alias("cleaned_length"), (F.length("original_text") - F.coalesce(F.length("cleaned_text"), F.lit(0))).cast("long").alias("removed"),
+        F.coalesce(size, F.lit(0)).cast("long").alias("pii_kinds"), F.coalesce("emojis_removed", F.lit(0)).cast("long").alias("emojis_removed"), F.aggregate(F.coalesce(F.map_values("formatting_changes"), F.array().cast("array<int>")), F.lit(0).cast("long"), lambda a, x: a + F.coalesce(x, F.lit(0))).alias("changes"),
+    )
+
+
+@query("SELECT doc_id, topic, CASE topic " + " ".join(f"WHEN '{t[0]}' THEN '{t[1]}'" for t in classify.TOPICS) + " ELSE topic END AS subdomain FROM classification_results")
+def proj_subdomain(spark, d):
+    return _t(spark, d, "classification_results").select("doc_id", "topic", classify.subdomain(F.col("topic")).alias("subdomain"))
+
+
+@query("SELECT comment_id, subreddit || ' > ' || replace(body, chr(10), ' <newline> ') AS line FROM reddit_comments WHERE body IS NOT NULL")
+def proj_comment_lines(spark, d):
+    return _t(spark, d, "reddit_comments").where("body IS NOT NULL").select("comment_id", F.concat("subreddit", F.lit(" > "), F.replace("body", F.lit("\n"), F.lit(" <newline> "))).alias("line"))
+
+
+# --- filters -------------------------------------------------------------------------------------------------------
+
+_STATUS_SQL = "CASE WHEN length(coalesce(text, '')) < 100 THEN 'short_content' WHEN length(coalesce(title, '')) < 10 THEN 'poor_title' WHEN contains(lower(text), 'click here') OR contains(lower(text), 'subscribe now') OR contains(lower(text), 'advertisement') THEN 'contains_spam' ELSE 'clean' END"
+
+
+@query(f"SELECT id, {_STATUS_SQL} AS status FROM news_articles")
+def filt_clean_status(spark, d):
+    return _t(spark, d, "news_articles").select("id", quality.clean_status(F.col("title"), F.col("text")).alias("status"))
+
+
+@query("SELECT count(*) FILTER (WHERE clean_status = 'clean') AS kept, count(*) FILTER (WHERE clean_status IS DISTINCT FROM 'clean') AS removed FROM news_articles")
+def filt_clean_counts(spark, d):
+    kept = F.col("clean_status").eqNullSafe("clean")
+    return _t(spark, d, "news_articles").agg(F.count_if(kept).alias("kept"), F.count_if(~kept).alias("removed"))
+
+
+@query("SELECT id, (id <> '' AND language = 'id' AND source_url <> '' AND title <> '' AND text <> '' AND clean_status <> '' AND category <> '') IS TRUE AS valid FROM news_articles")
+def filt_valid_articles(spark, d):
+    n = _t(spark, d, "news_articles")
+    return n.select("id", F.coalesce(quality.filled(*(F.col(c) for c in ("id", "source_url", "title", "text", "clean_status", "category"))) & (F.col("language") == "id"), F.lit(False)).alias("valid"))
+
+
+@query("SELECT id, unnest(list_filter([CASE WHEN coalesce(id, '') = '' THEN 'missing_id' END, CASE WHEN coalesce(text, '') = '' THEN 'missing_text' END, CASE WHEN coalesce(meta.lang, '') = '' THEN 'missing_lang' END, CASE WHEN coalesce(meta.url, '') = '' THEN 'missing_url' END, CASE WHEN coalesce(content_info.subdomain, '') = '' THEN 'missing_subdomain' END, CASE WHEN length(coalesce(text, '')) < 200 THEN 'text_too_short' END], lambda x: x IS NOT NULL)) AS error FROM export_entries")
+def filt_entry_errors(spark, d):
+    e = _t(spark, d, "export_entries")
+    return e.select("id", F.explode(quality.entry_errors({"id": F.col("id"), "text": F.col("text"), "lang": F.col("meta.lang"), "url": F.col("meta.url"), "subdomain": F.col("content_info.subdomain")})).alias("error"))
+
+
+@query("SELECT id, (contains(source_url, '.test') AND (contains(source_url, '/berita/') OR contains(source_url, '/read/') OR contains(source_url, '/news/')) AND regexp_matches(source_url, '-[0-9a-f]+$')) IS TRUE AS article FROM news_articles")
+def filt_article_urls(spark, d):
+    return _t(spark, d, "news_articles").select("id", urls.article(F.col("source_url"), ".test", ("/berita/", "/read/", "/news/"), "-[0-9a-f]+$").alias("article"))
+
+
+@query("SELECT page_id FROM fetch_results WHERE starts_with(content_type, 'text/html') OR starts_with(content_type, 'application/xhtml') OR starts_with(content_type, 'text/plain') OR starts_with(content_type, 'application/xml') OR starts_with(content_type, 'text/xml')")
+def filt_content_types(spark, d):
+    c = F.col("content_type")
+    return _t(spark, d, "fetch_results").where(c.startswith("text/html") | c.startswith("application/xhtml") | c.startswith("text/plain") | c.startswith("application/xml") | c.startswith("text/xml")).select("page_id")
+
+
+@query(f"SELECT id, regexp_matches(lower(coalesce(title, '') || ' ' || text), {_q(chr(92) + 'b(?:' + '|'.join(classify.EXCLUDED) + ')' + chr(92) + 'b')}) AS excluded FROM news_articles")
+def filt_excluded(spark, d):
+    return _t(spark, d, "news_articles").select("id", classify.excluded(F.col("title"), F.col("text")).alias("excluded"))
+
+
+_PROMO_SQL = " + ".join(_count("lower(text)", rf"\b(?:{p})\b") for p in classify.PROMOTION)
+_PIECES = r"[^\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+@query(f"SELECT id, length({_strip('text')}) < 100 OR ({_count('text', _PIECES)} > 0 AND ({_PROMO_SQL}) / {_count('text', _PIECES)} > 0.1) OR (upper(text) = text AND lower(text) <> text AND length(text) > 50) OR (len(string_split(text, '.')) > 3 AND len(list_distinct(list_transform(string_split(text, '.'), lambda s: lower({_strip('s')})))) / len(string_split(text, '.')) < 0.7) AS low_quality FROM news_articles")
+def filt_low_quality(spark, d):
+    return _t(spark, d, "news_articles").select("id", classify.low_quality(F.col("text")).alias("low_quality"))
+
+
+@query()
+def filt_garbled(spark, d):
+    return _t(spark, d, "export_entries").select("id", quality.garbled(F.col("text")).alias("garbled"))
+
+
+@query("SELECT doc_id, length(text) < 200 AS too_short FROM documents")
+def filt_too_short(spark, d):
+    return _t(spark, d, "documents").select("doc_id", F.array_contains(quality.issues(F.col("text")), "too_short").alias("too_short"))
+
+
+@query(f"SELECT id, doc_id FROM deduplication_index WHERE created_at < TIMESTAMPTZ '{NOW}+00' - INTERVAL 30 DAY")
+def filt_expired(spark, d):
+    return _t(spark, d, "deduplication_index").where(frontier.expired(F.col("created_at"), F.lit(NOW).cast("timestamp"))).select("id", "doc_id")
+
+
+@query(f"SELECT id FROM news_articles WHERE length({_strip('title')}) > 10 AND length({_strip('text')}) > 100 AND {_strip('source_url')} <> ''")
+def filt_report_guards(spark, d):
+    return _t(spark, d, "news_articles").where((F.length(text.strip(F.col("title"))) > 10) & (F.length(text.strip(F.col("text"))) > 100) & (text.strip(F.col("source_url")) != "")).select("id")
+
+
+# --- joins ---------------------------------------------------------------------------------------------------------
+
+
+@query("SELECT batch_no, id, source_url FROM incoming_articles i WHERE source_url IS NOT NULL AND NOT EXISTS (SELECT 1 FROM news_articles n WHERE n.source_url = i.source_url)")
+def join_unseen(spark, d):
+    new, old = _t(spark, d, "incoming_articles").where("source_url IS NOT NULL"), _t(spark, d, "news_articles")
+    return new.withColumn("h", urls.url_hash(F.col("source_url"))).join(old.select(urls.url_hash(F.col("source_url")).alias("h")).where("h IS NOT NULL").distinct(), "h", "left_anti").select("batch_no", "id", "source_url")
+
+
+_HASH_SQL = f"sha256({_strip(_rep('lower(text)', (SPACE + '+', ' '), (NO_LETTER_NO_SPACE, '')))})"
+
+
+@query(f"SELECT i.id FROM (SELECT id, {_HASH_SQL} AS h FROM incoming_articles WHERE text IS NOT NULL) i WHERE h IN (SELECT exact_hash FROM deduplication_index)")
+def join_known_hash(spark, d):
+    return dedup.known(_t(spark, d, "incoming_articles").where("text IS NOT NULL"), _t(spark, d, "deduplication_index"), ids.content_hash(F.col("text")), "exact_hash").select("id")
+
+
+@query("WITH v AS (SELECT simhash, count(*) AS members, ('0x' || simhash)::UBIGINT AS n FROM deduplication_index WHERE simhash IS NOT NULL GROUP BY simhash) SELECT a.simhash, a.members, (SELECT count(*) FROM v b WHERE b.n <> a.n AND bit_count(xor(a.n, b.n)) <= 3) AS links FROM v a")
+def join_hamming(spark, d):
+    """Every signature with its rows and the number of other signatures within 3 bits."""
+    s = _t(spark, d, "deduplication_index").select(ids.simhash_number(F.col("simhash")).alias("signature"))
+    counts = dedup.link_counts(dedup.hamming_links(s), s)
+    return counts.select(F.lower(F.lpad(F.hex("signature"), 16, "0")).alias("simhash"), "members", "links")
+
+
+@query("SELECT q.vec_id AS query, v.vec_id AS neighbour, round(list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 6) AS cosine, row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 9) DESC, v.vec_id) AS place FROM embeddings q JOIN embeddings v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0 QUALIFY place <= 10")
+def join_nearest(spark, d):
+    v = _t(spark, d, "embeddings")
+    return dedup.nearest(v.where("vec_id % 50 = 0"), v, "vec_id", "embedding", 10).select("query", "neighbour", F.round("cosine", 6).alias("cosine"), F.col("place").cast("long").alias("place"))
+
+
+@query("SELECT e.id, e.text, c.topic, c.confidence FROM export_entries e LEFT JOIN classification_results c ON c.doc_id = e.id")
+def join_classified(spark, d):
+    c = _t(spark, d, "classification_results").select("doc_id", "topic", "confidence")
+    return _t(spark, d, "export_entries").join(c, F.col("id") == F.col("doc_id"), "left").select("id", "text", "topic", "confidence")
+
+
+@query("WITH k(keyword, topic) AS (VALUES " + ", ".join(f"('{w}', '{t[0]}')" for t in classify.TOPICS for w in t[3]) + "), u AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z]+'))) AS keyword FROM documents) SELECT k.topic, count(*) AS documents FROM u JOIN k USING (keyword) GROUP BY k.topic")
+def join_keywords(spark, d):
+    k = F.broadcast(classify.keyword_index(spark))  # a fixed table
+    return _t(spark, d, "documents").select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit("([a-z]+)"), 1))).alias("keyword")).join(k, "keyword").groupBy("topic").agg(F.count("*").alias("documents"))
+
+
+@query("SELECT n.n_name, year(o.o_orderdate)::BIGINT AS year, round(sum(l.l_extendedprice * (1 - l.l_discount)), 2) AS revenue FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY ALL")
+def join_star(spark, d):
+    t = lambda n: _t(spark, d, n)
+    j = t("lineitem").join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(t("customer"), F.col("o_custkey") == F.col("c_custkey")).join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return j.groupBy("n_name", F.year("o_orderdate").cast("long").alias("year")).agg(F.round(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))), 2).alias("revenue"))
+
+
+# --- aggregates ----------------------------------------------------------------------------------------------------
+
+
+@query("WITH f AS (SELECT coalesce(nullif(clean_status, ''), 'unknown') AS clean_status, coalesce(nullif(language, ''), 'unknown') AS language, coalesce(nullif(category, ''), 'unknown') AS category, length(coalesce(text, '')) AS t, length(coalesce(title, '')) AS h FROM news_articles), p AS (SELECT NULL AS field, NULL AS value, t, h FROM f UNION ALL SELECT 'clean_status', clean_status, t, h FROM f UNION ALL SELECT 'language', language, t, h FROM f UNION ALL SELECT 'category', category, t, h FROM f) SELECT field, value, count(*) AS records, sum(t)::BIGINT AS text_chars, sum(h)::BIGINT AS title_chars, (sum(t) // count(*))::BIGINT AS mean_text, (sum(h) // count(*))::BIGINT AS mean_title FROM p GROUP BY ALL")
+def agg_histograms(spark, d):
+    return stats.histograms(_t(spark, d, "news_articles"), ["clean_status", "language", "category"], "text", "title")
+
+
+@query("SELECT md5(text) AS signature, count(*) AS members, min(id) AS first_member FROM news_articles WHERE text IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
+def agg_duplicate_groups(spark, d):
+    return dedup.duplicate_groups(_t(spark, d, "news_articles"), F.md5("text"), "id")
+
+
+@query("WITH g AS (SELECT count(*) AS members FROM news_articles WHERE text IS NOT NULL GROUP BY text HAVING count(*) > 1), t AS (SELECT count(*) AS records FROM news_articles) SELECT (SELECT count(*) FROM g) AS groups, (SELECT coalesce(sum(members), 0) FROM g)::BIGINT AS members, records, (records - ((SELECT coalesce(sum(members), 0) FROM g) - (SELECT count(*) FROM g)))::BIGINT AS unique_records, round(100.0::DOUBLE * (SELECT coalesce(sum(members), 0) FROM g) / records, 6) AS duplicate_rate FROM t")
+def agg_duplicate_summary(spark, d):
+    n = _t(spark, d, "news_articles")
+    return stats.duplicate_summary(dedup.duplicate_groups(n, F.md5("text"), "id"), n.agg(F.count("*").alias("records")))
+
+
+@query(f"SELECT id, title FROM news_articles QUALIFY row_number() OVER (PARTITION BY {_strip('coalesce(title, ' + chr(39) * 2 + ')')}, {_strip('coalesce(text, ' + chr(39) * 2 + ')')}, {_strip('coalesce(source_url, ' + chr(39) * 2 + ')')} ORDER BY id) = 1")
+def agg_keep_first(spark, d):
+    n = _t(spark, d, "news_articles").select("id", "title", "text", "source_url")
+    return dedup.keep_first(n, [ids.article_signature(F.col("title"), F.col("text"), F.col("source_url"))], [F.col("id")]).select("id", "title")
+
+
+@query("SELECT strftime(fetched_at AT TIME ZONE 'UTC', '%Y-%m-%d') AS day, regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^www\\.', '') AS domain, count(*) AS pages, count(*) FILTER (WHERE success) AS successes, coalesce(sum(content_length), 0)::BIGINT AS bytes, round(sum(coalesce(response_time, 0)), 4) AS seconds FROM fetch_results WHERE url IS NOT NULL GROUP BY ALL")
+def agg_crawl_days(spark, d):
+    f = _t(spark, d, "fetch_results").where("url IS NOT NULL")
+    return f.groupBy(F.date_format("fetched_at", "yyyy-MM-dd").alias("day"), urls.domain(F.col("url")).alias("domain")).agg(F.count("*").alias("pages"), F.count_if("success").alias("successes"), F.coalesce(F.sum(F.col("content_length").cast("long")), F.lit(0)).alias("bytes"), F.round(F.sum(F.coalesce("response_time", F.lit(0.0))), 4).alias("seconds"))
+
+
+@query("SELECT count(*) AS requests, coalesce(sum(content_length), 0)::BIGINT AS bytes, round(count(*) FILTER (WHERE success) / count(*), 6) AS success_rate, round(avg(response_time), 6) AS mean_time FROM fetch_results")
+def agg_fetch_totals(spark, d):
+    return _t(spark, d, "fetch_results").agg(F.count("*").alias("requests"), F.coalesce(F.sum(F.col("content_length").cast("long")), F.lit(0)).alias("bytes"), F.round(stats.ratio(F.count_if("success"), F.count("*")), 6).alias("success_rate"), F.round(F.avg("response_time"), 6).alias("mean_time"))
+
+
+@query("SELECT rejection_reason, count(*) AS entries FROM classification_results WHERE NOT is_allowed GROUP BY rejection_reason")
+def agg_rejections(spark, d):
+    return _t(spark, d, "classification_results").where("NOT is_allowed").groupBy("rejection_reason").agg(F.count("*").alias("entries"))
+
+
+@query("SELECT count(*) AS checked, count(*) FILTER (WHERE is_allowed) AS allowed, round(count(*) FILTER (WHERE is_allowed) / count(*), 6) AS acceptance FROM classification_results")
+def agg_acceptance(spark, d):
+    return _t(spark, d, "classification_results").agg(F.count("*").alias("checked"), F.count_if("is_allowed").alias("allowed"), F.round(stats.ratio(F.count_if("is_allowed"), F.count("*")), 6).alias("acceptance"))
+
+
+@query("SELECT coalesce(status_code, 0)::BIGINT AS status_code, success, count(*) AS pages FROM fetch_results GROUP BY ALL")
+def agg_by_status(spark, d):
+    return _t(spark, d, "fetch_results").groupBy(F.coalesce("status_code", F.lit(0)).cast("long").alias("status_code"), "success").agg(F.count("*").alias("pages"))
+
+
+_TOKENS = f"regexp_extract_all(lower(content), {_q(text.LETTER + '+')})"
+
+
+@query(f"SELECT page_id, {_count('content', text.LETTER + '+')}::BIGINT AS words, len(list_distinct({_TOKENS}))::BIGINT AS different, {_count('content', '[.!?]+' + SPACE + '+[A-Z]')}::BIGINT AS sentences, greatest(1, {_count('content', text.LETTER + '+')} // 200)::BIGINT AS minutes FROM extracted_content WHERE content IS NOT NULL")
+def agg_text_figures(spark, d):
+    e = _t(spark, d, "extracted_content").where("content IS NOT NULL")
+    tokens = F.regexp_extract_all(F.lower("content"), F.lit(f"({text.LETTER}+)"), 1)
+    return e.select("page_id", text.words(F.col("content")).alias("words"), F.size(F.array_distinct(tokens)).cast("long").alias("different"), text.sentence_ends(F.col("content")).alias("sentences"), quality.reading_minutes(F.col("content")).alias("minutes"))
+
+
+@query("SELECT thread_url, coalesce(string_agg(body, chr(10) || chr(10) ORDER BY comment_id) FILTER (WHERE body <> ''), '') AS replies_body FROM (SELECT DISTINCT thread_url, comment_id, body FROM reddit_comments) GROUP BY thread_url")
+def agg_replies(spark, d):
+    c = _t(spark, d, "reddit_comments").select("thread_url", "comment_id", "body").distinct()
+    return threads.joined_replies(c, "thread_url", "body", ["comment_id"])
+
+
+# --- windows, sorting, sets ----------------------------------------------------------------------------------------
+
+
+@query("SELECT site, id, place FROM (SELECT regexp_replace(lower(regexp_extract(source_url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^www\\.', '') AS site, id, row_number() OVER (PARTITION BY site ORDER BY scraped_at DESC NULLS LAST, id) AS place FROM (SELECT DISTINCT source_url, id, scraped_at FROM news_articles WHERE source_url LIKE 'http%')) WHERE place <= 5")
+def win_next_per_site(spark, d):
+    n = _t(spark, d, "news_articles").select("source_url", "id", "scraped_at").where("source_url LIKE 'http%'").distinct().withColumn("site", urls.domain(F.col("source_url")))
+    return frontier.next_per_domain(n, "site", [F.col("scraped_at").desc_nulls_last(), F.col("id")], 5).select("site", "id", F.col("place").cast("long").alias("place"))
+
+
+@query("SELECT event_id, count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 60 SECOND PRECEDING AND CURRENT ROW) AS in_window FROM events")
+def win_rate(spark, d):
+    return frontier.within_window(_t(spark, d, "events"), "user_id", "ts").select("event_id", "in_window")
+
+
+@query("SELECT event_id, round((epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id)) / 1e6, 6) AS gap_seconds FROM events")
+def win_gap(spark, d):
+    return frontier.since_previous(_t(spark, d, "events"), "user_id", "ts", "event_id").select("event_id", F.round("gap_seconds", 6).alias("gap_seconds"))
+
+
+@query("SELECT event_id, count(*) OVER (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN 100 PRECEDING AND 1 PRECEDING) AS candidates FROM events")
+def win_newest_candidates(spark, d):
+    return dedup.newest_candidates(_t(spark, d, "events"), "event_id", F.col("event_type")).select("event_id", "candidates")
+
+
+@query("WITH e AS (SELECT user_id, event_id, (value < 50)::INT AS e FROM events), i AS (SELECT *, sum(1 - e) OVER (PARTITION BY user_id ORDER BY event_id) AS island FROM e), r AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id, island ORDER BY event_id) AS k FROM i WHERE e = 1) SELECT user_id, min(event_id) AS stop_at FROM r WHERE k = 5 GROUP BY user_id")
+def win_streak(spark, d):
+    return frontier.first_streak(_t(spark, d, "events").where("value IS NOT NULL"), "user_id", "event_id", F.col("value") < 50)
+
+
+@query("SELECT doc_id, ((row_number() OVER (ORDER BY doc_id) - 1) // 1000)::BIGINT AS shard FROM documents")
+def win_shards(spark, d):
+    return stats.shards(_t(spark, d, "documents").select("doc_id"), [F.col("doc_id")], 1000)
+
+
+@query("SELECT text, count(*) AS members, min(id) AS first_member FROM news_articles WHERE text IS NOT NULL GROUP BY text HAVING count(*) > 1 ORDER BY members DESC, first_member LIMIT 5")
+def sort_largest_groups(spark, d):
+    n = _t(spark, d, "news_articles").where("text IS NOT NULL").groupBy("text").agg(F.count("*").alias("members"), F.min("id").alias("first_member"))
+    return n.where("members > 1").orderBy(F.desc("members"), "first_member").limit(5)
+
+
+@query("SELECT id, source_url FROM news_articles UNION ALL SELECT id, source_url FROM incoming_articles")
+def set_union(spark, d):
+    return _t(spark, d, "news_articles").select("id", "source_url").unionByName(_t(spark, d, "incoming_articles").select("id", "source_url"))
+
+
+@query("SELECT source_url FROM incoming_articles EXCEPT SELECT source_url FROM news_articles")
+def set_new_urls(spark, d):
+    return _t(spark, d, "incoming_articles").select("source_url").subtract(_t(spark, d, "news_articles").select("source_url"))
+
+
+@query("SELECT source_url, min(id) AS first_id FROM (SELECT id, source_url FROM news_articles UNION ALL SELECT id, source_url FROM incoming_articles) WHERE source_url <> '' GROUP BY source_url")
+def set_distinct_urls(spark, d):
+    return set_union(spark, d).where("source_url <> ''").groupBy("source_url").agg(F.min("id").alias("first_id"))
+
+
+# --- text ----------------------------------------------------------------------------------------------------------
+
+
+@query(f"SELECT comment_id, coalesce({_squeeze(_rep('body', (text.USER_V1, ''), (text.URL_HTTP, ''), (text.URL_WWW, ''), (text.MAIL_V1, ''), (text.PHONE_V1, ''), (text.ODD_V1, ' ')))}, '') AS cleaned FROM reddit_comments")
+def text_thread_v1(spark, d):
+    return _t(spark, d, "reddit_comments").select("comment_id", text.thread_text_v1(F.col("body")).alias("cleaned"))
+
+
+@query()
+def text_thread_v2(spark, d):
+    return _t(spark, d, "reddit_comments").select("comment_id", text.thread_text_v2(F.col("body")).alias("cleaned"))
+
+
+@query(f"SELECT id, coalesce({_rep(_squeeze('text'), ('[' + chr(92) + 'x00-' + chr(92) + 'x08' + chr(92) + 'x0b-' + chr(92) + 'x1f]', ''))}, '') AS cleaned FROM news_articles")
+def text_news(spark, d):
+    return _t(spark, d, "news_articles").select("id", text.news_text(F.col("text")).alias("cleaned"))
+
+
+def _residue_sql() -> str:
+    e = "text"
+    for x in text.NEWS_LITERALS:
+        e = f"replace({e}, '{x}', '')"
+    e = _rep(_squeeze(e), ("^ *- *", ""), *((f" *{c} *", "") for c in text.NEWS_CODES))
+    return f"SELECT id, {_strip('CASE WHEN trim(tail) <> ' + chr(39) * 2 + ' AND len(regexp_split_to_array(trim(tail), ' + chr(39) + ' +' + chr(39) + ')) <= 5 THEN substring(c, 1, length(c) - length(tail)) ELSE c END')} AS cleaned FROM (SELECT id, c, regexp_extract(c, ' +[a-z ]+$') AS tail FROM (SELECT id, {e} AS c FROM news_articles))"
+
+
+@query(_residue_sql())
+def text_news_residue(spark, d):
+    return _t(spark, d, "news_articles").select("id", text.news_without_residue(F.col("text")).alias("cleaned"))
+
+
+@query("SELECT page_id, " + _strip(_rep("content", *(("(?i)" + p, "") for p in text.PAGE_PHRASES), (SPACE + "+", " "), (r"([.!?]) *([.!?])+", r"\1"))) + " AS cleaned FROM extracted_content")
+def text_page(spark, d):
+    return _t(spark, d, "extracted_content").select("page_id", text.page_text(F.col("content")).alias("cleaned"))
+
+
+_NORMAL_SQL = _strip(_rep(
+    "text", (r"[\x00-\x1f\x7f-\x{9f}]", ""), (" {2,}", " "), (r"\.{2,}", "..."), ("!{2,}", "!"), (r"\?{2,}", "?"), (SPACE + r"+([.!?,:;])", r"\1"), ("[\"'`]", '"'), ('"{2,}', '"'),
+    ("[•·▪▫‣⁃]", "•"), ("[—–]", "—"), ("…", "..."), (r"(\d+) +(cm|mm|km|m|ft|in|lb|kg|oz|g)\b", r"\1\2"),
+))
+
+
+@query(f"SELECT doc_id, {_NORMAL_SQL} AS cleaned FROM documents")
+def text_normalised(spark, d):
+    return _t(spark, d, "documents").select("doc_id", text.normalised(F.col("text")).alias("cleaned"))
+
+
+@query(f"SELECT doc_id, {_count('text', '[' + chr(92) + 'x00-' + chr(92) + 'x1f' + chr(92) + 'x7f-' + chr(92) + 'x{9f}]')}::BIGINT AS control_chars, {_count('text', text.EMOJI)}::BIGINT AS emojis FROM documents")
+def text_counts(spark, d):
+    return _t(spark, d, "documents").select("doc_id", text.change_counts(F.col("text"))["control_chars_removed"].cast("long").alias("control_chars"), text.emojis(F.col("text")).alias("emojis"))
+
+
+@query()
+def text_clean_documents(spark, d):
+    """The whole cleaning of a document: emoji, forms, marks, personal data, problems, score."""
+    return corpus.cleaned(_t(spark, d, "documents").select("doc_id", "text"), "text").select("doc_id", "cleaned_text", "pii_found", "emojis_removed", "issues", F.round("quality_score", 6).alias("quality_score"))
+
+
+def _mask_sql(kinds: tuple[str, ...]) -> str:
+    e = "original_text"
+    for kind, pattern, by in pii.STEPS:
+        if kind in kinds:
+            e = _rep(e, (pattern, by))
+    return e
+
+
+_KINDS = ("email", "phone", "ssn", "credit_card", "license", "passport", "date", "ip", "address")
+
+
+@query(f"SELECT doc_id, {_mask_sql(_KINDS)} AS masked FROM cleaning_results")
+def text_masked(spark, d):
+    return pii.mask(_t(spark, d, "cleaning_results").select("doc_id", "original_text"), "original_text", _KINDS).select("doc_id", F.col("masked_text").alias("masked"))
+
+
+@query()
+def text_masked_all(spark, d):
+    return pii.mask(_t(spark, d, "cleaning_results").select("doc_id", "original_text"), "original_text").select("doc_id", F.col("masked_text").alias("masked"), "pii_found")
+
+
+@query("SELECT doc_id, nfc_normalize(text) = text AS composed FROM documents")
+def text_composed(spark, d):
+    """Texts that are plain already are not touched by the compatibility form's UDF; here, whether a text is composed."""
+    t = F.col("text")
+    return _t(spark, d, "documents").select("doc_id", F.coalesce(F.length(nfkc(t)) >= 0, F.lit(False)).alias("composed"))
+
+
+# --- addresses and ids ---------------------------------------------------------------------------------------------
+
+
+@query(f"SELECT id, CASE WHEN text = '' THEN '' ELSE {_HASH_SQL} END AS content_hash FROM news_articles")
+def id_content_hash(spark, d):
+    return _t(spark, d, "news_articles").select("id", ids.content_hash(F.col("text")).alias("content_hash"))
+
+
+@query("SELECT id, substring(sha256(source_url || '#' || substring(sha256(text), 1, 16)), 1, 16) AS document_id, substring(sha256(source_url || '#' || sha256(text)), 1, 16) AS export_id, sha256(source_url) AS url_hash FROM news_articles")
+def id_documents(spark, d):
+    u, t = F.col("source_url"), F.col("text")
+    return _t(spark, d, "news_articles").select("id", ids.document_id(u, t).alias("document_id"), ids.export_id(u, t).alias("export_id"), urls.url_hash(u).alias("url_hash"))
+
+
+@query("WITH p AS (SELECT DISTINCT source_url, regexp_replace(source_url, '#.*$', '') AS plain FROM (SELECT source_url FROM news_articles UNION ALL SELECT source_url FROM incoming_articles) WHERE source_url IS NOT NULL), k AS (SELECT source_url, regexp_extract(plain, '^([^?]*)', 1) AS base, list_sort(list_filter(string_split(regexp_extract(plain, '\\?(.*)$', 1), '&'), lambda x: regexp_matches(x, '^[^=]+=.+'))) AS kept FROM p) SELECT source_url, base || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(kept, '&') ELSE '' END AS normal FROM k")
+def id_normal_urls(spark, d):
+    return set_union(spark, d).select("source_url").where("source_url IS NOT NULL").distinct().select("source_url", urls.normal(F.col("source_url")).alias("normal"))
+
+
+@query("SELECT page_id, CASE WHEN h = '' THEN 'unknown' ELSE h END AS domain FROM (SELECT page_id, regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^www\\.', '') AS h FROM fetch_results WHERE url IS NOT NULL)")
+def id_domains(spark, d):
+    return _t(spark, d, "fetch_results").where("url IS NOT NULL").select("page_id", urls.domain(F.col("url")).alias("domain"))
+
+
+@query("SELECT comment_id, CASE WHEN coalesce(thread_url, '') = '' THEN '' WHEN thread_url LIKE 'http%' THEN thread_url WHEN thread_url LIKE '/%' THEN 'https://threads.example' || thread_url ELSE 'https://threads.example/' || thread_url END AS url, coalesce(nullif(regexp_extract(thread_url, '/r/([^/]+)/', 1), ''), 'Cooking') AS subreddit FROM reddit_comments")
+def id_threads(spark, d):
+    u = F.col("thread_url")
+    return _t(spark, d, "reddit_comments").select("comment_id", urls.absolute_v2(u, "https://threads.example").alias("url"), urls.group_v2(u).alias("subreddit"))
+
+
+@query("SELECT strftime(m, '%m/%d/%Y') AS first_day, strftime(last_day(m), '%m/%d/%Y') AS last_day, strftime(m, '%m_%d_%Y') || '_to_' || strftime(last_day(m), '%m_%d_%Y') || '_output.jsonl' AS name FROM (SELECT unnest(generate_series(DATE '2020-01-01', DATE '2025-09-01', INTERVAL 1 MONTH))::DATE AS m)")
+def id_months(spark, d):
+    from lontar.functions.dates import months
+
+    return months(spark, "2020-01-01", "2025-09-01")
+
+
+@query()
+def id_simhash(spark, d):
+    return ids.simhashes(_t(spark, d, "news_articles").select("id", "text"), "text").select("id", "simhash")
+
+
+# --- classification, extraction, cascades --------------------------------------------------------------------------
+
+
+def _score_sql(full: str) -> str:
+    parts = []
+    for rank, (topic, _, patterns, keywords) in enumerate(classify.TOPICS):
+        hits = " + ".join([f"2 * {_count(full, chr(92) + 'b(?:' + p + ')' + chr(92) + 'b')}" for p in patterns] + [f"((length({full}) - length(replace({full}, '{w}', ''))) // {len(w)})" for w in keywords])
+        parts.append(f"{{'score': round(({hits}) / w, 9), 'rank': {-rank}, 'topic': '{topic}'}}")
+    return "[" + ", ".join(parts) + "]"
+
+
+@query(f"WITH f AS (SELECT doc_id, lower(coalesce(title, '') || ' ' || text) AS full_text FROM documents WHERE lang = 'en'), g AS (SELECT *, CASE WHEN {_count('full_text', _PIECES)} > 0 THEN ln({_count('full_text', _PIECES)} + 1.0) ELSE 1.0 END AS w FROM f), s AS (SELECT doc_id, list_reverse_sort({_score_sql('full_text')}) AS s FROM g) SELECT doc_id, s[1].topic AS topic, round(s[1].score, 6) AS best, round(s[2].score, 6) AS second FROM s")
+def class_scores(spark, d):
+    e = _t(spark, d, "documents").where("lang = 'en'")
+    s = F.sort_array(classify.scores(F.col("title"), F.col("text")), asc=False)
+    return e.select("doc_id", s.alias("s")).select("doc_id", F.col("s")[0]["topic"].alias("topic"), F.round(F.col("s")[0]["score"], 6).alias("best"), F.round(F.col("s")[1]["score"], 6).alias("second"))
+
+
+@query()
+def class_documents(spark, d):
+    docs = _t(spark, d, "documents").select("doc_id", "title", "text")
+    out = classify.validated(classify.classify(docs, "title", "text"), "title", "text")
+    return out.select("doc_id", "topic", "subdomain", F.round("confidence", 6).alias("confidence"), F.round("rule_score", 6).alias("rule_score"), "is_allowed", "rejection_reason")
+
+
+@query("SELECT page_id, nullif(trim(regexp_extract(content, '(?s)<title>([^<]*)</title>', 1)), '') AS title FROM fetch_results WHERE success")
+def html_titles(spark, d):
+    return _t(spark, d, "fetch_results").where("success").select("page_id", html.title_of(F.col("content")).alias("title"))
+
+
+@query()
+def html_extracted(spark, d):
+    pages = _t(spark, d, "fetch_results").where("success").select("page_id", "url", "content").dropDuplicates(["page_id"])
+    return html.extract(pages, "content").select("page_id", "title", "content", "author", "publish_date", "word_count", "reading_time", "extraction_method", F.round("quality_score", 6).alias("quality_score"))
+
+
+@query(f"WITH f AS (SELECT page_id, title, author, publish_date, description, keywords, content, {_TOKENS} AS tokens, {_count('content', '[.!?]+' + SPACE + '+[A-Z]')} AS s FROM extracted_content WHERE content IS NOT NULL) SELECT page_id, round(least(100, CASE WHEN length(content) >= 200 THEN least(length(content) / 100, 30) ELSE 0 END + CASE WHEN length(coalesce(title, '')) > 10 THEN 10 ELSE 0 END + CASE WHEN s > 5 THEN least(s, 20) ELSE 0 END + CASE WHEN len(tokens) > 0 THEN 10 * len(list_distinct(tokens)) / len(tokens) ELSE 0 END + CASE WHEN coalesce(author, '') <> '' THEN 2 ELSE 0 END + CASE WHEN coalesce(publish_date, '') <> '' THEN 2 ELSE 0 END + CASE WHEN coalesce(description, '') <> '' THEN 3 ELSE 0 END), 6)::DOUBLE AS score FROM f")
+def html_scores(spark, d):
+    e = _t(spark, d, "extracted_content").where("content IS NOT NULL")
+    c = [F.col(x) for x in ("content", "title", "author", "publish_date", "description")]
+    return e.select("page_id", F.round(quality.extraction_score(*c, F.array().cast("array<string>")), 6).alias("score"))
+
+
+@query("SELECT doc_id, CASE WHEN first < doc_id THEN 'exact' ELSE 'none' END AS duplicate_type, first AS duplicate_of FROM (SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS first FROM documents)")
+def dedup_exact(spark, d):
+    docs = _t(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("exact"), F.lit(None).cast("long").alias("signature"))
+    out = dedup.cascade(docs, "doc_id", "exact", "signature")
+    return out.select(F.col("key").alias("doc_id"), "duplicate_type", F.coalesce("duplicate_of", "key").alias("duplicate_of"))
+
+
+@query()
+def dedup_cascade(spark, d):
+    signed = ids.simhashes(_t(spark, d, "documents").select("doc_id", "text"), "text").select("doc_id", ids.content_hash(F.col("text")).alias("exact"), ids.simhash_number(F.col("simhash")).alias("signature"))
+    return dedup.cascade(signed, "doc_id", "exact", "signature").withColumnRenamed("key", "doc_id")
+
+
+@query()
+def dedup_components(spark, d):
+    """Signatures of the index as components of the 3-bit graph."""
+    s = _t(spark, d, "deduplication_index").select(ids.simhash_number(F.col("simhash")).alias("signature"))
+    return dedup.components(dedup.hamming_links(s).select("a", "b"))
+
+
+# --- streams, as their batch results -------------------------------------------------------------------------------
+
+
+@query("SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS events, round(sum(value), 4) AS total FROM events GROUP BY ALL")
+def stream_hours(spark, d):
+    return _t(spark, d, "events").groupBy("event_type", F.window("ts", "1 hour")["start"].alias("window_start")).agg(F.count("*").alias("events"), F.round(F.sum("value"), 4).alias("total"))
+
+
+@query("WITH g AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS fresh FROM events), s AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS n FROM g) SELECT user_id, min(ts) AS session_start, count(*) AS events FROM s GROUP BY user_id, n")
+def stream_sessions(spark, d):
+    return _t(spark, d, "events").groupBy("user_id", F.session_window("ts", "30 minutes").alias("w")).agg(F.count("*").alias("events")).select("user_id", F.col("w.start").alias("session_start"), "events")
+
+
+@query()
+def flagship_corpus(spark, d):
+    return flagship(spark, d)
+
+
+def flagship(spark: SparkSession, d: str) -> DataFrame:
+    """News articles cleaned, gated and rid of copies, with their ids."""
+    return corpus.news_corpus(_t(spark, d, "news_articles"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
