@@ -253,7 +253,7 @@ def candidates(probes: DataFrame, table: DataFrame, similarity: float = SIMILARI
     apart = F.aggregate(F.zip_with("pivots", "other_pivots", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
     both = F.col("n") + F.col("other_n")
     near = (F.col("other_batch") < F.col("batch")) & (F.least("n", "other_n") >= similarity * F.greatest("n", "other_n") - 1e-9) & (apart <= (1 - similarity) / (1 + similarity) * both + 1e-9)
-    return a.join(b, "first").where(near & (F.col("key") != F.col("other"))).select("key", "other").distinct()
+    return a.join(b, "first").where(near).select("key", "other").distinct()
 
 
 def jaccard(pairs: DataFrame) -> DataFrame:

@@ -106,7 +106,7 @@ def statistics(texts: DataFrame) -> DataFrame:
     """The columns of ``texts`` besides ``text``, and the figures of each text."""
     import pyarrow as pa
 
-    keep = [c for c in texts.columns if c != "text"]
+    keep = [c for c in texts.columns if c != "text" and c not in STATISTICS]  # a column of that name is replaced
     whole = {"n_chars", "n_words", "n_lines"}
 
     def run(batches: Iterator) -> Iterator:
