@@ -16,18 +16,21 @@ def read_lines(spark: SparkSession, paths: str | list[str], schema: StructType,
     ``numbered`` adds ``file`` and ``line_offset``, by which the lines of a file
     are in order.
     """
-    whole = StructType([*schema.fields, StructField("_corrupt_record", StringType())])
-    df = spark.read.schema(whole).option("mode", "PERMISSIVE").json(paths)
+    lines = spark.read.text(paths)
+    extra = ()
     if numbered:
-        df = df.select("*", F.col("_metadata.file_path").alias("file"), (F.col("_metadata.file_block_start") * 1_000_000 + F.monotonically_increasing_id() % F.lit(1 << 33)).alias("line_offset"))
-    return df if keep_broken else df.where("_corrupt_record IS NULL").drop("_corrupt_record")
+        lines = lines.select("value", F.col("_metadata.file_path").alias("file"), (F.col("_metadata.file_block_start") * F.lit(1 << 20) + F.monotonically_increasing_id() % F.lit(1 << 33)).alias("line_offset"))
+        extra = ("file", "line_offset")
+    return parse_lines(lines.where(F.trim("value") != ""), "value", schema, extra, keep_broken)
 
 
-def parse_lines(df: DataFrame, column: str, schema: StructType) -> DataFrame:
-    """The same for lines in a column: null for broken ones is dropped."""
+def parse_lines(df: DataFrame, column: str, schema: StructType, extra: tuple[str, ...] = (), keep_broken: bool = False) -> DataFrame:
+    """The same for lines in a column; columns of ``extra`` are kept beside the fields."""
     whole = StructType([*schema.fields, StructField("_corrupt_record", StringType())])
     parsed = df.withColumn("_r", F.from_json(column, whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}))
-    return parsed.where("_r IS NOT NULL AND _r._corrupt_record IS NULL").select("_r.*").drop("_corrupt_record")
+    if keep_broken:
+        return parsed.select("_r.*", *extra)
+    return parsed.where("_r IS NOT NULL AND _r._corrupt_record IS NULL").select("_r.*", *extra).drop("_corrupt_record")
 
 
 def read_array(spark: SparkSession, path: str, schema: StructType, limit: int | None = None) -> DataFrame:
