@@ -24,12 +24,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lontar.llm.common import cut
+
 #: Vocabulary of a public byte-level BPE tokenizer, as ranks.
 DEFAULT_TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The split pattern published with that vocabulary.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Ranges of the key within a source; a range of a source with n documents holds about n / RANGES of them.
 RANGES = 4096
+#: Targets that may be in use.
+MAX_TARGETS = 100_000
 
 
 @lru_cache(maxsize=2)
@@ -83,10 +87,12 @@ def budgets(counts: DataFrame, targets: DataFrame, total_tokens: int | None = No
     ).where("source IS NOT NULL")
     size = counts.where("n_tokens > 0").groupBy("source").agg(F.sum("n_tokens").alias("available_tokens"), F.count("*").alias("documents"))
     joined = target.join(size, "source", "left").fillna(0, ["available_tokens", "documents"])
+    joined = cut(joined)  # a row per target
+    if joined.count() > MAX_TARGETS:
+        raise ValueError(f"more than {MAX_TARGETS} targets; they are sent to every executor")
     if total_tokens is None:
-        joined = joined.crossJoin(joined.agg(F.coalesce(F.sum("available_tokens"), F.lit(0)).alias("total_tokens")))  # one row
-    else:
-        joined = joined.withColumn("total_tokens", F.lit(int(total_tokens)).cast("long"))
+        total_tokens = joined.agg(F.sum("available_tokens").alias("n")).first()["n"] or 0
+    joined = joined.withColumn("total_tokens", F.lit(int(total_tokens)).cast("long"))
     return (
         joined.withColumn("budget_tokens", F.floor(F.col("target_share") * F.col("total_tokens") + F.lit(1e-6)).cast("long"))
         .withColumn("used_tokens", F.least("budget_tokens", F.col("available_tokens") * F.col("max_repeats")))
@@ -97,8 +103,8 @@ def budgets(counts: DataFrame, targets: DataFrame, total_tokens: int | None = No
 
 def report(plan: DataFrame) -> DataFrame:
     """Target and really reached shares; ``short_tokens`` is what a source lacks to its budget."""
-    used = plan.agg(F.sum("used_tokens").alias("all_used"))  # one row
-    return plan.crossJoin(used).select(
+    used = plan.agg(F.sum("used_tokens").alias("n")).first()["n"] or 0
+    return plan.withColumn("all_used", F.lit(int(used)).cast("long")).select(
         "source", "target_share", "max_repeats", "documents", "available_tokens", "budget_tokens", "used_tokens",
         (F.col("budget_tokens") - F.col("used_tokens")).alias("short_tokens"),
         F.when(F.col("available_tokens") > 0, F.col("used_tokens") / F.col("available_tokens")).otherwise(0.0).alias("repeats"),

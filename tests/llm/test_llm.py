@@ -247,7 +247,7 @@ def test_repeated_lines(spark):
     have = {}
     for s, i, t in docs:
         for line in (t or "").split("\n"):
-            if s and norm(line):
+            if s and i and norm(line):
                 have.setdefault((s, norm(line)), set()).add(i)
     expected = {k for k, v in have.items() if len(v) >= 5}
     assert {(x["site"], x["line"]) for x in lines.repeated_lines(df).collect()} == expected
