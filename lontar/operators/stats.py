@@ -17,8 +17,9 @@ def histograms(df: DataFrame, columns: list[str], text: str, title: str) -> Data
 
 def duplicate_summary(groups: DataFrame, total: DataFrame) -> DataFrame:
     """One row: ``groups, members, records, unique_records, duplicate_rate`` (per cent); ``groups`` has ``members``, ``total`` one row with ``records``."""
-    g = groups.agg(F.count("*").alias("groups"), F.coalesce(F.sum("members"), F.lit(0)).alias("members"))
-    out = g.crossJoin(total)  # one row each
+    g = groups.agg(F.count("*").alias("groups"), F.coalesce(F.sum("members"), F.lit(0)).alias("members"), F.lit(0).cast("long").alias("records"))
+    both = g.union(total.select(F.lit(0).cast("long"), F.lit(0).cast("long"), F.col("records")))
+    out = both.agg(*(F.sum(c).alias(c) for c in ("groups", "members", "records")))
     return out.withColumns({"unique_records": F.col("records") - (F.col("members") - F.col("groups")), "duplicate_rate": F.when(F.col("records") > 0, F.round(100 * F.col("members") / F.col("records"), 6)).otherwise(0.0)})
 
 
