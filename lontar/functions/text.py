@@ -118,6 +118,13 @@ def units_joined(c: Column) -> Column:
     return F.regexp_replace(c, r"(\d+) +(cm|mm|km|m|ft|in|lb|kg|oz|g)\b", "$1$2")
 
 
+def units_replaced(c: Column) -> Column:
+    """The literal form of the same: each ``5 kg`` found is joined wherever its characters stand, within longer words too."""
+    unit = r"(\d+)\s*(cm|mm|km|m|ft|in|lb|kg|oz|g)\b"
+    found = F.arrays_zip(F.regexp_extract_all(c, F.lit(unit), 1).alias("n"), F.regexp_extract_all(c, F.lit(unit), 2).alias("u"))
+    return F.aggregate(found, c, lambda t, m: F.replace(t, F.concat(m["n"], F.lit(" "), m["u"]), F.concat(m["n"], m["u"])))
+
+
 def change_counts(c: Column) -> Column:
     """Map of what ``normalised`` changes, by kind; marks may count below zero, as ``..`` grows."""
     plain = F.regexp_replace(c, CONTROL, "")

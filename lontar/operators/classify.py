@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from lontar.functions.text import pieces, strip
 
+#: Characters between words.
+NO_LETTER = r"[^\p{L}\p{N}_]"
+
 #: Topic, its subdomain, its patterns (word alternatives) and its keywords, in order (fixed values).
 TOPICS = (
     ("daily_life_tips", "general_tips", (r"tip|hack|advice|guide|how\s+to|life\s+hack|helpful|useful", "easy|simple|quick|efficient|better|improve", "everyday|daily|routine|habit|lifestyle"), ("tip", "hack", "advice", "guide", "how to", "life hack")),
@@ -54,13 +57,30 @@ def _substrings(text: Column, word: str) -> Column:
 
 
 def scores(title: Column, content: Column) -> Column:
-    """Array of ``struct(score, rank, topic)`` in the order of the topics; ``rank`` falls, so the first topic wins a tie."""
+    """Array of ``struct(score, rank, topic)`` in the order of the topics; ``rank`` falls, so the first topic wins a tie.
+
+    The text is cut into words once; alternatives that are single words are
+    counted by membership, only phrases and hyphenated ones by pattern.
+    """
     full = F.lower(F.concat(F.coalesce(title, F.lit("")), F.lit(" "), content))
-    size = pieces(full)
+    parts = F.struct(full.alias("full"), F.split(full, NO_LETTER + "+").alias("words"), pieces(full).alias("size"))
+    return F.transform(F.array(parts), _all_scores)[0]
+
+
+def _members(words: Column, chosen: list[str]) -> Column:
+    return F.size(F.filter(words, lambda w: w.isin(*chosen)))
+
+
+def _all_scores(text: Column) -> Column:
+    full, size = text["full"], text["size"]
     weight = F.when(size > 0, F.log(size + 1.0)).otherwise(F.lit(1.0))
     out = []
     for rank, (topic, _, patterns, keywords) in enumerate(TOPICS):
-        hits = sum((2 * _hits(full, p) for p in patterns[1:]), 2 * _hits(full, patterns[0]))
+        alternatives = [a for p in patterns for a in p.split("|")]
+        single = [a for a in alternatives if a.isalpha()]
+        hits = 2 * _members(text["words"], list(dict.fromkeys(single)))
+        for a in [a for a in alternatives if not a.isalpha()] + [a for a in dict.fromkeys(single) if single.count(a) > 1]:
+            hits = hits + 2 * _hits(full, a)
         for w in keywords:
             hits = hits + _substrings(full, w)
         out.append(F.struct(F.round(hits / weight, 9).alias("score"), F.lit(-rank).alias("rank"), F.lit(topic).alias("topic")))

@@ -188,6 +188,19 @@ def custom(html: str) -> dict | None:
     return out | {"content": best.text(" "), "extraction_method": "custom"}
 
 
+def paragraphs(html: str, least: int = 50, whole: int = 200) -> dict | None:
+    """A plainer method for news pages: paragraphs of ``least`` characters in the article (or content element), else the first element of ``whole``."""
+    root = tree(html)
+    root.drop(lambda n: n.tag in ("script", "style", "noscript", "nav", "footer", "aside"))
+    every = list(root.walk())
+    place = next((n for n in every if n.tag == "article" or "content" in _classes(n)), root)
+    parts = [t for n in place.walk() if n.tag == "p" and len(t := n.text(" ")) > least]
+    if not parts:
+        parts = [t for n in every if n.tag == "div" and len(t := n.text(" ")) > whole][:1]
+    title = next((n.text() for n in every if n.tag == "h1"), None)
+    return {"title": title, "content": " ".join(parts), "keywords": [], "images": [], "links": []} if parts else None
+
+
 def extract(pages: DataFrame, html: str, methods: dict[str, Callable[[str], dict | None]] | None = None, least: int = 100) -> DataFrame:
     """``pages`` (without its ``html``) with the extracted fields, ``word_count, reading_time, quality_score``.
 

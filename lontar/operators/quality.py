@@ -34,8 +34,8 @@ def garbled(text: Column) -> Column:
     unprintable = F.regexp_count(text, F.lit(r"[\p{C}\p{Zl}\p{Zp}\x{a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}]"))
     n = words(text)
     single = F.regexp_count(text, F.lit(rf"(?<!{LETTER}){LETTER}(?!{LETTER})"))
-    parts = F.size(F.filter(F.split(text, "[.!?]+"), lambda s: strip(s) != ""))
-    per_part = F.aggregate(F.filter(F.split(text, "[.!?]+"), lambda s: strip(s) != ""), F.lit(0).cast("long"), lambda a, s: a + pieces(s)) / F.greatest(parts, F.lit(1))
+    parts = F.regexp_count(text, F.lit(rf"[^.!?]*[^.!?\t-\r\x1c-\x20\x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}][^.!?]*"))  # pieces that aren't blank
+    per_part = pieces(F.regexp_replace(text, "[.!?]+", " ")) / F.greatest(parts, F.lit(1))
     return F.coalesce((size >= 50) & (((size - unprintable) / size < 0.9) | (n == 0) | (single / F.greatest(n, F.lit(1)) > 0.3) | ((parts >= 2) & (per_part < 3))), F.lit(False))
 
 

@@ -14,3 +14,9 @@ def cut(df: DataFrame) -> DataFrame:
         named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lontar-checkpoint-"))
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores, if it has fewer partitions than there are: for work that costs far more than moving a small input. Inputs of many partitions stay where they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

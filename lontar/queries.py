@@ -13,6 +13,7 @@ from lontar.functions.text import NO_LETTER_NO_SPACE, SPACE
 from lontar.functions.unicode import nfkc
 from lontar.operators import classify, dedup, frontier, html, quality, stats, threads
 from lontar.plans import corpus
+from lontar.plans.stage import spread
 from lontar.sources import jsonl
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -438,7 +439,7 @@ def text_counts(spark, d):
 @query()
 def text_clean_documents(spark, d):
     """The whole cleaning of a document: emoji, forms, marks, personal data, problems, score."""
-    return corpus.cleaned(_t(spark, d, "documents").select("doc_id", "text"), "text").select("doc_id", "cleaned_text", "pii_found", "emojis_removed", "issues", F.round("quality_score", 6).alias("quality_score"))
+    return corpus.cleaned(spread(_t(spark, d, "documents").select("doc_id", "text")), "text").select("doc_id", "cleaned_text", "pii_found", "emojis_removed", "issues", F.round("quality_score", 6).alias("quality_score"))
 
 
 def _mask_sql(kinds: tuple[str, ...]) -> str:
@@ -508,7 +509,7 @@ def id_months(spark, d):
 
 @query()
 def id_simhash(spark, d):
-    return ids.simhashes(_t(spark, d, "news_articles").select("id", "text"), "text").select("id", "simhash")
+    return ids.simhashes(spread(_t(spark, d, "news_articles").select("id", "text")), "text").select("id", "simhash")
 
 
 # --- classification, extraction, cascades --------------------------------------------------------------------------
@@ -531,7 +532,7 @@ def class_scores(spark, d):
 
 @query()
 def class_documents(spark, d):
-    docs = _t(spark, d, "documents").select("doc_id", "title", "text")
+    docs = spread(_t(spark, d, "documents").select("doc_id", "title", "text"))
     out = classify.validated(classify.classify(docs, "title", "text"), "title", "text")
     return out.select("doc_id", "topic", "subdomain", F.round("confidence", 6).alias("confidence"), F.round("rule_score", 6).alias("rule_score"), "is_allowed", "rejection_reason")
 
@@ -563,7 +564,7 @@ def dedup_exact(spark, d):
 
 @query()
 def dedup_cascade(spark, d):
-    signed = ids.simhashes(_t(spark, d, "documents").select("doc_id", "text"), "text").select("doc_id", ids.content_hash(F.col("text")).alias("exact"), ids.simhash_number(F.col("simhash")).alias("signature"))
+    signed = ids.simhashes(spread(_t(spark, d, "documents").select("doc_id", "text")), "text").select("doc_id", ids.content_hash(F.col("text")).alias("exact"), ids.simhash_number(F.col("simhash")).alias("signature"))
     return dedup.cascade(signed, "doc_id", "exact", "signature").withColumnRenamed("key", "doc_id")
 
 
@@ -594,7 +595,7 @@ def flagship_corpus(spark, d):
 
 def flagship(spark: SparkSession, d: str) -> DataFrame:
     """News articles cleaned, gated and rid of copies, with their ids."""
-    return corpus.news_corpus(_t(spark, d, "news_articles"))
+    return corpus.news_corpus(spread(_t(spark, d, "news_articles").select("id", "title", "text", "source_url")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -91,3 +91,22 @@ def test_simhash(spark):
     assert out[1] == out[2] and len(out[1]) == 16
     assert out[3] == out[4] == out[5] == ""
     assert one(spark, out[1], ids.simhash_number) is not None and one(spark, "", ids.simhash_number) is None
+
+
+@pytest.mark.parametrize(("value", "expected"), [("5 m and 5 minutes", "5m and 5minutes"), ("10 kg", "10kg"), ("none", "none"), ("", ""), (None, None)])
+def test_units_replaced(spark, value, expected):
+    assert one(spark, value, text.units_replaced) == expected
+
+
+def test_garbled_like_brute_force(spark, sf_dir):
+    import re
+
+    def expected(t):
+        if len(t) < 50:
+            return False
+        words = re.findall(r"\w+", t)
+        parts = [x for x in re.split(r"[.!?]+", t) if x.strip()]
+        return sum(c.isprintable() for c in t) / len(t) < 0.9 or not words or sum(len(w) == 1 for w in words) / len(words) > 0.3 or (len(parts) >= 2 and sum(len(x.split()) for x in parts) / len(parts) < 3)
+
+    rows = spark.read.parquet(f"{sf_dir}/export_entries.parquet").select("text", quality.garbled(F.col("text")).alias("g")).collect()
+    assert rows and all(r["g"] == expected(r["text"]) for r in rows)

@@ -111,6 +111,14 @@ def test_extract_best_of(spark):
     assert html.extract(df, "h", methods).first()["extraction_method"] == "custom"
 
 
+def test_paragraphs(spark):
+    page = "<h1>T</h1><article><p>" + "word " * 20 + "</p><p>short</p></article><div>" + "other " * 60 + "</div>"
+    assert html.paragraphs(page)["content"] == ("word " * 20).strip()
+    assert html.paragraphs("<div>" + "other " * 60 + "</div>")["content"].startswith("other") and html.paragraphs("<p>x</p>") is None
+    df = spark.createDataFrame([(1, page)], "i int, h string")
+    assert html.extract(df, "h", {"custom": html.custom, "paragraphs": html.paragraphs}).count() == 1
+
+
 def test_comments(spark):
     tree = json.dumps([{"body": "A", "replies": [{"body": "B"}]}, {"body": "C", "replies": ""}, {"body": None}])
     listing = json.dumps({"data": {"children": [{"kind": "t1", "data": {"body": "X", "replies": {"data": {"children": [{"kind": "more", "data": {}}, {"kind": "t1", "data": {"body": "Y"}}]}}}}]}})
