@@ -154,8 +154,12 @@ class Block:
         o = np.argsort(firsts, kind="stable")
         self.firsts, self.owner = firsts[o], owner[o]
 
-    def match(self, batches: np.ndarray, text: np.ndarray, triples: np.ndarray) -> list[tuple[int, int]]:
-        """``(own text, batch)`` of own texts that are similar to one of the given texts of a smaller batch."""
+    def match(self, batches: np.ndarray, text: np.ndarray, triples: np.ndarray, best: np.ndarray) -> None:
+        """Lowers ``best`` (of each own text) to the smallest batch of a similar text among the given ones.
+
+        A pair is only looked at if it could lower it, so a text with very many
+        similar ones costs no more than one with few.
+        """
         s, size = self.similarity, len(batches)
         n = np.bincount(text, minlength=size)
         start = np.concatenate(([0], np.cumsum(n)))
@@ -163,7 +167,7 @@ class Block:
         owner, firsts = first_triples(text, triples, n, self.order, s)
         lo, hi = np.searchsorted(self.firsts, firsts, "left"), np.searchsorted(self.firsts, firsts, "right")
         total = np.concatenate(([0], np.cumsum(hi - lo)))
-        found, at = [], 0
+        at = 0
         while at < len(firsts):
             end = max(at + 1, int(np.searchsorted(total, total[at] + PAIRS, "right")) - 1)
             k = hi[at:end] - lo[at:end]
@@ -171,17 +175,18 @@ class Block:
             own = self.owner[np.repeat(lo[at:end] - np.concatenate(([0], np.cumsum(k)[:-1])), k) + np.arange(k.sum())]
             at = end
             a, b = self.n[own], n[theirs]
-            near = (batches[theirs] < self.batch[own]) & (np.minimum(a, b) >= s * np.maximum(a, b) - 1e-9)
+            near = (batches[theirs] < best[own]) & (np.minimum(a, b) >= s * np.maximum(a, b) - 1e-9)
             pair = np.unique(theirs[near] * len(self.batch) + own[near])
             theirs, own = pair // len(self.batch), pair % len(self.batch)
             apart = np.concatenate([np.abs(self.pivots[own[i : i + 100_000]] - pivots[theirs[i : i + 100_000]]).sum(1) for i in range(0, len(pair), 100_000)] or [np.zeros(0)])
             near = apart <= (1 - s) / (1 + s) * (self.n[own] + n[theirs]) + 1e-9
             for x, y in zip(own[near], theirs[near]):
+                if batches[y] >= best[x]:
+                    continue
                 one, two = self.triples[self.start[x] : self.start[x + 1]], triples[start[y] : start[y + 1]]
                 common = len(np.intersect1d(one, two, assume_unique=True))
                 if common >= s * (len(one) + len(two) - common) - 1e-9:
-                    found.append((int(x), int(batches[y])))
-        return found
+                    best[x] = batches[y]
 
 
 def _matched(new: DataFrame, rows: DataFrame, order: tuple[np.ndarray, np.ndarray], similarity: float, blocks: int) -> DataFrame:
@@ -200,13 +205,13 @@ def _matched(new: DataFrame, rows: DataFrame, order: tuple[np.ndarray, np.ndarra
 
         def run(batches: Iterator, shared=shared) -> Iterator:
             block, keys = shared.value
+            best = block.batch.copy()  # only texts of a smaller batch count
             for b in batches:
-                texts, found = b.column(1).to_pylist(), {}
-                number = b.column(0).to_numpy()
+                texts, number = b.column(1).to_pylist(), b.column(0).to_numpy()
                 for i in range(0, len(texts), 2_000):
-                    for x, y in block.match(number[i : i + 2_000], *triple_sets(texts[i : i + 2_000])):
-                        found[x] = min(y, found.get(x, y))
-                yield pa.RecordBatch.from_arrays([pa.array([keys[x] for x in found], pa.binary()), pa.array(list(found.values()), pa.int32())], ["key", "first_batch"])
+                    block.match(number[i : i + 2_000], *triple_sets(texts[i : i + 2_000]), best)
+            found = np.flatnonzero(best < block.batch)
+            yield pa.RecordBatch.from_arrays([pa.array([keys[x] for x in found], pa.binary()), pa.array(best[found], pa.int32())], ["key", "first_batch"])
 
         one = rows.select("batch", "text").mapInArrow(run, "key binary, first_batch int")
         out = one if out is None else out.unionByName(one)
