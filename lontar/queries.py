@@ -463,11 +463,9 @@ def text_masked_all(spark, d):
     return pii.mask(_t(spark, d, "cleaning_results").select("doc_id", "original_text"), "original_text").select("doc_id", F.col("masked_text").alias("masked"), "pii_found")
 
 
-@query("SELECT doc_id, nfc_normalize(text) = text AS composed FROM documents")
-def text_composed(spark, d):
-    """Texts that are plain already are not touched by the compatibility form's UDF; here, whether a text is composed."""
-    t = F.col("text")
-    return _t(spark, d, "documents").select("doc_id", F.coalesce(F.length(nfkc(t)) >= 0, F.lit(False)).alias("composed"))
+@query()
+def text_nfkc(spark, d):
+    return _t(spark, d, "documents").select("doc_id", nfkc(F.col("text")).alias("plain"))
 
 
 # --- addresses and ids ---------------------------------------------------------------------------------------------

@@ -110,3 +110,12 @@ def test_garbled_like_brute_force(spark, sf_dir):
 
     rows = spark.read.parquet(f"{sf_dir}/export_entries.parquet").select("text", quality.garbled(F.col("text")).alias("g")).collect()
     assert rows and all(r["g"] == expected(r["text"]) for r in rows)
+
+
+@pytest.mark.parametrize("value", ["plain", "ﬁne ①²", "é e\u0301", "", None])
+def test_nfkc(spark, value):
+    import unicodedata
+
+    from lontar.functions.unicode import nfkc
+
+    assert one(spark, value, nfkc) == (None if value is None else unicodedata.normalize("NFKC", value))
