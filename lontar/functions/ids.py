@@ -7,12 +7,12 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lontar.functions.text import NO_LETTER_NO_SPACE, SPACE, strip
+from lontar.functions.text import NO_LETTER_NO_SPACE, SPACE, fast, strip
 
 
 def hash_form(text: Column) -> Column:
     """Lower case, white space runs made one space, all but word characters and spaces dropped, ends stripped."""
-    return strip(F.regexp_replace(F.regexp_replace(F.lower(text), f"{SPACE}+", " "), NO_LETTER_NO_SPACE, ""))
+    return strip(F.regexp_replace(F.regexp_replace(F.lower(text), fast(f"{SPACE}+"), " "), fast(NO_LETTER_NO_SPACE), ""))
 
 
 def content_hash(text: Column) -> Column:

@@ -35,19 +35,27 @@ PAGE_PHRASES = (
 CONTROL = r"[\x00-\x1f\x7f-\x{9f}]"
 
 
+_SPACES = SPACE[1:-1]
+
+
+def fast(pattern: str) -> str:
+    """A pattern with the class of spaces spelled out, as Java matches it several times faster: by the Unicode class of the engine."""
+    return "(?U)" + pattern.replace(_SPACES, r"\s\x1c-\x1f") if _SPACES in pattern else pattern
+
+
 def strip(c: Column) -> Column:
     """Without white space of any kind at both ends."""
-    return F.regexp_replace(c, rf"^{SPACE}+|{SPACE}+$", "")
+    return F.regexp_replace(c, fast(rf"^{SPACE}+|{SPACE}+$"), "")
 
 
 def squeeze(c: Column) -> Column:
     """White space runs made one space, ends stripped."""
-    return F.trim(F.regexp_replace(c, f"{SPACE}+", " "))
+    return F.trim(F.regexp_replace(c, fast(f"{SPACE}+"), " "))
 
 
 def replaced(c: Column, *steps: tuple[str, str]) -> Column:
     for pattern, by in steps:
-        c = F.regexp_replace(c, pattern, by)
+        c = F.regexp_replace(c, fast(pattern), by)
     return c
 
 
@@ -91,7 +99,7 @@ def page_text(c: Column) -> Column:
     """Extraction cleaning: phrases of advertisement, navigation and disclaimers are deleted in place, marks in a row made one."""
     for p in PAGE_PHRASES:
         c = F.regexp_replace(c, "(?i)" + p, "")
-    return strip(F.regexp_replace(F.regexp_replace(c, f"{SPACE}+", " "), r"([.!?]) *([.!?])+", "$1"))
+    return strip(F.regexp_replace(F.regexp_replace(c, fast(f"{SPACE}+"), " "), r"([.!?]) *([.!?])+", "$1"))
 
 
 def emojis(c: Column) -> Column:
@@ -131,7 +139,7 @@ def change_counts(c: Column) -> Column:
     spaced = replaced(plain, (r"[ \t]+", " "), (r"(?m)[ \t]+$", ""))
     marks = replaced(spaced, (r"\.{2,}", "..."), ("!{2,}", "!"), (r"\?{2,}", "?"))
     count = lambda x, p: F.regexp_count(x, F.lit(p))
-    fixed = F.regexp_replace(marks, rf"{SPACE}+([.!?,:;])", "$1")
+    fixed = F.regexp_replace(marks, fast(rf"{SPACE}+([.!?,:;])"), "$1")
     return F.create_map(
         F.lit("spaces_normalized"), count(plain, " ") - count(spaced, " "), F.lit("linebreaks_normalized"), F.lit(0), F.lit("punctuation_normalized"), count(spaced, r"[.!?]") - count(marks, r"[.!?]"),
         F.lit("quotes_normalized"), count(fixed, "[\"'`]"), F.lit("special_chars_normalized"), count(fixed, "[•·▪▫‣⁃]") + count(fixed, "[—–]") + count(fixed, "…"),
@@ -146,12 +154,12 @@ def words(c: Column) -> Column:
 
 def pieces(c: Column) -> Column:
     """Number of white-space separated pieces."""
-    return F.regexp_count(c, F.lit(r"[^\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+")).cast("long")
+    return F.regexp_count(c, F.lit(fast(f"[^{_SPACES}]+"))).cast("long")
 
 
 def sentence_ends(c: Column) -> Column:
     """Sentence marks followed by white space and a capital."""
-    return F.regexp_count(c, F.lit(rf"[.!?]+{SPACE}+[A-Z]")).cast("long")
+    return F.regexp_count(c, F.lit(fast(rf"[.!?]+{SPACE}+[A-Z]"))).cast("long")
 
 
 def language(c: Column) -> Column:

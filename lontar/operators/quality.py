@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lontar.functions.text import LETTER, pieces, sentence_ends, strip, words
+from lontar.functions.text import LETTER, SPACE, fast, pieces, sentence_ends, strip, words
 
 #: Phrases of spam (fixed values).
 SPAM = ("click here", "subscribe now", "advertisement")
@@ -34,7 +34,7 @@ def garbled(text: Column) -> Column:
     unprintable = F.regexp_count(text, F.lit(r"[\p{C}\p{Zl}\p{Zp}\x{a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}]"))
     n = words(text)
     single = F.regexp_count(text, F.lit(rf"(?<!{LETTER}){LETTER}(?!{LETTER})"))
-    parts = F.regexp_count(text, F.lit(rf"[^.!?]*[^.!?\t-\r\x1c-\x20\x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}][^.!?]*"))  # pieces that aren't blank
+    parts = F.regexp_count(text, F.lit(fast(rf"[^.!?]*[^.!?{SPACE[1:-1]}][^.!?]*")))  # pieces that aren't blank
     per_part = pieces(F.regexp_replace(text, "[.!?]+", " ")) / F.greatest(parts, F.lit(1))
     return F.coalesce((size >= 50) & (((size - unprintable) / size < 0.9) | (n == 0) | (single / F.greatest(n, F.lit(1)) > 0.3) | ((parts >= 2) & (per_part < 3))), F.lit(False))
 
