@@ -2,12 +2,12 @@
 
 Method: each line that could be residue (it has a word of error pages, filler
 or demands for scripts) becomes a unit; names and numbers in it, words that few
-units have, are masked. Masked units that are near-duplicates are found by
-partitioned SimHash tables over their five-word shingles (all pairs within
-3 bits meet in a table), verified by Hamming distance and by a shingle
-similarity of 0.8 or more, and joined into connected components. Labels of
-trusted units (strict patterns of such messages) then hold for all of their
-component. Placeholders are found by their form.
+units have, are masked. Masked units that are near-duplicates, pairs of five-word
+shingle similarity 0.8 or more, are all found: two such units share one of the
+rarest fifth of their shingles, so they meet in a join on those. They are joined
+into connected components. Labels of trusted units (strict patterns of such
+messages) then hold for all of their component. Placeholders are found by their
+form.
 
 A record is residue if it has a placeholder, or if its content is residue: in
 pages any line that is as a whole a residue unit (a real article never has one),
@@ -24,12 +24,11 @@ from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lontar.llm.common import WORD, cut, sized
-from lontar.llm.graph import components, hamming_keys, simhash
+from lontar.llm.graph import components
 
 #: Forms of unfilled placeholders in template languages.
 PLACEHOLDER = re.compile(
@@ -158,37 +157,44 @@ def units(texts: DataFrame) -> DataFrame:
     return texts.select(*keep, "text").mapInArrow(run, schema)
 
 
-def _masked(distinct: DataFrame, least: int = 3) -> DataFrame:
-    """``unit, masked, trusted``: words that fewer than ``least`` different units have become ``*``."""
+def _masked(distinct: DataFrame, least: int = 3, rare: float = 0.05) -> DataFrame:
+    """``unit, masked, trusted``: words that fewer than ``least`` different units have, or ``rare`` times as many as have the middle word of the unit, have become ``*``."""
     numbered = distinct.withColumn("no", F.xxhash64("unit"))
     words = numbered.select("no", F.posexplode(F.split("unit", " ")).alias("at", "word"))
-    often = words.select("no", "word").distinct().groupBy("word").count().where(F.col("count") >= least).select("word", F.lit(True).alias("often"))
-    marked = words.join(often, "word", "left").select("no", F.struct("at", F.when(F.col("often"), F.col("word")).otherwise("*").alias("w")).alias("s"))
-    text = marked.groupBy("no").agg(F.array_join(F.transform(F.array_sort(F.collect_list("s")), lambda s: s["w"]), " ").alias("masked"))
+    often = words.select("no", "word").distinct().groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    counted = words.join(often, "word", "left").select("no", F.coalesce("n", F.lit(0)).alias("n"), "at", "word")
+    # The bound grows with the units: a name of a list comes up in any number of them, if there are enough.
+    known = counted.groupBy("no").agg(F.median("n").alias("middle"), F.collect_list(F.struct("at", "word", "n")).alias("s"))
+    kept = F.transform(F.array_sort("s"), lambda s: F.when(s["n"] >= F.greatest(F.lit(float(least)), rare * F.col("middle")), s["word"]).otherwise("*"))
+    text = known.select("no", F.array_join(kept, " ").alias("masked"))
     # A unit of mostly rare words is told by its own words: else any two such units would look alike.
     stars = F.size(F.filter(F.split("masked", " "), lambda w: w == "*"))
     return numbered.join(text, "no").drop("no").withColumn("masked", F.when(stars > 0.4 * F.size(F.split("masked", " ")), F.col("unit")).otherwise(F.col("masked")))
 
 
-def _signed(classes: DataFrame) -> DataFrame:
-    """``masked, trusted`` with ``node``, ``shingles`` (hashes of five-word shingles) and their ``signature``."""
-    import pyarrow as pa
+def _shingled(classes: DataFrame) -> DataFrame:
+    """``masked, trusted`` with ``node`` and ``shingles`` (hashes of five-word shingles)."""
+    w = F.split("masked", " ")
+    shingles = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(w) - 4)), lambda i: F.xxhash64(F.array_join(F.slice(w, i, 5), " ")))
+    return classes.select("masked", "trusted", F.xxhash64("masked").alias("node"), F.array_distinct(shingles).alias("shingles"))
 
-    def run(batches: Iterator) -> Iterator:
-        import xxhash
 
-        for b in batches:
-            shingles, signatures = [], []
-            for text in b.column(0).to_pylist():
-                w = text.split(" ")
-                own = {xxhash.xxh64_intdigest(" ".join(w[i : i + 5])) for i in range(max(1, len(w) - 4))}
-                h = np.array(sorted(own), np.uint64)
-                shingles.append(h.view(np.int64).tolist())
-                signatures.append(simhash(h))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(shingles, pa.list_(pa.int64())), pa.array(signatures, pa.int64())], ["masked", "trusted", "shingles", "signature"])
+def alike(nodes: DataFrame) -> DataFrame:
+    """``a, b``, a < b: all pairs of ``node, shingles`` of similarity 0.8 or more.
 
-    signed = classes.select("masked", "trusted").mapInArrow(run, "masked string, trusted boolean, shingles array<bigint>, signature bigint")
-    return signed.withColumn("node", F.xxhash64("masked"))
+    Such a pair has four fifths of either's shingles in common. With each one's
+    shingles put in one order, the rarest first, one of them is among the first
+    fifth (and one) of both.
+    """
+    each = nodes.select("node", F.explode("shingles").alias("shingle"))
+    counts = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    ranked = each.join(counts, "shingle", "left").groupBy("node").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "shingle"))).alias("s"))
+    first = ranked.select("node", F.transform("s", lambda x: x["shingle"]).alias("shingles"), F.explode(F.expr("slice(s, 1, size(s) - (4 * size(s) + 4) div 5 + 1)")).alias("x"))
+    left = cut(first.where("x.n > 1").select("node", "shingles", F.col("x.shingle").alias("key")))
+    right = left.select(F.col("node").alias("b"), F.col("shingles").alias("shingles_b"), "key")
+    n, m, both = F.size("shingles"), F.size("shingles_b"), F.size(F.array_intersect("shingles", "shingles_b"))
+    met = left.join(right, "key").where((F.col("node") < F.col("b")) & (5 * n >= 4 * m) & (5 * m >= 4 * n) & (9 * both >= 4 * (n + m)))
+    return met.select(F.col("node").alias("a"), "b").distinct()
 
 
 def _same_filler(distinct: DataFrame) -> DataFrame:
@@ -203,13 +209,8 @@ def residue_units(found: DataFrame) -> DataFrame:
     """``unit``: units (column ``unit`` of ``found``, with ``trusted`` and ``strange``) whose component has a trusted one, or that are of the same filler."""
     distinct = cut(found.where("unit IS NOT NULL").groupBy("unit").agg(F.max("trusted").alias("trusted"), F.max("strange").alias("strange")))
     masked = cut(_masked(distinct))
-    nodes = cut(_signed(masked.groupBy("masked").agg(F.max("trusted").alias("trusted"))))
-    keyed = nodes.select("node", "signature", "shingles", hamming_keys(F.col("signature")).alias("key"))
-    other = keyed.select(F.col("node").alias("b"), F.col("signature").alias("signature_b"), F.col("shingles").alias("shingles_b"), "key")
-    near = F.bit_count(F.col("signature").bitwiseXOR(F.col("signature_b"))) <= 3
-    alike = F.size(F.array_intersect("shingles", "shingles_b")) >= 0.8 * F.size(F.array_union("shingles", "shingles_b"))
-    edges = keyed.join(other, "key").where((F.col("node") < F.col("b")) & near & alike).select(F.col("node").alias("a"), "b").distinct()
-    parts = components(edges)
+    nodes = cut(_shingled(masked.groupBy("masked").agg(F.max("trusted").alias("trusted"))))
+    parts = components(alike(nodes))
     labelled = nodes.join(parts, "node", "left").select("masked", "trusted", F.coalesce("component", "node").alias("component"))
     sure = labelled.groupBy("component").agg(F.max("trusted").alias("residue")).where("residue")
     near = masked.join(labelled.join(sure, "component", "left_semi").select("masked"), "masked", "left_semi").select("unit")

@@ -308,6 +308,32 @@ def test_residue_spreads_to_near_duplicates(spark):
     assert residue.residue_units(df).count() == 5
 
 
+
+def test_alike_pairs_are_all_found(spark):
+    r = random.Random(12)
+    rows = []
+    for _ in range(40):
+        w = [r.choice(WORDS) for _ in range(r.randint(3, 44))]
+        for k in range(6):
+            v = list(w)
+            for _ in range(k and r.randint(1, 2)):
+                at = r.choice([0, len(v) - 1, r.randrange(len(v))])
+                v[at : at + 1] = r.choice([[], [r.choice(WORDS)], [v[at], r.choice(WORDS)]])
+            rows.append(" ".join(v))
+    rows = sorted({x for x in rows if x})
+    of = {x: frozenset(tuple(x.split()[i : i + 5]) for i in range(max(1, len(x.split()) - 4))) for x in rows}
+    expected = {(a, b) for a in rows for b in rows if a < b and len(of[a] & of[b]) * 5 >= len(of[a] | of[b]) * 4}
+    nodes = residue._shingled(spark.createDataFrame([(x, False) for x in rows], "masked string, trusted boolean"))
+    name = {x["node"]: x["masked"] for x in nodes.collect()}
+    out = residue.alike(nodes).collect()
+    assert len(expected) > 50 and {tuple(sorted((name[x["a"]], name[x["b"]]))) for x in out} == expected and len(out) == len(expected)
+
+
+def test_residue_spreads_over_names_met_often(spark):
+    units_ = [(f"sorry we could not load the {WORDS[k % 20]}{'abc'[k % 3]} page of {WORDS[k // 20]}{'xy'[k % 2]} for you so please reload it", k == 0, False) for k in range(400)]
+    assert residue.residue_units(spark.createDataFrame(units_, "unit string, trusted boolean, strange boolean")).count() == 400
+
+
 def test_components_and_tables(spark):
     edges = [(1, 2), (2, 3), (9, 8), (7, 8)]
     assert {(x["node"], x["component"]) for x in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()} == {(1, 1), (2, 1), (3, 1), (7, 7), (8, 7), (9, 7)}
