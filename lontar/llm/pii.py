@@ -8,7 +8,7 @@ programming over all of them chooses boundaries and types jointly, text outside
 segments scoring 0. The weights are learnt by maximum likelihood (forward and
 backward sums over the same lattices) from the labelled sentences of
 ``pii_examples``. Which capitalised words are ordinary ones is told by a
-vocabulary of words met in lower case, fitted on at most ``FIT_ROWS`` texts.
+vocabulary of words met in lower case, counted over all texts.
 
 Types: ``email``, ``phone``, ``id_number``, ``address``, ``person_name``.
 Defined results: null and empty texts have none; start positions are from 1, in
@@ -26,10 +26,12 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lontar.llm.common import cut
+
 PLACEHOLDER = {"email": "[EMAIL]", "phone": "[PHONE]", "id_number": "[ID_NUMBER]", "address": "[ADDRESS]", "person_name": "[PERSON_NAME]"}
 MAX_LENGTH = 120
-FIT_ROWS = 20_000
-VOCABULARY = 100_000
+#: Share of all ordinary uses from which a word is an ordinary one; so there are at most 500,000.
+SHARE = 2e-6
 
 _AT, _DOT = r"(?:@|\s?[(\[{]\s?(?:at|AT|@)\s?[)\]}]\s?)", r"(?:\.|\s?[(\[{]\s?(?:dot|DOT|\.)\s?[)\]}]\s?)"
 _EMAIL = re.compile(rf"[\w.+%'-]*\w(?:{_AT})[A-Za-z0-9](?:[\w-]*\w)?(?:{_DOT}[A-Za-z0-9][\w-]*)+|[\w.+%-]*\w\s(?:at|AT)\s[A-Za-z0-9][\w-]*(?:\s(?:dot|DOT)\s[A-Za-z]\w*)+")
@@ -50,7 +52,9 @@ _PIECE = re.compile(_PART)
 _LOWER = re.compile(r"(?<![\w@.+'’-])[a-z]{3,}(?![\w@+'’-]|\.\w)")
 _INITIAL, _LEAD = re.compile(r" [a-z]\. "), re.compile(r"(?<![\w@.+-])([a-z]\.) $")
 _TITLES = frozenset("pak bu bapak ibu mr mrs ms miss dr prof sir mbak mas".split())
-_WORDS = re.compile(r"(?P<before>(?<=[a-z] )|(?<=[a-z], )|(?<=-- )|(?<=Pak )|(?<=Bu ))?(?<![\w@.])(?P<w>[A-Z]?[a-z]{2,})(?![\w@])")
+_WORD = r"(?<![\w@.])%s[a-z]{2,}(?![\w@])"
+_WORDS = re.compile(_WORD % "[A-Z]?")
+_NAMED = re.compile("(?:(?<=[a-z] )|(?<=[a-z], )|(?<=-- )|(?<=Pak )|(?<=Bu ))" + _WORD % "[A-Z]")
 
 
 def _around(text: str, start: int, end: int) -> tuple[str, str, str]:
@@ -233,32 +237,35 @@ def _trained(vocabulary: frozenset) -> dict[str, float]:
     return train(examples(), vocabulary)
 
 
-def word_uses(text: str) -> list[tuple[str, int, int]]:
-    """``(word in lower case, ordinary uses, uses as a name)`` of a text: ordinary is in lower case or at the start of a sentence, as a name is capitalised after a word in lower case."""
-    own: dict[str, list[int]] = {}
-    for m in _WORDS.finditer(_EMAIL.sub(" ", text)):
-        at = own.setdefault(m["w"].lower(), [0, 0])
-        at[m["before"] is not None and m["w"][0].isupper()] += 1
-    return [(w, *n) for w, n in own.items()]
+def word_uses(texts: Iterator[str]) -> tuple[Counter, Counter]:
+    """Ordinary uses, and uses as a name, of the words of ``texts`` in lower case: ordinary is in lower case or at the start of a sentence, as a name is capitalised after a word in lower case."""
+    every: Counter = Counter()
+    capital: Counter = Counter()
+    for t in texts:
+        if _EMAIL_CUE.search(t):
+            t = _EMAIL.sub(" ", t)
+        every.update(_WORDS.findall(t))
+        capital.update(_NAMED.findall(t))
+    plain: Counter = Counter()
+    named: Counter = Counter()
+    for w, n in every.items():
+        plain[w.lower()] += n - capital[w]
+        named[w.lower()] += capital[w]
+    return plain, named
 
 
 def fit_vocabulary(texts: DataFrame) -> frozenset:
-    """Ordinary words, of at most ``FIT_ROWS`` texts: far more often ordinary than used as names; the ``VOCABULARY`` most frequent."""
+    """Ordinary words of all ``texts``: far more often ordinary than used as names, and at least ``SHARE`` of all ordinary uses."""
     import pyarrow as pa
 
     def run(batches: Iterator) -> Iterator:
-        plain: Counter = Counter()
-        named: Counter = Counter()
-        for b in batches:
-            for t in b.column(0).to_pylist():
-                for w, x, y in word_uses(t) if t else ():
-                    plain[w] += x
-                    named[w] += y
+        plain, named = word_uses(t for b in batches for t in b.column(0).to_pylist() if t)
         words = list(plain)
         yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([plain[w] for w in words], pa.int64()), pa.array([named[w] for w in words], pa.int64())], ["word", "plain", "named"])
 
-    words = texts.select("text").where("text IS NOT NULL").limit(FIT_ROWS).mapInArrow(run, "word string, plain bigint, named bigint").groupBy("word").agg(F.sum("plain").alias("plain"), F.sum("named").alias("named"))
-    return frozenset(r["word"] for r in words.where("plain > 2 AND named < 0.2 * plain").orderBy(F.desc("plain"), "word").limit(VOCABULARY).collect())
+    words = cut(texts.select("text").where("text IS NOT NULL").mapInArrow(run, "word string, plain bigint, named bigint").groupBy("word").agg(F.sum("plain").alias("plain"), F.sum("named").alias("named")))
+    uses = words.agg(F.sum("plain")).first()[0] or 0
+    return frozenset(r["word"] for r in words.where((F.col("plain") > 2) & (F.col("plain") >= SHARE * uses) & (F.col("named") < 0.2 * F.col("plain"))).select("word").collect())
 
 
 def _model(texts: DataFrame, vocabulary: frozenset | None) -> tuple[frozenset, dict[str, float]]:

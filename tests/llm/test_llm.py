@@ -413,6 +413,20 @@ def test_spans_and_masked(spark):
     assert pii.spans(df.limit(0)).count() == 0
 
 
+def test_vocabulary_is_of_all_texts(spark):
+    few = spark.range(0, 20_100, 1, 4).select(F.lit("stir the soup").alias("text"))
+    late = spark.createDataFrame([("then ladle it gently with Orrin and orrin",)] * 5, "text string")
+    words = pii.fit_vocabulary(few.union(late))
+    assert {"soup", "gently", "ladle"} <= words and "orrin" not in words
+    assert pii.fit_vocabulary(late.union(few)) == words and pii.fit_vocabulary(few.limit(0)) == frozenset()
+
+
+def test_vocabulary_goes_by_share(spark):
+    many = spark.range(0, 100, 1, 4).select(F.repeat(F.lit("soup "), 20_000).alias("text"))
+    late = spark.createDataFrame([("soup by marla",)] * 3, "text string")
+    assert pii.fit_vocabulary(many.union(late)) == {"soup"} and "marla" in pii.fit_vocabulary(late)
+
+
 # --- 1 -------------------------------------------------------------------------------------------------------------
 
 
