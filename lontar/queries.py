@@ -523,7 +523,16 @@ def _score_sql(full: str) -> str:
 
 @query(f"WITH f AS (SELECT doc_id, lower(coalesce(title, '') || ' ' || text) AS full_text FROM documents WHERE lang = 'en'), g AS (SELECT *, CASE WHEN {_count('full_text', _PIECES)} > 0 THEN ln({_count('full_text', _PIECES)} + 1.0) ELSE 1.0 END AS w FROM f), s AS (SELECT doc_id, list_reverse_sort({_score_sql('full_text')}) AS s FROM g) SELECT doc_id, s[1].topic AS topic, round(s[1].score, 6) AS best, round(s[2].score, 6) AS second FROM s")
 def class_scores(spark, d):
-    e = _t(spark, d, "documents").where("lang = 'en'")
+    return _class_scores(_t(spark, d, "documents").where("lang = 'en'"))
+
+
+@query(SQL["class_scores"].replace(" WHERE lang = 'en'", ""))
+def class_all_scores(spark, d):
+    """Of all documents, whatever their language."""
+    return _class_scores(_t(spark, d, "documents"))
+
+
+def _class_scores(e: DataFrame) -> DataFrame:
     s = F.sort_array(classify.scores(F.col("title"), F.col("text")), asc=False)
     return e.select("doc_id", s.alias("s")).select("doc_id", F.col("s")[0]["topic"].alias("topic"), F.round(F.col("s")[0]["score"], 6).alias("best"), F.round(F.col("s")[1]["score"], 6).alias("second"))
 
