@@ -117,7 +117,7 @@ def trusted(line: str) -> bool:
 
 
 def units(texts: DataFrame) -> DataFrame:
-    """``texts`` (keys and ``text``) as ``keys, placeholder, unit, trusted, strange, share``: a row per line to look at, and one without unit per record with a placeholder."""
+    """``texts`` (keys and ``text``) as ``keys, placeholder, unit, trusted, strange, share``: a row per different line to look at, and one without unit per record with a placeholder."""
     import pyarrow as pa
 
     keep = [c for c in texts.columns if c != "text"]
@@ -140,6 +140,7 @@ def units(texts: DataFrame) -> DataFrame:
                 if not looked:
                     continue
                 total = max(1, sum(len(s.strip()) for s in raw))
+                own: dict[str, list] = {}  # a line that stands several times counts each time
                 for i, line in looked:
                     words = WORD.findall(line.lower())
                     strange = _strange(line)
@@ -148,7 +149,10 @@ def units(texts: DataFrame) -> DataFrame:
                         size = len(line)
                         if i + 1 < len(raw) and _ATTACHED.search(raw[i + 1].strip()):
                             size += len(raw[i + 1].strip())
-                        add(k, False, " ".join("0" if any(c.isdigit() for c in w) else w for w in words), label or trusted(line), strange, size / total)
+                        unit = own.setdefault(" ".join("0" if any(c.isdigit() for c in w) else w for w in words), [False, False, 0.0])
+                        unit[:] = unit[0] or label or trusted(line), unit[1] or strange, unit[2] + size / total
+                for unit, (sure_, odd_, share) in own.items():
+                    add(k, False, unit, sure_, odd_, share)
             at = pa.array(rows, pa.int64())
             cols = [pa.array(places, pa.bool_()), pa.array(found, pa.string()), pa.array(sure, pa.bool_()), pa.array(odd, pa.bool_()), pa.array(shares, pa.float64())]
             yield pa.RecordBatch.from_arrays([*(b.column(k).take(at) for k in range(len(keep))), *cols], [*keep, "placeholder", "unit", "trusted", "strange", "share"])

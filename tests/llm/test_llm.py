@@ -309,6 +309,12 @@ def test_residue_spreads_to_near_duplicates(spark):
 
 
 
+def test_residue_counts_a_line_as_often_as_it_stands(spark):
+    rows = [("n", "thrice", "\n".join(f"Error 503 on zxcvb. Please try again later, ref {k}" for k in range(3))), ("n", "once", PROSE + "\nError 503 on zxcvb. Please try again later, ref 1")]
+    df = spark.createDataFrame(rows + rows[1:] * 4, "table_name string, record_id string, text string")
+    assert [x["record_id"] for x in residue.residue(df, ("p",)).collect()] == ["thrice"]
+
+
 def test_alike_pairs_are_all_found(spark):
     r = random.Random(12)
     rows = []
