@@ -88,8 +88,9 @@ _ATTACHED = re.compile(r"^(?:reference|ref|ticket|incident|request id|kode rujuk
 #: Words of filler text (fixed values).
 _FILLER = frozenset("lorem ipsum dolor amet sit consectetur adipiscing elit sed eiusmod tempor incididunt labore dolore magna aliqua".split())
 _REPEATED = frozenset("contoh sampel konten isi teks dummy sample content text here filler placeholder kalimat paragraf".split())
-#: Longer lines are prose: messages are short; filler of any length is told by its words.
+#: A longer line is a unit like any other, but a pattern, which looks at its start, is trusted only if half of its characters are in sentences with a cue.
 UNIT_WORDS = 45
+_SENTENCE = re.compile(r"(?<=[.!?])\s+")
 
 
 #: Small words, one of which nearly every real line of some length has.
@@ -112,8 +113,13 @@ def _filler(words: list[str], strange: bool = False) -> bool:
     return len({w for w in words if w in _FILLER}) >= 2 and latin >= 0.08 * n and "the" not in words and "yang" not in words or stock >= 0.6 * n and len(set(words)) <= 0.7 * n
 
 
-def trusted(line: str) -> bool:
-    return any(p.search(line) for p in _TRUSTED)
+def trusted(line: str, long: bool = False) -> bool:
+    return any(p.search(line) for p in _TRUSTED) and (not long or _mostly_cued(line))
+
+
+def _mostly_cued(line: str) -> bool:
+    parts = _SENTENCE.split(line)
+    return 2 * sum(len(s) for s in parts if _cued_lines(s)) >= sum(map(len, parts))
 
 
 def units(texts: DataFrame) -> DataFrame:
@@ -145,12 +151,11 @@ def units(texts: DataFrame) -> DataFrame:
                     words = WORD.findall(line.lower())
                     strange = _strange(line)
                     label = _filler(words, strange)
-                    if label or len(words) <= UNIT_WORDS:
-                        size = len(line)
-                        if i + 1 < len(raw) and _ATTACHED.search(raw[i + 1].strip()):
-                            size += len(raw[i + 1].strip())
-                        unit = own.setdefault(" ".join("0" if any(c.isdigit() for c in w) else w for w in words), [False, False, 0.0])
-                        unit[:] = unit[0] or label or trusted(line), unit[1] or strange, unit[2] + size / total
+                    size = len(line)
+                    if i + 1 < len(raw) and _ATTACHED.search(raw[i + 1].strip()):
+                        size += len(raw[i + 1].strip())
+                    unit = own.setdefault(" ".join("0" if any(c.isdigit() for c in w) else w for w in words), [False, False, 0.0])
+                    unit[:] = unit[0] or label or trusted(line, len(words) > UNIT_WORDS), unit[1] or strange, unit[2] + size / total
                 for unit, (sure_, odd_, share) in own.items():
                     add(k, False, unit, sure_, odd_, share)
             at = pa.array(rows, pa.int64())
@@ -193,12 +198,13 @@ def alike(nodes: DataFrame) -> DataFrame:
     each = nodes.select("node", F.explode("shingles").alias("shingle"))
     counts = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
     ranked = each.join(counts, "shingle", "left").groupBy("node").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "shingle"))).alias("s"))
-    first = ranked.select("node", F.transform("s", lambda x: x["shingle"]).alias("shingles"), F.explode(F.expr("slice(s, 1, size(s) - (4 * size(s) + 4) div 5 + 1)")).alias("x"))
-    left = cut(first.where("x.n > 1").select("node", "shingles", F.col("x.shingle").alias("key")))
-    right = left.select(F.col("node").alias("b"), F.col("shingles").alias("shingles_b"), "key")
-    n, m, both = F.size("shingles"), F.size("shingles_b"), F.size(F.array_intersect("shingles", "shingles_b"))
-    met = left.join(right, "key").where((F.col("node") < F.col("b")) & (5 * n >= 4 * m) & (5 * m >= 4 * n) & (9 * both >= 4 * (n + m)))
-    return met.select(F.col("node").alias("a"), "b").distinct()
+    first = ranked.select("node", F.explode(F.expr("slice(s, 1, size(s) - (4 * size(s) + 4) div 5 + 1)")).alias("x"))
+    left = cut(first.where("x.n > 1").select("node", F.col("x.shingle").alias("key")))
+    met = cut(left.join(left.withColumnRenamed("node", "b"), "key").where("node < b").select("node", "b").distinct())
+    known = nodes.select("node", "shingles")
+    both = met.join(known, "node").join(known.toDF("b", "shingles_b"), "b")
+    same = 9 * F.size(F.array_intersect("shingles", "shingles_b")) >= 4 * (F.size("shingles") + F.size("shingles_b"))
+    return both.where(same).select(F.col("node").alias("a"), "b")
 
 
 def _same_filler(distinct: DataFrame) -> DataFrame:

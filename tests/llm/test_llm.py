@@ -315,6 +315,13 @@ def test_residue_counts_a_line_as_often_as_it_stands(spark):
     assert [x["record_id"] for x in residue.residue(df, ("p",)).collect()] == ["thrice"]
 
 
+def test_residue_of_long_lines(spark):
+    long = "Error 503 on zxcvb. The service is unavailable because of maintenance that takes longer than we had hoped. Please try again later or reload the page in a short while. If the error comes up again, write to us and tell us the reference below, the time at which the error came up and the page that was not found."
+    rows = [("n", "long", long), ("p", "long", "Menu\n" + long + "\nFooter"), ("n", "prose", "Error 503 on zxcvb. " + PROSE * 3), ("p", "prose", "Error 503 on zxcvb. " + PROSE * 3)]
+    df = spark.createDataFrame(rows, "table_name string, record_id string, text string")
+    assert {(x["table_name"], x["record_id"]) for x in residue.residue(df, ("p",)).collect()} == {("n", "long"), ("p", "long")}
+
+
 def test_alike_pairs_are_all_found(spark):
     r = random.Random(12)
     rows = []
