@@ -2,17 +2,40 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Written once to the checkpoint folder; one of our own is used only where none is set (tests, notebooks)."""
-    sc = df.sparkSession.sparkContext
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder: the one the context has, else the one of ``spark.checkpoint.dir``.
+
+    Where neither is set, a folder of our own is used on one machine only
+    (removed at exit); a cluster without a shared folder is an error.
+    """
+    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lontar-checkpoint-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            named = tempfile.mkdtemp(prefix="lontar-checkpoint-")
+            atexit.register(shutil.rmtree, named, ignore_errors=True)
+        sc.setCheckpointDir(named)
+    return sc.getCheckpointDir()
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the checkpoint folder, for a table of one run."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Written once to the checkpoint folder, with its lineage cut."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
