@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import re
-import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lontar.plans.stage import cut, fresh_folder  # noqa: F401
+
 #: Words: runs of letters, digits or "_", compared in lower case.
 WORD = re.compile(r"\w+")
 
@@ -16,19 +17,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and cut its lineage.
-
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only
-    where none is set (tests, notebooks) a folder of our own is used.
-    """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="lontar-checkpoint-"))
-    return df.checkpoint(eager=True)
-
-
 def site_of(url: Column) -> Column:
     """Host of an address in lower case, without user, port and a leading ``www.``; null if there is none."""
     host = F.lower(F.regexp_extract(F.trim(url), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1))

@@ -3,55 +3,71 @@
 Method: a pivot-distance table. Each text is the set of its word triples; sets
 are compared in the symmetric-difference metric |A - B| + |B - A|, for which a
 Jaccard similarity of s or more means a distance of at most
-(1 - s) / (1 + s) * (|A| + |B|). The fixed pivots are the empty sets of
-``PIVOTS`` disjoint parts of all possible triples (parts by hash), so the
-distance to a pivot is the number of a set's triples in that part, and by the
-triangle inequality the sum of the differences over all pivots bounds the
-distance of two sets from below. The table keeps these distances, written once
-per text; a batch is joined with it, pruned by them, and what remains is
-verified by the true similarity. Accepted batches are appended as rows.
-
-Distances to single pivots prune too little here, whatever the pivots: nearly
-all texts are at nearly the same distance from any fixed set (see README). Many
-pivots together do prune; and so as not to look at every pair for that, rows
-meet on their rarest triples: two sets of similarity s share one of the
-``n - ceil(s * n) + 1`` triples that come first in any fixed order. The order
-(rare ones first) is fitted on at most ``FIT_ROWS`` texts; it changes the speed
-and never the result.
-
-A batch of bounded size goes to the history: in blocks of at most
-``BLOCK_TRIPLES`` triples it is sent to every executor, and the table is matched
-where it lies, without a shuffle. A batch of more than ``MAX_BLOCKS`` blocks is
-joined with the table by a shuffle instead; both ways give the same rows.
+(1 - s) / (1 + s) * (|A| + |B|). The fixed pivots are the empty set, whose
+distance is a set's size, and the empty sets of ``PIVOTS`` disjoint parts of all
+possible triples (parts by hash), whose distances are the numbers of a set's
+triples in each part; by the triangle inequality the sum of the differences over
+the parts bounds the distance of two sets from below.
+
+``HistoryTable`` keeps these distances on disk, with the triples (as hashes) and
+the keys of address and exact text, in folders by ranges of the distance to the
+empty set. History is written once; a batch is signed, appended, and compared
+with the rows of smaller batches: only the table is read, never an old text.
+
+1. Join on the range: a probe goes to the ranges that the triangle inequality
+   leaves for its size, and there meets the rows with which it shares one of the
+   triples that come first in one fixed order of all triples. Two sets A and B of
+   similarity s have ceil(s / (1 + s) * (|A| + |B|)) triples in common, so one
+   common triple is among the first |A| + 1 less that number of A, and of B.
+2. Prune by the distances to all pivots.
+3. Verify by the true distance of the two triple sets.
+
+The order puts triples that many texts have last. It is fitted on a random
+sample of about ``SAMPLE`` texts of all history and stored with the table; it
+changes the speed and never the result. A triple the sample lacks is a rare one:
+one that a thousandth of the texts have is missing with a chance of e ** -20.
+
+A triple that is first in very many texts all the same (of a text with a great
+many near copies) is hot. Hot triples are met with a few representatives each
+first, which tells nearly every copy; only probes still unknown then go to the
+rest of the hot rows, in a salted join. Both ways together are exact.
 
 Defined results: null texts and texts under three words have no triples and are
 never near-duplicates; null or empty addresses match none; texts without any
-word have no exact hash; equal rows of one batch are not compared.
+word have no exact hash; rows of one batch are not compared; a null batch number
+is never compared.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lontar.llm.common import WORD, cut
+from lontar.llm.common import WORD, cut, fresh_folder, sized
 
 SIMILARITY = 0.6
 PIVOTS = 64
-#: Texts on which the order of triples is fitted.
-FIT_ROWS = 5_000
-#: Triples of a block of new texts that every executor holds (8 bytes each, and as much again for their index).
-BLOCK_TRIPLES = 8_000_000
-#: More blocks than this are joined by a shuffle.
-MAX_BLOCKS = 16
-#: Pairs of a block's and the history's texts looked at at once.
-PAIRS = 4_000_000
-#: Words whose hashes a worker remembers.
+#: Texts on which the order of triples is fitted, and uses among them from which a triple has a place of its own (so there are at most a third as many as triples in the sample).
+SAMPLE, USES = 20_000, 3
+#: A triple is hot from so many texts on (estimated by the sample).
+HOT = 10_000
+#: Representatives of a hot triple, and salts of the join of what they leave.
+REPRESENTATIVES, SALTS = 16, 16
+#: Quotient of the ends of a range of distances to the empty set.
+RANGE = 1.67
+#: Words whose hashes a worker remembers, and texts that it knows it has signed.
 REMEMBERED = 500_000
+#: Texts and characters signed at once.
+AT_ONCE, CHARS = 2_048, 4_000_000
+
+_HASH_BITS, _CLASSES = 42, 63
+_HASH = np.uint64((1 << _HASH_BITS) - 1)
+_NO_WORD = re.compile(r"[^\w ]+")
 
 
 def normal_url(url: Column) -> Column:
@@ -64,10 +80,12 @@ def normal_url(url: Column) -> Column:
     return F.when(host == "", None).otherwise(F.concat(host, path, F.when(kept == "", "").otherwise(F.concat(F.lit("?"), kept))))
 
 
-def exact_hash(text: Column) -> Column:
-    """SHA-256 of the text in lower case, white space runs made one space, all but word characters and spaces dropped, stripped; null if nothing is left."""
-    t = F.trim(F.regexp_replace(F.regexp_replace(F.lower(text), r"(?U)\s+", " "), r"[^\p{L}\p{N}_ ]", ""))
-    return F.when(t != "", F.sha2(t, 256))
+def exact_hash(text: str) -> bytes | None:
+    """First half of the SHA-256 of the text in lower case, white space runs made one space, all but word characters and spaces dropped, stripped; None if nothing is left."""
+    from hashlib import sha256
+
+    t = _NO_WORD.sub("", " ".join(text.lower().split())).strip()
+    return sha256(t.encode("utf-8", "surrogatepass")).digest()[:16] if t else None
 
 
 _memory: dict[str, int] = {}
@@ -85,8 +103,8 @@ def _word_hashes(words: list[str]) -> np.ndarray:
     return np.array(out, np.uint64)
 
 
-def triple_sets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Number of the text and hash of each of its distinct word triples, sorted by text."""
+def triple_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the text and hash (``_HASH_BITS`` bits) of each of its word triples, in the order of the text."""
     words, lengths = [], []
     for t in texts:
         w = WORD.findall(t.lower()) if t else []
@@ -100,274 +118,290 @@ def triple_sets(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         t ^= t >> np.uint64(32)
         t *= np.uint64(0xBF58476D1CE4E5B9)
         t ^= t >> np.uint64(29)
-    lengths = np.array(lengths)
-    text = np.repeat(np.arange(len(texts)), lengths)
+    text = np.repeat(np.arange(len(texts)), np.array(lengths))
     within = text[:-2] == text[2:]
-    text, t = text[:-2][within], t[within]
-    order = np.lexsort((t, text))
-    text, t = text[order], t[order]
-    fresh = np.concatenate(([True], (t[1:] != t[:-1]) | (text[1:] != text[:-1]))) if len(t) else np.zeros(0, bool)
-    return text[fresh], t[fresh]
+    return text[:-2][within], t[within] & _HASH
+
+
+Order = tuple[np.ndarray, np.ndarray, int]
 
 
-def fit_order(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Triples that occur in several of at most ``FIT_ROWS`` texts, sorted by hash, and how many of them have each."""
+def fit_order(texts: DataFrame) -> DataFrame:
+    """``t, place``: triples that several texts of a random sample have, and their class from 1 (rare) to ``_CLASSES``, a step for each 12 per cent more uses; the row of ``t`` -1 has the class from which a triple is hot."""
     import pyarrow as pa
 
     def run(batches: Iterator) -> Iterator:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(triple_sets(b.column(0).to_pylist())[1].view(np.int64))], ["t"])
-
-    common = texts.select("text").where("text IS NOT NULL").limit(FIT_ROWS).mapInArrow(run, "t bigint").groupBy("t").count().where("count > 2")
-    rows = common.orderBy(F.desc("count"), "t").limit(200_000).toArrow()
-    t, n = rows.column("t").to_numpy().view(np.uint64), rows.column("count").to_numpy()
-    order = np.argsort(t)
-    return t[order], n[order]
+            own = b.column(0).to_pylist()
+            for i in range(0, len(own), AT_ONCE):
+                text, t = triple_hashes(own[i : i + AT_ONCE])
+                t = np.unique((text.astype(np.uint64) << np.uint64(_HASH_BITS)) | t) & _HASH
+                t, n = np.unique(t, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(t.astype(np.int64)), pa.array(n)], ["t", "n"])
+
+    spark = texts.sparkSession
+    rows = texts.count()
+    sample = texts.select("text").where("text IS NOT NULL").sample(min(1.0, SAMPLE / max(1, rows)), seed=7)
+    often = sample.mapInArrow(run, "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n")).where(F.col("n") >= USES)
+    klass = lambda n: F.least(F.lit(_CLASSES), 1 + F.floor(F.log(n / F.lit(float(USES))) / math.log(1.12))).cast("int")
+    hot = F.greatest(F.lit(float(USES)), F.lit(HOT * min(1.0, SAMPLE / max(1, rows))))
+    return often.select("t", klass(F.col("n")).alias("place")).union(spark.range(1).select(F.lit(-1).cast("long"), klass(hot)))
 
 
 def pivot_distances(text: np.ndarray, triples: np.ndarray, size: int) -> np.ndarray:
-    """``[size, PIVOTS]``: triples of each text in each part of all triples, the distances to the parts' empty sets."""
-    return np.bincount(text * PIVOTS + (triples >> np.uint64(40)).astype(np.int64) % PIVOTS, minlength=size * PIVOTS).reshape(size, PIVOTS)
-
-
-def first_triples(text: np.ndarray, triples: np.ndarray, n: np.ndarray, order: tuple[np.ndarray, np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Number of the text and triple, of the triples one of which any similar text shares."""
-    known, often = order
-    at = np.minimum(np.searchsorted(known, triples), max(0, len(known) - 1))
-    rank = np.where(known[at] == triples, often[at], 0) if len(known) else np.zeros(len(triples), np.int64)
-    o = np.lexsort((triples, rank, text))
-    place = np.arange(len(triples)) - np.repeat(np.cumsum(n) - n, n)
-    first = place < np.repeat(n - np.ceil(similarity * n - 1e-9).astype(np.int64) + 1, n)
-    return text[first], triples[o][first]
-
-
-class Block:
-    """New texts as the history's rows are matched with them: their triples, pivot distances and an index of their first triples."""
-
-    def __init__(self, batch: np.ndarray, text: np.ndarray, triples: np.ndarray, order: tuple[np.ndarray, np.ndarray], similarity: float):
-        size = len(batch)
-        self.batch, self.similarity, self.order = batch, similarity, order
-        self.n = np.bincount(text, minlength=size)
-        self.start = np.concatenate(([0], np.cumsum(self.n)))
-        self.triples, self.pivots = triples, pivot_distances(text, triples, size).astype(np.int16)
-        owner, firsts = first_triples(text, triples, self.n, order, similarity)
-        o = np.argsort(firsts, kind="stable")
-        self.firsts, self.owner = firsts[o], owner[o]
-
-    def match(self, batches: np.ndarray, text: np.ndarray, triples: np.ndarray, best: np.ndarray) -> None:
-        """Lowers ``best`` (of each own text) to the smallest batch of a similar text among the given ones.
-
-        A pair is only looked at if it could lower it, so a text with very many
-        similar ones costs no more than one with few.
-        """
-        s, size = self.similarity, len(batches)
-        n = np.bincount(text, minlength=size)
-        start = np.concatenate(([0], np.cumsum(n)))
-        pivots = pivot_distances(text, triples, size).astype(np.int16)
-        owner, firsts = first_triples(text, triples, n, self.order, s)
-        lo, hi = np.searchsorted(self.firsts, firsts, "left"), np.searchsorted(self.firsts, firsts, "right")
-        total = np.concatenate(([0], np.cumsum(hi - lo)))
-        at = 0
-        while at < len(firsts):
-            end = max(at + 1, int(np.searchsorted(total, total[at] + PAIRS, "right")) - 1)
-            k = hi[at:end] - lo[at:end]
-            theirs = np.repeat(owner[at:end], k)
-            own = self.owner[np.repeat(lo[at:end] - np.concatenate(([0], np.cumsum(k)[:-1])), k) + np.arange(k.sum())]
-            at = end
-            a, b = self.n[own], n[theirs]
-            near = (batches[theirs] < best[own]) & (np.minimum(a, b) >= s * np.maximum(a, b) - 1e-9)
-            pair = np.unique(theirs[near] * len(self.batch) + own[near])
-            theirs, own = pair // len(self.batch), pair % len(self.batch)
-            apart = np.concatenate([np.abs(self.pivots[own[i : i + 100_000]] - pivots[theirs[i : i + 100_000]]).sum(1) for i in range(0, len(pair), 100_000)] or [np.zeros(0)])
-            near = apart <= (1 - s) / (1 + s) * (self.n[own] + n[theirs]) + 1e-9
-            for x, y in zip(own[near], theirs[near]):
-                if batches[y] >= best[x]:
-                    continue
-                one, two = self.triples[self.start[x] : self.start[x + 1]], triples[start[y] : start[y + 1]]
-                common = len(np.intersect1d(one, two, assume_unique=True))
-                if common >= s * (len(one) + len(two) - common) - 1e-9:
-                    best[x] = batches[y]
-
-
-def _matched(new: DataFrame, rows: DataFrame, order: tuple[np.ndarray, np.ndarray], similarity: float, blocks: int) -> DataFrame:
-    """``key, first_batch``: texts of ``new`` (``key, batch, text``) with the smallest batch of a similar text in ``rows`` (``batch, text``)."""
-    import pyarrow as pa
+    """``[size, PIVOTS]``: distances to the parts' empty sets, cut off at 255, which keeps differences lower bounds."""
+    part = (triples & np.uint64(PIVOTS - 1)).astype(np.int64)
+    return np.minimum(255, np.bincount(text * PIVOTS + part, minlength=size * PIVOTS)).astype(np.uint8).reshape(size, PIVOTS)
 
-    spark, out = new.sparkSession, None
-    if blocks > 1:
-        new = cut(new)
-    for k in range(blocks):
-        part = new.where(F.pmod(F.xxhash64("key"), F.lit(blocks)) == k).select("key", "batch", "text").toArrow()
-        text, triples = triple_sets(part.column("text").to_pylist())
-        block = Block(part.column("batch").to_numpy().astype(np.int64), text, triples, order, similarity)
-        keys = part.column("key").to_pylist()
-        shared = spark.sparkContext.broadcast((block, keys))
-
-        def run(batches: Iterator, shared=shared) -> Iterator:
-            block, keys = shared.value
-            best = block.batch.copy()  # only texts of a smaller batch count
-            for b in batches:
-                texts, number = b.column(1).to_pylist(), b.column(0).to_numpy()
-                for i in range(0, len(texts), 2_000):
-                    block.match(number[i : i + 2_000], *triple_sets(texts[i : i + 2_000]), best)
-            found = np.flatnonzero(best < block.batch)
-            yield pa.RecordBatch.from_arrays([pa.array([keys[x] for x in found], pa.binary()), pa.array(best[found], pa.int32())], ["key", "first_batch"])
-
-        one = rows.select("batch", "text").mapInArrow(run, "key binary, first_batch int")
-        out = one if out is None else out.unionByName(one)
-    return out.groupBy("key").agg(F.min("first_batch").alias("first_batch"))
-
-
-def signatures(df: DataFrame, order: tuple[np.ndarray, np.ndarray], similarity: float = SIMILARITY) -> DataFrame:
-    """The pivot-distance table: the columns of ``df`` besides ``text``, and ``n`` (triples), ``pivots`` (distances), ``firsts`` (rarest triples).
-
-    Texts of fewer than three words have no row.
-    """
-    import pyarrow as pa
 
-    keep = [c for c in df.columns if c != "text"]
-    shared = df.sparkSession.sparkContext.broadcast(order)
+def common_least(a: Column | np.ndarray, b: Column | np.ndarray, similarity: float):
+    """Triples that sets of ``a`` and ``b`` triples have in common at the least, times one: compare with whole numbers."""
+    return (a + b) * (similarity / (1 + similarity)) - 1e-9
 
-    def run(batches: Iterator) -> Iterator:
-        known, often = shared.value
-        for b in batches:
-            text, t = triple_sets(b.column(len(keep)).to_pylist())
-            size = b.num_rows
-            n = np.bincount(text, minlength=size)
-            pivots = pivot_distances(text, t, size)
-            owner, firsts = first_triples(text, t, n, (known, often), similarity)
-            firsts, many = firsts.view(np.int64), np.bincount(owner, minlength=size)
-            rows = pa.array(np.flatnonzero(n))
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(many))), pa.int32()), pa.array(firsts))
-            flat = pa.ListArray.from_arrays(pa.array(np.arange(size + 1) * PIVOTS, pa.int32()), pa.array(pivots.ravel(), pa.int32()))
-            cols = [b.column(k) for k in range(len(keep))] + [pa.array(n, pa.int32()), flat, lists]
-            yield pa.RecordBatch.from_arrays([c.take(rows) for c in cols], [*keep, "n", "pivots", "firsts"])
-
-    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
-    return df.select(*keep, "text").mapInArrow(run, f"{schema}, n int, pivots array<int>, firsts array<bigint>")
-
-
-def candidates(probes: DataFrame, table: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``key, other``: texts of ``probes`` and earlier ones of ``table`` that the pivots don't tell apart.
-
-    Both have ``key, batch, n, pivots, firsts``; only rows of ``table`` of a
-    smaller ``batch`` count.
-    """
-    a = probes.select("key", "batch", "n", "pivots", F.explode("firsts").alias("first"))
-    b = table.select(F.col("key").alias("other"), F.col("batch").alias("other_batch"), F.col("n").alias("other_n"), F.col("pivots").alias("other_pivots"), F.explode("firsts").alias("first"))
-    apart = F.aggregate(F.zip_with("pivots", "other_pivots", lambda x, y: F.abs(x - y)), F.lit(0), lambda s, x: s + x)
-    both = F.col("n") + F.col("other_n")
-    near = (F.col("other_batch") < F.col("batch")) & (F.least("n", "other_n") >= similarity * F.greatest("n", "other_n") - 1e-9) & (apart <= (1 - similarity) / (1 + similarity) * both + 1e-9)
-    return a.join(b, "first").where(near).select("key", "other").distinct()
 
+def range_of(n: np.ndarray | int) -> np.ndarray:
+    """Range of the distance to the empty set."""
+    return np.floor(np.log(np.maximum(1, n)) / math.log(RANGE) + 1e-9).astype(np.int64)
 
-def jaccard(pairs: DataFrame) -> DataFrame:
-    """``pairs`` (last columns ``text_a, text_b``) with the true ``similarity`` of the triple sets instead of the texts."""
-    import pyarrow as pa
 
-    keep = pairs.columns[:-2]
+def _packed(values: np.ndarray) -> np.ndarray:
+    """Six bytes of each value."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8)[:, :6].ravel()
 
-    def run(batches: Iterator) -> Iterator:
-        for b in batches:
-            out = []
-            for x, y in zip(b.column(len(keep)).to_pylist(), b.column(len(keep) + 1).to_pylist()):
-                sets = []
-                for t in (x, y):
-                    w = WORD.findall(t.lower())
-                    sets.append(set(zip(w, w[1:], w[2:])))
-                union = len(sets[0] | sets[1])
-                out.append(len(sets[0] & sets[1]) / union if union else 0.0)
-            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(len(keep))), pa.array(out, pa.float64())], [*keep, "similarity"])
 
-    schema = ", ".join(f"`{c}` {pairs.schema[c].dataType.simpleString()}" for c in keep)
-    return pairs.mapInArrow(run, f"{schema}, similarity double")
+def _unpacked(raw: bytes | np.ndarray) -> np.ndarray:
+    six = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    out = np.zeros((len(six), 8), np.uint8)
+    out[:, :6] = six
+    return out.view(np.uint64).ravel()
 
 
-def known_articles(incoming: DataFrame, history: DataFrame, index: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``id, reason`` (url, exact, near) of rows of ``incoming`` that history or an earlier batch has.
+def _binary(flat: np.ndarray, ends: np.ndarray, missing: np.ndarray | None = None):
+    """An Arrow column of the slices of ``flat`` between ``ends``."""
+    import pyarrow as pa
 
-    ``history`` is batch 0. Each text is signed once; the batches meet the
-    history and the earlier batches in one join, on the batch number.
-    """
-    new = incoming.select("id", F.col("batch_no").cast("int").alias("batch"), "source_url", "text")
-    old = history.select(F.lit(0).alias("batch"), "source_url", "text")
-    rows = new.select("batch", "source_url", "text").unionByName(old)
-
-    def earlier(mine: Column, known: DataFrame, reason: str) -> DataFrame:
-        """``known`` has ``v, batch``; its smallest batch per value is aggregated before anything is joined."""
-        first = known.where("v IS NOT NULL").groupBy("v").agg(F.min("batch").alias("first_batch"))
-        return new.select("id", "batch", mine.alias("v")).where("v IS NOT NULL").join(first, "v").where("first_batch < batch").select("id", F.lit(reason).alias("reason"))
-
-    by_url = earlier(normal_url(F.col("source_url")), rows.select(normal_url(F.col("source_url")).alias("v"), "batch"), "url")
-    hashes = rows.select(exact_hash(F.col("text")).alias("v"), "batch").unionByName(index.select(F.col("exact_hash").alias("v"), F.lit(0).alias("batch")))
-    by_hash = earlier(exact_hash(F.col("text")), hashes, "exact")
-
-    key = F.unhex(F.substring(F.sha2("text", 256), 1, 32)).alias("key")
-    order = fit_order(history)
-    mine = new.where("text IS NOT NULL").select("id", "batch", key, "text")
-    probes = mine.groupBy("key").agg(F.max("batch").alias("batch"), F.first("text").alias("text"))
-    words = probes.agg(F.coalesce(F.sum(F.length("text") / 4), F.lit(0)).alias("w")).first()["w"]  # no more triples than that, but for very short words
-    blocks = int(words // BLOCK_TRIPLES) + 1
-    if blocks <= MAX_BLOCKS:
-        near = _matched(probes, rows.where("text IS NOT NULL"), order, similarity, blocks)
-    else:
-        near = _joined(mine, rows.where("text IS NOT NULL").select(key, "batch", "text"), order, similarity)
-    by_text = mine.select("id", "batch", "key").join(near, "key").where("first_batch < batch").select("id", F.lit("near").alias("reason"))
-    return by_url.unionByName(by_hash).unionByName(by_text).distinct()
-
-
-def _joined(mine: DataFrame, rows: DataFrame, order: tuple[np.ndarray, np.ndarray], similarity: float) -> DataFrame:
-    """As ``_matched``, by a shuffle on the first triples; for new texts of any number."""
-    # One row per text, with its first batch: copies are not compared with each other's partners again.
-    texts = rows.groupBy("key").agg(F.min("batch").alias("batch"), F.first("text").alias("text"))
-    signed = cut(signatures(texts, order, similarity))
-    probes = cut(signatures(mine.groupBy("key").agg(F.max("batch").alias("batch"), F.first("text").alias("text")), order, similarity))
-    found = cut(candidates(probes, signed, similarity))
-    other = rows.select("key", "text").join(found.select(F.col("other").alias("key")).distinct().hint("merge"), "key", "left_semi").dropDuplicates(["key"])
-    one = mine.select("key", F.col("text").alias("text_a")).dropDuplicates(["key"])
-    pairs = found.join(one.hint("merge"), "key").join(other.select(F.col("key").alias("other"), F.col("text").alias("text_b")).hint("merge"), "other").select("key", "other", "text_a", "text_b")
-    near = jaccard(pairs).where(F.col("similarity") >= similarity - 1e-12)
-    first = signed.select(F.col("key").alias("other"), F.col("batch").alias("first_batch"))
-    return near.join(first.hint("merge"), "other").groupBy("key").agg(F.min("first_batch").alias("first_batch"))
+    offsets = pa.py_buffer(np.concatenate(([0], ends)).astype(np.int32).tobytes())
+    valid = None if missing is None else pa.py_buffer(np.packbits(~missing, bitorder="little").tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(ends), [valid, offsets, pa.py_buffer(flat.tobytes())])
 
 
-class HistoryTable:
-    """The pivot-distance table on disk: checked and extended batch by batch, history is signed once.
+_SIGNED = "id string, batch int, address binary, exact binary, row bigint, n int, range int, pivots binary, triples binary"
+
 
-    The folder holds ``signatures`` and ``order``; both are written by
-    ``create`` and only appended to afterwards.
+def sign(rows: DataFrame, order: Order) -> DataFrame:
+    """Rows of the table for ``rows`` (``id, batch, address, text``).
+
+    Copies of a text in one batch are signed once per task; the others have
+    their keys only (range -1), so a text in a third of all rows is no hot one.
     """
+    import pyarrow as pa
+
+    shared = rows.sparkSession.sparkContext.broadcast(order)
+
+    def run(batches: Iterator) -> Iterator:
+        import xxhash
+
+        known, place, _ = shared.value
+        seen: set = set()
+        for whole in batches:
+            sizes = np.cumsum([len(t or "") for t in whole.column(3).to_pylist()])
+            at = 0
+            while at < whole.num_rows:
+                end = min(at + AT_ONCE, max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + CHARS, "right"))))
+                b = whole.slice(at, end - at)
+                at = end
+                texts, numbers, size = b.column(3).to_pylist(), b.column(1).to_pylist(), b.num_rows
+                row = np.array([xxhash.xxh64_intdigest(t) if t else 0 for t in texts], np.uint64)
+                if len(seen) > REMEMBERED:
+                    seen.clear()
+                fresh = np.zeros(size, bool)
+                for k, key in enumerate(zip(numbers, row.tolist())):
+                    if texts[k] and key not in seen:
+                        seen.add(key)
+                        fresh[k] = True
+                text, t = triple_hashes([x if f else None for x, f in zip(texts, fresh)])
+                if len(known) and len(t):
+                    i = np.minimum(np.searchsorted(known, t), len(known) - 1)
+                    t = t | (np.where(known[i] == t, place[i], 0).astype(np.uint64) << np.uint64(_HASH_BITS))
+                # One sort puts the triples of a text in the fixed order, and repeated ones side by side.
+                both = np.unique((text.astype(np.uint64) << np.uint64(48)) | t)
+                text, t = (both >> np.uint64(48)).astype(np.int64), both & np.uint64((1 << 48) - 1)
+                n = np.bincount(text, minlength=size)
+                none = n == 0
+                cols = [
+                    b.column(0), b.column(1), b.column(2), pa.array([exact_hash(x) if x else None for x in texts], pa.binary()), pa.array(row.view(np.int64)), pa.array(n, pa.int32()),
+                    pa.array(np.where(none, -1, range_of(n)), pa.int32()), _binary(pivot_distances(text, t, size)[~none].ravel(), np.cumsum(np.where(none, 0, PIVOTS)), none), _binary(_packed(t), np.cumsum(n * 6), none),
+                ]
+                yield pa.RecordBatch.from_arrays(cols, [c.split()[0] for c in _SIGNED.split(", ")])
+
+    return rows.select(F.col("id").cast("string").alias("id"), F.col("batch").cast("int").alias("batch"), "address", "text").mapInArrow(run, _SIGNED)
+
+
+def _firsts(signed: DataFrame, order: Order, similarity: float, probes: bool) -> DataFrame:
+    """``k, hot, row, batch, n, place``: the first triples of each set, with the range; of probes for each range that the triangle inequality leaves."""
+    import pyarrow as pa
 
-    def __init__(self, spark, path: str, similarity: float = SIMILARITY):
-        self.spark, self.path, self.similarity = spark, path.rstrip("/"), similarity
+    hot_class = np.uint64(order[2])
 
-    def create(self, history: DataFrame) -> None:
-        t, n = fit_order(history)
-        rows = [(int(a), int(b)) for a, b in zip(t.view(np.int64), n)]
-        self.spark.createDataFrame(rows, "t bigint, n bigint").coalesce(1).write.mode("overwrite").parquet(f"{self.path}/order")
-        self._write(history, 0, "overwrite")
+    def run(batches: Iterator) -> Iterator:
+        for b in batches:
+            row, batch, n = (b.column(k).to_numpy() for k in range(3))
+            n, size = n.astype(np.int64), b.num_rows
+            start = np.cumsum(n) - n
+            t = _unpacked(b"".join(b.column(4).to_pylist()))
+            if probes:
+                low, high = range_of(np.ceil(similarity * n - 1e-9)), range_of(np.floor(n / similarity + 1e-9))
+                many = high - low + 1
+                who = np.repeat(np.arange(size), many)
+                at_range = np.arange(len(who)) - np.repeat(np.cumsum(many) - many, many) + low[who]
+                smallest = np.maximum(np.ceil(RANGE**at_range - 1e-6), np.ceil(similarity * n[who] - 1e-9))
+                first = n[who] - np.ceil(common_least(n[who], smallest, similarity)).astype(np.int64) + 1
+            else:
+                who, at_range = np.arange(size), range_of(n)
+                first = n - np.ceil(similarity * n - 1e-9).astype(np.int64) + 1
+            first = np.minimum(first, n[who])
+            owner = np.repeat(who, first)
+            place = np.arange(len(owner)) - np.repeat(np.cumsum(first) - first, first)
+            value = t[start[owner] + place]
+            key = ((value & _HASH) | (np.repeat(at_range, first).astype(np.uint64) << np.uint64(_HASH_BITS))).view(np.int64)
+            hot = (value >> np.uint64(_HASH_BITS)) >= hot_class
+            for i in range(0, len(key), 100_000):
+                s = slice(i, i + 100_000)
+                yield pa.RecordBatch.from_arrays([pa.array(key[s]), pa.array(hot[s]), pa.array(row[owner[s]]), pa.array(batch[owner[s]]), pa.array(n[owner[s]], pa.int32()), pa.array(place[s], pa.int32())], ["k", "hot", "row", "batch", "n", "place"])
+
+    return signed.select("row", "batch", "n", "range", "triples").mapInArrow(run, "k bigint, hot boolean, row bigint, batch int, n int, place int")
+
+
+def _meet(a: DataFrame, b: DataFrame, similarity: float, *on: str) -> DataFrame:
+    """``a, b, first``: probes and rows of a smaller batch that share a key within the first triples that their two sizes ask for, and the row's smallest batch."""
+    names = ["row", "batch", "n", "place"]
+    a, b = a.select("k", *on, *(F.col(c).alias(f"{c}_a") for c in names)), b.select("k", *on, *(F.col(c).alias(f"{c}_b") for c in names))
+    least = common_least(F.col("n_a"), F.col("n_b"), similarity)
+    near = (F.col("batch_b") < F.col("batch_a")) & (F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b") - 1e-9) & (F.col("place_a") <= F.col("n_a") - least) & (F.col("place_b") <= F.col("n_b") - least)
+    return a.join(b.hint("merge"), ["k", *on]).where(near).groupBy(F.col("row_a").alias("a"), F.col("row_b").alias("b")).agg(F.min("batch_b").alias("first"))
+
+
+def _verified(pairs: DataFrame, new: DataFrame, old: DataFrame, similarity: float) -> DataFrame:
+    """``a, first`` of ``pairs`` that pass the pivots and then the true distance."""
+    import pyarrow as pa
 
-    def _order(self) -> tuple[np.ndarray, np.ndarray]:
-        rows = self.spark.read.parquet(f"{self.path}/order").toArrow()
-        t, n = rows.column("t").to_numpy().view(np.uint64), rows.column("n").to_numpy()
-        o = np.argsort(t)
-        return t[o], n[o]
+    def once(df: DataFrame, side: str, column: str) -> DataFrame:
+        return df.groupBy(F.col("row").alias(side)).agg(F.first(column).alias(f"{column}_{side}"))
 
-    def _signed(self, df: DataFrame, batch: int) -> DataFrame:
-        texts = df.where("text IS NOT NULL").select(F.unhex(F.substring(F.sha2("text", 256), 1, 32)).alias("key"), F.lit(batch).alias("batch"), "text").dropDuplicates(["key"])
-        return signatures(texts, self._order(), self.similarity)
+    def pruned(batches: Iterator) -> Iterator:
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(k).to_pylist()), np.uint8).reshape(-1, PIVOTS).astype(np.int16) for k in (3, 4))
+            n = x.sum(1, dtype=np.int64) + y.sum(1, dtype=np.int64)
+            # Distances cut off at 255 make n too small; such sets go on unpruned.
+            near = (np.abs(x - y).sum(1) <= (1 - similarity) / (1 + similarity) * n + 1e-9) | (x == 255).any(1) | (y == 255).any(1)
+            at = pa.array(np.flatnonzero(near))
+            yield pa.RecordBatch.from_arrays([b.column(k).take(at) for k in range(3)], ["a", "b", "first"])
+
+    def true(batches: Iterator) -> Iterator:
+        for b in batches:
+            near = []
+            for p, q in zip(b.column(2).to_pylist(), b.column(3).to_pylist()):
+                p, q = _unpacked(p), _unpacked(q)
+                common = len(np.intersect1d(p, q, assume_unique=True))
+                near.append(common >= similarity * (len(p) + len(q) - common) - 1e-9)
+            at = pa.array(np.flatnonzero(near))
+            yield pa.RecordBatch.from_arrays([b.column(k).take(at) for k in range(2)], ["a", "first"])
 
-    def _write(self, df: DataFrame, batch: int, mode: str) -> None:
-        self._signed(df, batch).write.mode(mode).parquet(f"{self.path}/signatures")
+    joined = pairs.join(once(old, "b", "pivots").hint("merge"), "b").join(sized(once(new, "a", "pivots")), "a")
+    left = cut(joined.select("a", "b", "first", "pivots_a", "pivots_b").mapInArrow(pruned, "a bigint, b bigint, first int"))
+    wanted = lambda df, side: df.join(sized(cut(left.select(F.col(side).alias("row")).distinct())), "row", "left_semi")
+    both = left.join(once(wanted(old, "b"), "b", "triples").hint("merge"), "b").join(once(wanted(new, "a"), "a", "triples").hint("merge"), "a")
+    return both.select("a", "first", "triples_a", "triples_b").mapInArrow(true, "a bigint, first int").groupBy("a").agg(F.min("first").alias("first"))
 
-    def near(self, batch: DataFrame, number: int) -> DataFrame:
-        """``key, other`` of texts of the batch and of the table that may be near-duplicates; verify with ``jaccard``."""
-        return candidates(self._signed(batch, number), self.spark.read.parquet(f"{self.path}/signatures"), self.similarity)
 
-    def append(self, batch: DataFrame, number: int) -> None:
-        self._write(batch, number, "append")
+class HistoryTable:
+    """The pivot-distance table on disk: history is signed once, batches are appended and compared with what was there before.
 
+    The folder holds ``signed`` (rows by range), ``order`` and ``hashes`` (exact
+    hashes of articles known by them only). ``create`` writes, ``append`` adds.
+    """
 
-#: Texts of n triples share a triple among the first of each; the number of those.
-def firsts_of(n: int, similarity: float = SIMILARITY) -> int:
-    return n - math.ceil(similarity * n - 1e-9) + 1
+    def __init__(self, spark: SparkSession, path: str, similarity: float = SIMILARITY):
+        self.spark, self.path, self.similarity, self._known = spark, path.rstrip("/"), similarity, None
+
+    def create(self, history: DataFrame, index: DataFrame | None = None) -> None:
+        """Writes ``history`` (``source_url, text``) as batch 0, and the ``exact_hash`` values of ``index``."""
+        fit_order(history).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/order")
+        self._known = None
+        self._write(history.select(F.lit(None).cast("string").alias("id"), F.lit(0).alias("batch"), "source_url", "text"), "overwrite")
+        if index is not None:
+            half = F.try_to_binary(F.substring("exact_hash", 1, 32), F.lit("hex"))
+            index.where("exact_hash IS NOT NULL").select(half.alias("exact")).where("exact IS NOT NULL").distinct().write.mode("overwrite").parquet(f"{self.path}/hashes")
+
+    def append(self, batches: DataFrame) -> None:
+        """Signs ``batches`` (``id, batch, source_url, text``), one or several, and adds them."""
+        self._write(batches, "append")
+
+    def _write(self, rows: DataFrame, mode: str) -> None:
+        own = rows.select("id", "batch", F.unhex(F.md5(normal_url(F.col("source_url")))).alias("address"), "text")
+        sign(own, self._order()).write.mode(mode).partitionBy("range").parquet(f"{self.path}/signed")
+
+    def _order(self) -> Order:
+        if self._known is None:
+            rows = self.spark.read.parquet(f"{self.path}/order").toArrow()
+            t, place = rows.column("t").to_numpy(), rows.column("place").to_numpy()
+            hot = place[t == -1]
+            t, place = t[t >= 0], place[t >= 0]
+            o = np.argsort(t)
+            self._known = (t[o].astype(np.uint64), place[o], int(hot.max()) if len(hot) else _CLASSES + 1)
+        return self._known
+
+    def rows(self) -> DataFrame:
+        return self.spark.read.schema(_SIGNED).parquet(f"{self.path}/signed")
+
+    def known(self, *numbers: int) -> DataFrame:
+        """``id, reason`` (url, exact, near) of the rows of the batches of these numbers (all from 1, if none is given) that a row of a smaller batch has."""
+        rows = self.rows()
+        mine = (F.col("batch").isin(*numbers) if numbers else F.col("batch") > 0)
+
+        def earlier(key: str, known: DataFrame, reason: str) -> DataFrame:
+            first = known.where(f"{key} IS NOT NULL").groupBy(key).agg(F.min("batch").alias("first"))
+            return rows.where(mine & F.col(key).isNotNull()).select("id", "batch", key).join(first, key).where("first < batch").select("id", F.lit(reason).alias("reason"))
+
+        by_url = earlier("address", rows.select("address", "batch"), "url")
+        hashes = rows.select("exact", "batch")
+        if self._has("hashes"):
+            hashes = hashes.unionByName(self.spark.read.parquet(f"{self.path}/hashes").select("exact", F.lit(0).alias("batch")))
+        by_hash = earlier("exact", hashes, "exact")
+        near = self._near(rows.where("range >= 0 AND batch IS NOT NULL"), mine)
+        by_text = rows.where(mine).select("id", "batch", F.col("row").alias("a")).join(near, "a").where("first < batch").select("id", F.lit("near").alias("reason"))
+        return by_url.unionByName(by_hash).unionByName(by_text).distinct()
+
+    def _near(self, sets: DataFrame, mine: Column) -> DataFrame:
+        """``a, first``: texts of the batches with the smallest batch of a similar text."""
+        new, order = sets.where(mine), self._order()
+        a, b = _firsts(new, order, self.similarity, True), _firsts(sets, order, self.similarity, False)
+        verified = lambda pairs: _verified(cut(pairs), new, sets, self.similarity)
+        if not len(order[1]) or int(order[1].max()) < order[2] or a.where("hot").isEmpty():  # no probe has a hot triple among its first ones
+            return verified(_meet(a, b, self.similarity))
+        some = F.pmod(F.xxhash64("row"), F.lit(REPRESENTATIVES))
+        few = b.where("hot").groupBy("k", some.alias("r")).agg(F.min(F.struct("batch", "row", "n", "place")).alias("x")).select("k", "x.*")
+        first = cut(verified(_meet(a.where("NOT hot"), b.where("NOT hot"), self.similarity).unionByName(_meet(a.where("hot"), few, self.similarity))))
+        # What a representative hasn't told to be known from the start meets all hot rows.
+        settled = new.groupBy("row").agg(F.min("batch").alias("batch")).join(first.withColumnRenamed("a", "row"), "row").where("first < batch").select("row")
+        open_ = a.where("hot").join(settled.hint("merge"), "row", "left_anti").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        rest = _meet(open_, b.where("hot").withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")), self.similarity, "salt")
+        return first.unionByName(verified(rest)).groupBy("a").agg(F.min("first").alias("first"))
+
+    def _has(self, name: str) -> bool:
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
+def known_articles(incoming: DataFrame, history: DataFrame, index: DataFrame, similarity: float = SIMILARITY, path: str | None = None) -> DataFrame:
+    """``id, reason`` of rows of ``incoming`` (``id, batch_no, source_url, text``) that ``history``, ``index`` or an earlier batch has.
+
+    History is written to a table once; all batches at hand are appended, and
+    each is compared with the rows of smaller batches. Kept at ``path``, the
+    table serves later batches without the history's texts.
+    """
+    spark = incoming.sparkSession
+    table = HistoryTable(spark, path or fresh_folder(spark, "history"), similarity)
+    table.create(history, index)
+    table.append(incoming.select("id", F.col("batch_no").alias("batch"), "source_url", "text"))
+    return table.known()

@@ -2,6 +2,7 @@
 
 import random
 import re
+import shutil
 
 import numpy as np
 import pytest
@@ -67,17 +68,28 @@ def test_known_articles(spark, articles):
     assert not {"null", "empty", "two"} & {r["id"] for r in out}
 
 
-def test_joined_way_is_the_same(spark, articles, monkeypatch):
+def test_hot_triples_give_the_same(spark, articles, monkeypatch):
     new, news, index, base, _, rows = articles
-    monkeypatch.setattr(history, "MAX_BLOCKS", 0)
-    assert {r["id"] for r in history.known_articles(new, news, index).where("reason = 'near'").collect()} == expected_near(base, rows)
+    copies = [(f"c{k}", f"http://e.f/{k}", base[0] + f" copy{k}") for k in range(40)]
+    many = news.unionByName(spark.createDataFrame(copies, news.schema))
+    for name, value in (("USES", 2), ("HOT", 2), ("REPRESENTATIVES", 2), ("SALTS", 3)):
+        monkeypatch.setattr(history, name, value)
+    found = history.known_articles(new, many, index).where("reason = 'near'").collect()
+    assert {r["id"] for r in found} == expected_near(base + [t for _, _, t in copies], rows)
 
 
-def test_several_blocks_are_the_same(spark, articles, monkeypatch):
-    new, news, index, base, _, rows = articles
-    monkeypatch.setattr(history, "BLOCK_TRIPLES", 700)
-    monkeypatch.setattr(history, "MAX_BLOCKS", 100)
-    assert {r["id"] for r in history.known_articles(new, news, index).where("reason = 'near'").collect()} == expected_near(base, rows)
+def test_long_and_short_texts_meet(spark):
+    r = random.Random(8)
+    base = [sentence(r, n) for n in (3, 4, 5, 8, 13, 40, 150, 700)]
+    new = []
+    for k, t in enumerate(base):
+        w = t.split()
+        for part in (0.5, 0.62, 0.75, 0.9, 1.0):
+            new.append((1, f"{k}-{part}", None, " ".join(w[: max(1, int(len(w) * part))])))
+        new.append((1, f"{k}-more", None, t + " " + sentence(r, max(1, len(w) // 2))))
+    news, batch = spark.createDataFrame([(f"n{k}", None, t) for k, t in enumerate(base)], "id string, source_url string, text string"), spark.createDataFrame(new, "batch_no int, id string, source_url string, text string")
+    found = history.known_articles(batch, news, spark.createDataFrame([], "exact_hash string")).where("reason = 'near'").collect()
+    assert {x["id"] for x in found} == expected_near(base, new)
 
 
 def test_history_of_nothing(spark, articles):
@@ -86,16 +98,23 @@ def test_history_of_nothing(spark, articles):
     assert history.known_articles(new.where("batch_no = 1"), news.limit(0), index.limit(0)).count() == 0
 
 
-def test_history_table(spark, articles, tmp_path):
-    _, news, _, base, edited, _ = articles
+def test_history_is_signed_once(spark, articles, tmp_path):
+    """Batches are checked one after the other against the table; the texts of history are gone by then."""
+    new, news, index, base, _, rows = articles
+    news.write.parquet(str(tmp_path / "news"))
     table = history.HistoryTable(spark, str(tmp_path / "h"))
-    table.create(news)
-    before = spark.read.parquet(str(tmp_path / "h/signatures")).count()
-    batch = spark.createDataFrame([(t,) for t in edited], "text string")
-    met = table.near(batch, 1).select("key").distinct().count()
-    assert met >= sum(any(len(triples(t) & triples(u)) / len(triples(t) | triples(u)) >= 0.6 for u in base) for t in set(edited))
-    table.append(batch, 1)
-    assert spark.read.parquet(str(tmp_path / "h/signatures")).count() == before + len(set(edited))
+    table.create(spark.read.parquet(str(tmp_path / "news")), index)
+    shutil.rmtree(tmp_path / "news")
+    found = set()
+    for number in (1, 2, 3):
+        before = table.rows().count()
+        table.append(new.where(F.col("batch_no") == number).select("id", F.col("batch_no").alias("batch"), "source_url", "text"))
+        assert table.rows().count() == before + sum(b == number for b, *_ in rows)
+        found |= {(r["id"], r["reason"]) for r in table.known(number).collect()}
+    assert found == {(r["id"], r["reason"]) for r in history.known_articles(new, news, index).collect()}
+    assert {i for i, reason in found if reason == "near"} == expected_near(base, rows)
+    plan = table.known(3)._jdf.queryExecution().toString()
+    assert "news" not in plan and "range" in plan
 
 
 @pytest.mark.parametrize(
