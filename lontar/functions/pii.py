@@ -1,8 +1,9 @@
 """Rule cascade that masks personal information: each step sees what the one before has left.
 
 ``masked`` is the expression, ``found`` the kinds in order of first hit. The
-patterns and replacements are the format of the corpus (fixed values). Names
-and accounts are replaced match by match.
+patterns and replacements are the format of the corpus (fixed values), with the
+Unicode classes of digits, spaces and word ends. Accounts and names are matched
+first and then replaced wherever they stand, names but for a few placeholders.
 """
 
 from __future__ import annotations
@@ -34,6 +35,14 @@ STEPS = (
     ("address", r"\b\d+\s+[A-Za-z\s]+\s+\d{5}(?:-\d{4})?\b", "xxxx xxxx Street"),
 )
 
+#: Placeholders of names that stay (fixed values).
+PLACEHOLDERS = ("John Doe", "Jane Doe", "John Smith", "Jane Smith", "First Last", "Your Name", "Full Name", "Test User", "Sample User", "Example User")
+
+
+def unicode(pattern: str) -> str:
+    """The pattern with the Unicode classes of the JVM's engine."""
+    return "(?iU)" + pattern[4:] if pattern.startswith("(?i)") else "(?U)" + pattern
+
 
 def cascade(c: Column, kinds: tuple[str, ...] | None = None) -> list[tuple[str, Column, Column]]:
     """``(kind, hit, text after the step)`` of each step of the ``kinds``."""
@@ -41,16 +50,28 @@ def cascade(c: Column, kinds: tuple[str, ...] | None = None) -> list[tuple[str,
     for kind, pattern, by in STEPS:
         if kinds and kind not in kinds:
             continue
-        hit = c.rlike(pattern)
-        c = _same_length(c, pattern) if by is None else F.regexp_replace(c, pattern, by)
-        out.append((kind, hit, c))
+        before, c = c, _step(c, kind, pattern, by)
+        out.append((kind, _hit(before, c, kind, pattern, by), c))
     return out
 
 
-def _same_length(c: Column, pattern: str) -> Column:
-    """Each match replaced by as many ``x``."""
-    found = F.array_distinct(F.regexp_extract_all(c, F.lit(pattern), 0))
-    return F.aggregate(found, c, lambda s, m: F.replace(s, m, F.repeat(F.lit("x"), F.length(m))))
+def _matches(c: Column, kind: str, pattern: str) -> Column:
+    """Different matches in order, without placeholders."""
+    found = F.array_distinct(F.regexp_extract_all(c, F.lit(unicode(pattern)), 0))
+    return F.filter(found, lambda m: ~m.isin(*PLACEHOLDERS)) if kind == "name" else found
+
+
+def _step(c: Column, kind: str, pattern: str, by: str | None) -> Column:
+    if kind not in ("account", "name"):
+        return F.regexp_replace(c, unicode(pattern), by)
+    return F.aggregate(_matches(c, kind, pattern), c, lambda s, m: F.replace(s, m, F.repeat(F.lit("x"), F.length(m)) if by is None else F.lit(by)))
+
+
+def _hit(before: Column, after: Column, kind: str, pattern: str, by: str | None) -> Column:
+    """Whether the step has found something; a text that it leaves as it was may still hold a value that looks like its own replacement."""
+    if by is None or kind == "name":
+        return before != after
+    return (before != after) | (before.contains(by) & before.rlike(unicode(pattern)))
 
 
 def masked(c: Column, kinds: tuple[str, ...] | None = None) -> Column:
@@ -68,8 +89,8 @@ def mask(df, column: str, kinds: tuple[str, ...] | None = None, into: str = "mas
     work = df.withColumn("_s0", F.col(column))
     names, chosen = [], [s for s in STEPS if not kinds or s[0] in kinds]
     for k, (kind, pattern, by) in enumerate(chosen):
-        c = F.col(f"_s{k}")
-        work = work.withColumn(f"_s{k + 1}", _same_length(c, pattern) if by is None else F.regexp_replace(c, pattern, by))
-        names.append(F.when(F.col(f"_s{k + 1}") != c, F.lit(kind)))
+        c, after = F.col(f"_s{k}"), F.col(f"_s{k + 1}")
+        work = work.withColumn(f"_s{k + 1}", _step(c, kind, pattern, by))
+        names.append(F.when(_hit(c, after, kind, pattern, by), F.lit(kind)))
     out = work.withColumn(into, F.col(f"_s{len(chosen)}")).withColumn(found_into, F.array_distinct(F.array_compact(F.array(*names))))
     return out.drop(*(f"_s{k}" for k in range(len(chosen) + 1)))

@@ -33,6 +33,7 @@ PAGE_PHRASES = (
     r"\b(breadcrumb|navigation|menu)\b", r"\b(disclaimer|terms|privacy|policy|legal)\b", r"\b(copyright|all rights reserved)\b", r"\b(medical|health)\s+disclaimer\b",
 )
 CONTROL = r"[\x00-\x1f\x7f-\x{9f}]"
+CONTROL_BUT_LINES = r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x{9f}]"
 
 
 _SPACES = SPACE[1:-1]
@@ -114,7 +115,7 @@ def normalised(c: Column, keep_lines: bool = False) -> Column:
     other control characters. Compatibility forms are made plain by
     ``lontar.functions.unicode.nfkc`` beforehand, where needed.
     """
-    c = F.regexp_replace(c, r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x{9f}]" if keep_lines else CONTROL, "")
+    c = F.regexp_replace(c, CONTROL_BUT_LINES if keep_lines else CONTROL, "")
     c = replaced(c, (r"\r\n?", "\n"), (r"\n{3,}", "\n\n"), (" {2,}", " "), (r"\t{2,}", "\t"), (r"[ \t]+", " "), (r"(?m)[ \t]+$", ""))
     c = replaced(c, (r"\.{2,}", "..."), ("!{2,}", "!"), (r"\?{2,}", "?"), (rf"{SPACE}+([.!?,:;])", "$1"), ("[\"'`]", '"'), ('"{2,}', '"'))
     c = replaced(c, ("[•·▪▫‣⁃]", "•"), ("[—–]", "—"), ("…", "..."))
@@ -133,17 +134,19 @@ def units_replaced(c: Column) -> Column:
     return F.aggregate(found, c, lambda t, m: F.replace(t, F.concat(m["n"], F.lit(" "), m["u"]), F.concat(m["n"], m["u"])))
 
 
-def change_counts(c: Column) -> Column:
-    """Map of what ``normalised`` changes, by kind; marks may count below zero, as ``..`` grows."""
-    plain = F.regexp_replace(c, CONTROL, "")
+def change_counts(c: Column, keep_lines: bool = False) -> Column:
+    """Map of what ``normalised`` changes, by kind; marks may count below zero, as ``..`` grows. Line ends are only there to be counted with ``keep_lines``."""
+    control = CONTROL_BUT_LINES if keep_lines else CONTROL
+    ended = replaced(F.regexp_replace(c, control, ""), (r"\r\n?", "\n"))
+    plain = F.regexp_replace(ended, r"\n{3,}", "\n\n")
     spaced = replaced(plain, (r"[ \t]+", " "), (r"(?m)[ \t]+$", ""))
     marks = replaced(spaced, (r"\.{2,}", "..."), ("!{2,}", "!"), (r"\?{2,}", "?"))
     count = lambda x, p: F.regexp_count(x, F.lit(p))
     fixed = F.regexp_replace(marks, fast(rf"{SPACE}+([.!?,:;])"), "$1")
     return F.create_map(
-        F.lit("spaces_normalized"), count(plain, " ") - count(spaced, " "), F.lit("linebreaks_normalized"), F.lit(0), F.lit("punctuation_normalized"), count(spaced, r"[.!?]") - count(marks, r"[.!?]"),
+        F.lit("spaces_normalized"), count(plain, " ") - count(spaced, " "), F.lit("linebreaks_normalized"), count(ended, "\n") - count(plain, "\n"), F.lit("punctuation_normalized"), count(spaced, r"[.!?]") - count(marks, r"[.!?]"),
         F.lit("quotes_normalized"), count(fixed, "[\"'`]"), F.lit("special_chars_normalized"), count(fixed, "[•·▪▫‣⁃]") + count(fixed, "[—–]") + count(fixed, "…"),
-        F.lit("control_chars_removed"), count(c, CONTROL), F.lit("units_normalized"), count(fixed, r"\d+ *° *[CF]") + count(fixed, r"\d+ *(?:cm|mm|km|m|ft|in|lb|kg|oz|g)\b"),
+        F.lit("control_chars_removed"), count(c, control), F.lit("units_normalized"), count(fixed, r"\d+ *° *[CF]") + count(fixed, r"\d+ *(?:cm|mm|km|m|ft|in|lb|kg|oz|g)\b"),
     )
 
 

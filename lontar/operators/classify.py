@@ -59,11 +59,13 @@ def _substrings(text: Column, word: str) -> Column:
 def scores(title: Column, content: Column) -> Column:
     """Array of ``struct(score, rank, topic)`` in the order of the topics; ``rank`` falls, so the first topic wins a tie.
 
-    The text is cut into words once; alternatives that are single words are
-    counted by membership, only phrases and hyphenated ones by pattern.
+    The text is cut into words once, of which those of any topic are kept;
+    alternatives that are single words are counted among these by membership,
+    only phrases and hyphenated ones by pattern.
     """
     full = F.lower(F.concat(F.coalesce(title, F.lit("")), F.lit(" "), content))
-    parts = F.struct(full.alias("full"), F.split(full, NO_LETTER + "+").alias("words"), pieces(full).alias("size"))
+    single = sorted({a for _, _, patterns, _ in TOPICS for p in patterns for a in p.split("|") if a.isalpha()})
+    parts = F.struct(full.alias("full"), F.filter(F.split(full, NO_LETTER + "+"), lambda w: w.isin(*single)).alias("words"), pieces(full).alias("size"))
     return F.transform(F.array(parts), _all_scores)[0]
 
 
@@ -144,6 +146,11 @@ def validated(classified: DataFrame, title: str, content: str) -> DataFrame:
     }).drop("_why")
 
 
+def topic_info(topic: str) -> dict | None:
+    """What is known of a topic: its subdomain, patterns and keywords; None for an unknown one."""
+    return next(({"topic": t, "subdomain": sub, "patterns": list(patterns), "keywords": list(words)} for t, sub, patterns, words in TOPICS if t == topic), None)
+
+
 def keyword_index(spark) -> DataFrame:
     """``keyword, topic``: the inverted index of keywords (a few dozen rows)."""
     return spark.createDataFrame([(w, t[0]) for t in TOPICS for w in t[3]], "keyword string, topic string")

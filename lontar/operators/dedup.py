@@ -10,14 +10,46 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lontar.plans.stage import cut
+from lontar.plans.stage import cut, sized
 
 
 def keep_first(df: DataFrame, signature: list[Column], order: list[Column]) -> DataFrame:
-    """The first row of each signature, in ``order``: an aggregate with partial steps, so that a hot signature is no hot task."""
-    row = F.struct(*(c.alias(f"o{k}") for k, c in enumerate(order)), F.struct(*df.columns).alias("row"))
-    names = [c.alias(f"g{k}") for k, c in enumerate(signature)]
-    return df.groupBy(*names).agg(F.min(row).alias("first")).select("first.row.*")
+    """The first row of each signature, in ``order`` (ties: any one of them).
+
+    Only keys are aggregated, with partial steps; the rows that are not first,
+    copies mostly, are taken out where they lie, so whole rows don't travel.
+    """
+    names = [f"_g{k}" for k in range(len(signature))]
+    whole = cut(df.withColumns({n: F.md5(c.cast("string")) for n, c in zip(names, signature)}).withColumn("_row", F.monotonically_increasing_id()))  # numbers hold once written
+    first = whole.groupBy(*names).agg(F.min(F.struct(*(c.alias(f"o{k}") for k, c in enumerate(order)), F.col("_row").alias("row"))).alias("_first"))
+    kept = first.select(F.col("_first.row").alias("_kept"))
+    gone = cut(whole.select("_row").join(kept.hint("merge"), F.col("_row") == F.col("_kept"), "left_anti"))
+    return whole.join(sized(gone.withColumnRenamed("_row", "_gone")), F.col("_row") == F.col("_gone"), "left_anti").select(*df.columns)
+
+
+def duplicate_members(df: DataFrame, kinds: dict[str, Column], member: str) -> DataFrame:
+    """``kind, signature, members, member``: a row for each row of a group of several, by each of the signatures; null ones aside."""
+    pairs = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), c.alias("signature")) for k, c in kinds.items())))
+    each = df.select(pairs.alias("p"), F.col(member).alias("member")).select("p.kind", "p.signature", "member").where("signature IS NOT NULL")
+    groups = each.groupBy("kind", "signature").agg(F.count("*").alias("members")).where("members > 1")
+    return each.join(groups, ["kind", "signature"]).select("kind", "signature", "members", "member")
+
+
+def duplicate_report(df: DataFrame, kinds: dict[str, Column], member: str, title: str, most: int = 5) -> DataFrame:
+    """``kind, place, signature, members, first_member, title`` of the largest groups of each kind; titles are cut to 100 characters."""
+    pairs = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), c.alias("signature")) for k, c in kinds.items())))
+    each = df.select(pairs.alias("p"), F.struct(F.col(member).alias("m"), F.substring(title, 1, 100).alias("t")).alias("x")).select("p.kind", "p.signature", "x").where("signature IS NOT NULL")
+    groups = each.groupBy("kind", "signature").agg(F.count("*").alias("members"), F.min("x").alias("x")).where("members > 1")
+    w = Window.partitionBy("kind").orderBy(F.desc("members"), "x.m", "signature")
+    return groups.withColumn("place", F.row_number().over(w)).where(F.col("place") <= most).select("kind", F.col("place").cast("long").alias("place"), "signature", "members", F.col("x.m").alias("first_member"), F.col("x.t").alias("title"))
+
+
+def type_rates(cascaded: DataFrame) -> DataFrame:
+    """``duplicate_type, documents, share, duplicate_rate, unique_rate`` of a ``cascade``; the two rates are of all documents."""
+    by = cascaded.groupBy("duplicate_type").agg(F.count("*").alias("documents"))
+    w = Window.partitionBy()  # a row per type
+    every, unique = F.sum("documents").over(w), F.sum(F.when(F.col("duplicate_type") == "none", F.col("documents")).otherwise(0)).over(w)
+    return by.select("duplicate_type", "documents", F.round(F.col("documents") / every, 6).alias("share"), F.round(1 - unique / every, 6).alias("duplicate_rate"), F.round(unique / every, 6).alias("unique_rate"))
 
 
 def duplicate_groups(df: DataFrame, signature: Column, member: str) -> DataFrame:
@@ -63,6 +95,9 @@ def link_counts(links: DataFrame, signatures: DataFrame) -> DataFrame:
     return size.join(both, "signature", "left").fillna(0, ["links"]).select("signature", "members", "links")
 
 
+SALTS = 16
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """``node, component`` (its smallest node) of the undirected edges ``a, b``."""
     both = cut(edges.where("a <> b").select("a", "b").union(edges.where("a <> b").select("b", "a")).distinct())
@@ -70,8 +105,11 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
         hooked = labels.join(near, "node").select("node", F.col("component").alias("old"), F.least("component", "near").alias("component"))
-        above = hooked.select(F.col("node").alias("component"), F.col("component").alias("above"))
-        step = cut(hooked.join(above, "component", "left").select("node", "old", F.least("component", F.coalesce("above", "component")).alias("component")))
+        # A giant component would send all its nodes to one key: its root is copied to salts.
+        tops = hooked.select("component").distinct().join(hooked.select(F.col("node").alias("component"), F.col("component").alias("above")), "component")
+        tops = tops.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        spread = hooked.withColumn("salt", F.pmod(F.hash("node"), F.lit(SALTS)))
+        step = cut(spread.join(tops, ["component", "salt"], "left").select("node", "old", F.least("component", F.coalesce("above", "component")).alias("component")))
         labels = step.select("node", "component")
         if step.where("component <> old").isEmpty():
             return labels
@@ -95,10 +133,11 @@ def cascade(df: DataFrame, key: str, exact: str, signature: str, distance: int =
     return joined.select("key", F.when(is_exact, "exact").when(is_near, "near_simhash").otherwise("none").alias("duplicate_type"), F.when(is_exact, F.col("exact_of")).when(is_near, F.col("near_of")).alias("duplicate_of"))
 
 
-def newest_candidates(df: DataFrame, order: str, group: Column, size: int = 100) -> DataFrame:
-    """``df`` with ``candidates``: how many earlier rows of its group, at most ``size``, it is compared with."""
-    w = Window.partitionBy(group).orderBy(order).rowsBetween(-size, -1)
-    return df.withColumn("candidates", F.count(F.lit(1)).over(w))
+def newest_candidates(df: DataFrame, order: str, group: str, size: int = 100) -> DataFrame:
+    """``df`` with ``candidates``: how many earlier rows of its group, at most ``size``, it is compared with. A large group is numbered in ranges."""
+    from lontar.operators.stats import numbered
+
+    return numbered(df, [F.col(order)], [group]).withColumn("candidates", F.least(F.lit(size).cast("long"), F.col("number") - 1)).drop("number")
 
 
 #: Values of query vectors sent to every executor at once.

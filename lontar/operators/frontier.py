@@ -53,6 +53,39 @@ def first_streak(df: DataFrame, group: str, order: str, empty: Column, length: i
     return run.where(F.col("_k") == length).groupBy(group).agg(F.min(order).alias("stop_at"))
 
 
-def round_robin(df: DataFrame, order: str, workers: int) -> DataFrame:
-    """Rows spread evenly over ``workers`` partitions."""
-    return df.repartition(workers)
+def round_robin(df: DataFrame, order: list[Column], workers: int) -> DataFrame:
+    """``df`` with ``worker``: the rows in order go to the workers 0, 1, 2 ... in turn, and lie in as many partitions."""
+    from lontar.operators.stats import numbered
+
+    return numbered(df, order).withColumn("worker", ((F.col("number") - 1) % workers).cast("int")).drop("number").repartition(workers, "worker")
+
+
+def with_rate(df: DataFrame, rates: DataFrame, key: str, rate: str, default: float) -> DataFrame:
+    """``df`` with the ``rate`` of its key, or the default one."""
+    from lontar.plans.stage import sized
+
+    known = rates.select(F.col(key).alias("_key"), F.col(rate).alias("_rate")).where("_key IS NOT NULL").groupBy("_key").agg(F.max("_rate").alias("_rate"))
+    return df.join(sized(known), F.col(key) == F.col("_key"), "left").withColumn(rate, F.coalesce("_rate", F.lit(default))).drop("_key", "_rate")
+
+
+def last_page(pages: DataFrame, group: str, page: str, found: str, target: int, empty: int = 5, resume: int = 1) -> DataFrame:
+    """``group, stop_at, reason``: the page on which paging from ``resume`` on ends: the target is reached, ``empty`` empty pages in a row, or there are no more.
+
+    ``found`` is the number of new addresses of a page.
+    """
+    seen = pages.where(F.col(page) >= resume)
+    w = Window.partitionBy(group).orderBy(page)
+    total = seen.withColumn("_total", F.sum(F.coalesce(found, F.lit(0))).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    enough = total.where(F.col("_total") >= target).groupBy(group).agg(F.min(page).alias("_enough"))
+    dry = first_streak(seen, group, page, F.coalesce(F.col(found), F.lit(0)) == 0, empty).withColumnRenamed("stop_at", "_dry")
+    last = seen.groupBy(group).agg(F.max(page).alias("_last")).join(enough, group, "left").join(dry, group, "left")
+    stop = F.least("_enough", "_dry", "_last")
+    reason = F.when(stop == F.col("_enough"), "target").when(stop == F.col("_dry"), "empty").otherwise("end")
+    return last.select(group, stop.alias("stop_at"), reason.alias("reason"))
+
+
+def look_ahead(pages: DataFrame, group: str, page: str, found: str, after: int = 10, ahead: int = 3) -> DataFrame:
+    """``group, stop_at``: the first page beyond ``after`` that is empty as well as the ``ahead`` - 1 pages behind it; groups without one have no row."""
+    w = Window.partitionBy(group).orderBy(page).rowsBetween(0, ahead - 1)
+    rest = pages.withColumns({"_found": F.sum(F.coalesce(found, F.lit(0))).over(w), "_pages": F.count(F.lit(1)).over(w)})
+    return rest.where((F.col(page) > after) & (F.col("_found") == 0) & (F.col("_pages") == ahead)).groupBy(group).agg(F.min(page).alias("stop_at"))

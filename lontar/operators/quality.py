@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from lontar.functions.text import LETTER, SPACE, fast, pieces, sentence_ends, strip, words
+from lontar.functions.text import LETTER, pieces, sentence_ends, strip, words
 
 #: Phrases of spam (fixed values).
 SPAM = ("click here", "subscribe now", "advertisement")
@@ -34,8 +34,8 @@ def garbled(text: Column) -> Column:
     unprintable = F.regexp_count(text, F.lit(r"[\p{C}\p{Zl}\p{Zp}\x{a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}]"))
     n = words(text)
     single = F.regexp_count(text, F.lit(rf"(?<!{LETTER}){LETTER}(?!{LETTER})"))
-    parts = F.regexp_count(text, F.lit(fast(rf"[^.!?]*[^.!?{SPACE[1:-1]}][^.!?]*")))  # pieces that aren't blank
-    per_part = pieces(F.regexp_replace(text, "[.!?]+", " ")) / F.greatest(parts, F.lit(1))
+    parts = F.regexp_count(text, F.lit("[.!?]+")) + 1  # blank pieces count too, as after the last mark
+    per_part = pieces(F.regexp_replace(text, "[.!?]+", " ")) / parts
     return F.coalesce((size >= 50) & (((size - unprintable) / size < 0.9) | (n == 0) | (single / F.greatest(n, F.lit(1)) > 0.3) | ((parts >= 2) & (per_part < 3))), F.lit(False))
 
 
@@ -74,6 +74,20 @@ def reading_minutes(text: Column) -> Column:
     return F.greatest(F.lit(1), F.floor(words(text) / 200)).cast("long")
 
 
+def gate(valid: Column, least: float = 0.9) -> list[Column]:
+    """Aggregates ``records, valid, share, passed``: whether at least ``least`` of all records are valid; none pass."""
+    n = F.count(F.lit(1))
+    share = F.coalesce(F.try_divide(F.count_if(valid).cast("double"), n.cast("double")), F.lit(0.0))
+    return [n.alias("records"), F.count_if(valid).alias("valid"), F.round(share, 6).alias("share"), ((share >= least) | (n == 0)).alias("passed")]
+
+
+def field_errors(present: dict[str, Column], banned: dict[str, Column]) -> Column:
+    """Array of ``missing_x`` for required fields that are empty and ``banned_x`` for fields that must not be there."""
+    lacks = [F.when(F.coalesce(c.cast("string"), F.lit("")) == "", F.lit(f"missing_{n}")) for n, c in present.items()]
+    has = [F.when(c.isNotNull(), F.lit(f"banned_{n}")) for n, c in banned.items()]
+    return F.array_compact(F.array(*lacks, *has))
+
+
 def entry_errors(entry: dict[str, Column], least: int = 200) -> Column:
     """Array of what an exported entry lacks: missing fields, a short text."""
     missing = [F.when(F.coalesce(c.cast("string"), F.lit("")) == "", F.lit(f"missing_{name}")) for name, c in entry.items()]

@@ -32,16 +32,55 @@ def per_minute(count: Column, seconds: Column) -> Column:
     return count / F.greatest(seconds / 60, F.lit(1.0))
 
 
-def numbered(df: DataFrame, order: list[Column], ranges: int = 64) -> DataFrame:
-    """``df`` with ``number`` (from 1) in the order of all rows, without one task for all: rows are sorted in ranges, whose sizes are summed up."""
-    placed = df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id())
-    from lontar.plans.stage import cut
-
-    placed = cut(placed)
-    sizes = placed.groupBy("_range").agg(F.count("*").alias("_n"))
-    before = sizes.withColumn("_before", F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).drop("_n")  # a row per range
-    w = Window.partitionBy("_range").orderBy(*order)
-    return placed.join(F.broadcast(before), "_range").withColumn("number", F.col("_before") + F.row_number().over(w)).drop("_range", "_before")
+def per_day(count: Column, seconds: Column) -> Column:
+    return count / F.greatest(seconds / 86_400, F.lit(1.0))
+
+
+def with_percentages(counts: DataFrame, part: str = "records", by: str = "field") -> DataFrame:
+    """``histograms`` with ``percent``, of all records of the field."""
+    whole = counts.groupBy(by).agg(F.sum(part).alias("_all"))
+    return counts.join(F.broadcast(whole), counts[by].eqNullSafe(whole[by]), "left").select(*(counts[c] for c in counts.columns), F.round(100 * ratio(F.col(part), F.col("_all")), 6).alias("percent"))  # a row per field
+
+
+def increment(totals: DataFrame | None, new: DataFrame, keys: list[str]) -> DataFrame:
+    """Running totals after ``new``: all other columns are summed up per key, new keys are added."""
+    both = new if totals is None else totals.select(*new.columns).unionByName(new)
+    return both.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in new.columns if c not in keys))
+
+
+def export_summary(exported: Column, failed: Column) -> list[Column]:
+    """Aggregates ``exported, failed, success_rate`` (0 if there is nothing)."""
+    done, lost = F.count_if(exported), F.count_if(failed)
+    return [done.alias("exported"), lost.alias("failed"), F.round(done / F.greatest(done + lost, F.lit(1)), 6).alias("success_rate")]
+
+
+def tally(months: DataFrame, month: str, success: Column, seconds: Column, planned: int) -> DataFrame:
+    """One row: ``succeeded, failed, mean_seconds, eta_seconds`` of finished months; the estimate is for what is left of ``planned``."""
+    one = months.groupBy(month).agg(F.min(success.cast("int")).alias("_ok"), F.sum(seconds).alias("_s"))
+    out = one.agg(F.count_if(F.col("_ok") == 1).alias("succeeded"), F.count_if(F.coalesce(F.col("_ok"), F.lit(0)) == 0).alias("failed"), F.coalesce(F.avg("_s"), F.lit(0.0)).alias("mean_seconds"))
+    return out.withColumn("eta_seconds", F.greatest(F.lit(0), planned - F.col("succeeded") - F.col("failed")) * F.col("mean_seconds"))
+
+
+def numbered(df: DataFrame, order: list[Column], within: list[str] | None = None) -> DataFrame:
+    """``df`` with ``number`` (from 1) in the order of all rows, or of those of equal columns ``within``, without one task for all: rows are sorted in ranges, whose sizes are summed up."""
+    from lontar.plans.stage import cut, sized
+
+    keys = within or []
+    placed = cut(df.repartitionByRange(*(F.col(c) for c in keys), *order).withColumn("_range", F.spark_partition_id()))
+    sizes = placed.groupBy("_range", *keys).agg(F.count("*").alias("_n"))
+    before = sizes.withColumn("_before", F.sum("_n").over(Window.partitionBy(*keys).orderBy("_range")) - F.col("_n")).drop("_n")  # a row per range and key
+    w = Window.partitionBy("_range", *keys).orderBy(*order)
+    ranked = placed.withColumn("_row", F.row_number().over(w))
+    on = ranked["_range"].eqNullSafe(before["_range"])
+    for c in keys:
+        on = on & ranked[c].eqNullSafe(before[c])
+    return ranked.join(sized(before), on).select(*(ranked[c] for c in df.columns), (F.col("_before") + F.col("_row")).alias("number"))
+
+
+def first_seen(df: DataFrame, key: str, order: list[Column]) -> DataFrame:
+    """``key, place``: the different values in the order in which they first come."""
+    first = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*(c.alias(f"o{k}") for k, c in enumerate(order)))).alias("_first"))
+    return numbered(first, [F.col("_first")]).select(key, F.col("number").alias("place"))
 
 
 def shards(df: DataFrame, order: list[Column], size: int = 10_000) -> DataFrame:

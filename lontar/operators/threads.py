@@ -58,10 +58,56 @@ def _children(value: object) -> list[dict]:
 
 
 def joined_replies(comments: DataFrame, thread: str, body: str, order: list[str], gap: str = "\n\n", into: str = "replies_body") -> DataFrame:
-    """``thread, into``: the filled bodies of each thread in order. A thread's text is one value by definition; its parts are sorted within it."""
-    part = F.when(F.coalesce(F.col(body), F.lit("")) != "", F.col(body))
-    parts = F.array_sort(F.collect_list(F.when(part.isNotNull(), F.struct(*order, part.alias("_body")))))
-    return comments.groupBy(thread).agg(F.array_join(F.transform(parts, lambda s: s["_body"]), gap).alias(into))
+    """``thread, into``: the filled bodies of each thread in order; '' if there are none.
+
+    Comments are sorted in ranges, so a long thread lies in several tasks, each
+    of which joins its part; only parts are joined per thread.
+    """
+    filled = comments.where(F.coalesce(F.col(body), F.lit("")) != "").select(thread, *order, F.col(body).alias("_body"))
+    placed = filled.repartitionByRange(thread, *order).withColumn("_part", F.spark_partition_id())
+    each = placed.groupBy(thread, "_part").agg(F.array_sort(F.collect_list(F.struct(*order, "_body"))).alias("_s"))
+    parts = each.select(thread, "_part", F.array_join(F.transform("_s", lambda s: s["_body"]), gap).alias("_text"))
+    whole = parts.groupBy(thread).agg(F.array_sort(F.collect_list(F.struct("_part", "_text"))).alias("_p"))
+    joined = whole.select(F.col(thread).alias("_thread"), F.array_join(F.transform("_p", lambda s: s["_text"]), gap).alias("_text"))
+    every = comments.select(thread).distinct()
+    return every.join(joined, F.col(thread).eqNullSafe(F.col("_thread")), "left").select(thread, F.coalesce("_text", F.lit("")).alias(into))
+
+
+def nested(comments: str | None) -> str | None:
+    """``[{body, replies}]`` of a listing or a nested array of comments, as JSON; None for what isn't JSON."""
+    try:
+        top = json.loads(comments) if comments else []
+    except ValueError:
+        return None
+    out: list = []
+    stack = [(c, out) for c in reversed(_children(top))]
+    while stack:
+        c, into = stack.pop()
+        one = {"body": c.get("body") if isinstance(c.get("body"), str) else None, "replies": []}
+        into.append(one)
+        stack.extend((x, one["replies"]) for x in reversed(_children(c.get("replies"))))
+    return json.dumps(out, ensure_ascii=False)
+
+
+def nested_comments(threads: DataFrame, comments: str, into: str = "comments") -> DataFrame:
+    """``threads`` with the comments rebuilt to ``body`` and ``replies`` only."""
+    import pyarrow as pa
+
+    keep = [c for c in threads.columns if c not in (comments, into)]
+
+    def run(batches: Iterator) -> Iterator:
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(len(keep))), pa.array([nested(t) for t in b.column(len(keep)).to_pylist()], pa.string())], [*keep, into])
+
+    schema = "".join(f"`{c}` {threads.schema[c].dataType.simpleString()}, " for c in keep)
+    return threads.select(*keep, comments).mapInArrow(run, f"{schema}`{into}` string")
+
+
+def prompt(comments: DataFrame, author: str, group: str, body: str, order: list[str], head: str) -> DataFrame:
+    """``author, prompt``: ``head`` and the author's comments, one per line as ``group > body``."""
+    line = F.concat(F.coalesce(F.col(group), F.lit("")), F.lit(" > "), F.replace(F.col(body), F.lit("\n"), F.lit(" <newline> ")))
+    lines = joined_replies(comments.where(F.col(author).isNotNull()).withColumn("_line", line), author, "_line", order, "\n", "_lines")
+    return lines.select(author, F.concat(F.lit(head), F.col("_lines")).alias("prompt"))
 
 
 def records_v1(threads: DataFrame, title: Column, url: Column, body: Column, replies: Column, base: str = "https://www.reddit.com") -> DataFrame:

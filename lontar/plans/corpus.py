@@ -41,5 +41,5 @@ def news_corpus(news: DataFrame) -> DataFrame:
     """``document_id, title, text, site`` of clean articles, copies reduced to the smallest id."""
     formed = news.withColumns({"text": text.news_text(F.col("text")), "title": text.news_text(F.col("title"))})
     good = formed.where(quality.clean_status(F.col("title"), F.col("text")) == "clean").where(quality.filled(F.col("source_url")))
-    first = dedup.keep_first(good.select("id", "title", "text", "source_url"), [ids.content_hash(F.col("text"))], [F.col("id")])
+    first = dedup.keep_first(good.select("id", "title", "text", "source_url"), [ids.content_hash(F.col("text"))], [F.col("id"), F.col("source_url"), F.col("title"), F.col("text")])
     return first.select(ids.document_id(F.col("source_url"), F.col("text")).alias("document_id"), "title", "text", urls.domain(F.col("source_url")).alias("site"))

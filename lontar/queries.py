@@ -192,14 +192,21 @@ def filt_low_quality(spark, d):
     return _t(spark, d, "news_articles").select("id", classify.low_quality(F.col("text")).alias("low_quality"))
 
 
-@query()
+_GARBLED_SQL = (
+    f"length(text) >= 50 AND ((length(text) - {_count('text', '[' + chr(92) + 'p{C}' + chr(92) + 'p{Zl}' + chr(92) + 'p{Zp}' + chr(92) + 'x{a0}' + chr(92) + 'x{1680}' + chr(92) + 'x{2000}-' + chr(92) + 'x{200a}' + chr(92) + 'x{202f}' + chr(92) + 'x{205f}' + chr(92) + 'x{3000}]')}) / length(text) < 0.9"
+    f" OR {_count('text', text.LETTER + '+')} = 0 OR ({_count('text', text.LETTER + '+')} - {_count('text', text.LETTER + '{2,}')}) / greatest(1, {_count('text', text.LETTER + '+')}) > 0.3"
+    f" OR ({_count('text', '[.!?]+')} >= 1 AND {_count(_rep('text', ('[.!?]+', ' ')), _PIECES)} / ({_count('text', '[.!?]+')} + 1) < 3))"
+)
+
+
+@query(f"SELECT id, coalesce({_GARBLED_SQL}, false) AS garbled FROM export_entries")
 def filt_garbled(spark, d):
     return _t(spark, d, "export_entries").select("id", quality.garbled(F.col("text")).alias("garbled"))
 
 
-@query("SELECT doc_id, length(text) < 200 AS too_short FROM documents")
-def filt_too_short(spark, d):
-    return _t(spark, d, "documents").select("doc_id", F.array_contains(quality.issues(F.col("text")), "too_short").alias("too_short"))
+@query(f"SELECT doc_id, array_to_string(list_filter([CASE WHEN length(text) < 200 THEN 'too_short' END, CASE WHEN {_strip('text')} = '' THEN 'empty_after_cleaning' END, CASE WHEN {_GARBLED_SQL} THEN 'garbled_content' END], lambda x: x IS NOT NULL), ',') AS issues FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)")
+def filt_issues(spark, d):
+    return _t(spark, d, "documents").select("doc_id", F.array_join(quality.issues(F.col("text")), ",").alias("issues"))
 
 
 @query(f"SELECT id, doc_id FROM deduplication_index WHERE created_at < TIMESTAMPTZ '{NOW}+00' - INTERVAL 30 DAY")
@@ -350,7 +357,7 @@ def win_gap(spark, d):
 
 @query("SELECT event_id, count(*) OVER (PARTITION BY event_type ORDER BY event_id ROWS BETWEEN 100 PRECEDING AND 1 PRECEDING) AS candidates FROM events")
 def win_newest_candidates(spark, d):
-    return dedup.newest_candidates(_t(spark, d, "events"), "event_id", F.col("event_type")).select("event_id", "candidates")
+    return dedup.newest_candidates(_t(spark, d, "events").select("event_id", "event_type"), "event_id", "event_type").select("event_id", "candidates")
 
 
 @query("WITH e AS (SELECT user_id, event_id, (value < 50)::INT AS e FROM events), i AS (SELECT *, sum(1 - e) OVER (PARTITION BY user_id ORDER BY event_id) AS island FROM e), r AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id, island ORDER BY event_id) AS k FROM i WHERE e = 1) SELECT user_id, min(event_id) AS stop_at FROM r WHERE k = 5 GROUP BY user_id")
@@ -392,7 +399,12 @@ def text_thread_v1(spark, d):
     return _t(spark, d, "reddit_comments").select("comment_id", text.thread_text_v1(F.col("body")).alias("cleaned"))
 
 
-@query()
+_BLANK = r"[\t\x0b\x0c\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+_V2_SQL = _rep("body", (rf"(?m)^{SPACE}*>{SPACE}*", ""), (text.USER_V2, ""), (text.URL_HTTP, ""), (text.MAIL_V2, ""), (text.PHONE_V2, ""), (f"{text.EMOJI}+", ""))
+_V2_SQL = _strip(_rep(f"replace(replace(replace({_V2_SQL}, '&gt;', '>'), '&lt;', '<'), '&amp;', '&')", (_BLANK, " "), (r"[ \t\r\f\x0b]+", " "), (r"\n{3,}", "\n\n")))
+
+
+@query(f"SELECT comment_id, coalesce({_V2_SQL}, '') AS cleaned FROM reddit_comments")
 def text_thread_v2(spark, d):
     return _t(spark, d, "reddit_comments").select("comment_id", text.thread_text_v2(F.col("body")).alias("cleaned"))
 
@@ -442,25 +454,28 @@ def text_clean_documents(spark, d):
     return corpus.cleaned(spread(_t(spark, d, "documents").select("doc_id", "text")), "text").select("doc_id", "cleaned_text", "pii_found", "emojis_removed", "issues", F.round("quality_score", 6).alias("quality_score"))
 
 
-def _mask_sql(kinds: tuple[str, ...]) -> str:
-    e = "original_text"
-    for kind, pattern, by in pii.STEPS:
-        if kind in kinds:
-            e = _rep(e, (pattern, by))
-    return e
-
-
-_KINDS = ("email", "phone", "ssn", "credit_card", "license", "passport", "date", "ip", "address")
-
-
-@query(f"SELECT doc_id, {_mask_sql(_KINDS)} AS masked FROM cleaning_results")
+def _mask_sql() -> str:
+    """One step of the cascade per subquery: the text after it, and the kind if it has hit."""
+    stay = ", ".join(f"'{p}'" for p in pii.PLACEHOLDERS)
+    q = "SELECT doc_id, original_text AS s0 FROM cleaning_results"
+    for k, (kind, pattern, by) in enumerate(pii.STEPS):
+        s = f"s{k}"
+        if kind in ("account", "name"):
+            found = f"list_filter(regexp_extract_all({s}, {_q(pattern)}), lambda m: m NOT IN ({stay if kind == 'name' else _q('')}))"
+            put = "repeat('x', length(m)::INT)" if by is None else _q(by)
+            after, hit = f"list_reduce({found}, lambda t, m: replace(t, m, {put}), {s})", f"len({found}) > 0"
+        else:
+            after, hit = _rep(s, (pattern, by)), f"regexp_matches({s}, {_q(pattern)})"
+        q = f"SELECT *, {after} AS s{k + 1}, CASE WHEN {hit} THEN '{kind}' END AS k{k} FROM ({q})"
+    n = len(pii.STEPS)
+    seen = [kind for kind, _, _ in pii.STEPS]
+    marks = ", ".join("CASE WHEN " + " OR ".join(f"k{j} IS NOT NULL" for j in range(n) if seen[j] == kind) + f" THEN '{kind}' END" for kind in dict.fromkeys(seen))
+    return f"SELECT doc_id, s{n} AS masked, CASE WHEN s0 IS NULL THEN '' ELSE array_to_string(list_filter([{marks}], lambda x: x IS NOT NULL), ',') END AS pii_found FROM ({q})"
+
+
+@query(_mask_sql())
 def text_masked(spark, d):
-    return pii.mask(_t(spark, d, "cleaning_results").select("doc_id", "original_text"), "original_text", _KINDS).select("doc_id", F.col("masked_text").alias("masked"))
-
-
-@query()
-def text_masked_all(spark, d):
-    return pii.mask(_t(spark, d, "cleaning_results").select("doc_id", "original_text"), "original_text").select("doc_id", F.col("masked_text").alias("masked"), "pii_found")
+    return pii.mask(_t(spark, d, "cleaning_results").select("doc_id", "original_text"), "original_text").select("doc_id", F.col("masked_text").alias("masked"), F.array_join("pii_found", ",").alias("pii_found"))
 
 
 @query()
@@ -505,7 +520,16 @@ def id_months(spark, d):
     return months(spark, "2020-01-01", "2025-09-01")
 
 
-@query()
+def _simhash_sql(texts: str) -> str:
+    """CTEs ``simhashes`` (``text, n`` as an unsigned number) of the different filled texts of ``texts``."""
+    bits = " + ".join(f"CASE WHEN 2 * sum((h >> {k}) & 1) > count(*) THEN {1 << k}::UBIGINT ELSE 0::UBIGINT END" for k in range(64))
+    return f"""words AS (SELECT text, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+') AS w FROM (SELECT DISTINCT text FROM ({texts}) WHERE text IS NOT NULL)),
+grams AS (SELECT text, unnest(list_concat(w, list_concat(list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]), list_transform(range(1, greatest(1, len(w) - 1)), lambda k: w[k] || ' ' || w[k + 1] || ' ' || w[k + 2])))) AS g FROM words),
+features AS (SELECT text, ('0x' || substring(md5(g), 17, 16))::UBIGINT AS h FROM grams),
+simhashes AS (SELECT text, {bits} AS n FROM features GROUP BY text)"""
+
+
+@query(f"WITH {_simhash_sql('SELECT text FROM news_articles')} SELECT a.id, CASE WHEN s.n IS NULL THEN '' ELSE lpad(lower(to_hex(s.n)), 16, '0') END AS simhash FROM news_articles a LEFT JOIN simhashes s ON s.text = a.text")
 def id_simhash(spark, d):
     return ids.simhashes(spread(_t(spark, d, "news_articles").select("id", "text")), "text").select("id", "simhash")
 
@@ -521,15 +545,12 @@ def _score_sql(full: str) -> str:
     return "[" + ", ".join(parts) + "]"
 
 
-@query(f"WITH f AS (SELECT doc_id, lower(coalesce(title, '') || ' ' || text) AS full_text FROM documents WHERE lang = 'en'), g AS (SELECT *, CASE WHEN {_count('full_text', _PIECES)} > 0 THEN ln({_count('full_text', _PIECES)} + 1.0) ELSE 1.0 END AS w FROM f), s AS (SELECT doc_id, list_reverse_sort({_score_sql('full_text')}) AS s FROM g) SELECT doc_id, s[1].topic AS topic, round(s[1].score, 6) AS best, round(s[2].score, 6) AS second FROM s")
-def class_scores(spark, d):
-    return _class_scores(_t(spark, d, "documents").where("lang = 'en'"))
+_SCORED_SQL = f"WITH f AS (SELECT doc_id, text, lower(coalesce(title, '') || ' ' || text) AS full_text FROM documents), g AS (SELECT *, CASE WHEN {_count('full_text', _PIECES)} > 0 THEN ln({_count('full_text', _PIECES)} + 1.0) ELSE 1.0 END AS w FROM f), s AS (SELECT doc_id, text, full_text, list_reverse_sort({_score_sql('full_text')}) AS s FROM g)"
 
 
-@query(SQL["class_scores"].replace(" WHERE lang = 'en'", ""))
-def class_all_scores(spark, d):
-    """Of all documents, whatever their language."""
-    return _class_scores(_t(spark, d, "documents"))
+@query(f"{_SCORED_SQL} SELECT doc_id, s[1].topic AS topic, round(s[1].score, 6) AS best, round(s[2].score, 6) AS second FROM s")
+def class_scores(spark, d):
+    return _class_scores(spread(_t(spark, d, "documents").select("doc_id", "title", "text")))
 
 
 def _class_scores(e: DataFrame) -> DataFrame:
@@ -537,7 +558,16 @@ def _class_scores(e: DataFrame) -> DataFrame:
     return e.select("doc_id", s.alias("s")).select("doc_id", F.col("s")[0]["topic"].alias("topic"), F.round(F.col("s")[0]["score"], 6).alias("best"), F.round(F.col("s")[1]["score"], 6).alias("second"))
 
 
-@query()
+_LOW_SQL = f"length({_strip('text')}) < 100 OR ({_count('text', _PIECES)} > 0 AND ({_PROMO_SQL}) / {_count('text', _PIECES)} > 0.1) OR (upper(text) = text AND lower(text) <> text AND length(text) > 50) OR (len(string_split(text, '.')) > 3 AND len(list_distinct(list_transform(string_split(text, '.'), lambda s: lower({_strip('s')})))) / len(string_split(text, '.')) < 0.7)"
+_DECIDED_SQL = f"""{_SCORED_SQL}, c AS (SELECT doc_id, text, full_text, s[1].topic AS t, s[1].score AS b, s[2].score AS r, {_strip('text')} = '' AS empty FROM s),
+k AS (SELECT *, CASE WHEN r = 0 THEN least(b / 5.0, 1.0) ELSE least(b / r / 3.0, 1.0) END AS conf FROM c),
+e AS (SELECT *, CASE WHEN empty THEN 'empty_content' WHEN b = 0 THEN 'no_matching_topics' WHEN conf < 0.3 THEN 'low_confidence_' || printf('%.2f', conf) END AS why FROM k),
+v AS (SELECT *, CASE WHEN why IS NULL AND regexp_matches(full_text, {_q(chr(92) + 'b(?:' + '|'.join(classify.EXCLUDED) + ')' + chr(92) + 'b')}) THEN 'excluded_topic' WHEN why IS NULL AND ({_LOW_SQL}) THEN 'low_quality' END AS gone FROM e)
+SELECT doc_id, CASE WHEN why IS NULL AND gone IS NULL THEN t END AS topic, CASE WHEN NOT empty AND b > 0 AND gone IS NULL THEN CASE t {' '.join(f"WHEN '{t[0]}' THEN '{t[1]}'" for t in classify.TOPICS)} ELSE t END END AS subdomain,
+round(CASE WHEN empty OR b = 0 OR gone IS NOT NULL THEN 0.0 ELSE conf END, 6)::DOUBLE AS confidence, round(CASE WHEN empty THEN 0.0 ELSE b END, 6)::DOUBLE AS rule_score, why IS NULL AND gone IS NULL AS is_allowed, coalesce(gone, why) AS rejection_reason FROM v"""
+
+
+@query(_DECIDED_SQL)
 def class_documents(spark, d):
     docs = spread(_t(spark, d, "documents").select("doc_id", "title", "text"))
     out = classify.validated(classify.classify(docs, "title", "text"), "title", "text")
@@ -549,10 +579,16 @@ def html_titles(spark, d):
     return _t(spark, d, "fetch_results").where("success").select("page_id", html.title_of(F.col("content")).alias("title"))
 
 
+def _last_fetches(spark: SparkSession, d: str) -> DataFrame:
+    """``page_id, url, content`` of the last successful fetch of each page."""
+    f = _t(spark, d, "fetch_results").where("success")
+    last = f.groupBy("page_id").agg(F.max_by(F.struct("url", "content"), F.struct("fetched_at", F.xxhash64("content"), "url")).alias("f"))
+    return last.select("page_id", "f.url", "f.content")
+
+
 @query()
 def html_extracted(spark, d):
-    pages = _t(spark, d, "fetch_results").where("success").select("page_id", "url", "content").dropDuplicates(["page_id"])
-    return html.extract(pages, "content").select("page_id", "title", "content", "author", "publish_date", "word_count", "reading_time", "extraction_method", F.round("quality_score", 6).alias("quality_score"))
+    return html.extract(_last_fetches(spark, d), "content").select("page_id", "title", "content", "author", "publish_date", "word_count", "reading_time", "extraction_method", F.round("quality_score", 6).alias("quality_score"))
 
 
 @query(f"WITH f AS (SELECT page_id, title, author, publish_date, description, keywords, content, {_TOKENS} AS tokens, {_count('content', '[.!?]+' + SPACE + '+[A-Z]')} AS s FROM extracted_content WHERE content IS NOT NULL) SELECT page_id, round(least(100, CASE WHEN length(content) >= 200 THEN least(length(content) / 100, 30) ELSE 0 END + CASE WHEN length(coalesce(title, '')) > 10 THEN 10 ELSE 0 END + CASE WHEN s > 5 THEN least(s, 20) ELSE 0 END + CASE WHEN len(tokens) > 0 THEN 10 * len(list_distinct(tokens)) / len(tokens) ELSE 0 END + CASE WHEN coalesce(author, '') <> '' THEN 2 ELSE 0 END + CASE WHEN coalesce(publish_date, '') <> '' THEN 2 ELSE 0 END + CASE WHEN coalesce(description, '') <> '' THEN 3 ELSE 0 END), 6)::DOUBLE AS score FROM f")
@@ -569,13 +605,19 @@ def dedup_exact(spark, d):
     return out.select(F.col("key").alias("doc_id"), "duplicate_type", F.coalesce("duplicate_of", "key").alias("duplicate_of"))
 
 
-@query()
+@query(f"""WITH {_simhash_sql('SELECT text FROM documents')},
+b AS (SELECT doc_id, CASE WHEN text = '' THEN '' ELSE {_HASH_SQL} END AS e, n FROM documents LEFT JOIN simhashes USING (text)),
+x AS (SELECT e, min(doc_id) AS first FROM b WHERE e IS NOT NULL GROUP BY e), h AS (SELECT n, min(doc_id) AS holder FROM b WHERE n IS NOT NULL GROUP BY n),
+l AS (SELECT p.n, min(q.holder) AS near FROM h p JOIN h q ON bit_count(xor(p.n, q.n)) <= 3 GROUP BY p.n)
+SELECT doc_id, CASE WHEN first < doc_id THEN 'exact' WHEN near < doc_id THEN 'near_simhash' ELSE 'none' END AS duplicate_type, CASE WHEN first < doc_id THEN first WHEN near < doc_id THEN near END AS duplicate_of FROM b LEFT JOIN x USING (e) LEFT JOIN l USING (n)""")
 def dedup_cascade(spark, d):
     signed = ids.simhashes(spread(_t(spark, d, "documents").select("doc_id", "text")), "text").select("doc_id", ids.content_hash(F.col("text")).alias("exact"), ids.simhash_number(F.col("simhash")).alias("signature"))
     return dedup.cascade(signed, "doc_id", "exact", "signature").withColumnRenamed("key", "doc_id")
 
 
-@query()
+@query("""WITH RECURSIVE v AS (SELECT DISTINCT ('0x' || simhash)::UBIGINT AS n FROM deduplication_index WHERE simhash IS NOT NULL), e AS (SELECT p.n AS a, q.n AS b FROM v p JOIN v q ON p.n <> q.n AND bit_count(xor(p.n, q.n)) <= 3),
+r(a, b) AS (SELECT a, b FROM e UNION SELECT a, a FROM e UNION SELECT r.a, e.b FROM r JOIN e ON e.a = r.b), s AS (SELECT CASE WHEN a >= 9223372036854775808 THEN (a::HUGEINT - 18446744073709551616)::BIGINT ELSE a::BIGINT END AS node, CASE WHEN b >= 9223372036854775808 THEN (b::HUGEINT - 18446744073709551616)::BIGINT ELSE b::BIGINT END AS other FROM r)
+SELECT node, min(other) AS component FROM s GROUP BY node""")
 def dedup_components(spark, d):
     """Signatures of the index as components of the 3-bit graph."""
     s = _t(spark, d, "deduplication_index").select(ids.simhash_number(F.col("simhash")).alias("signature"))
@@ -595,7 +637,12 @@ def stream_sessions(spark, d):
     return _t(spark, d, "events").groupBy("user_id", F.session_window("ts", "30 minutes").alias("w")).agg(F.count("*").alias("events")).select("user_id", F.col("w.start").alias("session_start"), "events")
 
 
-@query()
+_NEWS_SQL = lambda c: f"coalesce({_rep(_squeeze(c), ('[' + chr(92) + 'x00-' + chr(92) + 'x08' + chr(92) + 'x0b-' + chr(92) + 'x1f]', ''))}, '')"
+_FLAGSHIP_SQL = f"""WITH f AS (SELECT id, source_url, {_NEWS_SQL('title')} AS title, {_NEWS_SQL('text')} AS text FROM news_articles WHERE coalesce(source_url, '') <> ''), g AS (SELECT * FROM f WHERE {_STATUS_SQL} = 'clean')
+SELECT substring(sha256(source_url || '#' || substring(sha256(text), 1, 16)), 1, 16) AS document_id, title, text, CASE WHEN host = '' THEN 'unknown' ELSE host END AS site FROM (SELECT *, regexp_replace(lower(regexp_extract(source_url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^www\\.', '') AS host FROM g QUALIFY row_number() OVER (PARTITION BY {_HASH_SQL} ORDER BY id, source_url, title, text) = 1)"""
+
+
+@query(_FLAGSHIP_SQL)
 def flagship_corpus(spark, d):
     return flagship(spark, d)
 

@@ -46,6 +46,24 @@ def test_masked(spark):
     assert row[3]["masked_text"] == "acct xxxxxxxxxxxx ok"
 
 
+@pytest.mark.parametrize(
+    ("value", "masked", "kinds"),
+    [
+        ("Your Name wrote to Mary Jones", "Your Name wrote to xxxx xxxx", ["name"]), ("sign as John Doe", "sign as John Doe", []), ("mail xxxx@xxxx.xxx now", "mail xxxx@xxxx.xxx now", ["email"]), ("id ١٢٣-٤٥-٦٧٨٩", "id xxx-xx-xxxx", ["ssn"]),
+        ("J. Smith and Ann B. Lee met Ann Lee", "xxxx xxxx and Ann xxxx xxxx met xxxx xxxx", ["name"]),
+    ],
+)
+def test_masked_like_the_rules(spark, value, masked, kinds):
+    row = pii.mask(spark.createDataFrame([(value,)], "t string"), "t").select("*", pii.found(F.col("t")).alias("found"), pii.masked(F.col("t")).alias("whole")).first()
+    assert (row["masked_text"], row["pii_found"]) == (masked, kinds)
+    assert (row["whole"], row["found"]) == (masked, kinds)
+
+
+def test_line_ends_are_counted_where_they_stay(spark):
+    counts = spark.createDataFrame([("a\r\n\n\n\nb",)], "t string").select(text.change_counts(F.col("t"), True).alias("kept"), text.change_counts(F.col("t")).alias("gone")).first()
+    assert counts["kept"]["linebreaks_normalized"] == 2 and counts["gone"]["linebreaks_normalized"] == 0
+
+
 @pytest.mark.parametrize(
     ("value", "expected"),
     [("https://x.com/a?b=2&a=1#f", "https://x.com/a?a=1&b=2"), ("https://x.com/a?b=", "https://x.com/a"), ("https://x.com/a", "https://x.com/a"), (None, None)],
@@ -105,7 +123,7 @@ def test_garbled_like_brute_force(spark, sf_dir):
         if len(t) < 50:
             return False
         words = re.findall(r"\w+", t)
-        parts = [x for x in re.split(r"[.!?]+", t) if x.strip()]
+        parts = re.split(r"[.!?]+", t)
         return sum(c.isprintable() for c in t) / len(t) < 0.9 or not words or sum(len(w) == 1 for w in words) / len(words) > 0.3 or (len(parts) >= 2 and sum(len(x.split()) for x in parts) / len(parts) < 3)
 
     rows = spark.read.parquet(f"{sf_dir}/export_entries.parquet").select("text", quality.garbled(F.col("text")).alias("g")).collect()
