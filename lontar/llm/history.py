@@ -58,6 +58,10 @@ SAMPLE, USES = 20_000, 3
 HOT = 10_000
 #: Representatives of a hot triple, and salts of the join of what they leave.
 REPRESENTATIVES, SALTS = 16, 16
+#: Bits of the filter of a batch's first triples, 16 for each, at most: 128 MB.
+FILTER_BITS = 1 << 30
+#: Sets of triples (a kilobyte or so each) that may be told to every executor.
+TOLD = 20_000
 #: Quotient of the ends of a range of distances to the empty set.
 RANGE = 1.67
 #: Words whose hashes a worker remembers, and texts that it knows it has signed.
@@ -66,6 +70,8 @@ REMEMBERED = 500_000
 AT_ONCE, CHARS = 2_048, 4_000_000
 
 _HASH_BITS, _CLASSES = 42, 63
+#: Rows travel under the last 40 bits of the hash of their text; all texts under one number are looked at in the end.
+_SHORT = (1 << 40) - 1
 _HASH = np.uint64((1 << _HASH_BITS) - 1)
 _NO_WORD = re.compile(r"[^\w ]+")
 
@@ -237,16 +243,28 @@ def sign(rows: DataFrame, order: Order) -> DataFrame:
     return rows.select(F.col("id").cast("string").alias("id"), F.col("batch").cast("int").alias("batch"), "address", "text").mapInArrow(run, _SIGNED)
 
 
-def _firsts(signed: DataFrame, order: Order, similarity: float, probes: bool) -> DataFrame:
-    """``k, hot, row, batch, n, place``: the first triples of each set, with the range; of probes for each range that the triangle inequality leaves."""
+def _filter(probes: DataFrame, keys: int) -> tuple[np.ndarray, bool]:
+    """Bits of the keys of ``probes``, about ``keys`` of them, and whether any is hot. It is built where they lie and has a bounded size, whatever the batch."""
+    bits = 1 << min(FILTER_BITS.bit_length() - 1, max(15, (16 * keys).bit_length()))
+    slot = F.pmod(F.col("k"), F.lit(bits)) + 1  # buckets of the built-in bitmaps count from 1
+    rows = probes.groupBy(F.bitmap_bucket_number(slot).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("m"), F.max("hot").alias("hot")).toArrow()
+    out = np.zeros((bits >> 15, 4096), np.uint8)
+    for b, m in zip(rows.column("b").to_pylist(), rows.column("m").to_pylist()):
+        out[b - 1] = np.frombuffer(m, np.uint8)
+    return out.ravel(), any(rows.column("hot").to_pylist())
+
+
+def _firsts(signed: DataFrame, order: Order, similarity: float, probes: bool, wanted: np.ndarray | None = None) -> DataFrame:
+    """``k, hot, row, batch, n, place``: the first triples of each set, with the range; of probes for each range that the triangle inequality leaves. ``wanted`` are the bits of keys that may be met; others are left out."""
     import pyarrow as pa
 
     hot_class = np.uint64(order[2])
+    shared = None if wanted is None else signed.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator) -> Iterator:
         for b in batches:
             row, batch, n = (b.column(k).to_numpy() for k in range(3))
-            n, size = n.astype(np.int64), b.num_rows
+            row, n, size = row & _SHORT, n.astype(np.int64), b.num_rows
             start = np.cumsum(n) - n
             t = _unpacked(b"".join(b.column(4).to_pylist()))
             if probes:
@@ -264,6 +282,11 @@ def _firsts(signed: DataFrame, order: Order, similarity: float, probes: bool) ->
             place = np.arange(len(owner)) - np.repeat(np.cumsum(first) - first, first)
             value = t[start[owner] + place]
             key = ((value & _HASH) | (np.repeat(at_range, first).astype(np.uint64) << np.uint64(_HASH_BITS))).view(np.int64)
+            if shared is not None:
+                bits = shared.value
+                slot = key % (8 * len(bits))
+                met = np.flatnonzero((bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1)
+                owner, place, value, key = owner[met], place[met], value[met], key[met]
             hot = (value >> np.uint64(_HASH_BITS)) >= hot_class
             for i in range(0, len(key), 100_000):
                 s = slice(i, i + 100_000)
@@ -273,20 +296,23 @@ def _firsts(signed: DataFrame, order: Order, similarity: float, probes: bool) ->
 
 
 def _meet(a: DataFrame, b: DataFrame, similarity: float, *on: str) -> DataFrame:
-    """``a, b, first``: probes and rows of a smaller batch that share a key within the first triples that their two sizes ask for, and the row's smallest batch."""
+    """``a, b, first``: probes and rows of a smaller batch that share a key within the first triples that their two sizes ask for, and the row's batch; a pair may stand several times."""
     names = ["row", "batch", "n", "place"]
     a, b = a.select("k", *on, *(F.col(c).alias(f"{c}_a") for c in names)), b.select("k", *on, *(F.col(c).alias(f"{c}_b") for c in names))
     least = common_least(F.col("n_a"), F.col("n_b"), similarity)
     near = (F.col("batch_b") < F.col("batch_a")) & (F.least("n_a", "n_b") >= similarity * F.greatest("n_a", "n_b") - 1e-9) & (F.col("place_a") <= F.col("n_a") - least) & (F.col("place_b") <= F.col("n_b") - least)
-    return a.join(b.hint("merge"), ["k", *on]).where(near).groupBy(F.col("row_a").alias("a"), F.col("row_b").alias("b")).agg(F.min("batch_b").alias("first"))
+    return a.join(b.hint("merge"), ["k", *on]).where(near).select(F.col("row_a").alias("a"), F.col("row_b").alias("b"), F.col("batch_b").alias("first"))
 
 
 def _verified(pairs: DataFrame, new: DataFrame, old: DataFrame, similarity: float) -> DataFrame:
-    """``a, first`` of ``pairs`` that pass the pivots and then the true distance."""
+    """``a`` (hash of the text), ``first`` of ``pairs`` (short numbers) that pass the pivots and then the true distance."""
     import pyarrow as pa
 
+    short = F.col("row").bitwiseAND(F.lit(_SHORT))
+
     def once(df: DataFrame, side: str, column: str) -> DataFrame:
-        return df.groupBy(F.col("row").alias(side)).agg(F.first(column).alias(f"{column}_{side}"))
+        own = df.select(short.alias(side), F.col("row").alias(f"row_{side}"), column).repartition(side)  # by the number, so that the join needs no other shuffle
+        return own.groupBy(side, f"row_{side}").agg(F.first(column).alias(f"{column}_{side}"))
 
     def pruned(batches: Iterator) -> Iterator:
         for b in batches:
@@ -308,10 +334,10 @@ def _verified(pairs: DataFrame, new: DataFrame, old: DataFrame, similarity: floa
             yield pa.RecordBatch.from_arrays([b.column(k).take(at) for k in range(2)], ["a", "first"])
 
     joined = pairs.join(once(old, "b", "pivots").hint("merge"), "b").join(sized(once(new, "a", "pivots")), "a")
-    left = cut(joined.select("a", "b", "first", "pivots_a", "pivots_b").mapInArrow(pruned, "a bigint, b bigint, first int"))
-    wanted = lambda df, side: df.join(sized(cut(left.select(F.col(side).alias("row")).distinct())), "row", "left_semi")
-    both = left.join(once(wanted(old, "b"), "b", "triples").hint("merge"), "b").join(once(wanted(new, "a"), "a", "triples").hint("merge"), "a")
-    return both.select("a", "first", "triples_a", "triples_b").mapInArrow(true, "a bigint, first int").groupBy("a").agg(F.min("first").alias("first"))
+    left = cut(joined.select("a", "b", "first", "pivots_a", "pivots_b").mapInArrow(pruned, "a bigint, b bigint, first int").groupBy("a", "b").agg(F.min("first").alias("first")))
+    wanted = lambda df, side: df.join(sized(cut(left.select(F.col(side).alias("_row")).distinct())), short == F.col("_row"), "left_semi")
+    both = left.join(once(wanted(old, "b"), "b", "triples").hint("merge"), "b").join(sized(once(wanted(new, "a"), "a", "triples"), TOLD), "a")
+    return both.select(F.col("row_a").alias("a"), "first", "triples_a", "triples_b").mapInArrow(true, "a bigint, first int").groupBy("a").agg(F.min("first").alias("first"))
 
 
 class HistoryTable:
@@ -375,16 +401,19 @@ class HistoryTable:
     def _near(self, sets: DataFrame, mine: Column) -> DataFrame:
         """``a, first``: texts of the batches with the smallest batch of a similar text."""
         new, order = sets.where(mine), self._order()
-        a, b = _firsts(new, order, self.similarity, True), _firsts(sets, order, self.similarity, False)
-        verified = lambda pairs: _verified(cut(pairs), new, sets, self.similarity)
-        if not len(order[1]) or int(order[1].max()) < order[2] or a.where("hot").isEmpty():  # no probe has a hot triple among its first ones
+        a = _firsts(new, order, self.similarity, True)
+        bits, hot = _filter(a, int(new.agg(F.sum("n")).first()[0] or 0))
+        b = _firsts(sets, order, self.similarity, False, bits)
+        verified = lambda pairs: _verified(pairs, new, sets, self.similarity)
+        if not hot:  # no probe has a hot triple among its first ones
             return verified(_meet(a, b, self.similarity))
         some = F.pmod(F.xxhash64("row"), F.lit(REPRESENTATIVES))
         few = b.where("hot").groupBy("k", some.alias("r")).agg(F.min(F.struct("batch", "row", "n", "place")).alias("x")).select("k", "x.*")
         first = cut(verified(_meet(a.where("NOT hot"), b.where("NOT hot"), self.similarity).unionByName(_meet(a.where("hot"), few, self.similarity))))
         # What a representative hasn't told to be known from the start meets all hot rows.
-        settled = new.groupBy("row").agg(F.min("batch").alias("batch")).join(first.withColumnRenamed("a", "row"), "row").where("first < batch").select("row")
-        open_ = a.where("hot").join(settled.hint("merge"), "row", "left_anti").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        told = new.groupBy("row").agg(F.min("batch").alias("batch")).join(first.withColumnRenamed("a", "row").hint("merge"), "row", "left").where("first IS NULL OR first >= batch")
+        unsettled = told.select(F.col("row").bitwiseAND(F.lit(_SHORT)).alias("row")).distinct()
+        open_ = a.where("hot").join(unsettled.hint("merge"), "row", "left_semi").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         rest = _meet(open_, b.where("hot").withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")), self.similarity, "salt")
         return first.unionByName(verified(rest)).groupBy("a").agg(F.min("first").alias("first"))
 
