@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -70,6 +72,13 @@ def links(html: Column) -> Column:
     return F.regexp_extract_all(html, F.lit(r'<a\s[^>]*href="([^"]*)"'), 1)
 
 
+def article_links(pages: DataFrame, html: str, base: str, rule: Callable[[Column], Column], keys: list[str]) -> DataFrame:
+    """``keys, place, link``: the links of each page that the rule takes, absolute, each once per ``keys``, numbered from 0 as they first come."""
+    found = F.transform(links(F.col(html)), lambda x: F.trim(x))
+    each = pages.select(*keys, base, F.posexplode(found).alias("place", "_link")).select(*keys, "place", resolved(F.col(base), F.col("_link")).alias("link"))
+    return each.where(valid(F.col("link")) & F.coalesce(rule(F.col("link")), F.lit(False))).groupBy(*keys, "link").agg(F.min("place").alias("place")).select(*keys, "place", "link")
+
+
 @F.pandas_udf(StringType())
 def _joined(base: pd.Series, link: pd.Series) -> pd.Series:
     from urllib.parse import urljoin

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -116,21 +116,80 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     raise RuntimeError(f"components haven't settled in {rounds} rounds")
 
 
-def cascade(df: DataFrame, key: str, exact: str, signature: str, distance: int = 3) -> DataFrame:
-    """``key, duplicate_type, duplicate_of``: against smaller keys, first by the exact hash, else by the signature, else ``none``.
+def cascade(df: DataFrame, key: str, exact: str, signature: str, distance: int = 3, vector: str | None = None, least: float = 0.95) -> DataFrame:
+    """``key, duplicate_type, duplicate_of, confidence``: against smaller keys, first by the exact hash, then by the signature, then by the vector (if one is named), else ``none``.
 
-    The smallest key of an equal hash is the original; near ones are those of
-    the smallest key within ``distance`` bits.
+    The smallest key of an equal hash is the original. Near ones are told by the
+    most alike, of equally alike ones by the smallest key; the confidence is
+    their similarity (1 for exact ones, 0 for none). Null hashes, signatures and
+    vectors match nothing.
     """
-    base = df.select(F.col(key).alias("key"), F.col(exact).alias("exact"), F.col(signature).alias("signature"))
+    cols = [F.col(key).alias("key"), F.col(exact).alias("exact"), F.col(signature).alias("signature"), *([F.col(vector).alias("vector")] if vector else [])]
+    base = df.select(*cols)
     first = base.where("exact IS NOT NULL").groupBy("exact").agg(F.min("key").alias("exact_of"))
+    # Copies of a signature are told by its smallest key, its holder; a holder by the nearest one of a smaller holder.
     holder = base.where("signature IS NOT NULL").groupBy("signature").agg(F.min("key").alias("holder"))
     links = hamming_links(base.select("signature"), distance)
-    around = links.select("a", "b").union(links.select("b", "a")).join(holder.withColumnRenamed("signature", "b"), "b").groupBy(F.col("a").alias("signature")).agg(F.min("holder").alias("around"))
-    nearest = holder.join(around, "signature", "left").select("signature", F.least("holder", F.coalesce("around", "holder")).alias("near_of"))
-    joined = base.join(first, "exact", "left").join(nearest, "signature", "left")
-    is_exact, is_near = F.coalesce(F.col("exact_of") < F.col("key"), F.lit(False)), F.coalesce(F.col("near_of") < F.col("key"), F.lit(False))
-    return joined.select("key", F.when(is_exact, "exact").when(is_near, "near_simhash").otherwise("none").alias("duplicate_type"), F.when(is_exact, F.col("exact_of")).when(is_near, F.col("near_of")).alias("duplicate_of"))
+    both = links.select("a", "b", "distance").union(links.select("b", "a", "distance"))
+    met = both.join(holder.select(F.col("signature").alias("a"), F.col("holder").alias("mine")), "a").join(holder.select(F.col("signature").alias("b"), F.col("holder").alias("theirs")), "b")
+    nearest_ = met.where("theirs < mine").groupBy(F.col("a").alias("signature")).agg(F.min(F.struct("distance", "theirs")).alias("near"))
+    joined = base.join(first, "exact", "left").join(holder.join(nearest_, "signature", "left"), "signature", "left")
+    copy = F.col("holder") < F.col("key")
+    near = F.when(copy, F.struct(F.lit(0).cast("long").alias("distance"), F.col("holder").alias("theirs"))).otherwise(F.col("near"))
+    out = joined.withColumns({"_exact": F.coalesce(F.col("exact_of") < F.col("key"), F.lit(False)), "_near": near})
+    kind = F.when(F.col("_exact"), "exact").when(F.col("_near").isNotNull(), "near_simhash")
+    of, sure = F.when(F.col("_exact"), F.col("exact_of")).otherwise(F.col("_near.theirs")), F.when(F.col("_exact"), 1.0).otherwise(1 - F.col("_near.distance") / 64)
+    if vector:
+        rest = cut(out.where(kind.isNull()).select("key", "vector"))
+        alike = _vector_originals(base.select("key", "vector"), rest.select("key"), least)
+        out = out.join(alike, "key", "left")
+        kind, of, sure = F.coalesce(kind, F.when(F.col("vector_of").isNotNull(), "near_embedding")), F.coalesce(of, "vector_of"), F.coalesce(sure, "cosine")
+    return out.select("key", F.coalesce(kind, F.lit("none")).alias("duplicate_type"), of.alias("duplicate_of"), F.round(F.coalesce(sure, F.lit(0.0)), 6).alias("confidence"))
+
+
+def _vector_originals(vectors: DataFrame, wanted: DataFrame, least: float) -> DataFrame:
+    """``key, vector_of, cosine``: of the wanted keys, the most alike vector of a smaller key."""
+    hashed = vectors.where("vector IS NOT NULL").select("key", F.xxhash64("vector").alias("h"))
+    holder = hashed.groupBy("h").agg(F.min("key").alias("holder"))
+    links = lsh_links(vectors, "key", "vector", least)  # between holders
+    near = links.select(F.col("b").alias("holder"), F.struct((-F.col("cosine")).alias("c"), F.col("a").alias("of")).alias("x")).groupBy("holder").agg(F.min("x").alias("x"))
+    joined = hashed.join(holder, "h").join(near, "holder", "left").join(wanted, "key", "left_semi")
+    copy = F.col("holder") < F.col("key")
+    return joined.select("key", F.when(copy, F.col("holder")).otherwise(F.col("x.of")).alias("vector_of"), F.when(copy, 1.0).otherwise(-F.col("x.c")).alias("cosine")).where("vector_of IS NOT NULL")
+
+
+#: Words of a text that an embedding sees.
+EMBEDDED_WORDS = 512
+
+
+def embedded(df: DataFrame, text: str, model: Callable[[list[str]], np.ndarray], into: str = "embedding") -> DataFrame:
+    """``df`` with ``into`` (the model's vector of the first ``EMBEDDED_WORDS`` words, as 32-bit numbers of unit length) and ``into_hash`` (SHA-256 of its bytes).
+
+    ``model`` takes a list of texts and gives a matrix; no model is built in.
+    Null and blank texts, and vectors without a length, have neither.
+    """
+    import pyarrow as pa
+
+    keep = [c for c in df.columns if c not in (into, f"{into}_hash")]
+    place = keep.index(text)
+
+    def run(batches: Iterator) -> Iterator:
+        from hashlib import sha256
+
+        for b in batches:
+            heads = [" ".join(t.split(None, EMBEDDED_WORDS)[:EMBEDDED_WORDS]) if t else "" for t in b.column(place).to_pylist()]
+            filled = [k for k, t in enumerate(heads) if t]
+            found = np.asarray(model([heads[k] for k in filled]), np.float64) if filled else np.zeros((0, 1))
+            vectors, hashes = [None] * b.num_rows, [None] * b.num_rows
+            for k, v in zip(filled, found):
+                size = np.linalg.norm(v)
+                if size > 0:
+                    unit = (v / size).astype("<f4")
+                    vectors[k], hashes[k] = unit.tolist(), sha256(unit.tobytes()).hexdigest()
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(len(keep))), pa.array(vectors, pa.list_(pa.float32())), pa.array(hashes, pa.string())], [*keep, into, f"{into}_hash"])
+
+    schema = "".join(f"`{c}` {df.schema[c].dataType.simpleString()}, " for c in keep)
+    return df.select(*keep).mapInArrow(run, f"{schema}`{into}` array<float>, `{into}_hash` string")
 
 
 def newest_candidates(df: DataFrame, order: str, group: str, size: int = 100) -> DataFrame:

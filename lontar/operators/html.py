@@ -2,8 +2,9 @@
 
 The extraction builds a small tree, drops what surrounds the article, takes the
 best-scored content element, and reads title, author, date, description,
-keywords and images by cascades of selectors. Further methods plug in as
-``method(html) -> dict``; the best quality wins, the earlier one on a tie.
+keywords and images by cascades of selectors. Three further methods are built
+in (``METHODS``), others plug in as ``method(html) -> dict``; the best quality
+wins, the earlier one on a tie.
 """
 
 from __future__ import annotations
@@ -11,12 +12,14 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
+from urllib.parse import urljoin
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lontar.functions.text import page_text, words
 from lontar.operators.quality import extraction_score, reading_minutes
+from lontar.operators.selectors import select
 
 #: Parts of class and id values of what surrounds an article (fixed values).
 UNWANTED = ("ad", "advertisement", "sidebar", "nav", "menu", "footer", "header", "comment", "social", "share", "related", "popup", "modal")
@@ -143,28 +146,30 @@ def _best(nodes: list[Node], places: tuple) -> Node | None:
     return best
 
 
-def _meta(nodes: list[Node], *names: str) -> str | None:
-    for name in names:
-        for n in nodes:
-            if n.tag == "meta" and name in (n.attrs.get("name"), n.attrs.get("property")) and n.attrs.get("content", "").strip():
-                return n.attrs["content"].strip()
-    return None
-
-
-def _first(nodes: list[Node], fits: tuple, most: int) -> str | None:
-    for f in fits:
-        for n in nodes:
-            if f(n):
-                t = n.attrs.get("datetime") or n.text(" ")
-                if t and len(t) < most:
-                    return t
-                break
+#: Selectors of author, date, description and keywords, in order (fixed values).
+AUTHORS = ('[rel="author"]', ".author", ".byline", '[class*="author"]', '[itemprop="author"]', 'meta[name="author"]')
+DATES = ("[datetime]", "time", ".date", ".published", '[class*="date"]', '[itemprop="datePublished"]', 'meta[property="article:published_time"]', 'meta[name="date"]')
+DESCRIPTIONS = ('meta[name="description"]', 'meta[property="og:description"]', 'meta[name="twitter:description"]', ".description", ".summary", ".excerpt")
+TAGS = (".tags", ".keywords", '[class*="tag"]', '[class*="category"]')
+
+
+def _cascade(root: Node, selectors: tuple[str, ...], least: int, most: int, meta_too: bool = False) -> str | None:
+    """The first selector whose first element has a text of fitting length; what a meta element or ``datetime`` says holds as it is, unless ``meta_too``."""
+    for s in selectors:
+        n = next(select(root, s), None)
+        if n is None:
+            continue
+        said = n.attrs.get("content") if n.tag == "meta" else n.attrs.get("datetime") if s in DATES else None
+        if not meta_too and (n.tag == "meta" or said):
+            return said
+        t = said if n.tag == "meta" else n.text()
+        if t and least <= len(t) <= most:
+            return t
     return None
 
 
-def custom(html: str) -> dict | None:
-    """The built-in method; None if nothing is found."""
-    root = tree(html)
+def metadata(root: Node) -> dict:
+    """Title, author, date, description, keywords, images and links of a page, before anything is dropped from it."""
     every = list(root.walk())
     title = None
     for fits in _TITLES:
@@ -172,13 +177,19 @@ def custom(html: str) -> dict | None:
         if found is not None and len(t := found.text()) > 10:
             title = t
             break
-    links = [n.attrs["href"] for n in every if n.tag == "a" and n.attrs.get("href")]
-    out = {
-        "title": title, "author": _meta(every, "author", "article:author") or _first(every, (lambda n: "author" in _classes(n), lambda n: "byline" in _classes(n), lambda n: n.attrs.get("rel") == "author"), 100),
-        "publish_date": _meta(every, "article:published_time", "date", "pubdate") or _first(every, (lambda n: n.tag == "time", lambda n: "date" in _classes(n), lambda n: "published" in _classes(n)), 50),
-        "description": _meta(every, "description", "og:description"), "keywords": sorted({k.strip() for k in (_meta(every, "keywords") or "").split(",") if k.strip()})[:10],
-        "images": sorted({n.attrs["src"] for n in every if n.tag == "img" and n.attrs.get("src", "").startswith("http")})[:10], "links": links,
+    named = next(select(root, 'meta[name="keywords"]'), None)
+    words = {k.strip() for k in (named.attrs.get("content", "") if named is not None else "").split(",") if k.strip()}
+    words |= {t for s in TAGS for n in select(root, s) if (t := n.text()) and len(t) < 50}
+    return {
+        "title": title, "author": _cascade(root, AUTHORS, 1, 99), "publish_date": _cascade(root, DATES, 1, 49), "description": _cascade(root, DESCRIPTIONS, 50, 300, True), "keywords": sorted(words)[:10],
+        "images": [x for n in every if n.tag == "img" and (x := n.attrs.get("src") or n.attrs.get("data-src"))], "links": [n.attrs["href"] for n in every if n.tag == "a" and n.attrs.get("href")],
     }
+
+
+def custom(html: str) -> dict | None:
+    """The method by selectors; None if nothing is found."""
+    root = tree(html)
+    out = metadata(root)
     root.drop(_unwanted)
     nodes = list(root.walk())
     best = _best(nodes, _PLACES) or _best(nodes, (lambda n: n.tag in ("div", "section", "article"),))
@@ -188,6 +199,80 @@ def custom(html: str) -> dict | None:
     return out | {"content": best.text(" "), "extraction_method": "custom"}
 
 
+#: Characters of a content below which the three methods that follow have found nothing.
+LEAST = 200
+_GONE = ("script", "style", "noscript", "template", "svg", "form", "iframe")
+
+
+def _linked(n: Node) -> int:
+    return sum(len(a.text(" ")) for a in n.walk() if a.tag == "a")
+
+
+def dense(html: str) -> dict | None:
+    """The method by text density: the run of text blocks with the most characters outside links, less a price for each block that is short or linked."""
+    root = tree(html)
+    out = metadata(root)
+    root.drop(lambda n: n.tag in (*_GONE, "nav", "aside", "footer", "header"))
+    blocks = []
+    for n in root.walk():
+        if n.tag in ("p", "li", "h2", "h3", "h4", "blockquote", "pre", "td", "dd") and not any(c.tag in ("p", "li", "blockquote", "table", "ul") for c in list(n.walk())[1:]):
+            t = n.text(" ")
+            if t:
+                blocks.append((t, len(t) - 2 * _linked(n) - 60))
+    best, here, at, span = 0, 0, 0, (0, 0)
+    for k, (_, worth) in enumerate(blocks):
+        if here <= 0:
+            here, at = 0, k
+        here += worth
+        if here > best:
+            best, span = here, (at, k + 1)
+    content = " ".join(t for t, _ in blocks[span[0] : span[1]])
+    return out | {"content": content} if len(content) >= LEAST else None
+
+
+def readable(html: str) -> dict | None:
+    """The method by paragraphs' votes: each of some length speaks for its parent, and half as much for the one above; links speak against."""
+    root = tree(html)
+    title = metadata(root)["title"]
+    root.drop(lambda n: n.tag in _GONE)
+    votes: dict[int, float] = {}
+    nodes: dict[int, Node] = {}
+    stack: list[tuple[Node, Node | None, Node | None]] = [(root, None, None)]
+    while stack:
+        n, parent, above = stack.pop()
+        if n.tag in ("p", "pre", "td", "blockquote") and len(t := n.text(" ")) >= 25:
+            worth = 1 + t.count(",") + min(3.0, len(t) / 100)
+            for holder, share in ((parent, 1.0), (above, 0.5)):
+                if holder is not None:
+                    votes[id(holder)] = votes.get(id(holder), 0.0) + share * worth
+                    nodes[id(holder)] = holder
+        stack.extend((c, n, parent) for c in reversed(n.children) if isinstance(c, Node))
+    if not votes:
+        return None
+    best = nodes[max(votes, key=lambda k: votes[k] * (1 - min(1.0, _linked(nodes[k]) / max(1, len(nodes[k].text(" "))))))]
+    best.drop(lambda n: n.tag in ("nav", "aside", "footer", "ul") and _linked(n) > 0.5 * max(1, len(n.text(" "))))
+    content = best.text(" ")
+    return {"title": title, "content": content} if len(content) >= LEAST else None
+
+
+def described(html: str) -> dict | None:
+    """The method by what the page says of itself: the article element, or the elements marked as its body, with all metadata."""
+    root = tree(html)
+    out = metadata(root)
+    for s in ('[itemprop="articleBody"]', "article", 'meta[property="og:title"]'):
+        n = next(select(root, s), None)
+        if n is None:
+            continue
+        if n.tag == "meta":
+            n = next((x for x in root.walk() if x.tag == "body"), root)
+            out["title"] = out["title"] or None
+        n.drop(lambda x: x.tag in (*_GONE, "nav", "aside", "footer"))
+        content = " ".join(t for p in n.walk() if p.tag in ("p", "li", "h2", "h3") and (t := p.text(" ")))
+        if len(content) >= LEAST:
+            return out | {"content": content}
+    return None
+
+
 def paragraphs(html: str, least: int = 50, whole: int = 200) -> dict | None:
     """A plainer method for news pages: paragraphs of ``least`` characters in the article (or content element), else the first element of ``whole``."""
     root = tree(html)
@@ -201,41 +286,57 @@ def paragraphs(html: str, least: int = 50, whole: int = 200) -> dict | None:
     return {"title": title, "content": " ".join(parts), "keywords": [], "images": [], "links": []} if parts else None
 
 
-def extract(pages: DataFrame, html: str, methods: dict[str, Callable[[str], dict | None]] | None = None, least: int = 100) -> DataFrame:
+#: All built-in methods, in order of preference among equally good ones.
+METHODS: dict[str, Callable[[str], dict | None]] = {"dense": dense, "readable": readable, "described": described, "custom": custom}
+
+
+def extract(pages: DataFrame, html: str, methods: dict[str, Callable[[str], dict | None]] | None = None, least: int = 100, url: str = "url") -> DataFrame:
     """``pages`` (without its ``html``) with the extracted fields, ``word_count, reading_time, quality_score``.
 
-    Pages under ``least`` characters, null ones, and ones in which no method
-    finds content have the method ``failed`` and null contents.
+    The result of the best score is taken, of equal ones that of the earlier
+    method; it is chosen within the row. Images are made absolute by the column
+    ``url``, where there is one. Pages under ``least`` characters, null ones, and
+    ones in which no method finds content have the method ``failed`` and null
+    contents.
     """
     import pyarrow as pa
 
-    keep = [c for c in pages.columns if c != html]
+    fields = [tuple(f.split()) for f in SCHEMA.split(", ")]
+    keep = [c for c in pages.columns if c not in (html, *(f[0] for f in fields), "word_count", "reading_time", "quality_score")]
     chosen = methods or {"custom": custom}
-    names = [f.split()[0] for f in SCHEMA.split(", ")]
+    types = [(n, pa.list_(pa.string()) if t.startswith("array") else pa.string()) for n, t in fields]
+    based = url in keep
 
     def run(batches: Iterator) -> Iterator:
         for b in batches:
-            rows, values = [], {n: [] for n in names}
-            for k, page in enumerate(b.column(len(keep)).to_pylist()):
-                results = [r | {"extraction_method": name} for name, m in chosen.items() if page and len(page.strip()) >= least and (r := _safe(m, page))]
-                for r in results or [{"extraction_method": "failed"}]:
-                    rows.append(k)
-                    for n in names:
-                        values[n].append(r.get(n))
-            at = pa.array(rows, pa.int64())
-            cols = [pa.array(values[n], pa.list_(pa.string()) if n in ("keywords", "images", "links") else pa.string()) for n in names]
-            yield pa.RecordBatch.from_arrays([*(b.column(j).take(at) for j in range(len(keep))), *cols], [*keep, *names])
-
-    schema = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in keep)
-    found = pages.select(*keep, html).mapInArrow(run, f"{schema}, {SCHEMA}")
-    cleaned = found.withColumns({"content": page_text(F.col("content")), "title": page_text(F.col("title"))})
-    score = extraction_score(*(F.col(c) for c in ("content", "title", "author", "publish_date", "description", "keywords")))
-    scored = cleaned.withColumns({"word_count": words(F.coalesce("content", F.lit(""))), "reading_time": reading_minutes(F.coalesce("content", F.lit(""))), "quality_score": F.when(F.col("extraction_method") == "failed", 0.0).otherwise(score)})
-    if len(chosen) == 1:
-        return scored
-    order = F.create_map(*(F.lit(x) for k, name in enumerate(chosen) for x in (name, -k)))
-    best = F.max_by(F.struct(*scored.columns), F.struct(F.col("quality_score"), F.coalesce(order[F.col("extraction_method")], F.lit(-99))))
-    return scored.groupBy(*keep).agg(best.alias("b")).select("b.*")
+            bases = b.column(keep.index(url)).to_pylist() if based else [None] * b.num_rows
+            out = []
+            for page, base in zip(b.column(len(keep)).to_pylist(), bases):
+                found = [r | {"extraction_method": name} for name, m in chosen.items() if page and len(page.strip()) >= least and (r := _safe(m, page))]
+                for r in found:
+                    r["images"] = sorted({x for src in r.get("images") or [] if (x := _absolute(base, src))})[:10]
+                out.append([{n: r.get(n) for n, _ in types} for r in found or [{"extraction_method": "failed"}]])
+            yield pa.RecordBatch.from_arrays([*(b.column(j) for j in range(len(keep))), pa.array(out, pa.list_(pa.struct(types)))], [*keep, "_found"])
+
+    schema = "".join(f"`{c}` {pages.schema[c].dataType.simpleString()}, " for c in keep)
+    found = pages.select(*keep, html).mapInArrow(run, f"{schema}_found array<struct<{', '.join(f'{n}:{t}' for n, t in fields)}>>")
+
+    def scored(r: Column, place: Column) -> Column:
+        f = {n: r[n] for n, _ in fields} | {"content": page_text(r["content"]), "title": page_text(r["title"])}
+        score = extraction_score(*(f[c] for c in ("content", "title", "author", "publish_date", "description", "keywords")))
+        return F.struct(F.when(r["extraction_method"] == "failed", 0.0).otherwise(score).alias("quality_score"), (-place).alias("place"), *(f[n].alias(n) for n, _ in fields))
+
+    best = found.withColumn("_best", F.array_max(F.transform("_found", lambda r, k: scored(r, k))))
+    body = F.coalesce("content", F.lit(""))
+    return best.select(*keep, *(F.col("_best")[n].alias(n) for n, _ in fields), F.col("_best.quality_score").alias("quality_score")).withColumns({"word_count": words(body), "reading_time": reading_minutes(body)})
+
+
+def _absolute(base: str | None, src: str) -> str | None:
+    try:
+        full = urljoin(base, src) if base else src
+    except ValueError:
+        return None
+    return full if full.startswith("http") else None
 
 
 def _safe(method: Callable, page: str) -> dict | None:

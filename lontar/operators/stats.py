@@ -38,8 +38,8 @@ def per_day(count: Column, seconds: Column) -> Column:
 
 def with_percentages(counts: DataFrame, part: str = "records", by: str = "field") -> DataFrame:
     """``histograms`` with ``percent``, of all records of the field."""
-    whole = counts.groupBy(by).agg(F.sum(part).alias("_all"))
-    return counts.join(F.broadcast(whole), counts[by].eqNullSafe(whole[by]), "left").select(*(counts[c] for c in counts.columns), F.round(100 * ratio(F.col(part), F.col("_all")), 6).alias("percent"))  # a row per field
+    whole = F.sum(part).over(Window.partitionBy(by))  # a row per value: counts, not records
+    return counts.withColumn("percent", F.round(100 * ratio(F.col(part), whole), 6))
 
 
 def increment(totals: DataFrame | None, new: DataFrame, keys: list[str]) -> DataFrame:

@@ -11,10 +11,11 @@ from pyspark.sql.types import StringType, StructField, StructType
 from lontar.functions import ids, pii, text, urls
 from lontar.functions.text import NO_LETTER_NO_SPACE, SPACE
 from lontar.functions.unicode import nfkc
-from lontar.operators import classify, dedup, frontier, html, quality, stats, threads
+from lontar.operators import classify, dedup, frontier, html, news, quality, stats, threads
 from lontar.plans import corpus
-from lontar.plans.stage import spread
-from lontar.sources import jsonl
+from lontar.plans.stage import fresh_folder, spread
+from lontar.sources import books, jsonl
+from lontar.streaming import corpus as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -77,9 +78,12 @@ def scan_links(spark, d):
     return _t(spark, d, "fetch_results").where("success").select("page_id", F.explode(urls.links(F.col("content"))).alias("link"))
 
 
-@query("SELECT page_id, unnest(regexp_extract_all(url, '-(\\d+)$', 1)) AS number FROM fetch_results")
-def scan_page_numbers(spark, d):
-    return _t(spark, d, "fetch_results").select("page_id", F.explode(F.regexp_extract_all("url", F.lit(r"-(\d+)$"), 1)).alias("number"))
+@query("SELECT doc_id, unnest(regexp_extract_all('<a href=\"/ebooks/' || doc_id || '\">' || coalesce(title, '') || '</a><a href=\"/ebooks/' || (doc_id % 10) || '.txt\">text</a>', '/ebooks/(\\d+)', 1)) AS book FROM documents")
+def scan_book_ids(spark, d):
+    """Ids of books on search pages; the pages are made of the documents' titles."""
+    link = lambda n: F.concat(F.lit('<a href="/ebooks/'), n.cast("string"))
+    pages = _t(spark, d, "documents").select("doc_id", F.concat(link(F.col("doc_id")), F.lit('">'), F.coalesce("title", F.lit("")), F.lit("</a>"), link(F.col("doc_id") % 10), F.lit('.txt">text</a>')).alias("page"))
+    return pages.select("doc_id", F.explode(books.book_ids(F.col("page"))).alias("book"))
 
 
 @query("SELECT page_id, CASE WHEN link LIKE '/%' THEN regexp_extract(url, '^([a-z]+://[^/?#]+)', 1) || link ELSE link END AS link FROM (SELECT page_id, url, unnest(regexp_extract_all(content, '<a\\s[^>]*href=\"(/[^\"/][^\"]*|https?://[^\"]*)\"', 1)) AS link FROM fetch_results WHERE success)")
@@ -591,6 +595,29 @@ def html_extracted(spark, d):
     return html.extract(_last_fetches(spark, d), "content").select("page_id", "title", "content", "author", "publish_date", "word_count", "reading_time", "extraction_method", F.round("quality_score", 6).alias("quality_score"))
 
 
+@query()
+def html_best(spark, d):
+    """Of four methods the best result of each page."""
+    return html.extract(spread(_last_fetches(spark, d)), "content", html.METHODS).select("page_id", "title", "content", "extraction_method", F.round("quality_score", 6).alias("quality_score"))
+
+
+_SITE = news.Site(items=("article", "li"), titles=("h2 a", "h3 a", "a"), links=("h2 a", "h3 a", "a"), bodies=(".story-body", ".entry-content", "main"))
+
+
+@query()
+def scan_list_pages(spark, d):
+    """Articles that the items of all pages link to, each address once, those of the history left out."""
+    return news.list_pages(spread(_last_fetches(spark, d)), "content", "url", _SITE, _t(spark, d, "news_articles"))
+
+
+@query("SELECT DISTINCT page_id, coalesce(trim(regexp_extract(content, '(?s)<h1[^>]*>([^<&]*)</h1>', 1)), '') AS heading FROM fetch_results WHERE success AND regexp_matches(content, '(?s)<h1[^>]*>[^<&]*</h1>') AND NOT regexp_matches(content, '(?s)<h1.*<h1')")
+def html_articles(spark, d):
+    """Title and body of all article pages; compared are the titles of pages with one plain heading."""
+    f = _t(spark, d, "fetch_results").where("success")
+    plain = F.col("content").rlike(r"(?s)<h1[^>]*>[^<&]*</h1>") & ~F.col("content").rlike(r"(?s)<h1.*<h1")
+    return news.articles(f.select("page_id", "content", plain.alias("plain")), "content").where("plain").select("page_id", F.col("title").alias("heading")).distinct()
+
+
 @query(f"WITH f AS (SELECT page_id, title, author, publish_date, description, keywords, content, {_TOKENS} AS tokens, {_count('content', '[.!?]+' + SPACE + '+[A-Z]')} AS s FROM extracted_content WHERE content IS NOT NULL) SELECT page_id, round(least(100, CASE WHEN length(content) >= 200 THEN least(length(content) / 100, 30) ELSE 0 END + CASE WHEN length(coalesce(title, '')) > 10 THEN 10 ELSE 0 END + CASE WHEN s > 5 THEN least(s, 20) ELSE 0 END + CASE WHEN len(tokens) > 0 THEN 10 * len(list_distinct(tokens)) / len(tokens) ELSE 0 END + CASE WHEN coalesce(author, '') <> '' THEN 2 ELSE 0 END + CASE WHEN coalesce(publish_date, '') <> '' THEN 2 ELSE 0 END + CASE WHEN coalesce(description, '') <> '' THEN 3 ELSE 0 END), 6)::DOUBLE AS score FROM f")
 def html_scores(spark, d):
     e = _t(spark, d, "extracted_content").where("content IS NOT NULL")
@@ -605,11 +632,19 @@ def dedup_exact(spark, d):
     return out.select(F.col("key").alias("doc_id"), "duplicate_type", F.coalesce("duplicate_of", "key").alias("duplicate_of"))
 
 
+@query("SELECT v.vec_id, CASE WHEN min(w.vec_id) IS NULL THEN 'none' ELSE 'near_embedding' END AS duplicate_type FROM embeddings v LEFT JOIN embeddings w ON w.vec_id < v.vec_id AND list_cosine_similarity(v.embedding::DOUBLE[], w.embedding::DOUBLE[]) >= 0.95 GROUP BY v.vec_id")
+def dedup_vectors(spark, d):
+    """The last step of the cascade alone."""
+    v = _t(spark, d, "embeddings").select("vec_id", "embedding", F.lit(None).cast("string").alias("exact"), F.lit(None).cast("long").alias("signature"))
+    return dedup.cascade(v, "vec_id", "exact", "signature", vector="embedding").select(F.col("key").alias("vec_id"), "duplicate_type")
+
+
 @query(f"""WITH {_simhash_sql('SELECT text FROM documents')},
 b AS (SELECT doc_id, CASE WHEN text = '' THEN '' ELSE {_HASH_SQL} END AS e, n FROM documents LEFT JOIN simhashes USING (text)),
 x AS (SELECT e, min(doc_id) AS first FROM b WHERE e IS NOT NULL GROUP BY e), h AS (SELECT n, min(doc_id) AS holder FROM b WHERE n IS NOT NULL GROUP BY n),
-l AS (SELECT p.n, min(q.holder) AS near FROM h p JOIN h q ON bit_count(xor(p.n, q.n)) <= 3 GROUP BY p.n)
-SELECT doc_id, CASE WHEN first < doc_id THEN 'exact' WHEN near < doc_id THEN 'near_simhash' ELSE 'none' END AS duplicate_type, CASE WHEN first < doc_id THEN first WHEN near < doc_id THEN near END AS duplicate_of FROM b LEFT JOIN x USING (e) LEFT JOIN l USING (n)""")
+l AS (SELECT p.n, min({{'d': bit_count(xor(p.n, q.n))::BIGINT, 'of': q.holder}}) AS near FROM h p JOIN h q ON q.holder < p.holder AND bit_count(xor(p.n, q.n)) <= 3 GROUP BY p.n),
+j AS (SELECT doc_id, first, CASE WHEN holder < doc_id THEN {{'d': 0::BIGINT, 'of': holder}} ELSE near END AS near FROM b LEFT JOIN x USING (e) LEFT JOIN h USING (n) LEFT JOIN l USING (n))
+SELECT doc_id, CASE WHEN first < doc_id THEN 'exact' WHEN near IS NOT NULL THEN 'near_simhash' ELSE 'none' END AS duplicate_type, CASE WHEN first < doc_id THEN first ELSE near.of END AS duplicate_of, round(CASE WHEN first < doc_id THEN 1.0 WHEN near IS NOT NULL THEN 1 - near.d / 64 ELSE 0.0 END, 6)::DOUBLE AS confidence FROM j""")
 def dedup_cascade(spark, d):
     signed = ids.simhashes(spread(_t(spark, d, "documents").select("doc_id", "text")), "text").select("doc_id", ids.content_hash(F.col("text")).alias("exact"), ids.simhash_number(F.col("simhash")).alias("signature"))
     return dedup.cascade(signed, "doc_id", "exact", "signature").withColumnRenamed("key", "doc_id")
@@ -624,17 +659,159 @@ def dedup_components(spark, d):
     return dedup.components(dedup.hamming_links(s).select("a", "b"))
 
 
-# --- streams, as their batch results -------------------------------------------------------------------------------
+# --- reports, tallies and plans over several steps ------------------------------------------------------------------
 
+_BY = ("url", "title", "text", "article")
 
-@query("SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS events, round(sum(value), 4) AS total FROM events GROUP BY ALL")
-def stream_hours(spark, d):
-    return _t(spark, d, "events").groupBy("event_type", F.window("ts", "1 hour")["start"].alias("window_start")).agg(F.count("*").alias("events"), F.round(F.sum("value"), 4).alias("total"))
 
+def _duplicate_kinds() -> dict[str, F.Column]:
+    """Signatures of the duplicate analysis; what is too short to tell anything has none."""
+    title, body, url = (text.strip(F.col(c)) for c in ("title", "text", "source_url"))
+    return {
+        "url": F.when(url != "", url), "title": F.when(F.length(title) > 10, title), "text": F.when(F.length(body) > 100, F.md5(body)),
+        "article": ids.article_signature(F.col("title"), F.col("text"), F.col("source_url")),
+    }
+
+
+_KINDS_SQL = f"""s AS (SELECT id, substring(title, 1, 100) AS title, {_strip('source_url')} AS u, {_strip('title')} AS t, {_strip('text')} AS b FROM news_articles),
+k AS (SELECT 'url' AS kind, u AS signature, id, title FROM s WHERE u <> '' UNION ALL SELECT 'title', t, id, title FROM s WHERE length(t) > 10 UNION ALL SELECT 'text', md5(b), id, title FROM s WHERE length(b) > 100
+  UNION ALL SELECT 'article', dense_rank() OVER (ORDER BY coalesce(b, ''), coalesce(t, ''), coalesce(u, ''))::VARCHAR, id, title FROM s), g AS (SELECT kind, signature, count(*) AS members, min(id) AS first_member, min((id, title)) AS e FROM k GROUP BY kind, signature HAVING count(*) > 1)"""
+
+
+@query(f"WITH {_KINDS_SQL} SELECT k.kind, g.members, g.first_member, k.id AS member FROM k JOIN g ON k.kind = g.kind AND k.signature = g.signature")
+def agg_duplicate_members(spark, d):
+    """Every row of every group of copies, by address, title, text and all three."""
+    m = dedup.duplicate_members(_t(spark, d, "news_articles"), _duplicate_kinds(), "id")
+    first = m.groupBy("kind", "signature").agg(F.min("member").alias("first_member"))
+    return m.join(first, ["kind", "signature"]).select("kind", "members", "first_member", "member")
+
+
+@query(f"WITH {_KINDS_SQL} SELECT kind, row_number() OVER (PARTITION BY kind ORDER BY members DESC, first_member) AS place, members, first_member FROM g QUALIFY row_number() OVER (PARTITION BY kind, members, first_member ORDER BY signature) >= 1 AND place <= 5")
+def agg_duplicate_report(spark, d):
+    """The five largest groups of each kind."""
+    return dedup.duplicate_report(_t(spark, d, "news_articles"), _duplicate_kinds(), "id", "title").select("kind", "place", "members", "first_member")
+
+
+@query("WITH c AS (SELECT CASE WHEN min(doc_id) OVER (PARTITION BY text) < doc_id THEN 'exact' ELSE 'none' END AS duplicate_type FROM documents), g AS (SELECT duplicate_type, count(*) AS documents FROM c GROUP BY 1) SELECT duplicate_type, documents, round(documents / (SELECT sum(documents) FROM g), 6) AS share, round(1 - (SELECT coalesce(sum(documents), 0) FROM g WHERE duplicate_type = 'none') / (SELECT sum(documents) FROM g), 6) AS duplicate_rate, round((SELECT coalesce(sum(documents), 0) FROM g WHERE duplicate_type = 'none') / (SELECT sum(documents) FROM g), 6) AS unique_rate FROM g")
+def agg_duplicate_types(spark, d):
+    return dedup.type_rates(dedup_exact(spark, d))
+
+
+@query(f"SELECT *, round(100.0::DOUBLE * records / sum(records) OVER (PARTITION BY field), 6) AS percent FROM ({SQL['agg_histograms']})")
+def agg_percentages(spark, d):
+    return stats.with_percentages(agg_histograms(spark, d))
+
+
+@query("SELECT domain, pages, round(pages / greatest(seconds / 60, 1), 6) AS per_minute, round(pages / greatest(seconds / 86400, 1), 6) AS per_day FROM (SELECT CASE WHEN h = '' THEN 'unknown' ELSE h END AS domain, count(*) AS pages, epoch(max(fetched_at)) - epoch(min(fetched_at)) AS seconds FROM (SELECT *, regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^www\\.', '') AS h FROM fetch_results WHERE url IS NOT NULL) GROUP BY 1)")
+def agg_rates(spark, d):
+    f = _t(spark, d, "fetch_results").where("url IS NOT NULL").groupBy(urls.domain(F.col("url")).alias("domain")).agg(F.count("*").alias("pages"), ((F.max(F.unix_micros(F.col("fetched_at").cast("timestamp"))) - F.min(F.unix_micros(F.col("fetched_at").cast("timestamp")))) / 1e6).alias("seconds"))
+    return f.select("domain", "pages", F.round(stats.per_minute(F.col("pages"), F.col("seconds")), 6).alias("per_minute"), F.round(stats.per_day(F.col("pages"), F.col("seconds")), 6).alias("per_day"))
+
+
+@query("SELECT strftime(fetched_at AT TIME ZONE 'UTC', '%Y-%m-%d') AS day, success, count(*) AS pages, coalesce(sum(content_length), 0)::BIGINT AS bytes FROM fetch_results GROUP BY ALL")
+def agg_increments(spark, d):
+    """Totals of days, added up from two halves of the fetches as they would come in one after the other."""
+    f = _t(spark, d, "fetch_results")
+    totals = None
+    for late in (False, True):
+        half = f.where(F.coalesce(F.col("page_id") % 2 == 1, F.lit(False)) == late)
+        new = half.groupBy(F.date_format("fetched_at", "yyyy-MM-dd").alias("day"), "success").agg(F.count("*").alias("pages"), F.coalesce(F.sum(F.col("content_length").cast("long")), F.lit(0)).alias("bytes"))
+        totals = stats.increment(totals, new, ["day", "success"])
+    return totals
+
+
+@query("SELECT count(*) FILTER (WHERE is_allowed) AS exported, count(*) FILTER (WHERE NOT is_allowed) AS failed, round(count(*) FILTER (WHERE is_allowed) / greatest(1, count(*) FILTER (WHERE is_allowed IS NOT NULL)), 6) AS success_rate FROM classification_results")
+def agg_export_summary(spark, d):
+    return _t(spark, d, "classification_results").agg(*stats.export_summary(F.col("is_allowed"), ~F.col("is_allowed")))
+
+
+@query("WITH m AS (SELECT strftime(fetched_at AT TIME ZONE 'UTC', '%Y-%m') AS month, min(success::INT) AS ok, sum(response_time) AS s FROM fetch_results WHERE fetched_at IS NOT NULL GROUP BY 1) SELECT count(*) FILTER (WHERE ok = 1) AS succeeded, count(*) FILTER (WHERE coalesce(ok, 0) = 0) AS failed, round(coalesce(avg(s), 0), 4) AS mean_seconds, round(greatest(0, 69 - count(*)) * coalesce(avg(s), 0), 4) AS eta_seconds FROM m")
+def agg_month_tally(spark, d):
+    f = _t(spark, d, "fetch_results").where("fetched_at IS NOT NULL").withColumn("month", F.date_format("fetched_at", "yyyy-MM"))
+    return stats.tally(f, "month", F.col("success"), F.col("response_time"), 69).withColumns({c: F.round(c, 4) for c in ("mean_seconds", "eta_seconds")})
+
+
+@query("SELECT CASE WHEN h = '' THEN 'unknown' ELSE h END AS domain, CASE WHEN success THEN 'completed' ELSE 'failed' END AS status, count(*) AS pages FROM (SELECT success, regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^www\\.', '') AS h FROM fetch_results WHERE url IS NOT NULL) GROUP BY ALL")
+def agg_frontier(spark, d):
+    return _t(spark, d, "fetch_results").where("url IS NOT NULL").groupBy(urls.domain(F.col("url")).alias("domain"), F.when(F.col("success"), "completed").otherwise("failed").alias("status")).agg(F.count("*").alias("pages"))
+
+
+@query("SELECT records, valid, round(valid / records, 6) AS share, valid / records >= 0.9 AS passed FROM (SELECT count(*) AS records, count(*) FILTER (WHERE id <> '' AND source_url <> '' AND title <> '' AND text <> '') AS valid FROM news_articles)")
+def filt_gate(spark, d):
+    return _t(spark, d, "news_articles").agg(*quality.gate(quality.filled(*(F.col(c) for c in ("id", "source_url", "title", "text")))))
+
+
+@query("SELECT id, unnest(list_filter([CASE WHEN coalesce(id, '') = '' THEN 'missing_id' END, CASE WHEN coalesce(title, '') = '' THEN 'missing_title' END, CASE WHEN site IS NOT NULL THEN 'banned_site' END, CASE WHEN scraped_at IS NOT NULL THEN 'banned_scraped_at' END], lambda x: x IS NOT NULL)) AS error FROM news_articles")
+def filt_fields(spark, d):
+    n = _t(spark, d, "news_articles")
+    return n.select("id", F.explode(quality.field_errors({c: F.col(c) for c in ("id", "title")}, {c: F.col(c) for c in ("site", "scraped_at")})).alias("error"))
 
-@query("WITH g AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS fresh FROM events), s AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS n FROM g) SELECT user_id, min(ts) AS session_start, count(*) AS events FROM s GROUP BY user_id, n")
-def stream_sessions(spark, d):
-    return _t(spark, d, "events").groupBy("user_id", F.session_window("ts", "30 minutes").alias("w")).agg(F.count("*").alias("events")).select("user_id", F.col("w.start").alias("session_start"), "events")
+
+_RATES = (("click", 5.0), ("view", 20.0), ("purchase", 1.0))
+
+
+@query("WITH r(event_type, rate) AS (VALUES " + ", ".join(f"('{k}', {v}::DOUBLE)" for k, v in _RATES) + ") SELECT e.event_id, coalesce(r.rate, 2.0::DOUBLE) AS rate FROM events e LEFT JOIN r USING (event_type)")
+def join_rates(spark, d):
+    rates = spark.createDataFrame(list(_RATES), "event_type string, rate double")
+    return frontier.with_rate(_t(spark, d, "events").select("event_id", "event_type"), rates, "event_type", "rate", 2.0).select("event_id", "rate")
+
+
+@query("SELECT batch_no, id FROM incoming_articles i WHERE NOT EXISTS (SELECT 1 FROM export_entries e WHERE e.id = i.id)")
+def join_unexported(spark, d):
+    """What has not been exported yet."""
+    return _t(spark, d, "incoming_articles").select("batch_no", "id").join(_t(spark, d, "export_entries").select("id").distinct(), "id", "left_anti").select("batch_no", "id")
+
+
+@query("SELECT event_id, ((row_number() OVER (ORDER BY event_id) - 1) % 7)::INT AS worker FROM events")
+def win_round_robin(spark, d):
+    return frontier.round_robin(_t(spark, d, "events").select("event_id"), [F.col("event_id")], 7)
+
+
+@query("WITH e AS (SELECT user_id, event_id, CASE WHEN value < 50 THEN 0 ELSE 1 END AS found FROM events WHERE value IS NOT NULL), t AS (SELECT *, sum(found) OVER (PARTITION BY user_id ORDER BY event_id) AS total, sum(found) OVER (PARTITION BY user_id ORDER BY event_id) AS island FROM e), r AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id, island ORDER BY event_id) AS k FROM t WHERE found = 0), d AS (SELECT user_id, min(event_id) AS dry FROM r WHERE k = 5 GROUP BY user_id), g AS (SELECT user_id, min(event_id) FILTER (WHERE total >= 20) AS enough, max(event_id) AS last FROM t GROUP BY user_id) SELECT user_id, least(enough, dry, last) AS stop_at, CASE WHEN least(enough, dry, last) = enough THEN 'target' WHEN least(enough, dry, last) = dry THEN 'empty' ELSE 'end' END AS reason FROM g LEFT JOIN d USING (user_id)")
+def win_last_page(spark, d):
+    e = _t(spark, d, "events").where("value IS NOT NULL").withColumn("found", F.when(F.col("value") < 50, 0).otherwise(1))
+    return frontier.last_page(e, "user_id", "event_id", "found", 20)
+
+
+@query("WITH f AS (SELECT source_url, min((id, source_url)) AS first FROM (SELECT id, source_url FROM news_articles UNION ALL SELECT id, source_url FROM incoming_articles) WHERE source_url IS NOT NULL GROUP BY source_url) SELECT source_url, row_number() OVER (ORDER BY first) AS place FROM f")
+def set_first_seen(spark, d):
+    """Distinct addresses in the order in which they come first."""
+    return stats.first_seen(set_union(spark, d), "source_url", [F.col("id"), F.col("source_url")])
+
+
+@query("SELECT author, 'What is this author interested in?' || chr(10) || string_agg(coalesce(subreddit, '') || ' > ' || replace(body, chr(10), ' <newline> '), chr(10) ORDER BY comment_id) AS prompt FROM (SELECT DISTINCT author, subreddit, body, comment_id FROM reddit_comments WHERE author IS NOT NULL AND body IS NOT NULL) GROUP BY author")
+def proj_prompts(spark, d):
+    c = _t(spark, d, "reddit_comments").where("body IS NOT NULL").select("author", "subreddit", "body", "comment_id").distinct()
+    return threads.prompt(c, "author", "subreddit", "body", ["comment_id"], "What is this author interested in?\n")
+
+
+@query("SELECT doc_id, json_extract_string(j, '$.topic') AS topic, json_extract_string(j, '$.scores.confidence')::DOUBLE AS confidence FROM (SELECT doc_id, to_json({'topic': topic, 'scores': {'confidence': confidence}}) AS j FROM classification_results)")
+def proj_pending(spark, d):
+    """Fields of pending documents out of their metadata in JSON."""
+    c = _t(spark, d, "classification_results").select("doc_id", F.to_json(F.struct("topic", F.struct("confidence").alias("scores"))).alias("metadata"))
+    return corpus.pending(c, "metadata", {"topic": ("$.topic", "string"), "confidence": ("$.scores.confidence", "double")}).drop("metadata")
+
+
+@query("SELECT comment_id, body FROM reddit_comments")
+def proj_nested(spark, d):
+    """Comments as listing JSON, rebuilt to nested bodies and replies, and flattened again."""
+    c = _t(spark, d, "reddit_comments").select("comment_id", "body")
+    listing = F.to_json(F.struct(F.struct(F.array(F.struct(F.lit("t1").alias("kind"), F.struct("body", F.lit("").alias("replies")).alias("data")), F.struct(F.lit("more").alias("kind"), F.struct(F.lit("gone").alias("body"), F.lit("").alias("replies")).alias("data"))).alias("children")).alias("data")))
+    return threads.flatten_comments(threads.nested_comments(c.select("comment_id", listing.alias("comments")), "comments"), "comments").select("comment_id", "body")
+
+
+@query()
+def flagship_gates(spark, d):
+    """Pages that fall out at each gate of the whole pipeline, and those accepted."""
+    gated = corpus.gated(_t(spark, d, "fetch_results"), F.lit(NOW).cast("timestamp"))
+    return gated.groupBy(F.coalesce("rejected_at", F.lit("accepted")).alias("gate")).agg(F.count("*").alias("pages"))
+
+
+@query("SELECT page_id, sum(1)::BIGINT AS links FROM (SELECT DISTINCT page_id, url, unnest(regexp_extract_all(content, '<a\\s[^>]*href=\"(https?://[^\"/]+/[^\"]*-[0-9]+|/[^\"]*-[0-9]+)\"', 1)) AS link FROM fetch_results WHERE success) GROUP BY page_id")
+def scan_article_links(spark, d):
+    """Addresses of articles on each page: absolute, by the rule of article addresses, each once."""
+    f = _t(spark, d, "fetch_results").where("success").select("page_id", "url", "content").distinct()
+    return urls.article_links(f, "content", "url", lambda u: u.rlike("-[0-9]+$"), ["page_id"]).groupBy("page_id").agg(F.count("*").alias("links"))
 
 
 _NEWS_SQL = lambda c: f"coalesce({_rep(_squeeze(c), ('[' + chr(92) + 'x00-' + chr(92) + 'x08' + chr(92) + 'x0b-' + chr(92) + 'x1f]', ''))}, '')"
@@ -642,6 +819,55 @@ _FLAGSHIP_SQL = f"""WITH f AS (SELECT id, source_url, {_NEWS_SQL('title')} AS ti
 SELECT substring(sha256(source_url || '#' || substring(sha256(text), 1, 16)), 1, 16) AS document_id, title, text, CASE WHEN host = '' THEN 'unknown' ELSE host END AS site FROM (SELECT *, regexp_replace(lower(regexp_extract(source_url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^www\\.', '') AS host FROM g QUALIFY row_number() OVER (PARTITION BY {_HASH_SQL} ORDER BY id, source_url, title, text) = 1)"""
 
 
+# --- streams -------------------------------------------------------------------------------------------------------
+
+
+def _streamed(spark: SparkSession, d: str, name: str, plan: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What a plan over a table read as a stream has given, after a run over all there is; windows that are not yet complete are not in it."""
+    path = f"{d}/{name}.parquet"
+    out = fresh_folder(spark, f"stream-{name}")
+    rows = streams.read_files(spark, path, spark.read.parquet(path).schema, "parquet")
+    stream = plan(rows.withColumn("ts", F.col("ts").cast("timestamp")) if "ts" in rows.columns else rows)
+    stream = stream.select(*(F.col(f.name).cast("timestamp_ntz").alias(f.name) if f.dataType.typeName() == "timestamp" else f.name for f in stream.schema.fields))
+    stream.writeStream.format("parquet").option("path", f"{out}/rows").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{out}/rows")
+
+
+_REACHED = "(SELECT max(ts) - INTERVAL 10 MINUTE FROM events)"
+
+
+@query(f"SELECT event_type, window_start, window_start + INTERVAL 1 HOUR AS window_end, rows FROM (SELECT event_type, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS rows FROM events GROUP BY ALL) WHERE window_start + INTERVAL 1 HOUR <= {_REACHED}")
+def stream_hours(spark, d):
+    return _streamed(spark, d, "events", lambda s: streams.counts(s, "event_type", "ts"))
+
+
+@query(f"WITH g AS (SELECT user_id, ts, CASE WHEN ts >= lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS fresh FROM events), s AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS n FROM g) SELECT user_id, min(ts) AS session_start, count(*) AS rows FROM s GROUP BY user_id, n HAVING max(ts) + INTERVAL 30 MINUTE <= {_REACHED}")
+def stream_sessions(spark, d):
+    return _streamed(spark, d, "events", lambda s: streams.sessions(s, "user_id", "ts"))
+
+
+@query("SELECT event_type, count(*) AS users FROM (SELECT DISTINCT event_type, user_id FROM events) GROUP BY event_type")
+def stream_first_seen(spark, d):
+    """First events of each user and type, as state would keep them."""
+    seen = _streamed(spark, d, "events", lambda s: streams.first_seen(s.withColumn("pair", F.concat_ws(" ", "event_type", "user_id")), "pair", "ts", "3650 days").select("event_type", "user_id"))
+    return seen.groupBy("event_type").agg(F.count("*").alias("users"))
+
+
+@query()
+def stream_limited(spark, d):
+    """Events within five a minute of each user."""
+    return _streamed(spark, d, "events", lambda s: streams.limited(s, "user_id", "ts", 5)).groupBy("user_id", "allowed").agg(F.count("*").alias("events"))
+
+
+@query(f"WITH f AS (SELECT {_NEWS_SQL('title')} AS title, {_NEWS_SQL('text')} AS text FROM news_articles) SELECT DISTINCT CASE WHEN text = '' THEN '' ELSE {_HASH_SQL} END AS content_hash FROM f WHERE {_STATUS_SQL} = 'clean'")
+def stream_accepted(spark, d):
+    """Contents of clean articles, accepted batch by batch, each once."""
+    out, path = fresh_folder(spark, "accepted"), f"{d}/news_articles.parquet"
+    stream = streams.clean_articles(streams.read_files(spark, path, spark.read.parquet(path).schema, "parquet"))
+    streams.accept(stream, f"{out}/history", f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    return spark.read.schema("content_hash string").parquet(f"{out}/rows").select("content_hash")
+
+
 @query(_FLAGSHIP_SQL)
 def flagship_corpus(spark, d):
     return flagship(spark, d)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +22,7 @@ def stem(path: Column) -> Column:
 
 def read_texts(spark: SparkSession, path: str) -> DataFrame:
     """``stem, text`` of whole text files."""
-    return spark.read.option("wholetext", True).text(path).select(stem(F.col("_metadata.file_path")).alias("stem"), F.col("value").alias("text"))
+    return spark.read.text(path, wholetext=True).select(stem(F.col("_metadata.file_path")).alias("stem"), F.col("value").alias("text"))
 
 
 def docx_text(content: bytes) -> str | None:
@@ -59,3 +59,37 @@ def with_metadata(books: DataFrame, metadata: DataFrame) -> DataFrame:
 def missing(ids: DataFrame, existing: DataFrame, key: str = "book_id") -> DataFrame:
     """Ids that have not been downloaded yet."""
     return ids.select(key).distinct().join(existing.select(key).distinct(), key, "left_anti")
+
+
+def pages(read: Callable[[int], str | None], step: int = 25, most: int | None = None) -> Iterator[tuple[int, str]]:
+    """``(start, html)`` of search pages from 1 on, ``step`` further each, until one names no book."""
+    start = 1
+    while most is None or start <= most:
+        html = read(start)
+        if not html or not re.search(r"/ebooks/\d+", html):
+            return
+        yield start, html
+        start += step
+
+
+def download(ids: DataFrame, read: Callable[[str], str | None], folder: str, key: str = "book_id") -> DataFrame:
+    """Texts of the ids whose folder (``key=id``) isn't there yet are read and written; returns ``key, text`` of all that are there."""
+    import pyarrow as pa
+
+    spark = ids.sparkSession
+    schema = f"`{key}` string, text string"
+
+    def run(batches: Iterator) -> Iterator:
+        for b in batches:
+            own = b.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([read(i) for i in own], pa.string())], [key, "text"])
+
+    there = spark.read.schema(schema).option("ignoreMissingFiles", True).parquet(folder) if _exists(spark, folder) else spark.createDataFrame([], schema)
+    wanted = missing(ids.select(F.col(key).cast("string").alias(key)).where(F.col(key).isNotNull()), there, key)
+    wanted.mapInArrow(run, schema).where("text IS NOT NULL").write.mode("append").partitionBy(key).parquet(folder)
+    return spark.read.schema(schema).parquet(folder)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -11,11 +11,11 @@ OVERRIDES = {
     "LONTAR_CONCURRENCY": "crawler.concurrency", "LONTAR_DELAY": "crawler.delay_seconds", "LONTAR_RETRIES": "crawler.max_retries", "LONTAR_TIMEOUT": "crawler.timeout_seconds", "LONTAR_USER_AGENT": "crawler.user_agent",
     "LONTAR_MIN_LENGTH": "content.min_length", "LONTAR_REMOVE_EMOJI": "content.remove_emojis", "LONTAR_CONFIDENCE": "classification.min_confidence", "LONTAR_SIMILARITY": "deduplication.similarity", "LONTAR_HAMMING": "deduplication.hamming_distance",
     "LONTAR_RETENTION_DAYS": "deduplication.retention_days", "LONTAR_SHARD_SIZE": "export.shard_size", "LONTAR_OUT_DIR": "export.out_dir", "LONTAR_VERSION": "export.delivery_version", "LONTAR_MAX_PAGES": "limits.max_pages",
-    "LONTAR_MAX_HOURS": "limits.max_hours", "LONTAR_BATCH": "limits.batch_size", "LONTAR_LOG_LEVEL": "logging.level",
+    "LONTAR_MAX_HOURS": "limits.max_hours", "LONTAR_BATCH": "limits.batch_size", "LONTAR_LOG_LEVEL": "logging.level", "LONTAR_CHECKPOINT_PAGES": "limits.checkpoint_pages", "LONTAR_CLEANUP_PAGES": "limits.cleanup_pages",
 }
 DEFAULTS = {
     "crawler": {"concurrency": 64, "max_retries": 3, "delay_seconds": 1.0}, "content": {"min_length": 200, "remove_emojis": True}, "classification": {"min_confidence": 0.3},
-    "deduplication": {"hamming_distance": 3, "similarity": 0.95, "retention_days": 30}, "export": {"shard_size": 10_000, "out_dir": "out", "delivery_version": "v1"}, "limits": {"batch_size": 10},
+    "deduplication": {"hamming_distance": 3, "similarity": 0.95, "retention_days": 30}, "export": {"shard_size": 10_000, "out_dir": "out", "delivery_version": "v1"}, "limits": {"batch_size": 10, "checkpoint_pages": 1_000, "cleanup_pages": 10_000},
 }
 
 

@@ -3,25 +3,43 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.window import Window
+
+from lontar.plans.stage import sized
 
 
 def read_lines(spark: SparkSession, paths: str | list[str], schema: StructType, numbered: bool = False, keep_broken: bool = False) -> DataFrame:
     """JSON lines by ``schema``; lines that are no JSON are left out (or kept, in ``_corrupt_record``).
 
-    ``numbered`` adds ``file`` and ``line_offset``, by which the lines of a file
-    are in order.
+    ``numbered`` adds ``file`` and ``line_number`` (from 1, broken and empty
+    lines count), by which the lines of a folder are in order.
+    """
+    if not numbered:
+        return parse_lines(spark.read.text(paths).where(F.trim("value") != ""), "value", schema, (), keep_broken)
+    return parse_lines(numbered_lines(spark, paths).where(F.trim("value") != ""), "value", schema, ("file", "line_number"), keep_broken)
+
+
+def numbered_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """``file, line_number, value`` of all lines of text files.
+
+    A large file is read in blocks by several tasks: lines are counted per
+    block, and the blocks before are added, so no task sees a whole file.
     """
-    lines = spark.read.text(paths)
-    extra = ()
-    if numbered:
-        lines = lines.select("value", F.col("_metadata.file_path").alias("file"), (F.col("_metadata.file_block_start") * F.lit(1 << 20) + F.monotonically_increasing_id() % F.lit(1 << 33)).alias("line_offset"))
-        extra = ("file", "line_offset")
-    return parse_lines(lines.where(F.trim("value") != ""), "value", schema, extra, keep_broken)
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at"))
+    blocks = lines.groupBy("file", "_block").agg(F.count("*").alias("_n"), F.min("_at").alias("_first"))
+    before = blocks.withColumn("_before", F.sum("_n").over(Window.partitionBy("file").orderBy("_block")) - F.col("_n")).drop("_n")  # a row per block of a file
+    known = sized(before.select(F.col("file").alias("_file"), F.col("_block").alias("_b"), "_before", "_first"))
+    return lines.join(known, (F.col("file") == F.col("_file")) & (F.col("_block") == F.col("_b"))).select("file", (F.col("_before") + F.col("_at") - F.col("_first") + 1).alias("line_number"), "value")
+
+
+def read_folder(spark: SparkSession, folder: str, schema: StructType, pattern: str = "*.jsonl") -> DataFrame:
+    """Lines of all files of a folder in the order of file names, and of lines within a file: ``file, line_number`` and the fields, sorted."""
+    return read_lines(spark, f"{folder.rstrip('/')}/{pattern}", schema, numbered=True).orderBy("file", "line_number")
 
 
 def parse_lines(df: DataFrame, column: str, schema: StructType, extra: tuple[str, ...] = (), keep_broken: bool = False) -> DataFrame:
@@ -34,7 +52,10 @@ def parse_lines(df: DataFrame, column: str, schema: StructType, extra: tuple[str
 
 
 def read_array(spark: SparkSession, path: str, schema: StructType, limit: int | None = None) -> DataFrame:
-    """Files that are one JSON array."""
+    """Files that are one JSON array each; anything else is an error."""
+    other = spark.read.text(path, wholetext=True).where(~F.col("value").rlike("^[\\x{feff}\\s]*\\[")).select(F.col("_metadata.file_path").alias("file")).first()
+    if other is not None:
+        raise ValueError(f"no JSON array: {other['file']}")
     df = spark.read.schema(schema).option("multiLine", True).json(path)
     return df if limit is None else df.limit(limit)
 
@@ -107,7 +128,7 @@ def read_threads(spark: SparkSession, path: str) -> DataFrame:
                     rows.append(k), places.append(n), found.append(json.dumps(x, ensure_ascii=False))
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(places, pa.int64()), pa.array(found, pa.string())], ["file", "place", "thread"])
 
-    files = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
     return files.mapInArrow(run, "file string, place bigint, thread string")
 
 
@@ -120,6 +141,36 @@ def listing_posts(df: DataFrame, column: str) -> DataFrame:
     return rows.select("title", "author", "permalink", "score", "num_comments", "created_utc", image.alias("image_url"), F.when(F.col("thumbnail") != "self", F.col("thumbnail")).alias("thumbnail_url"), F.substring("selftext", 1, 269).alias("description"))
 
 
+def cursor(df: DataFrame, column: str) -> DataFrame:
+    """``after``: the cursor of each listing, from which the next page is read; null on the last one."""
+    return df.select(F.nullif(F.get_json_object(column, "$.data.after"), F.lit("")).alias("after"))
+
+
+def paged(read: Callable[[str | None], str | None], most: int | None = None) -> Iterator[str]:
+    """Listings one after the other, each read from the cursor of the one before, until there is no cursor, nothing is read, or ``most`` posts have come."""
+    after, seen, count = None, set(), 0
+    while True:
+        page = read(after)
+        try:
+            data = json.loads(page)["data"] if page else None
+        except (ValueError, KeyError, TypeError):
+            return
+        if not data or not data.get("children"):
+            return
+        yield page
+        count += len(data["children"])
+        after = data.get("after")
+        if not after or after in seen or (most is not None and count >= most):
+            return
+        seen.add(after)
+
+
+def post_details(df: DataFrame, column: str) -> DataFrame:
+    """``title, body, comments`` of a post's page, which is an array of two listings: the post, and its comments as JSON for ``threads.flatten_comments``; null fields for what isn't one."""
+    post = F.get_json_object(column, "$[0].data.children[0].data")
+    return df.select(*(c for c in df.columns if c != column), F.get_json_object(post, "$.title").alias("title"), F.coalesce(F.get_json_object(post, "$.selftext"), F.when(post.isNotNull(), F.lit(""))).alias("body"), F.get_json_object(column, "$[1]").alias("comments"))
+
+
 def user_activity(df: DataFrame, column: str) -> DataFrame:
     """Rows of a user's feed: posts (``t3``) and comments (``t1``) told apart by ``kind``."""
     data = "title:string,subreddit:string,url:string,body:string,created_utc:double,permalink:string"

@@ -7,7 +7,7 @@ and ends.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +19,15 @@ from lontar.operators import quality
 
 
 def read_files(spark: SparkSession, path: str, schema: StructType, format: str = "json", files: int | None = None) -> DataFrame:
+    """Files of a folder as they come in; a single file is a stream of one."""
     reader = spark.readStream.schema(schema).format(format)
-    return (reader.option("maxFilesPerTrigger", files) if files else reader).load(path)
+    if files:
+        reader = reader.option("maxFilesPerTrigger", files)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(p) and fs.getFileStatus(p).isFile():
+        return reader.option("pathGlobFilter", p.getName()).load(p.getParent().toString())
+    return reader.load(path)
 
 
 def clean_articles(stream: DataFrame) -> DataFrame:
@@ -103,6 +110,69 @@ def accept(stream: DataFrame, history: str, out: str, checkpoint: str, key: str
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")).start()
 
 
+def loop(stream: DataFrame, folder: str, each: Callable[[DataFrame, int], int], export: Callable[[DataFrame, int], None], checkpoint_rows: int = 1_000, cleanup_rows: int = 10_000, cleanup: Callable[[], None] | None = None, seconds: float = 5, available_now: bool = False) -> StreamingQuery:
+    """The endless run: every batch is worked on by ``each`` (which gives the number of rows taken), then exported; the counters are put down after every ``checkpoint_rows`` rows, and old state is cleaned up after every ``cleanup_rows``.
+
+    The counters go on after a restart; a batch that is run again isn't counted twice.
+    """
+    from lontar.sources.sinks import State
+
+    state = State(stream.sparkSession, f"{folder}/state")
+    done = {"rows": 0, "batch": -1, "put": 0, "cleaned": 0} | (state.get("progress") or {})
+
+    def run(batch: DataFrame, number: int) -> None:
+        taken = each(batch, number)
+        export(batch, number)
+        if number <= done["batch"]:
+            return
+        done["rows"], done["batch"] = done["rows"] + taken, number
+        if cleanup and done["rows"] - done["cleaned"] >= cleanup_rows:
+            cleanup()
+            done["cleaned"] = done["rows"]
+        if done["rows"] - done["put"] >= checkpoint_rows:
+            done["put"] = done["rows"]
+            state.put(progress=done)
+
+    writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", f"{folder}/checkpoint")
+    return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=f"{seconds} seconds")).start()
+
+
+def until_stopped(query: StreamingQuery, hours: float | None = None, poll: float = 1.0) -> str:
+    """Waits for a query; ``interrupt`` and ``terminate`` signals, or the end of ``hours``, stop it once its batch is through. Gives why it ended: ``signal``, ``time`` or ``done``."""
+    import signal
+    import time
+
+    why: list[str] = []
+    old = {s: signal.signal(s, lambda *_: why.append("signal")) for s in (signal.SIGINT, signal.SIGTERM)}
+    end = None if hours is None else time.monotonic() + 3600 * hours
+    try:
+        while query.isActive and not why:
+            query.awaitTermination(poll)
+            if end is not None and time.monotonic() >= end:
+                why.append("time")
+        if query.isActive:
+            while query.status["isTriggerActive"] and query.isActive:
+                time.sleep(poll / 10)
+            query.stop()
+    finally:
+        for s, handler in old.items():
+            signal.signal(s, handler)
+    return why[0] if why else "done"
+
+
+def forget(spark: SparkSession, history: str, at: str, days: int = 30, now: str | None = None) -> int:
+    """Rewrites a table of keys without those older than ``days``; gives the number of rows kept. The new table is complete before it takes the old one's place."""
+    rows = spark.read.parquet(history)
+    limit = (F.lit(now).cast("timestamp") if now else F.current_timestamp()) - F.make_dt_interval(F.lit(days))
+    rows.where((F.col(at) >= limit) | F.col(at).isNull()).write.mode("overwrite").parquet(f"{history}.new")
+    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
+    old, new = jvm.Path(history), jvm.Path(f"{history}.new")
+    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(old, True)
+    fs.rename(new, old)
+    return spark.read.parquet(history).count()
+
+
 def to_table(stream: DataFrame, name: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
     """Runs over what there is into an in-memory table, for tests and small results."""
     return stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
