@@ -42,8 +42,8 @@ def attempt(transport: Callable, url: str) -> dict:
     return {"success": True, "status_code": status, "content": body, "headers": headers, "error": None, "response_time": time.monotonic() - began, "final_url": headers.get("location", url), "content_type": kind, "content_length": len(body or "")}
 
 
-def fetch_one(transport: Callable, url: str, retries: int = 3, base: float = 1.0, sleep: Callable[[float], None] = time.sleep) -> dict:
-    """One result, whatever happens; the wait doubles with each attempt, or is what the server asks for."""
+def fetch_one(transport: Callable, url: str, retries: int = 3, base: float = 1.0, sleep: Callable[[float], None] = time.sleep, jitter: Callable[[], float] = random.random) -> dict:
+    """One result, whatever happens; the wait doubles with each attempt, and up to a second more, or is what the server asks for."""
     for n in range(retries + 1):
         try:
             return attempt(transport, url)
@@ -54,7 +54,7 @@ def fetch_one(transport: Callable, url: str, retries: int = 3, base: float = 1.0
         except (OSError, ValueError) as e:
             last = FetchError(f"{type(e).__name__}: {e}")
         if n < retries:
-            sleep(last.wait if last.wait is not None else base * 2**n + random.random())  # a little apart, so that retries don't come all at once
+            sleep(last.wait if last.wait is not None else base * 2**n + jitter())
     return {"success": False, "status_code": last.status, "error": str(last)}
 
 

@@ -24,7 +24,7 @@ def test_fetch_one():
         calls.append(url)
         return (429, {"Retry-After": "7"}, "") if len(calls) == 1 else (503, {}, "") if len(calls) == 2 else (200, {"Content-Type": "text/html"}, "<p>")
 
-    assert pages.fetch_one(flaky, "u", sleep=waits.append)["success"] and waits == [7.0, 2.0]
+    assert pages.fetch_one(flaky, "u", sleep=waits.append, jitter=lambda: 0.5)["success"] and waits == [7.0, 2.5]
     gone = pages.fetch_one(lambda u: (404, {}, ""), "u", sleep=waits.append)
     assert not gone["success"] and gone["status_code"] == 404 and len(waits) == 2
     assert "content type" in pages.fetch_one(lambda u: (200, {"Content-Type": "image/png"}, ""), "u")["error"]
