@@ -238,17 +238,17 @@ def line_labels(content: str, html: str | None, tree: tuple) -> list[bool]:
     return out
 
 
-def labelled_lines(fetched: DataFrame, extracted: DataFrame) -> DataFrame:
-    """``page_id, line_no, main`` of all lines of extracted contents.
+def _met(fetched: DataFrame, extracted: DataFrame) -> DataFrame:
+    """``page_id, content, html``: the pages are met by id, each HTML once; repeated fetches and repeated extractions are reduced to one before anything is joined."""
+    good = fetched.where("content IS NOT NULL").groupBy("page_id").agg(F.max(F.struct("fetched_at", "content")).alias("f")).select("page_id", F.col("f.content").alias("html"))
+    texts = extracted.where("content IS NOT NULL").select("page_id", "content").groupBy("page_id").agg(F.max("content").alias("content"))
+    return texts.join(good.hint("merge"), "page_id", "left").select("page_id", "content", "html")
+
 
-    The pages are met by id, each HTML once: repeated fetches and repeated
-    extractions are reduced to one before anything is joined.
-    """
+def labelled_lines(fetched: DataFrame, extracted: DataFrame) -> DataFrame:
+    """``page_id, line_no, main`` of all lines of extracted contents."""
     import pyarrow as pa
 
-    good = fetched.where("content IS NOT NULL").groupBy("page_id").agg(F.max(F.struct("fetched_at", "content")).alias("f")).select("page_id", F.col("f.content").alias("html"))
-    texts = extracted.where("content IS NOT NULL").select("page_id", "content").groupBy("page_id").agg(F.max("content").alias("content"))
-    both = texts.join(good.hint("merge"), "page_id", "left").select("page_id", "content", "html")
     kind = extracted.schema["page_id"].dataType.simpleString()
     tree = trained()
 
@@ -262,12 +262,19 @@ def labelled_lines(fetched: DataFrame, extracted: DataFrame) -> DataFrame:
                 labels += main
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(numbers, pa.int64()), pa.array(labels, pa.bool_())], ["page_id", "line_no", "main"])
 
-    return both.mapInArrow(run, f"page_id {kind}, line_no bigint, main boolean")
+    return _met(fetched, extracted).mapInArrow(run, f"page_id {kind}, line_no bigint, main boolean")
 
 
 def main_text(fetched: DataFrame, extracted: DataFrame) -> DataFrame:
-    """``page_id, main_text``: the lines of the main body."""
-    lines = extracted.where("content IS NOT NULL").select("page_id", "content").groupBy("page_id").agg(F.max("content").alias("content"))
-    kept = labelled_lines(fetched, extracted).where("main").groupBy("page_id").agg(F.array_sort(F.collect_list("line_no")).alias("kept"))
-    text = F.array_join(F.transform("kept", lambda k: F.element_at(F.split("content", "\n"), k.cast("int"))), "\n")
-    return lines.join(kept.hint("merge"), "page_id", "left").select("page_id", F.coalesce(text, F.lit("")).alias("main_text"))
+    """``page_id, main_text``: the lines of the main body, cut out where the page is judged; '' if there is none."""
+    import pyarrow as pa
+
+    kind = extracted.schema["page_id"].dataType.simpleString()
+    tree = trained()
+
+    def run(batches: Iterator) -> Iterator:
+        for b in batches:
+            out = ["\n".join(line for line, main in zip(content.split("\n"), line_labels(content, page, tree)) if main) for content, page in zip(b.column(1).to_pylist(), b.column(2).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], ["page_id", "main_text"])
+
+    return _met(fetched, extracted).mapInArrow(run, f"page_id {kind}, main_text string")

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lontar.plans.stage import cut, fresh_folder  # noqa: F401
+from lontar.plans.stage import cut, fresh_folder, sized  # noqa: F401
 
 #: Words: runs of letters, digits or "_", compared in lower case.
 WORD = re.compile(r"\w+")
@@ -24,15 +24,6 @@ def site_of(url: Column) -> Column:
     return F.when(host == "", None).otherwise(host)
 
 
-#: Rows of a few narrow columns that are broadcast at most.
-BROADCAST_ROWS = 200_000
-
-
-def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df``, cheap to count and narrow, as a side of a join: broadcast if it has at most ``rows`` rows, else by a sort-merge join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df.hint("merge")
-
-
 def size_checked(df: DataFrame, limit: int, what: str) -> list:
     """Rows of a table that has to be small; fails, instead of collecting, beyond ``limit`` rows."""
     rows = df.limit(limit + 1).collect()

@@ -26,14 +26,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lontar.llm.common import WORD, size_checked
+from lontar.llm.common import WORD
 
 #: Words of a shard; about 60 bytes each while the index is built.
 SHARD_WORDS = 1_000_000
 #: Every so many positions of a text are kept for locating.
 SAMPLE = 8
-#: Test items that may be held by every executor.
-MAX_ITEMS = 200_000
+#: Words of test items that every executor holds at once (some 100 bytes each with their phrases); more items go in several blocks, each in a pass of its own.
+ITEM_WORDS = 2_000_000
 
 
 def suffix_order(codes: np.ndarray, depth: int) -> np.ndarray:
@@ -124,25 +124,39 @@ class FMIndex:
 def leaked_spans(docs: DataFrame, items: DataFrame, min_words: int = 12) -> DataFrame:
     """``doc_id, item_id, first_word, last_word`` (from 0): merged passages of items in documents.
 
-    ``docs`` has ``doc_id, text``; ``items`` has ``item_id, text`` and at most
-    ``MAX_ITEMS`` rows, which every executor gets. The documents are read where
-    they lie; only hits leave the scan.
+    ``docs`` has ``doc_id, text``; ``items`` ``item_id, text``. Every executor
+    gets the items, in blocks of bounded size. The documents are read where they
+    lie; only hits leave the scan.
     """
+    kind, item_kind = (t.schema[c].dataType for t, c in ((docs, "doc_id"), (items, "item_id")))
+    schema = f"doc_id {kind.simpleString()}, item_id {item_kind.simpleString()}, first_word bigint, last_word bigint"
+    long = items.select("item_id", "text").where("text IS NOT NULL")
+    words = long.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"] // 4  # hardly more words than that
+    blocks = int(words // ITEM_WORDS) + 1
+    hits = None
+    for k in range(blocks):
+        block = long if blocks == 1 else long.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
+        found = _hits(docs, [(r["item_id"], r["text"]) for r in block.toLocalIterator()], min_words, schema)
+        if found is not None:
+            hits = found if hits is None else hits.unionByName(found)
+    return docs.sparkSession.createDataFrame([], schema) if hits is None else merge_spans(hits)
+
+
+def _hits(docs: DataFrame, items: list[tuple], min_words: int, schema: str) -> DataFrame | None:
+    """Places of the phrases of some items; None if they have none."""
     import pyarrow as pa
 
     vocabulary: dict[str, int] = {}
     phrases, of = [], []
-    for item in size_checked(items.select("item_id", "text").where("text IS NOT NULL"), MAX_ITEMS, "test items"):
-        words = WORD.findall(item.text.lower())
+    for item, text in items:
+        words = WORD.findall(text.lower())
         if len(words) >= min_words:
             codes = [vocabulary.setdefault(w, len(vocabulary) + 3) for w in words]
             for i in range(len(codes) - min_words + 1):
                 phrases.append(codes[i : i + min_words])
-                of.append(item.item_id)
-    kind, item_kind = (t.schema[c].dataType for t, c in ((docs, "doc_id"), (items, "item_id")))
-    schema = f"doc_id {kind.simpleString()}, item_id {item_kind.simpleString()}, first_word bigint, last_word bigint"
+                of.append(item)
     if not phrases:
-        return docs.sparkSession.createDataFrame([], schema)
+        return None
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary, np.array(phrases, np.int64), np.array(of, dtype=object)))
 
     def run(batches: Iterator) -> Iterator:
@@ -180,7 +194,7 @@ def leaked_spans(docs: DataFrame, items: DataFrame, min_words: int = 12) -> Data
         if codes:
             yield from flush()
 
-    return merge_spans(docs.select("doc_id", "text").where("text IS NOT NULL").mapInArrow(run, schema))
+    return docs.select("doc_id", "text").where("text IS NOT NULL").mapInArrow(run, schema)
 
 
 def merge_spans(hits: DataFrame) -> DataFrame:

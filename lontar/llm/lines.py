@@ -7,8 +7,10 @@ their first ``DEPTH`` identifiers (and by document, so that a run of equal
 suffixes may lie in several ranges), and neighbours' common prefixes give the
 blocks: runs of suffixes that agree in 1, 2, ... ``DEPTH`` lines. Runs cut by
 the end of a range are summed up afterwards. A block that enough different
-documents have is repeated; its lines are taken out of every document of the
-site.
+documents have is repeated. A longer one is a chain of repeated blocks of
+``DEPTH`` lines, each one line further than the last, so blocks of any length
+are found in a document by chaining, and are deleted as a whole, the longest
+first (``cover``).
 
 A document counts once for a block, however often it has it: among its own
 suffixes only the first with the same beginning counts. All rows of one id are
@@ -26,11 +28,15 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lontar.llm.common import cut
+from lontar.llm.common import cut, sized
 
-#: Lines of a suffix that are compared, the longest block told as one.
+#: Lines of a suffix that are compared at once; longer blocks are chains of blocks of so many lines.
 DEPTH = 4
 MIN_IDS = 5
+#: Repeated blocks that every executor may hold.
+TOLD = 200_000
+#: Places to which the blocks of a site are copied where they are joined.
+SALTS = 16
 
 
 def common_form(line: Column) -> Column:
@@ -41,7 +47,8 @@ def common_form(line: Column) -> Column:
 def sequences(docs: DataFrame) -> DataFrame:
     """``site, id, lines`` (hashes of non-empty lines in common form, 0 between different texts of one id) of ``docs`` (``site, id, text``)."""
     own = docs.where("site IS NOT NULL AND id IS NOT NULL AND text IS NOT NULL").select("site", "id", F.transform(F.filter(F.transform(F.split("text", "\n"), common_form), lambda s: s != ""), lambda s: F.xxhash64(s)).alias("lines"))
-    return own.groupBy("site", "id").agg(F.collect_set("lines").alias("all")).select("site", "id", F.flatten(F.transform("all", lambda a: F.concat(a, F.array(F.lit(0).cast("long"))))).alias("lines"))
+    # Copies of an article are one before anything is collected: what is left of an id is its different texts.
+    return own.distinct().groupBy("site", "id").agg(F.collect_list("lines").alias("all")).select("site", "id", F.flatten(F.transform("all", lambda a: F.concat(a, F.array(F.lit(0).cast("long"))))).alias("lines"))
 
 
 def suffixes(seqs: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -85,6 +92,7 @@ def repeated_blocks(seqs: DataFrame, min_ids: int = MIN_IDS, depth: int = DEPTH)
     import pyarrow as pa
 
     names = [f"k{d}" for d in range(depth)]
+    seqs = cut(seqs)  # the ranges are fitted on a first pass
     sorted_suffixes = suffixes(seqs, depth).repartitionByRange("site", *names, "doc").sortWithinPartitions("site", *names)
     kind = seqs.schema["id"].dataType.simpleString()
 
@@ -118,24 +126,91 @@ def repeated_blocks(seqs: DataFrame, min_ids: int = MIN_IDS, depth: int = DEPTH)
 
 
 def repeated_lines(docs: DataFrame, min_ids: int = MIN_IDS) -> DataFrame:
-    """``site, line`` (common form), ``ids``: lines of repeated blocks. ``docs`` has ``site, id, text``."""
+    """``site, line`` (common form), ``ids``: lines of repeated blocks of any length, and how many documents have the line. ``docs`` has ``site, id, text``."""
     blocks = repeated_blocks(sequences(docs), min_ids)
-    single = cut(blocks.where(F.size("block") == 1).select("site", F.element_at("block", 1).alias("h"), "ids", F.col("example").alias("id")))
+    alone = F.when(F.size("block") == 1, F.col("ids"))  # each line of a longer block is a block of its own, too
+    single = cut(blocks.select("site", F.explode("block").alias("h"), alone.alias("ids"), F.col("example").alias("id")).groupBy("site", "h").agg(F.max("ids").alias("ids"), F.min("id").alias("id")))
     # The wording of a line is taken from one of its documents.
     wanted = single.select("site", "id").distinct()
-    lines = docs.join(wanted, ["site", "id"], "left_semi").select("site", "id", F.explode(F.array_distinct(F.transform(F.split("text", "\n"), common_form))).alias("line")).where("line <> ''")
+    lines = docs.join(sized(cut(wanted)), ["site", "id"], "left_semi").select("site", "id", F.explode(F.array_distinct(F.transform(F.split("text", "\n"), common_form))).alias("line")).where("line <> ''")
     return lines.withColumn("h", F.xxhash64("line")).join(single, ["site", "id", "h"]).select("site", "line", "ids").distinct()
 
 
+def cover(lines: list[int], known: set[tuple[int, ...]], depth: int = DEPTH) -> list[tuple[int, int]]:
+    """``(start, end)`` of the longest repeated blocks in a sequence of line identifiers, without overlap, from the left.
+
+    ``known`` are the repeated blocks of up to ``depth`` lines; one of these goes
+    on as long as its last ``depth`` lines are a repeated block.
+    """
+    out, at, n = [], 0, len(lines)
+    while at < n:
+        size = next((d for d in range(min(depth, n - at), 0, -1) if tuple(lines[at : at + d]) in known), 0)
+        if not size:
+            at += 1
+            continue
+        end = at + size
+        if size == depth:
+            while end < n and tuple(lines[end - depth + 1 : end + 1]) in known:
+                end += 1
+        out.append((at, end))
+        at = end
+    return out
+
+
 def without_repeated(docs: DataFrame, min_ids: int = MIN_IDS) -> DataFrame:
-    """``docs`` with ``text`` rid of the lines of repeated blocks of its site, and ``removed_lines``; the other lines stay as they are.
+    """``docs`` with ``text`` rid of the repeated blocks of its site, ``removed_blocks`` and ``removed_lines``; the other lines stay as they are.
 
-    The repeated lines of a site travel once to each partition of its documents
-    (an array per site, a few hundred hashes), not to each line.
+    Empty lines neither end a block nor are taken out. The blocks (a few hundred
+    per site) are told to every executor if there are at most ``TOLD`` of them;
+    else they travel per site with its documents, which are salted, so that a
+    site with a third of all rows lies in many tasks.
     """
-    found = repeated_blocks(sequences(docs), min_ids).where(F.size("block") == 1)
-    per_site = found.groupBy("site").agg(F.collect_set(F.element_at("block", 1)).alias("_repeated"))
-    joined = docs.drop("removed_lines").join(per_site, "site", "left")  # a column of that name is replaced
-    gone = lambda s: F.coalesce(F.array_contains("_repeated", F.xxhash64(common_form(s))) & (common_form(s) != ""), F.lit(False))
-    lines = F.split("text", "\n")
-    return joined.withColumn("removed_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.filter(lines, gone)))).withColumn("text", F.array_join(F.filter(lines, lambda s: ~gone(s)), "\n")).drop("_repeated")
+    import pyarrow as pa
+
+    spark = docs.sparkSession
+    keep = [c for c in docs.columns if c not in ("removed_blocks", "removed_lines")]  # columns of those names are replaced
+    at_site, at_text = keep.index("site"), keep.index("text")
+    hashes = F.transform(F.split("text", "\n"), lambda s: F.when(common_form(s) != "", F.xxhash64(common_form(s))))
+    marked = docs.select(*keep, hashes.alias("_lines"))
+    schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep) + "removed_blocks int, removed_lines int"
+    found = cut(repeated_blocks(sequences(docs), min_ids).select("site", "block"))
+
+    def rid(text: str | None, ids: list | None, known: set) -> tuple[str | None, int, int]:
+        if not text or not known:
+            return text, 0, 0
+        full = [k for k, h in enumerate(ids) if h is not None]
+        spans = cover([ids[k] for k in full], known)
+        gone = {full[j] for a, e in spans for j in range(a, e)}
+        return "\n".join(s for k, s in enumerate(text.split("\n")) if k not in gone), len(spans), len(gone)
+
+    def batch(b, results: list[tuple]):
+        texts, blocks, lines = zip(*results) if results else ((), (), ())
+        cols = [b.column(k) for k in range(len(keep))]
+        cols[at_text] = pa.array(texts, pa.string())
+        return pa.RecordBatch.from_arrays([*cols, pa.array(blocks, pa.int32()), pa.array(lines, pa.int32())], [*keep, "removed_blocks", "removed_lines"])
+
+    if found.count() <= TOLD:
+        sites: dict[str, set] = {}
+        for r in found.toLocalIterator():
+            sites.setdefault(r["site"], set()).add(tuple(r["block"]))
+        shared = spark.sparkContext.broadcast(sites)
+
+        def run(batches: Iterator) -> Iterator:
+            known = shared.value
+            for b in batches:
+                yield batch(b, [rid(t, ids, known.get(s, ())) for s, t, ids in zip(b.column(at_site).to_pylist(), b.column(at_text).to_pylist(), b.column(len(keep)).to_pylist())])
+
+        return marked.mapInArrow(run, schema)
+
+    # Too many for every executor: each document gets those repeated blocks of its site that begin with one of its lines.
+    salted = marked.withColumn("_row", F.monotonically_increasing_id())
+    salted = cut(salted)
+    first = salted.select("_row", "site", F.explode(F.array_distinct(F.array_compact("_lines"))).alias("_first"), F.pmod(F.hash("_row"), F.lit(SALTS)).alias("_salt"))
+    heads = found.select("site", F.element_at("block", 1).alias("_first"), "block").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    own = first.join(heads.hint("merge"), ["site", "_first", "_salt"]).groupBy("_row").agg(F.collect_set("block").alias("_known"))
+
+    def run_own(batches: Iterator) -> Iterator:
+        for b in batches:
+            yield batch(b, [rid(t, ids, {tuple(k) for k in known or ()}) for t, ids, known in zip(b.column(at_text).to_pylist(), b.column(len(keep)).to_pylist(), b.column(len(keep) + 1).to_pylist())])
+
+    return salted.join(own.hint("merge"), "_row", "left").select(*keep, "_lines", "_known").mapInArrow(run_own, schema)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lontar.llm.common import cut
+from lontar.llm.common import cut, sized
 
 #: Vocabulary of a public byte-level BPE tokenizer, as ranks.
 DEFAULT_TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -32,8 +32,6 @@ DEFAULT_TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Ranges of the key within a source; a range of a source with n documents holds about n / RANGES of them.
 RANGES = 4096
-#: Targets that may be in use.
-MAX_TARGETS = 100_000
 
 
 @lru_cache(maxsize=2)
@@ -88,8 +86,6 @@ def budgets(counts: DataFrame, targets: DataFrame, total_tokens: int | None = No
     size = counts.where("n_tokens > 0").groupBy("source").agg(F.sum("n_tokens").alias("available_tokens"), F.count("*").alias("documents"))
     joined = target.join(size, "source", "left").fillna(0, ["available_tokens", "documents"])
     joined = cut(joined)  # a row per target
-    if joined.count() > MAX_TARGETS:
-        raise ValueError(f"more than {MAX_TARGETS} targets; they are sent to every executor")
     if total_tokens is None:
         total_tokens = joined.agg(F.sum("available_tokens").alias("n")).first()["n"] or 0
     joined = joined.withColumn("total_tokens", F.lit(int(total_tokens)).cast("long"))
@@ -120,7 +116,7 @@ def select(counts: DataFrame, plan: DataFrame, seed: int = 42) -> DataFrame:
     """
     keyed = (
         counts.where("n_tokens > 0")
-        .join(F.broadcast(plan.where("used_tokens > 0").select("source", "epochs", "rest_tokens")), "source")  # a row per target
+        .join(sized(plan.where("used_tokens > 0").select("source", "epochs", "rest_tokens")), "source")  # a row per target
         .withColumn("mix_key", F.xxhash64(F.lit(seed), "source", "doc_id"))
         .withColumn("mix_range", F.pmod(F.shiftright("mix_key", 52), F.lit(RANGES)).cast("int"))
     )

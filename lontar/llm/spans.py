@@ -115,7 +115,11 @@ def _block_index(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 def factors(text: str, reference: str, min_chars: int) -> list[tuple[int, int, int]]:
-    """Greedy parse of ``text`` against ``reference``: ``(start, reference start, length)`` of factors of ``min_chars`` or more."""
+    """Greedy parse of ``text`` against ``reference``: ``(start, reference start, length)`` of factors of ``min_chars`` or more.
+
+    The parse goes on behind a factor, but a window within it that meets the
+    reference elsewhere, and there goes on beyond the factor's end, is one too.
+    """
     if len(text) < min_chars or len(reference) < min_chars:
         return []
     width = max(1, (min_chars + 1) // 2)
@@ -125,14 +129,13 @@ def factors(text: str, reference: str, min_chars: int) -> list[tuple[int, int, i
     cells = grid[order]
     rolling = window_hashes(b, width)
     lo, hi = np.searchsorted(cells, rolling, "left"), np.searchsorted(cells, rolling, "right")
-    found, end = [], 0
+    found, end, shift = [], 0, None
     for i in np.flatnonzero(hi > lo):
-        if i + width <= end:
-            continue
+        within = i + width <= end
         best = (0, 0, 0)
         for k in range(lo[i], hi[i]):
             j = int(order[k]) * width
-            if not np.array_equal(a[j : j + width], b[i : i + width]):
+            if within and i - j == shift or not np.array_equal(a[j : j + width], b[i : i + width]):
                 continue
             m = min(len(a) - j, len(b) - i)
             miss = np.flatnonzero(a[j : j + m] != b[i : i + m])
@@ -142,9 +145,9 @@ def factors(text: str, reference: str, min_chars: int) -> list[tuple[int, int, i
             left = int(miss[0]) if len(miss) else m
             if left + right > best[2]:
                 best = (int(i) - left, j - left, left + right)
-        if best[2] >= min_chars:
+        if best[2] >= min_chars and best[0] + best[2] > end:
             found.append(best)
-            end = best[0] + best[2]
+            end, shift = best[0] + best[2], best[0] - best[1]
     return found
 
 
@@ -162,11 +165,13 @@ def _candidates(index: DataFrame) -> DataFrame:
     return one.join(two.hint("merge"), ["block", "salt"]).where("cls_a < cls_b").select("cls_a", "cls_b").distinct()
 
 
-def shared_factors(docs: DataFrame, min_chars: int = MIN_CHARS) -> tuple[DataFrame, DataFrame]:
+def shared_factors(docs: DataFrame, min_chars: int = MIN_CHARS, both_ways: bool = False) -> tuple[DataFrame, DataFrame]:
     """Members and factors.
 
     Members: ``doc_id, cls``, of texts of ``min_chars`` or more. Factors, of
-    pairs of different texts: ``cls_a, cls_b, start_a, start_b, length``.
+    pairs of different texts: ``cls_a, cls_b, start_a, start_b, length``. A pair
+    is parsed in one direction, which tells whether there is any; ``both_ways``
+    parses each text of it against the other, for all places of both.
     """
     import pyarrow as pa
 
@@ -186,6 +191,8 @@ def shared_factors(docs: DataFrame, min_chars: int = MIN_CHARS) -> tuple[DataFra
             rows = []
             for a, b, text_a, text_b in zip(*(batch.column(k).to_pylist() for k in range(4))):
                 rows += [(a, b, j, i, n) for i, j, n in factors(text_b, text_a, min_chars)]
+                if both_ways:
+                    rows += [(a, b, i, j, n) for i, j, n in factors(text_a, text_b, min_chars)]
             cols = list(zip(*rows)) or [[]] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()))], ["cls_a", "cls_b", "start_a", "start_b", "length"])
 
@@ -213,7 +220,7 @@ def shared_pairs(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 def shared_share(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """``doc_id, n_chars, shared_chars, shared_share, spans`` of documents that share a stretch; ``spans`` are merged ``start`` (from 1) and ``length``."""
-    members, found = shared_factors(docs, min_chars)
+    members, found = shared_factors(docs, min_chars, both_ways=True)
     spans = found.select(F.col("cls_a").alias("cls"), F.col("start_a").alias("start"), "length").union(found.select("cls_b", "start_b", "length")).distinct()
     whole = members.groupBy("cls").agg(F.count("*").alias("n")).where("n > 1").select("cls", F.lit(0).cast("long").alias("start"), F.lit(None).cast("long").alias("length"))
     from pyspark.sql.window import Window

@@ -12,10 +12,15 @@ in the end each of its sentences and list items is given to the subject of its
 terms, and the document has every subject that at least ``SHARE`` of them are
 about.
 
+Labelled entries keep their labels in the result too; subjects that their text
+adds are given beside them, as labels may be missing.
+
 Equal texts are one node. Defined results: null and empty texts, and texts
-without any sentence or item of a known subject, have no row; labels of unknown
-entries and subjects outside ``subject_areas`` are ignored; with no labels at
-all the result is empty; sentences and items of no known subject don't count.
+without any sentence or item of a known subject, have no row unless they are
+labelled; labels of unknown entries and subjects outside ``subject_areas`` are
+ignored; with no labels at all the result is empty; sentences and items of no
+known subject don't count; the share of a label that its text doesn't show is
+null.
 """
 
 from __future__ import annotations
@@ -34,8 +39,10 @@ SHARE = 0.3
 ROUNDS = 2
 #: Subject areas that may be in use.
 MAX_SUBJECTS = 200
-#: Verified terms that every executor may hold (a row of them is a hash and a number per subject); beyond, terms are joined.
+#: Terms that every executor may hold (a row of them is a hash and a number per subject); more are joined, with the same result.
 MAX_TERMS = 200_000
+#: Salts of the join of terms that aren't held by every executor: one term may be in a third of all documents.
+SALTS = 16
 #: Agreement of its documents that verifies a term.
 AGREEMENT = 0.5
 
@@ -57,22 +64,38 @@ def _hashes(words: list[str], memory: dict[str, int]) -> list[int]:
     return out
 
 
-def ties(entries: DataFrame, without: frozenset = frozenset()) -> DataFrame:
-    """``doc, term``: hashes of texts and of their different words, but for common ones and those of ``without``."""
+def ties(entries: DataFrame, without: DataFrame | None = None) -> DataFrame:
+    """``doc, term``: hashes of texts and of their different words, but for common ones and those of ``without`` (a column ``term``)."""
     import pyarrow as pa
 
+    told = None
+    if without is not None and without.count() <= MAX_TERMS:
+        told = entries.sparkSession.sparkContext.broadcast(frozenset(r["term"] for r in without.collect()))
+
     def run(batches: Iterator) -> Iterator:
         memory: dict[str, int] = {}
+        gone = told.value if told else frozenset()
         for b in batches:
             rows, terms = [], []
             for k, text in enumerate(b.column(1).to_pylist()):
-                own = set(_hashes(list(set(_WORD.findall(text.lower())) - COMMON), memory)) - without
+                own = set(_hashes(list(set(_WORD.findall(text.lower())) - COMMON), memory)) - gone
                 rows += [k] * len(own)
                 terms += own
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), pa.array(terms, pa.int64())], ["doc", "term"])
 
     texts = entries.where("text IS NOT NULL AND text <> ''").select(F.xxhash64("text").alias("doc"), "text")
-    return texts.mapInArrow(run, "doc bigint, term bigint").distinct()
+    found = texts.mapInArrow(run, "doc bigint, term bigint")
+    if without is not None and told is None:
+        found = found.join(without.select("term").hint("merge"), "term", "left_anti").select("doc", "term")
+    return found.distinct()
+
+
+def _with_terms(graph: DataFrame, terms: DataFrame) -> DataFrame:
+    """``graph`` (a column ``term``) with the values of its terms; where they are too many to be told to every executor, each is copied to ``SALTS`` places."""
+    if _small(terms):
+        return graph.join(F.broadcast(terms), "term")
+    copied = terms.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return graph.withColumn("_salt", F.pmod(F.hash("doc"), F.lit(SALTS)).cast("int")).join(copied.hint("merge"), ["term", "_salt"]).drop("_salt")
 
 
 def _sums(subjects: int, prefix: str = "s") -> list:
@@ -119,11 +142,10 @@ def propagate(entries: DataFrame, labels: DataFrame, subjects: list[str], rounds
     terms = cut(_verified(seed_terms, _mass(clamped, n)))
     # Words that many labelled documents have without agreeing on anything say nothing about subjects; they are left out of
     # the graph. Their number is bounded by the words of the labelled sample.
-    idle = seed_terms.where("n >= 5").join(terms.hint("merge"), "term", "left_anti").select("term").orderBy(F.desc("n")).limit(MAX_TERMS)
-    graph = cut(ties(entries, frozenset(r["term"] for r in idle.collect())))
+    idle = seed_terms.where("n >= 5").join(terms.hint("merge"), "term", "left_anti").select("term")
+    graph = cut(ties(entries, cut(idle)))
     for _ in range(rounds):
-        known = F.broadcast(terms) if _small(terms) else terms.hint("merge")
-        scores = graph.join(known, "term").groupBy("doc").agg(*_sums(n))
+        scores = _with_terms(graph, terms).groupBy("doc").agg(*_sums(n))
         # Squared: a document leans to the subjects most of its terms speak for.
         square = sum((F.col(f"s{k}") ** 2 for k in range(1, n)), F.col("s0") ** 2)
         free = scores.join(clamped.select("doc").hint("merge"), "doc", "left_anti").select("doc", *((F.col(f"s{k}") ** 2 / square).alias(f"s{k}") for k in range(n)))
@@ -137,17 +159,23 @@ def _units_of(text: str) -> list[list[str]]:
 
 
 def subjects_of(entries: DataFrame, labels: DataFrame, areas: DataFrame, share: float = SHARE) -> DataFrame:
-    """``id, subject, share`` of the subjects of each entry. ``areas`` has ``subject``."""
-    import pyarrow as pa
-
+    """``id, subject, share`` of the subjects of each entry, each once. ``areas`` has ``subject``."""
     subjects = sorted({r["subject"] for r in size_checked(areas.select("subject").where("subject IS NOT NULL").distinct(), MAX_SUBJECTS, "subject areas")})
     spark, kind = entries.sparkSession, entries.schema["id"].dataType.simpleString()
     if not subjects:
         return spark.createDataFrame([], f"id {kind}, subject string, share double")
-    n = len(subjects)
     terms = propagate(entries, labels, subjects)
-    if not _small(terms):
-        return _by_join(entries, terms, subjects, share)
+    found = _by_broadcast(entries, terms, subjects, share) if _small(terms) else _by_join(entries, terms, subjects, share)
+    named = labels.select(F.col("id").cast(kind).alias("id"), "subject").where(F.col("subject").isin(*subjects)).distinct()
+    seeds = named.join(entries.select("id").where("id IS NOT NULL").distinct().hint("merge"), "id", "left_semi").select("id", "subject", F.lit(None).cast("double").alias("share"))
+    return found.unionByName(seeds).groupBy("id", "subject").agg(F.max("share").alias("share"))
+
+
+def _by_broadcast(entries: DataFrame, terms: DataFrame, subjects: list[str], share: float) -> DataFrame:
+    """``id, subject, share`` by a table of terms that every executor holds; units are scored where the texts lie."""
+    import pyarrow as pa
+
+    spark, kind, n = entries.sparkSession, entries.schema["id"].dataType.simpleString(), len(subjects)
     table = terms.toArrow()
     shared = spark.sparkContext.broadcast((np.array(table.column("term").to_pylist(), np.int64), np.stack([table.column(f"s{k}").to_numpy() for k in range(n)], 1) if table.num_rows else np.zeros((0, n))))
 
@@ -209,7 +237,7 @@ def _by_join(entries: DataFrame, terms: DataFrame, subjects: list[str], share: f
     texts = entries.where("text IS NOT NULL").select(F.xxhash64("text").alias("doc"), "text").dropDuplicates(["doc"])
     cols = [F.col(f"s{k}") for k in range(n)]
     total = sum(cols[1:], cols[0])
-    scored = texts.mapInArrow(run, "doc bigint, unit int, term bigint").join(terms.hint("merge"), "term").groupBy("doc", "unit").agg(*_sums(n))
+    scored = texts.mapInArrow(run, "doc bigint, unit int, term bigint").transform(_with_terms, terms).groupBy("doc", "unit").agg(*_sums(n))
     best = F.array_position(F.array(*cols), F.array_max(F.array(*cols)))
     counted = scored.where(F.array_max(F.array(*cols)) >= 0.5 * total).groupBy("doc", best.alias("k")).count()
     whole = counted.groupBy("doc").agg(F.sum("count").alias("all"))

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lontar.llm import blocks, contamination, graph, history, lines, mixing, pii, pii_examples, quality, residue, spans, topics
+from lontar.llm import blocks, contamination, history, lines, mixing, pii, pii_examples, quality, residue, spans, topics
 
 WORDS = "river stone lamp garden winter copper slow bright market harbour paper violin carpet signal orchard velvet thunder meadow lantern bridge".split()
 
@@ -159,6 +159,17 @@ def leaks(docs, items, n):
     return out
 
 
+def test_items_in_blocks_give_the_same(spark, monkeypatch):
+    r = random.Random(6)
+    items = [(k, sentence(r, 20)) for k in range(12)]
+    docs = [(k, sentence(r, 9) + " " + " ".join(items[k % 12][1].split()[k % 7 :]) + " " + sentence(r, 5)) for k in range(30)] + [(99, None)]
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([*items, (50, None)], "item_id long, text string")
+    whole = sorted(map(tuple, contamination.leaked_spans(d, i).collect()))
+    assert len({x[0] for x in whole}) == 30
+    monkeypatch.setattr(contamination, "ITEM_WORDS", 100)
+    assert whole == sorted(map(tuple, contamination.leaked_spans(d, i).collect()))
+
+
 def test_leaked(spark, monkeypatch):
     r = random.Random(8)
     items = [(k, sentence(r, 20)) for k in range(12)] + [(50, None), (51, "too short"), (52, "")]
@@ -239,6 +250,24 @@ def test_shared_pairs(spark, monkeypatch):
     assert spans.shared_pairs(df.limit(0), 100).count() == 0
 
 
+def test_shared_share_with_repeats_and_overlaps(spark, monkeypatch):
+    r = random.Random(21)
+    rand = lambda n: "".join(r.choice("abcdefghij ") for _ in range(n))
+    p, q, long = rand(70), rand(90), rand(200)
+    texts = [rand(30) + p + rand(40) + p + rand(20), rand(55) + p + rand(30), long + rand(40), rand(25) + long[:120] + rand(10), rand(12) + long[80:] + rand(33), q + rand(20) + q, rand(31) + q, rand(150), "short", rand(10) + p[20:] + q[:65] + rand(9)]
+    least = 60
+    covered = {}
+    for a, t in enumerate(texts):
+        spots = set()
+        for i in range(len(t) - least + 1):
+            if any(t[i : i + least] in u for b, u in enumerate(texts) if b != a):
+                spots.update(range(i, i + least))
+        if spots:
+            covered[a] = len(spots)
+    out = {x["doc_id"]: x["shared_chars"] for x in spans.shared_share(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), least).collect()}
+    assert out == covered
+
+
 def test_shared_share(spark):
     a, b = "abcdefghij" * 3, "klmnopqrst" * 3
     docs = [(1, "1" * 9 + a + "2" * 11), (2, "3" * 8 + a + b), (3, "4" * 5 + b), (4, "x" * 40), (5, "x" * 40), (6, None)]
@@ -282,6 +311,24 @@ def test_blocks_of_lines(spark):
     assert sorted(len(x["block"]) for x in found) == [1, 1, 1, 2, 2, 3] and {x["ids"] for x in found} == {6}
 
 
+def test_blocks_of_any_length_are_deleted_as_one(spark, monkeypatch):
+    r = random.Random(4)
+    block = [f"fixed line {chr(97 + k)}" for k in range(11)]
+    docs = [("s", f"d{k}", "\n".join([sentence(r, 5), "", *block[:3], "", *block[3:], sentence(r, 5), block[7]])) for k in range(6)] + [("t", "d1", "\n".join(block)), (None, "d2", "\n".join(block)), ("s", None, "own\n" + "\n".join(block))]
+    df = spark.createDataFrame(docs, "site string, id string, text string")
+    told = sorted((x["site"] or "", x["id"] or "", x["text"], x["removed_blocks"], x["removed_lines"]) for x in lines.without_repeated(df).collect())
+    assert {x[3:] for x in told if x[0] == "s" and x[1]} == {(2, 12)} and [x for x in told if x[0] == "s" and not x[1]] == [("s", "", "own", 1, 11)] and all(x[3:] == (0, 0) for x in told if x[0] != "s")
+    monkeypatch.setattr(lines, "TOLD", 0)
+    assert told == sorted((x["site"] or "", x["id"] or "", x["text"], x["removed_blocks"], x["removed_lines"]) for x in lines.without_repeated(df).collect())
+
+
+def test_cover():
+    known = {(1,), (2,), (3,), (1, 2), (2, 3), (1, 2, 3), (5, 6)}
+    assert lines.cover([9, 1, 2, 3, 9, 2, 5, 6, 5], known) == [(1, 4), (5, 6), (6, 8)] and lines.cover([], known) == []
+    long = list(range(20, 40))
+    assert lines.cover([7, *long, 8], {tuple(long[k : k + d]) for d in range(1, 5) for k in range(20 - d + 1)}) == [(1, 21)]
+
+
 # --- 2, 5 ----------------------------------------------------------------------------------------------------------
 
 PROSE = "The old bridge was closed for the winter, and the people of the town had to walk around the hill. It took them an hour more than before. "
@@ -321,6 +368,38 @@ def test_residue(spark):
     assert residue.residue(df.limit(0)).count() == 0
 
 
+def test_functions_together_beat_each_alone():
+    """Votes of types with known answers: what is learnt from agreement makes fewer errors than any one function, and than a plain majority."""
+    r = np.random.default_rng(3)
+    truth = r.choice(3, 6000, p=[0.9, 0.06, 0.04])
+    right, silent = (0.97, 0.93, 0.9, 0.75, 0.6), (0.05, 0.1, 0.1, 0.3, 0.2)
+    given = np.stack([np.where(r.random(6000) < q, -1, np.where(r.random(6000) < p, truth, r.integers(0, 3, 6000))) for p, q in zip(right, silent)], 1)
+    patterns, inverse, counts = np.unique(given, axis=0, return_inverse=True, return_counts=True)
+    learnt = quality.posteriors(patterns, *quality.fit(patterns, counts.astype(float)))[inverse.ravel()].argmax(1)
+    majority = np.stack([(given == t).sum(1) for t in range(3)], 1).argmax(1)
+    errors = (learnt != truth).sum()
+    assert errors < (majority != truth).sum() and all(errors < (given[:, j] != truth).sum() for j in range(5)) and errors < 120
+
+
+def test_votes_without_the_definition(spark):
+    """No function sees the share of characters in running sentences."""
+    df = quality.statistics(spark.createDataFrame([("a", PROSE)], "id string, text string"))
+    assert "running_share" not in str([v._jc.toString() for v in quality.votes().values()]).replace("running_word_share", "") and df.select(*quality.votes().values()).count() == 1
+
+
+def test_residue_needs_its_graph(spark):
+    """Messages among menus are found by their likeness to those that make up a record; without the components they are lost."""
+    shop = "Welcome to the garden shop, which sells pots and seeds all year round.\nHome | About | Contact | Imprint and more\n"
+    rows = [("n", f"seed{k}", f"Please enable JavaScript to read the article {w}lamp on this page.") for k, w in enumerate(WORDS[:6])]
+    rows += [("p", f"page{k}", shop + f"Please enable JavaScript to read the article {w}lamp on this page.\nFooter of the shop, all about pots and seeds") for k, w in enumerate(WORDS[6:14])]
+    rows += [("p", "alone", shop + "Sorry, the page tirolamp could not be found.\nFooter of the shop, all about pots and seeds"), ("n", "prose", PROSE * 3)]
+    df = spark.createDataFrame(rows, "table_name string, record_id string, text string")
+    found = {x["record_id"] for x in residue.residue(df, ("p",)).collect()}
+    assert found == {f"seed{k}" for k in range(6)} | {f"page{k}" for k in range(8)}
+    trusted = residue.units(df).where("trusted").select("record_id").distinct().collect()
+    assert {x["record_id"] for x in trusted} == {f"seed{k}" for k in range(6)}
+
+
 def test_residue_spreads_to_near_duplicates(spark):
     found = [(f"Sorry we could not load the {w} page for you so please reload it in a short while or write to us about this", k == 0) for k, w in enumerate(["red"] * 2 + ["lemon", "orange", "purple", "silver"])]
     df = spark.createDataFrame([(" ".join(u.lower().split()), t, False) for u, t in found], "unit string, trusted boolean, strange boolean")
@@ -366,21 +445,6 @@ def test_residue_spreads_over_names_met_often(spark):
     assert residue.residue_units(spark.createDataFrame(units_, "unit string, trusted boolean, strange boolean")).count() == 400
 
 
-def test_components_and_tables(spark):
-    edges = [(1, 2), (2, 3), (9, 8), (7, 8)]
-    assert {(x["node"], x["component"]) for x in graph.components(spark.createDataFrame(edges, "a long, b long")).collect()} == {(1, 1), (2, 1), (3, 1), (7, 7), (8, 7), (9, 7)}
-    r = random.Random(2)
-    for _ in range(30):
-        a = r.getrandbits(64)
-        b = a
-        for k in r.sample(range(64), 3):
-            b ^= 1 << k
-        s = [x - (1 << 64) if x >> 63 else x for x in (a, b)]
-        df = spark.createDataFrame([(x,) for x in s], "s long").select("s", graph.hamming_keys(F.col("s")).alias("key"))
-        assert df.groupBy("key").count().where("count = 2").limit(1).count() == 1
-        break
-
-
 # --- 4 -------------------------------------------------------------------------------------------------------------
 
 HTML = """<html><head><title>Heading of the day - Site</title></head><body><div class="x"><div><a href="/a">Home</a></div><div><a href="/b">Contact</a></div></div>
