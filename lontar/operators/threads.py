@@ -110,13 +110,13 @@ def prompt(comments: DataFrame, author: str, group: str, body: str, order: list[
     return lines.select(author, F.concat(F.lit(head), F.col("_lines")).alias("prompt"))
 
 
-def records_v1(threads: DataFrame, title: Column, url: Column, body: Column, replies: Column, base: str = "https://www.reddit.com") -> DataFrame:
-    """Records of the first converter: everything cleaned to one line."""
+def records_v1(threads: DataFrame, title: Column, url: Column, body: Column, replies: Column, base: str = "https://www.reddit.com", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Records of the first converter, beside the columns ``keep``: everything cleaned to one line."""
     t, b, r = thread_text_v1(title), thread_text_v1(body), thread_text_v1(replies)
-    return threads.select(language(F.concat_ws(" ", t, b, r)).alias("language"), absolute_v1(url, base).alias("source_url"), t.alias("thread_title"), b.alias("thread_body"), r.alias("replies_body"), F.lit("may_contain_spam").alias("clean_status"), group_v1(url).alias("subreddit"))
+    return threads.select(*keep, language(F.concat_ws(" ", t, b, r)).alias("language"), absolute_v1(url, base).alias("source_url"), t.alias("thread_title"), b.alias("thread_body"), r.alias("replies_body"), F.lit("may_contain_spam").alias("clean_status"), group_v1(url).alias("subreddit"))
 
 
-def records_v2(threads: DataFrame, title: Column, url: Column, body: Column, replies: Column, base: str = "https://www.reddit.com") -> DataFrame:
-    """Records of the second converter: lines are kept."""
+def records_v2(threads: DataFrame, title: Column, url: Column, body: Column, replies: Column, base: str = "https://www.reddit.com", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Records of the second converter, beside the columns ``keep``: lines are kept."""
     t, b, r, u = thread_text_v2(title), thread_text_v2(body), thread_text_v2(replies), absolute_v2(url, base)
-    return threads.select(language(F.concat_ws(" ", t, b, r)).alias("language"), u.alias("source_url"), t.alias("thread_title"), b.alias("thread_body"), r.alias("replies_body"), F.lit("may_contain_spam").alias("clean_status"), group_v2(u).alias("subreddit"))
+    return threads.select(*keep, language(F.concat_ws(" ", t, b, r)).alias("language"), u.alias("source_url"), t.alias("thread_title"), b.alias("thread_body"), r.alias("replies_body"), F.lit("may_contain_spam").alias("clean_status"), group_v2(u).alias("subreddit"))

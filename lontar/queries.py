@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from lontar.functions import ids, pii, text, urls
 from lontar.functions.text import NO_LETTER_NO_SPACE, SPACE
@@ -14,7 +14,7 @@ from lontar.functions.unicode import nfkc
 from lontar.operators import classify, dedup, frontier, html, news, quality, stats, threads
 from lontar.plans import corpus
 from lontar.plans.stage import fresh_folder, spread
-from lontar.sources import books, jsonl
+from lontar.sources import books, jsonl, pages, sinks
 from lontar.streaming import corpus as streams
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -819,6 +819,128 @@ _FLAGSHIP_SQL = f"""WITH f AS (SELECT id, source_url, {_NEWS_SQL('title')} AS ti
 SELECT substring(sha256(source_url || '#' || substring(sha256(text), 1, 16)), 1, 16) AS document_id, title, text, CASE WHEN host = '' THEN 'unknown' ELSE host END AS site FROM (SELECT *, regexp_replace(lower(regexp_extract(source_url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^www\\.', '') AS host FROM g QUALIFY row_number() OVER (PARTITION BY {_HASH_SQL} ORDER BY id, source_url, title, text) = 1)"""
 
 
+# --- sources and sinks, there and back ------------------------------------------------------------------------------
+
+
+@query("SELECT doc_id, text, lang FROM documents")
+def sink_lines(spark, d):
+    path = fresh_folder(spark, "lines")
+    sinks.write_lines(_t(spark, d, "documents").select("doc_id", "text", "lang"), path)
+    return jsonl.read_lines(spark, path, StructType([StructField("doc_id", LongType()), StructField("text", StringType()), StructField("lang", StringType())]))
+
+
+@query("SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS place FROM documents")
+def sink_numbered(spark, d):
+    """Lines written in order and read again: their files and numbers give the order back."""
+    path = fresh_folder(spark, "numbered")
+    sinks.write_lines(_t(spark, d, "documents").select("doc_id").repartitionByRange("doc_id").sortWithinPartitions("doc_id"), path)
+    lines = jsonl.read_lines(spark, path, StructType([StructField("doc_id", LongType())]), numbered=True)
+    return stats.numbered(lines, [F.col("file"), F.col("line_number")]).select("doc_id", F.col("number").alias("place"))
+
+
+@query("SELECT (row_number() OVER (ORDER BY doc_id) - 1) // 1000 AS shard, 1 AS n FROM documents".replace("SELECT", "SELECT shard::BIGINT AS shard, sum(n)::BIGINT AS entries FROM (SELECT", 1) + ") GROUP BY shard")
+def sink_shards(spark, d):
+    path = fresh_folder(spark, "shards")
+    sinks.write_shards(_t(spark, d, "documents").select("doc_id", "text"), path, [F.col("doc_id")], 1000)
+    return sinks.manifest(spark, path).groupBy("shard").agg(F.sum("entries").alias("entries"))
+
+
+@query("SELECT doc_id, lang, title FROM documents")
+def sink_csv(spark, d):
+    path = fresh_folder(spark, "csv")
+    sinks.write_csv(_t(spark, d, "documents").select("doc_id", "lang", "title"), path)
+    return spark.read.option("header", True).option("escape", '"').option("multiLine", True).schema("doc_id bigint, lang string, title string").csv(path)
+
+
+@query("SELECT doc_id, title, substring(text, 1, 269) AS description FROM documents")
+def scan_posts(spark, d):
+    """Documents wrapped as listings of posts, and read again."""
+    post = F.struct(F.lit("t3").alias("kind"), F.struct("title", F.col("text").alias("selftext"), F.col("doc_id").cast("string").alias("permalink")).alias("data"))
+    j = F.to_json(F.struct(F.struct(F.array(post).alias("children"), F.lit(None).cast("string").alias("after")).alias("data")))
+    return jsonl.listing_posts(_t(spark, d, "documents").select(j.alias("j")), "j").select(F.col("permalink").cast("long").alias("doc_id"), "title", "description")
+
+
+@query("SELECT comment_id, 'comment' AS type, body, subreddit FROM reddit_comments")
+def scan_activity(spark, d):
+    item = F.struct(F.lit("t1").alias("kind"), F.struct("body", "subreddit", F.col("comment_id").alias("permalink")).alias("data"))
+    other = F.struct(F.lit("t9").alias("kind"), F.struct(F.lit("x").alias("body"), F.lit("x").alias("subreddit"), F.lit("x").alias("permalink")).alias("data"))
+    j = F.to_json(F.struct(F.struct(F.array(item, other).alias("children")).alias("data")))
+    return jsonl.user_activity(_t(spark, d, "reddit_comments").select(j.alias("j")), "j").select(F.col("url").alias("comment_id"), "type", "body", "subreddit")
+
+
+@query("SELECT doc_id, title, text AS body FROM documents WHERE title IS NOT NULL")
+def scan_details(spark, d):
+    post = F.struct(F.struct(F.array(F.struct(F.lit("t3").alias("kind"), F.struct("title", F.col("text").alias("selftext")).alias("data"))).alias("children")).alias("data"))
+    docs = _t(spark, d, "documents").where("title IS NOT NULL").select("doc_id", F.to_json(F.array(post)).alias("j"))
+    return jsonl.post_details(docs, "j").select("doc_id", "title", "body")
+
+
+def _echo(url: str) -> tuple[int, dict, str]:
+    """A transport without a network: even addresses answer with themselves, the others are missing."""
+    return (200, {"Content-Type": "text/html"}, url) if len(url) % 2 == 0 else (404, {}, "")
+
+
+@query("SELECT DISTINCT source_url AS url, length(source_url) % 2 = 0 AS success, CASE WHEN length(source_url) % 2 = 0 THEN 200 ELSE 404 END::INT AS status_code, CASE WHEN length(source_url) % 2 = 0 THEN source_url END AS content FROM incoming_articles WHERE source_url IS NOT NULL")
+def scan_fetched(spark, d):
+    return pages.fetch(_t(spark, d, "incoming_articles").select(F.col("source_url").alias("url")), _echo, workers=8).select("url", "success", "status_code", "content")
+
+
+@query("SELECT DISTINCT url, NOT starts_with(coalesce(nullif(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(.*)$', 1), ''), '/'), '/read') AS permitted FROM fetch_results WHERE url IS NOT NULL")
+def filt_permitted(spark, d):
+    """Addresses under the rules of their domains' robots files, which are made here: all forbid one section."""
+    f = _t(spark, d, "fetch_results").where("url IS NOT NULL").select("url").distinct()
+    rules = f.select(urls.domain(F.col("url")).alias("domain"), F.lit(NOW).alias("fetched_at"), F.lit("User-agent: *\nDisallow: /read\nAllow: /").alias("content")).distinct()
+    return pages.permitted(f, pages.robots_table(rules), F.lit(NOW).cast("timestamp")).select("url", "permitted")
+
+
+@query("SELECT DISTINCT id FROM incoming_articles WHERE id NOT IN (SELECT id FROM news_articles WHERE id IS NOT NULL)")
+def join_missing(spark, d):
+    return books.missing(_t(spark, d, "incoming_articles").select("id"), _t(spark, d, "news_articles").select("id"), "id")
+
+
+@query("SELECT d.doc_id, d.title, b.task FROM documents d LEFT JOIN benchmark b ON b.item_id = d.doc_id")
+def join_metadata(spark, d):
+    docs = _t(spark, d, "documents").select(F.col("doc_id").alias("stem"), "title")
+    return books.with_metadata(docs, _t(spark, d, "benchmark").select(F.col("item_id").alias("stem"), "task")).select(F.col("stem").alias("doc_id"), "title", "task")
+
+
+@query(f"SELECT page_id FROM fetch_results WHERE NOT success AND fetched_at + INTERVAL 1 HOUR <= TIMESTAMPTZ '{NOW}+00'")
+def filt_eligible(spark, d):
+    f = _t(spark, d, "fetch_results").withColumn("status", F.when(F.col("success"), "completed").otherwise("pending"))
+    return f.where(frontier.eligible(F.col("status"), F.col("fetched_at") + F.expr("INTERVAL 1 HOUR"), F.lit(NOW).cast("timestamp"))).where("NOT success").select("page_id")
+
+
+@query("SELECT page_id, (page_id % 3 + 1)::INT AS attempts, CASE WHEN page_id % 3 + 1 >= 3 THEN 'failed' ELSE 'pending' END AS status, CASE WHEN page_id % 3 + 1 < 3 THEN epoch_us(fetched_at) + 3600000000 END AS next_attempt FROM fetch_results WHERE NOT success")
+def win_retries(spark, d):
+    f = _t(spark, d, "fetch_results").where("NOT success").select("page_id", (F.col("page_id") % 3).cast("int").alias("attempts"), "fetched_at")
+    return frontier.after_failure(f, "attempts", "fetched_at").select("page_id", "attempts", "status", F.unix_micros("next_attempt").alias("next_attempt"))
+
+
+def _record_sql(version: int) -> str:
+    one = (lambda c: f"coalesce({_squeeze(_rep(c, (text.USER_V1, ''), (text.URL_HTTP, ''), (text.URL_WWW, ''), (text.MAIL_V1, ''), (text.PHONE_V1, ''), (text.ODD_V1, ' ')))}, '')") if version == 1 else (lambda c: f"coalesce({_V2_SQL.replace('body', c)}, '')")
+    url = "CASE WHEN coalesce(thread_url, '') = '' THEN '' WHEN thread_url LIKE 'http%' THEN thread_url" + (" WHEN thread_url LIKE '/%' THEN 'https://threads.example' || thread_url ELSE 'https://threads.example/' || thread_url END" if version == 2 else " ELSE 'https://threads.example' || thread_url END")
+    group = "coalesce(nullif(regexp_extract(url, '/r/([^/]+)/', 1), ''), 'Cooking')" if version == 2 else "coalesce(CASE WHEN starts_with(thread_url, '/r/') THEN string_split(thread_url, '/')[3] END, CASE WHEN contains(thread_url, '.com/r/') OR contains(thread_url, '.example/r/') THEN nullif(regexp_extract(thread_url, '/r/([^/]+)/', 1), '') END, 'Cooking')"
+    return f"WITH c AS (SELECT comment_id, thread_url, {url} AS url, {one('thread_title')} AS thread_title, {one('body')} AS thread_body FROM reddit_comments) SELECT comment_id, CASE WHEN regexp_matches(thread_title || ' ' || thread_body, '[A-Za-z]') THEN 'en' ELSE 'und' END AS language, url AS source_url, thread_title, thread_body, {group} AS subreddit FROM c"
+
+
+def _records(spark: SparkSession, d: str, version: int) -> DataFrame:
+    """Comments as records of threads without replies."""
+    c = _t(spark, d, "reddit_comments")
+    make = threads.records_v1 if version == 1 else threads.records_v2
+    out = make(c, F.col("thread_title"), F.col("thread_url"), F.col("body"), F.lit(""), "https://threads.example", ("comment_id",))
+    return out.select("comment_id", "language", "source_url", "thread_title", "thread_body", "subreddit")
+
+
+@query(_record_sql(1))
+def proj_records_v1(spark, d):
+    return _records(spark, d, 1)
+
+
+@query(_record_sql(2))
+def proj_records_v2(spark, d):
+    return _records(spark, d, 2)
+
+
 # --- streams -------------------------------------------------------------------------------------------------------
 
 
