@@ -447,9 +447,22 @@ def text_normalised(spark, d):
     return _t(spark, d, "documents").select("doc_id", text.normalised(F.col("text")).alias("cleaned"))
 
 
-@query(f"SELECT doc_id, {_count('text', '[' + chr(92) + 'x00-' + chr(92) + 'x1f' + chr(92) + 'x7f-' + chr(92) + 'x{9f}]')}::BIGINT AS control_chars, {_count('text', text.EMOJI)}::BIGINT AS emojis FROM documents")
+def _counts_sql() -> str:
+    plain = _rep("text", (text.CONTROL, ""))
+    spaced = _rep(plain, (r"[ \t]+", " "), (r"[ \t]+$", ""))
+    marks = _rep(spaced, (r"\.{2,}", "..."), ("!{2,}", "!"), (r"\?{2,}", "?"))
+    fixed = _rep(marks, (SPACE + r"+([.!?,:;])", r"\1"))
+    return f"""WITH s AS (SELECT doc_id, text, {plain} AS p, {spaced} AS s, {marks} AS m, {fixed} AS f FROM documents)
+SELECT doc_id, {_count('text', text.CONTROL)}::BIGINT AS control_chars, {_count('text', text.EMOJI)}::BIGINT AS emojis, ({_count('p', ' ')} - {_count('s', ' ')})::BIGINT AS spaces, ({_count('s', '[.!?]')} - {_count('m', '[.!?]')})::BIGINT AS punctuation, {_count('f', '["' + "'" + '`]')}::BIGINT AS quotes,
+({_count('f', '[•·▪▫‣⁃]')} + {_count('f', '[—–]')} + {_count('f', '…')})::BIGINT AS special, ({_count('f', chr(92) + 'd+ *° *[CF]')} + {_count('f', chr(92) + 'd+ *(?:cm|mm|km|m|ft|in|lb|kg|oz|g)' + chr(92) + 'b')})::BIGINT AS units, 0::BIGINT AS linebreaks FROM s"""
+
+
+@query(_counts_sql())
 def text_counts(spark, d):
-    return _t(spark, d, "documents").select("doc_id", text.change_counts(F.col("text"))["control_chars_removed"].cast("long").alias("control_chars"), text.emojis(F.col("text")).alias("emojis"))
+    """All counts of what normalisation changes, and of emoji; line ends go with the control characters and so count nothing."""
+    names = {"control_chars": "control_chars_removed", "spaces": "spaces_normalized", "punctuation": "punctuation_normalized", "quotes": "quotes_normalized", "special": "special_chars_normalized", "units": "units_normalized", "linebreaks": "linebreaks_normalized"}
+    counted = _t(spark, d, "documents").select("doc_id", text.change_counts(F.col("text")).alias("c"), text.emojis(F.col("text")).alias("emojis"))
+    return counted.select("doc_id", "emojis", *(F.col("c")[key].cast("long").alias(name) for name, key in names.items()))
 
 
 @query()

@@ -24,7 +24,7 @@ def test_query(spark, sf_dir, con, name):
 
 def test_scores_are_of_all_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id")
-    assert docs.exceptAll(QUERIES["class_all_scores"](spark, sf_dir).select("doc_id")).isEmpty()
+    assert docs.exceptAll(QUERIES["class_scores"](spark, sf_dir).select("doc_id")).isEmpty()
 
 
 def test_entry(spark, sf_dir):
