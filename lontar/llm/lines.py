@@ -14,7 +14,8 @@ first (``cover``).
 
 A document counts once for a block, however often it has it: among its own
 suffixes only the first with the same beginning counts. All rows of one id are
-one document, with a gap between different texts.
+one document, with a gap between different texts; an id with a great many texts
+is counted apart (``blocks_of``).
 
 Defined results: null and empty texts have no lines; rows without a site are
 left out; rows without an id don't count, but lose the lines that are found.
@@ -33,6 +34,8 @@ from lontar.llm.common import cut, sized
 #: Lines of a suffix that are compared at once; longer blocks are chains of blocks of so many lines.
 DEPTH = 4
 MIN_IDS = 5
+#: Different texts of one id that are one sequence at most; those of an id with more are counted apart.
+TEXTS = 64
 #: Repeated blocks that every executor may hold.
 TOLD = 200_000
 #: Places to which the blocks of a site are copied where they are joined.
@@ -44,11 +47,20 @@ def common_form(line: Column) -> Column:
     return F.regexp_replace(F.trim(F.lower(F.regexp_replace(line, r"(?U)\s+", " "))), r"\p{Nd}+", "0")
 
 
+def _line_ids(docs: DataFrame) -> DataFrame:
+    """``site, id, lines`` (hashes of non-empty lines in common form) of the different texts of ``docs`` (``site, id, text``)."""
+    own = docs.where("site IS NOT NULL AND id IS NOT NULL AND text IS NOT NULL")
+    return own.select("site", "id", F.transform(F.filter(F.transform(F.split("text", "\n"), common_form), lambda s: s != ""), lambda s: F.xxhash64(s)).alias("lines")).distinct()
+
+
+def _in_one(texts: DataFrame) -> DataFrame:
+    """All texts of one id as one sequence, with a 0 after each."""
+    return texts.groupBy("site", "id").agg(F.collect_list("lines").alias("all")).select("site", "id", F.flatten(F.transform("all", lambda a: F.concat(a, F.array(F.lit(0).cast("long"))))).alias("lines"))
+
+
 def sequences(docs: DataFrame) -> DataFrame:
-    """``site, id, lines`` (hashes of non-empty lines in common form, 0 between different texts of one id) of ``docs`` (``site, id, text``)."""
-    own = docs.where("site IS NOT NULL AND id IS NOT NULL AND text IS NOT NULL").select("site", "id", F.transform(F.filter(F.transform(F.split("text", "\n"), common_form), lambda s: s != ""), lambda s: F.xxhash64(s)).alias("lines"))
-    # Copies of an article are one before anything is collected: what is left of an id is its different texts.
-    return own.distinct().groupBy("site", "id").agg(F.collect_list("lines").alias("all")).select("site", "id", F.flatten(F.transform("all", lambda a: F.concat(a, F.array(F.lit(0).cast("long"))))).alias("lines"))
+    """``site, id, lines`` of each document of ``docs`` (``site, id, text``)."""
+    return _in_one(_line_ids(docs))
 
 
 def suffixes(seqs: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -125,9 +137,28 @@ def repeated_blocks(seqs: DataFrame, min_ids: int = MIN_IDS, depth: int = DEPTH)
     return merged.where(F.col("ids") >= min_ids).select("e.site", "e.block", "ids", "e.example")
 
 
+def blocks_of(docs: DataFrame, min_ids: int = MIN_IDS, depth: int = DEPTH) -> DataFrame:
+    """``repeated_blocks`` of ``docs`` (``site, id, text``), whatever the number of texts of an id.
+
+    The texts of an id are one sequence, up to ``TEXTS`` of them. Those of an id
+    with more stay apart, and its blocks are made distinct before they count.
+    """
+    own = cut(_line_ids(docs))
+    many = cut(own.groupBy("site", "id").agg(F.count("*").alias("n")).where(F.col("n") > TEXTS).select("site", "id"))
+    n = many.count()
+    if not n:
+        return repeated_blocks(_in_one(own), min_ids, depth)
+    few = repeated_blocks(_in_one(own.join(sized(many), ["site", "id"], "left_anti")), max(1, min_ids - n), depth)
+    names = [f"k{d}" for d in range(depth)]
+    blocks = F.array(*(F.when(F.col(names[d]) != 0, F.array(*names[: d + 1])) for d in range(depth)))
+    each = suffixes(own.join(sized(many), ["site", "id"], "left_semi"), depth).select("site", "doc", F.explode(F.array_compact(blocks)).alias("block")).distinct()
+    rest = each.groupBy("site", "block").agg(F.count("*").alias("ids"), F.min("doc").alias("example"))
+    return few.unionByName(rest).groupBy("site", "block").agg(F.sum("ids").alias("ids"), F.min("example").alias("example")).where(F.col("ids") >= min_ids)
+
+
 def repeated_lines(docs: DataFrame, min_ids: int = MIN_IDS) -> DataFrame:
     """``site, line`` (common form), ``ids``: lines of repeated blocks of any length, and how many documents have the line. ``docs`` has ``site, id, text``."""
-    blocks = repeated_blocks(sequences(docs), min_ids)
+    blocks = blocks_of(docs, min_ids)
     alone = F.when(F.size("block") == 1, F.col("ids"))  # each line of a longer block is a block of its own, too
     single = cut(blocks.select("site", F.explode("block").alias("h"), alone.alias("ids"), F.col("example").alias("id")).groupBy("site", "h").agg(F.max("ids").alias("ids"), F.min("id").alias("id")))
     # The wording of a line is taken from one of its documents.
@@ -173,7 +204,7 @@ def without_repeated(docs: DataFrame, min_ids: int = MIN_IDS) -> DataFrame:
     hashes = F.transform(F.split("text", "\n"), lambda s: F.when(common_form(s) != "", F.xxhash64(common_form(s))))
     marked = docs.select(*keep, hashes.alias("_lines"))
     schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep) + "removed_blocks int, removed_lines int"
-    found = cut(repeated_blocks(sequences(docs), min_ids).select("site", "block"))
+    found = cut(blocks_of(docs, min_ids).select("site", "block"))
 
     def rid(text: str | None, ids: list | None, known: set) -> tuple[str | None, int, int]:
         if not text or not known:

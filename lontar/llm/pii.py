@@ -46,15 +46,17 @@ _ADDRESS = re.compile(
     rf"|(?:P\.?O\.? Box|Kotak Pos|PO BOX) \d{{1,6}}(?:, [A-Z][\w'-]+(?: [A-Z][\w'-]+)?)?(?: \d{{5}})?"
 )
 _ADDRESS_CUE = re.compile(rf"\b(?:{_WAY}|Jalan|Jln|Jl|Komplek|Kompleks|Perumahan|Perum|Apartemen|Box|BOX|Kotak Pos)(?!\w)")
-_PART = r"(?:[A-Z][a-z'’]+(?:-[A-Z][a-z]+)?|[A-Z]\.|[A-Z]{2,}(?:-[A-Z]{2,})?)(?!\w)"
+#: Capital and small letters of the Latin, Greek and Cyrillic scripts.
+_U, _L = ("".join(c for c in map(chr, (*range(0x41, 0x250), *range(0x370, 0x530))) if c.isalpha() and is_(c)) for is_ in (str.isupper, str.islower))
+_PART = rf"(?:[{_U}][{_L}'’]+(?:-[{_U}][{_L}]+)?|[{_U}]\.|[{_U}]{{2,}}(?:-[{_U}]{{2,}})?)(?!\w)"
 _RUN = re.compile(rf"(?<![\w@.+-]){_PART}(?:(?:,? | ){_PART})+")
 _PIECE = re.compile(_PART)
-_LOWER = re.compile(r"(?<![\w@.+'’-])[a-z]{3,}(?![\w@+'’-]|\.\w)")
-_INITIAL, _LEAD = re.compile(r" [a-z]\. "), re.compile(r"(?<![\w@.+-])([a-z]\.) $")
+_LOWER = re.compile(rf"(?<![\w@.+'’-])[{_L}]{{3,}}(?![\w@+'’-]|\.\w)")
+_INITIAL, _LEAD = re.compile(rf" [{_L}]\. "), re.compile(rf"(?<![\w@.+-])([{_L}]\.) $")
 _TITLES = frozenset("pak bu bapak ibu mr mrs ms miss dr prof sir mbak mas".split())
-_WORD = r"(?<![\w@.])%s[a-z]{2,}(?![\w@])"
-_WORDS = re.compile(_WORD % "[A-Z]?")
-_NAMED = re.compile("(?:(?<=[a-z] )|(?<=[a-z], )|(?<=-- )|(?<=Pak )|(?<=Bu ))" + _WORD % "[A-Z]")
+_WORD = rf"(?<![\w@.])%s[{_L}]{{2,}}(?![\w@])"
+_WORDS = re.compile(_WORD % f"[{_U}]?")
+_NAMED = re.compile(f"(?:(?<=[{_L}] )|(?<=[{_L}], )|(?<=-- )|(?<=Pak )|(?<=Bu ))" + _WORD % f"[{_U}]")
 
 
 def _around(text: str, start: int, end: int) -> tuple[str, str, str]:
@@ -124,8 +126,11 @@ def _candidates(text: str, vocabulary: frozenset) -> list[tuple[int, int, str, l
         for i in range(len(parts)):
             if parts[i][2].lower().rstrip(".") in _TITLES:
                 continue
-            for j in range(i + 1, min(len(parts), i + 4)):
+            for j in range(i + 1, len(parts)):
                 span = parts[i : j + 1]
+                # Names of any number of parts, as long as a segment may be; one of five or more has at most one ordinary word.
+                if span[-1][1] - span[0][0] > MAX_LENGTH or len(span) > 4 and sum(known[i : j + 1]) > 1:
+                    break
                 if any(p[2].lower().rstrip(".") in _TITLES for p in span[1:]):
                     break
                 between = [text[a[1] : b[0]] for a, b in zip(span, span[1:])]
@@ -137,7 +142,7 @@ def _candidates(text: str, vocabulary: frozenset) -> list[tuple[int, int, str, l
                 left = i > 0 and not (parts[i - 1][2].lower().rstrip(".") in _TITLES)
                 right = j + 1 < len(parts)
                 own = [
-                    "bias", f"form={form}{',' * commas}", f"parts={len(span)}", f"common={min(2, common)}", f"first_common={known[i]}", f"last_common={known[j]}",
+                    "bias", f"form={form}{',' * commas}", f"parts={min(4, len(span))}", f"common={min(2, common)}", f"first_common={known[i]}", f"last_common={known[j]}",
                     f"left={'title' if i and not left else 'common' if left and known[i - 1] else 'odd' if left else 'none'}", f"right={'common' if right and known[j + 1] else 'odd' if right else 'none'}",
                     f"left_comma={left and ',' in text[parts[i - 1][1] : parts[i][0]]}", f"right_comma={right and ',' in text[parts[j][1] : parts[j + 1][0]]}", f"end_mark={text[parts[j][1] : parts[j][1] + 1] in '.!?' and text[parts[j][1] : parts[j][1] + 1] != ''}",
                 ]

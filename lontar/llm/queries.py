@@ -30,7 +30,8 @@ def p1_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return topics.subjects_of(table(spark, sf_dir, "export_entries").select("id", "text"), table(spark, sf_dir, "topic_labels"), table(spark, sf_dir, "subject_areas"))
+    coarse = table(spark, sf_dir, "classification_results").select(F.col("doc_id").alias("id"), "topic")
+    return topics.subjects_of(table(spark, sf_dir, "export_entries").select("id", "text"), table(spark, sf_dir, "topic_labels"), table(spark, sf_dir, "subject_areas"), groups=coarse)
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,9 @@ iterative DataFrame joins. The graph is kept in its factored form: a document
 is tied to the terms it uses, so two documents are neighbours if they share
 terms, and no pair of documents is ever written. A term is verified, and its
 ties count, only if the documents that have it agree on a subject; common and
-subject-free words so drop out. From the documents labelled by hand, which stay
+subject-free words so drop out. Documents that a coarse classification has put
+in one group are neighbours too: labels first go over the groups (where their
+labelled documents agree), then over terms. From the documents labelled by hand, which stay
 clamped to their labels in every round, subjects pass to terms, from those to
 all documents, and back, ``ROUNDS`` times. A document keeps several subjects:
 in the end each of its sentences and list items is given to the subject of its
@@ -43,6 +45,12 @@ MAX_SUBJECTS = 200
 MAX_TERMS = 200_000
 #: Salts of the join of terms that aren't held by every executor: one term may be in a third of all documents.
 SALTS = 16
+#: Terms that a coarse topic of the project's own classification counts as, in the graph only.
+TOPIC_TIES = 3
+#: Part of the mean weight of a subject that each one has at least: else the words of the one or two documents of a small subject, which may be about another one too, would all be its own.
+LEAST_MASS = 0.5
+#: Share of all documents' weight from which a term may be verified: a word of fewer, such as a name, agrees on a subject by chance.
+LEAST_USE = 3e-4
 #: Agreement of its documents that verifies a term.
 AGREEMENT = 0.5
 
@@ -104,8 +112,8 @@ def _sums(subjects: int, prefix: str = "s") -> list:
 
 def _mass(nodes: DataFrame, subjects: int) -> list[float]:
     """Documents' weight per subject: one row."""
-    row = nodes.agg(*_sums(subjects)).first()
-    return [max(float(v or 0.0), 0.5) for v in row]
+    row = [max(float(v or 0.0), 0.5) for v in nodes.agg(*_sums(subjects)).first()]
+    return [m + LEAST_MASS * sum(row) / subjects for m in row]
 
 
 def _verified(per_term: DataFrame, mass: list[float]) -> DataFrame:
@@ -121,15 +129,23 @@ def _verified(per_term: DataFrame, mass: list[float]) -> DataFrame:
     even = [(c + 0.3 * m / whole) / m for c, m in zip(raw, mass)]
     total = sum(even[1:], even[0])
     top = F.greatest(*even) if n > 1 else even[0]
-    return per_term.where((sum(raw[1:], raw[0]) > 1.2) & (top >= AGREEMENT * total)).select("term", *((c / total).alias(f"s{k}") for k, c in enumerate(even)))
+    return per_term.where((sum(raw[1:], raw[0]) > max(1.2, LEAST_USE * whole)) & (top >= AGREEMENT * total)).select("term", *((c / total).alias(f"s{k}") for k, c in enumerate(even)))
 
 
 def _small(terms: DataFrame) -> bool:
     return terms.count() <= MAX_TERMS
 
 
-def propagate(entries: DataFrame, labels: DataFrame, subjects: list[str], rounds: int = ROUNDS) -> DataFrame:
-    """``term, s0 ...``: verified terms with their shares of the subjects. ``entries`` has ``id, text``, ``labels`` ``id, subject``."""
+def group_ties(entries: DataFrame, groups: DataFrame) -> DataFrame:
+    """``doc, term`` of documents that a coarse classification (``id, topic``) has put in one group: ``TOPIC_TIES`` terms stand for the group."""
+    named = groups.where("id IS NOT NULL AND coalesce(topic, '') <> ''").select("id", "topic").distinct()
+    docs = entries.where("text IS NOT NULL AND text <> ''").select("id", F.xxhash64("text").alias("doc"))
+    terms = F.explode(F.array(*(F.xxhash64(F.lit(f"topic {k}"), "topic") for k in range(TOPIC_TIES))))
+    return docs.join(named.hint("merge"), "id").select("doc", terms.alias("term")).distinct()
+
+
+def propagate(entries: DataFrame, labels: DataFrame, subjects: list[str], rounds: int = ROUNDS, groups: DataFrame | None = None) -> DataFrame:
+    """``term, s0 ...``: verified terms with their shares of the subjects. ``entries`` has ``id, text``, ``labels`` ``id, subject``, ``groups`` ``id, topic``."""
     n = len(subjects)
     number = F.create_map(*(F.lit(x) for k, s in enumerate(subjects) for x in (s, k)))
     seeds = labels.select("id", number[F.col("subject")].alias("k")).where("k IS NOT NULL").distinct()
@@ -138,12 +154,25 @@ def propagate(entries: DataFrame, labels: DataFrame, subjects: list[str], rounds
     share = sum((F.col(f"s{k}") for k in range(1, n)), F.col("s0"))
     texts = cut(labelled.select("text", *((F.col(f"s{k}") / share).alias(f"s{k}") for k in range(n))))
     clamped = cut(texts.groupBy(F.xxhash64("text").alias("doc")).agg(*(F.avg(f"s{k}").alias(f"s{k}") for k in range(n))))
-    seed_terms = cut(ties(texts.select("text")).join(clamped, "doc").groupBy("term").agg(F.count("*").alias("n"), *_sums(n)))
+    own = ties(texts.select("text"))
+    by_group = None if groups is None else cut(group_ties(entries, groups))
+    if by_group is not None:
+        own = own.unionByName(by_group.join(clamped.select("doc").hint("merge"), "doc", "left_semi"))
+    seed_terms = cut(own.join(clamped, "doc").groupBy("term").agg(F.count("*").alias("n"), *_sums(n)))
     terms = cut(_verified(seed_terms, _mass(clamped, n)))
     # Words that many labelled documents have without agreeing on anything say nothing about subjects; they are left out of
     # the graph. Their number is bounded by the words of the labelled sample.
     idle = seed_terms.where("n >= 5").join(terms.hint("merge"), "term", "left_anti").select("term")
-    graph = cut(ties(entries, cut(idle)))
+    graph = ties(entries, cut(idle))
+    graph = cut(graph if by_group is None else graph.unionByName(by_group))
+    if by_group is not None:
+        # The first step goes over the groups alone: where labelled documents of a group agree, its other ones count half, for that subject.
+        of_group = _verified(by_group.join(clamped, "doc").groupBy("term").agg(*_sums(n)), [1.0] * n)  # a group is no word: small subjects need no help
+        held = _with_terms(by_group, cut(of_group)).groupBy("doc").agg(*_sums(n))
+        top = F.greatest(*(F.col(f"s{k}") for k in range(n))) if n > 1 else F.col("s0")
+        half = held.select("doc", *(F.when(F.col(f"s{k}") == top, 0.5).otherwise(0.0).alias(f"s{k}") for k in range(n)))
+        nodes = cut(half.join(clamped.select("doc").hint("merge"), "doc", "left_anti").unionByName(clamped))
+        terms = cut(_verified(graph.join(nodes.hint("merge"), "doc").groupBy("term").agg(*_sums(n)), _mass(nodes, n)))
     for _ in range(rounds):
         scores = _with_terms(graph, terms).groupBy("doc").agg(*_sums(n))
         # Squared: a document leans to the subjects most of its terms speak for.
@@ -158,13 +187,13 @@ def _units_of(text: str) -> list[list[str]]:
     return [w for w in (_WORD.findall(u) for u in _UNIT.split(text.lower())) if w]
 
 
-def subjects_of(entries: DataFrame, labels: DataFrame, areas: DataFrame, share: float = SHARE) -> DataFrame:
-    """``id, subject, share`` of the subjects of each entry, each once. ``areas`` has ``subject``."""
+def subjects_of(entries: DataFrame, labels: DataFrame, areas: DataFrame, share: float = SHARE, groups: DataFrame | None = None) -> DataFrame:
+    """``id, subject, share`` of the subjects of each entry, each once. ``areas`` has ``subject``; ``groups`` (``id, topic``), if there are any, a coarse classification of entries, wrong or missing at times."""
     subjects = sorted({r["subject"] for r in size_checked(areas.select("subject").where("subject IS NOT NULL").distinct(), MAX_SUBJECTS, "subject areas")})
     spark, kind = entries.sparkSession, entries.schema["id"].dataType.simpleString()
     if not subjects:
         return spark.createDataFrame([], f"id {kind}, subject string, share double")
-    terms = propagate(entries, labels, subjects)
+    terms = propagate(entries, labels, subjects, groups=groups)
     found = _by_broadcast(entries, terms, subjects, share) if _small(terms) else _by_join(entries, terms, subjects, share)
     named = labels.select(F.col("id").cast(kind).alias("id"), "subject").where(F.col("subject").isin(*subjects)).distinct()
     seeds = named.join(entries.select("id").where("id IS NOT NULL").distinct().hint("merge"), "id", "left_semi").select("id", "subject", F.lit(None).cast("double").alias("share"))

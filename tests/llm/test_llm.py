@@ -322,6 +322,18 @@ def test_blocks_of_any_length_are_deleted_as_one(spark, monkeypatch):
     assert told == sorted((x["site"] or "", x["id"] or "", x["text"], x["removed_blocks"], x["removed_lines"]) for x in lines.without_repeated(df).collect())
 
 
+def test_ids_of_many_texts_count_once(spark, monkeypatch):
+    r = random.Random(14)
+    docs = [("s", f"d{k}", f"shared one\nshared two\n{sentence(r, 4)}") for k in range(3)] + [("s", i, f"{sentence(r, 4)}\nshared one\nshared two\nonly here {i}\nshared one") for i in ("x", "y") for _ in range(9)]
+    docs += [("s", "z", f"lonely line\n{sentence(r, 4)}") for _ in range(9)]
+    df = spark.createDataFrame(docs, "site string, id string, text string")
+    told = sorted((x["line"], x["ids"]) for x in lines.repeated_lines(df).collect())
+    assert told == [("shared one", 5), ("shared two", 5)]
+    monkeypatch.setattr(lines, "TEXTS", 4)
+    assert told == sorted((x["line"], x["ids"]) for x in lines.repeated_lines(df).collect())
+    assert sorted((len(x["block"]), x["ids"]) for x in lines.blocks_of(df).collect()) == [(1, 5), (1, 5), (2, 5)]
+
+
 def test_cover():
     known = {(1,), (2,), (3,), (1, 2), (2, 3), (1, 2, 3), (5, 6)}
     assert lines.cover([9, 1, 2, 3, 9, 2, 5, 6, 5], known) == [(1, 4), (5, 6), (6, 8)] and lines.cover([], known) == []
@@ -509,6 +521,13 @@ def test_spans_and_masked(spark):
     assert pii.spans(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("name", ["José Ángel Núñez", "Maria Clara Dewi Ratna Santoso", "Łukasz Żółtowski", "Ганна Шевченко"])
+def test_names_of_many_parts_and_letters(name):
+    known = pii_examples.ordinary()
+    text = f"Please ask for {name} when you call."
+    assert [(text[a:e], kind) for a, e, kind in pii.decode(pii._candidates(text, known), pii._trained(known))] == [(name, "person_name")]
+
+
 def test_vocabulary_is_of_all_texts(spark):
     few = spark.range(0, 20_100, 1, 4).select(F.lit("stir the soup").alias("text"))
     late = spark.createDataFrame([("then ladle it gently with Orrin and orrin",)] * 5, "text string")
@@ -555,6 +574,32 @@ def test_subjects(spark, monkeypatch, most):
     assert right >= 0.97 * len(truth) and not {"null", "empty", "other"} & set(out)
 
 
+def test_labels_are_kept_and_groups_help(spark):
+    """With a label per subject only, documents of a coarse group pass the subject on; labels stay even where the text says nothing."""
+    rows, truth = entries()
+    few = {}
+    for i, t in truth.items():
+        for s in t:
+            few.setdefault(s, i) if len(t) == 1 else None
+    labels = [(i, s) for s, i in few.items()] + [("quiet", "boats")]
+    single = {i: next(iter(t)) for i, t in truth.items() if len(t) == 1}
+    groups = [(i, f"group of {s}") for i, s in single.items()] + [("gone", "x"), (None, "x"), ("e1", None), ("e1", "")]
+    e = spark.createDataFrame([*rows, ("quiet", "nothing known at all.")], "id string, text string")
+    lab, areas, by = (spark.createDataFrame(x, k) for x, k in ((labels * 2, "id string, subject string"), ([("stars",), ("boats",), ("cakes",)], "subject string"), (groups, "id string, topic string")))
+    again = spark.createDataFrame([(f"g{k}-{s}", rows[[r[0] for r in rows].index(i)][1] + f" again{k}") for s, i in few.items() for k in range(3)], "id string, text string")
+    more = lab.union(spark.createDataFrame([(f"g{k}-{s}", s) for s in few for k in range(3)], lab.schema))
+    by = by.union(spark.createDataFrame([(f"g{k}-{s}", f"group of {s}") for s in few for k in range(3)], by.schema))
+
+    def right(**more_args):
+        out = {}
+        for x in topics.subjects_of(e.union(again), more, areas, **more_args).collect():
+            out.setdefault(x["id"], set()).add(x["subject"])
+        assert all(s in out[i] for i, s in labels)
+        return sum(out.get(i) == truth[i] for i in truth)
+
+    assert right(groups=by) >= 0.95 * len(truth) and right(groups=by) >= right()
+
+
 def test_subjects_of_nothing(spark):
     rows, _ = entries(n=5)
     e = spark.createDataFrame(rows, "id string, text string")
