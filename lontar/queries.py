@@ -783,7 +783,7 @@ def win_round_robin(spark, d):
 @query("WITH e AS (SELECT user_id, event_id, CASE WHEN value < 50 THEN 0 ELSE 1 END AS found FROM events WHERE value IS NOT NULL), t AS (SELECT *, sum(found) OVER (PARTITION BY user_id ORDER BY event_id) AS total, sum(found) OVER (PARTITION BY user_id ORDER BY event_id) AS island FROM e), r AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id, island ORDER BY event_id) AS k FROM t WHERE found = 0), d AS (SELECT user_id, min(event_id) AS dry FROM r WHERE k = 5 GROUP BY user_id), g AS (SELECT user_id, min(event_id) FILTER (WHERE total >= 20) AS enough, max(event_id) AS last FROM t GROUP BY user_id) SELECT user_id, least(enough, dry, last) AS stop_at, CASE WHEN least(enough, dry, last) = enough THEN 'target' WHEN least(enough, dry, last) = dry THEN 'empty' ELSE 'end' END AS reason FROM g LEFT JOIN d USING (user_id)")
 def win_last_page(spark, d):
     e = _t(spark, d, "events").where("value IS NOT NULL").withColumn("found", F.when(F.col("value") < 50, 0).otherwise(1))
-    return frontier.last_page(e, "user_id", "event_id", "found", 20)
+    return frontier.last_page(e, "user_id", "event_id", "found", 20, resume=0)
 
 
 @query("WITH f AS (SELECT source_url, min((id, source_url)) AS first FROM (SELECT id, source_url FROM news_articles UNION ALL SELECT id, source_url FROM incoming_articles) WHERE source_url IS NOT NULL GROUP BY source_url) SELECT source_url, row_number() OVER (ORDER BY first) AS place FROM f")
