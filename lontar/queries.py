@@ -657,10 +657,10 @@ b AS (SELECT doc_id, CASE WHEN text = '' THEN '' ELSE {_HASH_SQL} END AS e, n FR
 x AS (SELECT e, min(doc_id) AS first FROM b WHERE e IS NOT NULL GROUP BY e), h AS (SELECT n, min(doc_id) AS holder FROM b WHERE n IS NOT NULL GROUP BY n),
 l AS (SELECT p.n, min({{'d': bit_count(xor(p.n, q.n))::BIGINT, 'of': q.holder}}) AS near FROM h p JOIN h q ON q.holder < p.holder AND bit_count(xor(p.n, q.n)) <= 3 GROUP BY p.n),
 j AS (SELECT doc_id, first, CASE WHEN holder < doc_id THEN {{'d': 0::BIGINT, 'of': holder}} ELSE near END AS near FROM b LEFT JOIN x USING (e) LEFT JOIN h USING (n) LEFT JOIN l USING (n))
-SELECT doc_id, CASE WHEN first < doc_id THEN 'exact' WHEN near IS NOT NULL THEN 'near_simhash' ELSE 'none' END AS duplicate_type, CASE WHEN first < doc_id THEN first ELSE near.of END AS duplicate_of, round(CASE WHEN first < doc_id THEN 1.0 WHEN near IS NOT NULL THEN 1 - near.d / 64 ELSE 0.0 END, 6)::DOUBLE AS confidence FROM j""")
+SELECT doc_id, CASE WHEN first < doc_id THEN 'exact' WHEN near IS NOT NULL THEN 'near_simhash' ELSE 'none' END AS duplicate_type, (CASE WHEN first < doc_id THEN first ELSE near.of END)::VARCHAR AS duplicate_of, round(CASE WHEN first < doc_id THEN 1.0 WHEN near IS NOT NULL THEN 1 - near.d / 64 ELSE 0.0 END, 6)::DOUBLE AS confidence FROM j""")
 def dedup_cascade(spark, d):
     signed = ids.simhashes(spread(_t(spark, d, "documents").select("doc_id", "text")), "text").select("doc_id", ids.content_hash(F.col("text")).alias("exact"), ids.simhash_number(F.col("simhash")).alias("signature"))
-    return dedup.cascade(signed, "doc_id", "exact", "signature").withColumnRenamed("key", "doc_id")
+    return dedup.cascade(signed, "doc_id", "exact", "signature").withColumnRenamed("key", "doc_id").withColumn("duplicate_of", F.col("duplicate_of").cast("string"))
 
 
 @query("""WITH RECURSIVE v AS (SELECT DISTINCT ('0x' || simhash)::UBIGINT AS n FROM deduplication_index WHERE simhash IS NOT NULL), e AS (SELECT p.n AS a, q.n AS b FROM v p JOIN v q ON p.n <> q.n AND bit_count(xor(p.n, q.n)) <= 3),
@@ -923,10 +923,10 @@ def filt_eligible(spark, d):
     return f.where(frontier.eligible(F.col("status"), F.col("fetched_at") + F.expr("INTERVAL 1 HOUR"), F.lit(NOW).cast("timestamp"))).where("NOT success").select("page_id")
 
 
-@query("SELECT page_id, (page_id % 3 + 1)::INT AS attempts, CASE WHEN page_id % 3 + 1 >= 3 THEN 'failed' ELSE 'pending' END AS status, CASE WHEN page_id % 3 + 1 < 3 THEN epoch_us(fetched_at) + 3600000000 END AS next_attempt FROM fetch_results WHERE NOT success")
+@query("SELECT page_id, (page_id % 3 + 1)::INT AS attempts, CASE WHEN page_id % 3 + 1 >= 3 THEN 'failed' ELSE 'pending' END AS status, CASE WHEN page_id % 3 + 1 < 3 THEN (epoch_us(fetched_at) + 3600000000)::VARCHAR END AS next_attempt FROM fetch_results WHERE NOT success")
 def win_retries(spark, d):
     f = _t(spark, d, "fetch_results").where("NOT success").select("page_id", (F.col("page_id") % 3).cast("int").alias("attempts"), "fetched_at")
-    return frontier.after_failure(f, "attempts", "fetched_at").select("page_id", "attempts", "status", F.unix_micros("next_attempt").alias("next_attempt"))
+    return frontier.after_failure(f, "attempts", "fetched_at").select("page_id", "attempts", "status", F.unix_micros("next_attempt").cast("string").alias("next_attempt"))
 
 
 def _record_sql(version: int) -> str:
