@@ -37,6 +37,9 @@ COMMON = frozenset(
 )
 _LETTERS = re.compile(r"[^\W\d_]+")
 _SYMBOL = re.compile(r"[^\w\s]")
+#: For plain ASCII: letters in lower case and all else a space; what is a symbol; digits.
+_PLAIN = "".join(chr(c).lower() if chr(c).isalpha() else " " for c in range(128))
+_SYMBOLS = bytes(c for c in range(128) if _SYMBOL.match(chr(c)))
 _DIGIT = re.compile(r"\d")
 _MARK = re.compile(r"^(?:[-*•·–—+>#]|\(?\d{1,3}[.):]|\(?[a-z][.)])\s+")
 _END = re.compile(r"[.!?…。！？][\"'”’»)\]]*$")
@@ -46,11 +49,23 @@ _CJK = re.compile(r"[぀-ヿ㐀-鿿]")
 STATISTICS = ("n_chars", "n_words", "n_lines", "mean_word_length", "symbol_ratio", "digit_ratio", "end_punctuation_share", "common_word_share", "short_line_share", "running_share", "running_word_share")
 
 
+def _words(text: str) -> list[str]:
+    """Runs of letters, in lower case."""
+    return text.translate(_PLAIN).split() if text.isascii() else _LETTERS.findall(text.lower())
+
+
+def _symbols_and_digits(text: str) -> tuple[int, int]:
+    if not text.isascii():
+        return len(_SYMBOL.findall(text)), len(_DIGIT.findall(text))
+    raw = text.encode()
+    return len(raw) - len(raw.translate(None, _SYMBOLS)), len(raw) - len(raw.translate(None, b"0123456789"))
+
+
 def _running(piece: str) -> bool:
     """Whether a piece of text is a running sentence: it ends as one, is made of letters and has the small words of a language."""
     if not _END.search(piece):
         return False
-    words = _LETTERS.findall(piece.lower())
+    words = _words(piece)
     if len(words) < 4:
         return len(_CJK.findall(piece)) >= 6
     letters = sum(map(len, words))
@@ -65,7 +80,7 @@ def _all_running(line: str) -> bool:
     """Whether a line is running sentences throughout, beyond doubt: it has far more small words than a sentence needs."""
     if line[-1] not in ".!?":
         return False
-    words = _LETTERS.findall(line.lower())
+    words = _words(line)
     return sum(map(len, words)) > 0.75 * (len(line) - line.count(" ")) and sum(map(COMMON.__contains__, words)) >= 0.24 * len(words) > 2
 
 
@@ -74,7 +89,7 @@ def statistics_of(text: str | None) -> tuple | None:
     if not text or not text.strip():
         return None
     lines = [s for s in map(str.strip, text.splitlines()) if s]
-    words = _LETTERS.findall(text.lower())
+    words = _words(text)
     n, solid = len(words), max(1, len(text) - sum(map(text.count, " \n\t\r")))
     ended = short = run = run_words = total = 0
     for line in lines:
@@ -96,8 +111,9 @@ def statistics_of(text: str | None) -> tuple | None:
                 run += len(p) + 1
                 run_words += p.count(" ") + 1
     spread = sum(line.count(" ") + 1 for line in lines)
+    symbols, digits = _symbols_and_digits(text)
     return (
-        len(text), n, len(lines), sum(map(len, words)) / n if n else 0.0, len(_SYMBOL.findall(text)) / solid, len(_DIGIT.findall(text)) / solid, ended / len(lines),
+        len(text), n, len(lines), sum(map(len, words)) / n if n else 0.0, symbols / solid, digits / solid, ended / len(lines),
         sum(map(COMMON.__contains__, words)) / n if n else 0.0, short / len(lines), min(1.0, run / total), min(1.0, run_words / spread),
     )
 
