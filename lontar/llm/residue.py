@@ -198,6 +198,46 @@ def _shingled(classes: DataFrame) -> DataFrame:
     return classes.select("masked", "trusted", F.xxhash64("masked").alias("node"), F.array_distinct(shingles).alias("shingles"))
 
 
+def _first_shingles(nodes: DataFrame) -> DataFrame:
+    """``node, key``: of each one's shingles, the rarest first, the first fifth (and one) that other nodes have, too."""
+    each = nodes.select("node", F.explode("shingles").alias("shingle"))
+    counts = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
+    ranked = each.join(counts, "shingle", "left").groupBy("node").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "shingle"))).alias("s"))
+    first = ranked.select("node", F.explode(F.expr("slice(s, 1, size(s) - (4 * size(s) + 4) div 5 + 1)")).alias("x"))
+    return first.where("x.n > 1").select("node", F.col("x.shingle").alias("key"))
+
+
+def linked(nodes: DataFrame) -> DataFrame:
+    """``a, b``: as many of the pairs of ``alike`` as connect what all of them connect.
+
+    The nodes of a key come one after the other. Each is compared with those of
+    the key that it isn't connected with yet, so a class of very many alike ones
+    costs one comparison each and gives one pair each, not all pairs.
+    """
+    import pyarrow as pa
+
+    def run(batches: Iterator) -> Iterator:
+        key, classes = None, []  # of the key: classes of connected nodes, each a list of (node, shingles)
+        for b in batches:
+            left, right = [], []
+            for k, node, shingles in zip(*(b.column(j).to_pylist() for j in range(3))):
+                if k != key:
+                    key, classes = k, []
+                mine, met, rest = frozenset(shingles), [], []
+                for members in classes:
+                    other = next((n for n, own in members if 9 * len(mine & own) >= 4 * (len(mine) + len(own))), None)
+                    if other is None:
+                        rest.append(members)
+                    else:
+                        met.append(members)
+                        left.append(node), right.append(other)
+                classes = [*rest, [(node, mine), *(m for members in met for m in members)]]
+            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
+
+    keyed = _first_shingles(nodes).join(nodes.select("node", "shingles"), "node").select("key", "node", "shingles")
+    return keyed.repartition("key").sortWithinPartitions("key").mapInArrow(run, "a bigint, b bigint").distinct()
+
+
 def alike(nodes: DataFrame) -> DataFrame:
     """``a, b``, a < b: all pairs of ``node, shingles`` of similarity 0.8 or more.
 
@@ -205,11 +245,7 @@ def alike(nodes: DataFrame) -> DataFrame:
     shingles put in one order, the rarest first, one of them is among the first
     fifth (and one) of both.
     """
-    each = nodes.select("node", F.explode("shingles").alias("shingle"))
-    counts = each.groupBy("shingle").agg(F.count("*").alias("n")).where("n > 1")
-    ranked = each.join(counts, "shingle", "left").groupBy("node").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "shingle"))).alias("s"))
-    first = ranked.select("node", F.explode(F.expr("slice(s, 1, size(s) - (4 * size(s) + 4) div 5 + 1)")).alias("x"))
-    left = cut(first.where("x.n > 1").select("node", F.col("x.shingle").alias("key")))
+    left = cut(_first_shingles(nodes))
     met = cut(left.join(left.withColumnRenamed("node", "b"), "key").where("node < b").select("node", "b").distinct())
     known = nodes.select("node", "shingles")
     both = met.join(known, "node").join(known.toDF("b", "shingles_b"), "b")
@@ -230,7 +266,7 @@ def residue_units(found: DataFrame) -> DataFrame:
     distinct = cut(found.where("unit IS NOT NULL").groupBy("unit").agg(F.max("trusted").alias("trusted"), F.max("strange").alias("strange")))
     masked = cut(_masked(distinct))
     nodes = cut(_shingled(masked.groupBy("masked").agg(F.max("trusted").alias("trusted"))))
-    parts = components(alike(nodes))
+    parts = components(linked(nodes))
     labelled = nodes.join(parts, "node", "left").select("masked", "trusted", F.coalesce("component", "node").alias("component"))
     sure = labelled.groupBy("component").agg(F.max("trusted").alias("residue")).where("residue")
     near = masked.join(labelled.join(sure, "component", "left_semi").select("masked"), "masked", "left_semi").select("unit")

@@ -450,6 +450,25 @@ def test_alike_pairs_are_all_found(spark):
     name = {x["node"]: x["masked"] for x in nodes.collect()}
     out = residue.alike(nodes).collect()
     assert len(expected) > 50 and {tuple(sorted((name[x["a"]], name[x["b"]]))) for x in out} == expected and len(out) == len(expected)
+    few = [tuple(sorted((name[x["a"]], name[x["b"]]))) for x in residue.linked(nodes).collect()]
+    assert set(few) <= expected and classes(few) == classes(expected)
+
+
+def classes(pairs):
+    of = {}
+    for a, b in pairs:
+        both = of.get(a, {a}) | of.get(b, {b})
+        for x in both:
+            of[x] = both
+    return {frozenset(c) for c in of.values()}
+
+
+def test_large_class_of_alike_units_has_few_links(spark):
+    stem = [f"word{k}" for k in range(120)]
+    rows = [(" ".join([*stem[: k % 120], f"odd{k}", *stem[k % 120 :]]), k == 0) for k in range(300)]
+    nodes = residue._shingled(spark.createDataFrame(rows, "masked string, trusted boolean"))
+    pairs = [(x["a"], x["b"]) for x in residue.linked(nodes).collect()]
+    assert len({n for c in classes(pairs) for n in c}) == 300 and len(classes(pairs)) == 1 and len(pairs) < 300 * 20
 
 
 def test_residue_spreads_over_names_met_often(spark):
