@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lontar.functions.text import page_text, words
 from lontar.operators.quality import extraction_score, reading_minutes
-from lontar.operators.selectors import select
+from lontar.operators.selectors import one, select
 
 #: Parts of class and id values of what surrounds an article (fixed values).
 UNWANTED = ("ad", "advertisement", "sidebar", "nav", "menu", "footer", "header", "comment", "social", "share", "related", "popup", "modal")
@@ -153,10 +153,10 @@ DESCRIPTIONS = ('meta[name="description"]', 'meta[property="og:description"]', '
 TAGS = (".tags", ".keywords", '[class*="tag"]', '[class*="category"]')
 
 
-def _cascade(root: Node, selectors: tuple[str, ...], least: int, most: int, meta_too: bool = False) -> str | None:
+def _cascade(nodes: list[Node], selectors: tuple[str, ...], least: int, most: int, meta_too: bool = False) -> str | None:
     """The first selector whose first element has a text of fitting length; what a meta element or ``datetime`` says holds as it is, unless ``meta_too``."""
     for s in selectors:
-        n = next(select(root, s), None)
+        n = next(filter(one(s), nodes), None)
         if n is None:
             continue
         said = n.attrs.get("content") if n.tag == "meta" else n.attrs.get("datetime") if s in DATES else None
@@ -177,11 +177,14 @@ def metadata(root: Node) -> dict:
         if found is not None and len(t := found.text()) > 10:
             title = t
             break
-    named = next(select(root, 'meta[name="keywords"]'), None)
+    # All of these selectors look at attributes of one element.
+    marked = [n for n in every if n.attrs or n.tag == "time"]
+    classed = [n for n in marked if "class" in n.attrs]
+    named = next(filter(one('meta[name="keywords"]'), marked), None)
     words = {k.strip() for k in (named.attrs.get("content", "") if named is not None else "").split(",") if k.strip()}
-    words |= {t for s in TAGS for n in select(root, s) if (t := n.text()) and len(t) < 50}
+    words |= {t for n in classed if any(one(s)(n) for s in TAGS) and (t := n.text()) and len(t) < 50}
     return {
-        "title": title, "author": _cascade(root, AUTHORS, 1, 99), "publish_date": _cascade(root, DATES, 1, 49), "description": _cascade(root, DESCRIPTIONS, 50, 300, True), "keywords": sorted(words)[:10],
+        "title": title, "author": _cascade(marked, AUTHORS, 1, 99), "publish_date": _cascade(marked, DATES, 1, 49), "description": _cascade(marked, DESCRIPTIONS, 50, 300, True), "keywords": sorted(words)[:10],
         "images": [x for n in every if n.tag == "img" and (x := n.attrs.get("src") or n.attrs.get("data-src"))], "links": [n.attrs["href"] for n in every if n.tag == "a" and n.attrs.get("href")],
     }
 
@@ -321,12 +324,15 @@ def extract(pages: DataFrame, html: str, methods: dict[str, Callable[[str], dict
     schema = "".join(f"`{c}` {pages.schema[c].dataType.simpleString()}, " for c in keep)
     found = pages.select(*keep, html).mapInArrow(run, f"{schema}_found array<struct<{', '.join(f'{n}:{t}' for n, t in fields)}>>")
 
+    def plain(r: Column) -> Column:
+        return F.struct(*((page_text(r[n]) if n in ("content", "title") else r[n]).alias(n) for n, _ in fields))
+
     def scored(r: Column, place: Column) -> Column:
-        f = {n: r[n] for n, _ in fields} | {"content": page_text(r["content"]), "title": page_text(r["title"])}
-        score = extraction_score(*(f[c] for c in ("content", "title", "author", "publish_date", "description", "keywords")))
-        return F.struct(F.when(r["extraction_method"] == "failed", 0.0).otherwise(score).alias("quality_score"), (-place).alias("place"), *(f[n].alias(n) for n, _ in fields))
+        score = extraction_score(*(r[c] for c in ("content", "title", "author", "publish_date", "description", "keywords")))
+        return F.struct(F.when(r["extraction_method"] == "failed", 0.0).otherwise(score).alias("quality_score"), (-place).alias("place"), *(r[n].alias(n) for n, _ in fields))
 
-    best = found.withColumn("_best", F.array_max(F.transform("_found", lambda r, k: scored(r, k))))
+    # Two steps: within one, each use of a cleaned text would clean it again.
+    best = found.withColumn("_best", F.array_max(F.transform(F.transform("_found", plain), scored)))
     body = F.coalesce("content", F.lit(""))
     return best.select(*keep, *(F.col("_best")[n].alias(n) for n, _ in fields), F.col("_best.quality_score").alias("quality_score")).withColumns({"word_count": words(body), "reading_time": reading_minutes(body)})
 

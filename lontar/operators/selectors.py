@@ -31,6 +31,8 @@ def _compound(text: str) -> Callable[[Node], bool]:
             tests.append(lambda n, v=tag.lower(): n.tag == v)
     if at != len(text):
         raise ValueError(f"selector not understood: {text}")
+    if len(tests) == 1:
+        return tests[0]
     return lambda n: all(t(n) for t in tests)
 
 
@@ -46,6 +48,13 @@ def _steps(selector: str) -> tuple[Callable[[Node], bool], ...]:
     return tuple(_compound(part) for part in re.findall(r"(?:\[[^\]]*\]|[^\s\[])+", selector))
 
 
+@lru_cache(maxsize=512)
+def one(selector: str) -> Callable[[Node], bool]:
+    """The test of a selector without descendants, for an element at hand."""
+    (test,) = _steps(selector)
+    return test
+
+
 def select(root: Node, selector: str) -> Iterator[Node]:
     """Elements below ``root`` in order, each once; a comma is not understood, use several selectors."""
     steps = _steps(selector)
