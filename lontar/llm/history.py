@@ -49,6 +49,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lontar.llm.common import WORD, cut, fresh_folder, sized
+from lontar.plans.stage import spread
 
 SIMILARITY = 0.6
 PIVOTS = 64
@@ -147,7 +148,7 @@ def fit_order(texts: DataFrame) -> DataFrame:
 
     spark = texts.sparkSession
     rows = texts.count()
-    sample = texts.select("text").where("text IS NOT NULL").sample(min(1.0, SAMPLE / max(1, rows)), seed=7)
+    sample = spread(texts.select("text").where("text IS NOT NULL").sample(min(1.0, SAMPLE / max(1, rows)), seed=7))
     often = sample.mapInArrow(run, "t bigint, n bigint").groupBy("t").agg(F.sum("n").alias("n")).where(F.col("n") >= USES)
     klass = lambda n: F.least(F.lit(_CLASSES), 1 + F.floor(F.log(n / F.lit(float(USES))) / math.log(1.12))).cast("int")
     hot = F.greatest(F.lit(float(USES)), F.lit(HOT * min(1.0, SAMPLE / max(1, rows))))
@@ -364,7 +365,7 @@ class HistoryTable:
         self._write(batches, "append")
 
     def _write(self, rows: DataFrame, mode: str) -> None:
-        own = rows.select("id", "batch", F.unhex(F.md5(normal_url(F.col("source_url")))).alias("address"), "text")
+        own = spread(rows.select("id", "batch", "source_url", "text")).select("id", "batch", F.unhex(F.md5(normal_url(F.col("source_url")))).alias("address"), "text")
         sign(own, self._order()).write.mode(mode).partitionBy("range").parquet(f"{self.path}/signed")
 
     def _order(self) -> Order:
