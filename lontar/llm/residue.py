@@ -7,8 +7,10 @@ shingle similarity 0.8 or more, are all found: two such units share one of the
 rarest fifth of their shingles, so they meet in a join on those. They are joined
 into connected components. Only a few units are trusted: those of strict
 patterns of such messages that make up at least half of their record. Their
-label then holds for all of their component, wherever else its units stand, as
-in pages among menus and notices, where a pattern alone proves nothing.
+label then holds for all of their component, wherever else its units stand, in
+whatever wording that is still alike, as in pages among menus and notices. A
+component without a trusted unit is residue only if all of its units fit a strict
+pattern (a message that nothing else is like).
 Placeholders are found by their form.
 
 SimHash tables of 3 bits find 26 of 183 such pairs of a fixture, and 60 tables
@@ -133,23 +135,23 @@ def _mostly_cued(line: str) -> bool:
 
 
 def units(texts: DataFrame) -> DataFrame:
-    """``texts`` (keys and ``text``) as ``keys, placeholder, unit, trusted, strange, share``: a row per different line to look at, and one without unit per record with a placeholder."""
+    """``texts`` (keys and ``text``) as ``keys, placeholder, unit, trusted, fits (a strict pattern), strange, share``: a row per different line to look at, and one without unit per record with a placeholder."""
     import pyarrow as pa
 
     keep = [c for c in texts.columns if c != "text"]
 
     def run(batches: Iterator) -> Iterator:
         for b in batches:
-            rows, places, found, sure, odd, shares = [], [], [], [], [], []
+            rows, places, found, sure, like, odd, shares = [], [], [], [], [], [], []
 
-            def add(row: int, place: bool, unit: str | None, label: bool, strange: bool, share: float) -> None:
-                rows.append(row), places.append(place), found.append(unit), sure.append(label), odd.append(strange), shares.append(share)
+            def add(row: int, place: bool, unit: str | None, label: bool, fits: bool, strange: bool, share: float) -> None:
+                rows.append(row), places.append(place), found.append(unit), sure.append(label), like.append(fits), odd.append(strange), shares.append(share)
 
             for k, text in enumerate(b.column(len(keep)).to_pylist()):
                 if not text:
                     continue
                 if any(map(text.__contains__, _MARKS)) and PLACEHOLDER.search(text):
-                    add(k, True, None, False, False, 0.0)
+                    add(k, True, None, False, False, False, 0.0)
                 cued = _cued_lines(text)
                 raw = text.split("\n")
                 looked = [(i, line) for i, line in enumerate(map(str.strip, raw)) if line and (i in cued or _strange(line))]
@@ -167,12 +169,12 @@ def units(texts: DataFrame) -> DataFrame:
                     unit = own.setdefault(" ".join("0" if any(c.isdigit() for c in w) else w for w in words), [False, False, False, 0.0])
                     unit[:] = unit[0] or label, unit[1] or trusted(line, len(words) > UNIT_WORDS), unit[2] or strange, unit[3] + size / total
                 for unit, (filler, fits, odd_, share) in own.items():
-                    add(k, False, unit, filler or (fits and share >= SEED_SHARE), odd_, share)
+                    add(k, False, unit, filler or (fits and share >= SEED_SHARE), fits, odd_, share)
             at = pa.array(rows, pa.int64())
-            cols = [pa.array(places, pa.bool_()), pa.array(found, pa.string()), pa.array(sure, pa.bool_()), pa.array(odd, pa.bool_()), pa.array(shares, pa.float64())]
-            yield pa.RecordBatch.from_arrays([*(b.column(k).take(at) for k in range(len(keep))), *cols], [*keep, "placeholder", "unit", "trusted", "strange", "share"])
+            cols = [pa.array(places, pa.bool_()), pa.array(found, pa.string()), pa.array(sure, pa.bool_()), pa.array(like, pa.bool_()), pa.array(odd, pa.bool_()), pa.array(shares, pa.float64())]
+            yield pa.RecordBatch.from_arrays([*(b.column(k).take(at) for k in range(len(keep))), *cols], [*keep, "placeholder", "unit", "trusted", "fits", "strange", "share"])
 
-    schema = ", ".join([f"`{c}` {texts.schema[c].dataType.simpleString()}" for c in keep] + ["placeholder boolean", "unit string", "trusted boolean", "strange boolean", "share double"])
+    schema = ", ".join([f"`{c}` {texts.schema[c].dataType.simpleString()}" for c in keep] + ["placeholder boolean", "unit string", "trusted boolean", "fits boolean", "strange boolean", "share double"])
     return texts.select(*keep, "text").mapInArrow(run, schema)
 
 
@@ -195,7 +197,8 @@ def _shingled(classes: DataFrame) -> DataFrame:
     """``masked, trusted`` with ``node`` and ``shingles`` (hashes of five-word shingles)."""
     w = F.split("masked", " ")
     shingles = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(w) - 4)), lambda i: F.xxhash64(F.array_join(F.slice(w, i, 5), " ")))
-    return classes.select("masked", "trusted", F.xxhash64("masked").alias("node"), F.array_distinct(shingles).alias("shingles"))
+    kept = [c for c in ("masked", "trusted", "fits") if c in classes.columns]
+    return classes.select(*kept, F.xxhash64("masked").alias("node"), F.array_distinct(shingles).alias("shingles"))
 
 
 def _first_shingles(nodes: DataFrame) -> DataFrame:
@@ -262,13 +265,14 @@ def _same_filler(distinct: DataFrame) -> DataFrame:
 
 
 def residue_units(found: DataFrame) -> DataFrame:
-    """``unit``: units (column ``unit`` of ``found``, with ``trusted`` and ``strange``) whose component has a trusted one, or that are of the same filler."""
-    distinct = cut(found.where("unit IS NOT NULL").groupBy("unit").agg(F.max("trusted").alias("trusted"), F.max("strange").alias("strange")))
+    """``unit``: units (column ``unit`` of ``found``, with ``trusted``, ``fits`` and ``strange``) whose component has a trusted one or consists of units of strict patterns, or that are of the same filler."""
+    fits = F.col("fits") if "fits" in found.columns else F.col("trusted")
+    distinct = cut(found.where("unit IS NOT NULL").groupBy("unit").agg(F.max("trusted").alias("trusted"), F.max(fits).alias("fits"), F.max("strange").alias("strange")))
     masked = cut(_masked(distinct))
-    nodes = cut(_shingled(masked.groupBy("masked").agg(F.max("trusted").alias("trusted"))))
+    nodes = cut(_shingled(masked.groupBy("masked").agg(F.max("trusted").alias("trusted"), F.min("fits").alias("fits"))))
     parts = components(linked(nodes))
-    labelled = nodes.join(parts, "node", "left").select("masked", "trusted", F.coalesce("component", "node").alias("component"))
-    sure = labelled.groupBy("component").agg(F.max("trusted").alias("residue")).where("residue")
+    labelled = nodes.join(parts, "node", "left").select("masked", "trusted", "fits", F.coalesce("component", "node").alias("component"))
+    sure = labelled.groupBy("component").agg((F.max("trusted") | F.min("fits")).alias("residue")).where("residue")
     near = masked.join(labelled.join(sure, "component", "left_semi").select("masked"), "masked", "left_semi").select("unit")
     return near.union(_same_filler(distinct))
 

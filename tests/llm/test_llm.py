@@ -399,17 +399,20 @@ def test_votes_without_the_definition(spark):
     assert "running_share" not in str([v._jc.toString() for v in quality.votes().values()]).replace("running_word_share", "") and df.select(*quality.votes().values()).count() == 1
 
 
-def test_residue_needs_its_graph(spark):
-    """Messages among menus are found by their likeness to those that make up a record; without the components they are lost."""
+def test_residue_needs_its_graph(spark, monkeypatch):
+    """Messages in a wording that no pattern fits are found by their likeness to trusted ones; without the links they are lost."""
     shop = "Welcome to the garden shop, which sells pots and seeds all year round.\nHome | About | Contact | Imprint and more\n"
-    rows = [("n", f"seed{k}", f"Please enable JavaScript to read the article {w}lamp on this page.") for k, w in enumerate(WORDS[:6])]
-    rows += [("p", f"page{k}", shop + f"Please enable JavaScript to read the article {w}lamp on this page.\nFooter of the shop, all about pots and seeds") for k, w in enumerate(WORDS[6:14])]
-    rows += [("p", "alone", shop + "Sorry, the page tirolamp could not be found.\nFooter of the shop, all about pots and seeds"), ("n", "prose", PROSE * 3)]
+    say = "enable JavaScript to read the article {}lamp on this page and on all the pages of the series that come after it."
+    rows = [("n", f"seed{k}", "Please " + say.format(w)) for k, w in enumerate(WORDS[:6])]
+    rows += [("p", f"page{k}", shop + "Note, reader: please " + say.format(w) + "\nFooter of the shop, all about pots and seeds") for k, w in enumerate(WORDS[6:14])]
+    rows += [("p", "alone", shop + "Sorry, the page tirolamp could not be found.\nFooter of the shop, all about pots and seeds"), ("n", "prose", PROSE * 3), ("p", "talk", shop + "Some sites ask readers to enable JavaScript, which is a nuisance on old machines and slow lines.")]
     df = spark.createDataFrame(rows, "table_name string, record_id string, text string")
     found = {x["record_id"] for x in residue.residue(df, ("p",)).collect()}
-    assert found == {f"seed{k}" for k in range(6)} | {f"page{k}" for k in range(8)}
+    assert found == {f"seed{k}" for k in range(6)} | {f"page{k}" for k in range(8)} | {"alone"}
     trusted = residue.units(df).where("trusted").select("record_id").distinct().collect()
     assert {x["record_id"] for x in trusted} == {f"seed{k}" for k in range(6)}
+    monkeypatch.setattr(residue, "linked", lambda nodes: nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
+    assert {x["record_id"] for x in residue.residue(df, ("p",)).collect()} == {f"seed{k}" for k in range(6)} | {"alone"}
 
 
 def test_residue_spreads_to_near_duplicates(spark):
